@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .neardup import near_duplicates
+from .pieces import piece_digests
 from .substrings import substring_dedup
 from .tables import read
 
 
+def model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(read(spark, sf_dir, "documents"), model_path())
+
+
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), percent=85).drop("tkey")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"), k=13)
 
 
-QUERIES = {f.__name__: f for f in (op10_substring_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op5_minhash, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
