@@ -9,8 +9,8 @@ windows have equal anchors, so
 2. only paths of such anchors go on, deduplicated by anchor and a 64-bit hash of all
    their words, with the least id of their sources;
 3. where all paths of an anchor are the same, the path doesn't branch and stays
-   whole; where sources branch, the paths open into their windows, and the least
-   id of each window is aggregated and joined back to the paths;
+   whole; where sources branch, the first source of each path opens it into its
+   windows, and the least id of each window is aggregated and joined back;
 4. each source coordinate (row, first window, count) whose path or windows start
    under a smaller id becomes a span to remove.
 
@@ -32,12 +32,10 @@ from .tables import cut, keyed
 
 #: Repeated anchors up to this many are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_ANCHORS = 4_000_000
-#: The same for the paths of anchors at which sources branch.
-BROADCAST_PATHS = 1_000_000
 
 
 def _paths(buf: np.ndarray, offsets: np.ndarray, k: int, inner: int):
-    """Anchor, row, first window, windows and word hashes of all paths in some texts."""
+    """Anchor, row, first window and windows of all paths in some texts, each text's first word, word hashes."""
     start, end, first = word_bounds(buf, offsets)
     hashes = word_hashes(buf, start, end)
     values, at, _ = grams(hashes, first, inner)
@@ -57,7 +55,7 @@ def _paths(buf: np.ndarray, offsets: np.ndarray, k: int, inner: int):
     new[ranges(np.zeros(len(runs), np.int64), length) % k == 0] = True
     heads = np.flatnonzero(new)
     size = np.diff(np.append(heads, len(windows)))
-    return least[heads], row[heads], windows[heads], size, first, start, end, hashes
+    return least[heads], row[heads], windows[heads], size, first, hashes
 
 
 def _anchors(k: int, inner: int):
@@ -71,25 +69,48 @@ def _anchors(k: int, inner: int):
     return run
 
 
-def _pieces(k: int, inner: int, windows: bool):
-    """Paths with their source coordinates, or with the hashes of their windows."""
+def _pieces(k: int, inner: int):
+    """Paths with a hash of all their windows and their source coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for lo, buf, offsets in text_slices(batch.column(2)):
-                anchor, row, at, size, first, _, _, hashes = _paths(buf, offsets, k, inner)
+                anchor, row, at, size, first, hashes = _paths(buf, offsets, k, inner)
                 each, _, _ = grams(hashes, first, k)
-                heads = np.cumsum(size) - size
                 # a path's windows follow each other in ``each``; their weighted sum tells the path
                 weights = mixed(np.arange(k, dtype=np.uint64))[ranges(np.zeros(len(size), np.int64), size)] | np.uint64(1)
-                body = mixed(np.add.reduceat(each * weights, heads) + size.astype(np.uint64)) if len(size) else each
-                out = {"anchor": anchor.view(np.int64), "doc_id": ids[lo + row], "body": body.view(np.int64)}
-                if windows:
-                    out["each"] = pa.ListArray.from_arrays(pa.array(np.append(heads, len(each)), pa.int32()), pa.array(each.view(np.int64)))
-                else:
-                    out |= {"tkey": keys[lo + row], "at": (at - first[row]).astype(np.int32), "size": size.astype(np.int32)}
-                yield pa.RecordBatch.from_pydict({c: pa.array(v) if isinstance(v, np.ndarray) else v for c, v in out.items()})
+                body = mixed(np.add.reduceat(each * weights, np.cumsum(size) - size) + size.astype(np.uint64)) if len(size) else each
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (anchor.view(np.int64), ids[lo + row], body.view(np.int64), keys[lo + row], (at - first[row]).astype(np.int32), size.astype(np.int32))],
+                    ["anchor", "doc_id", "body", "tkey", "at", "size"],
+                )
+
+    return run
+
+
+def _opened(k: int):
+    """The windows of some paths of each text: anchor, hash, source coordinate."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column(3)
+            bounds = parts.offsets.to_numpy().astype(np.int64)
+            at, size, anchor = (parts.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            bounds = bounds - bounds[0]
+            for lo, buf, offsets in text_slices(batch.column(2)):
+                rows = len(offsets) - 1
+                start, end, first = word_bounds(buf, offsets)
+                each, place, counts = grams(word_hashes(buf, start, end), first, k)
+                own = slice(bounds[lo], bounds[lo + rows])
+                row = np.repeat(np.arange(rows), np.diff(bounds[lo : lo + rows + 1]))
+                pick = ranges((np.cumsum(counts) - counts)[row] + at[own], size[own])
+                row = np.repeat(row, size[own])
+                take = pa.array(lo + row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(anchor[own], size[own])), pa.array(each[pick].view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array((place[pick] - first[row]).astype(np.int32))],
+                    ["anchor", "w", "doc_id", "tkey", "at"],
+                )
 
     return run
 
@@ -127,27 +148,23 @@ def repeated_spans(docs: DataFrame, k: int = 13, inner: int = 6) -> DataFrame:
     keys = keyed(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
     shared = keys.select("doc_id", "text").mapInArrow(_anchors(k, inner), "anchor long, doc_id long")
     shared = cut(shared.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor"))
-    pieces = keys.mapInArrow(_pieces(k, inner, False), "anchor long, doc_id long, body long, tkey long, at int, size int")
+    pieces = keys.mapInArrow(_pieces(k, inner), "anchor long, doc_id long, body long, tkey long, at int, size int")
     pieces = cut(pieces.join(_bounded(shared, BROADCAST_ANCHORS), "anchor", "left_semi"))
 
     paths = pieces.groupBy("anchor", "body").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     forks = paths.groupBy("anchor").agg((F.min("body") < F.max("body")).alias("fork"))
-    paths = cut(paths.join(forks, "anchor").where("fork OR low < high"))
-
-    # the windows of the paths of a fork, from the first source of each path
-    opened = paths.where("fork").select("anchor", "body", F.col("low").alias("doc_id"))
-    each = keys.mapInArrow(_pieces(k, inner, True), "anchor long, doc_id long, body long, each array<long>")
-    each = each.join(_bounded(opened, BROADCAST_PATHS), ["anchor", "body", "doc_id"], "left_semi").dropDuplicates(["anchor", "body"])
-    each = cut(each.select("anchor", "body", F.col("doc_id").alias("low"), F.posexplode("each").alias("place", "w")))
-    least = each.groupBy("anchor", "w").agg(F.min("low").alias("least"), F.max("low").alias("most")).where("least < most").select("anchor", "w", "least")
-    hits = each.join(least, ["anchor", "w"]).where("least < low").groupBy("anchor", "body").agg(F.collect_set(F.struct("place", "least")).alias("hits"))
-
-    found = pieces.join(paths, ["anchor", "body"])
-    whole = found.where("low < doc_id").select("doc_id", "tkey", "at", "size")
-    partly = found.where("fork AND low = doc_id").select("doc_id", "tkey", "at", "anchor", "body").join(hits, ["anchor", "body"])
-    partly = partly.select("doc_id", "tkey", "at", F.explode("hits").alias("h"))
-    partly = partly.select("doc_id", "tkey", (F.col("at") + F.col("h.place")).alias("at"), F.lit(1).alias("size"))
-    return whole.unionByName(partly).groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
+    paths = paths.join(forks, "anchor").where("fork OR low < high").select("anchor", "body", "low", "fork")
+    found = pieces.join(paths, ["anchor", "body"]).where("low < doc_id OR fork")
+    found = cut(found.select("doc_id", "tkey", "at", "size", "anchor", (F.col("low") < F.col("doc_id")).alias("whole")))
+
+    # where sources branch, a path's first source is opened into its windows
+    parts = found.where("NOT whole").groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("at", "size", "anchor")).alias("parts"))
+    each = keys.join(parts, ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "parts")
+    each = cut(each.mapInArrow(_opened(k), "anchor long, w long, doc_id long, tkey long, at int"))
+    least = each.groupBy("anchor", "w").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor", "w", "least")
+    single = each.join(least, ["anchor", "w"]).where("least < doc_id").select("doc_id", "tkey", "at", F.lit(1).alias("size"))
+    spans = found.where("whole").select("doc_id", "tkey", "at", "size").unionByName(single)
+    return spans.groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
 
 
 def substring_dedup(docs: DataFrame, k: int = 13) -> DataFrame:
