@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .lines import line_dedup, quality_rules
 from .neardup import near_duplicates
 from .pieces import piece_digests
 from .substrings import substring_dedup
@@ -20,13 +22,57 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(read(spark, sf_dir, "documents"), model_path())
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(read(spark, sf_dir, "documents"), min_sites=10, min_words=3)
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), digest.alias("kept_sha256"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), percent=85).drop("tkey")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read(spark, sf_dir, "documents")).drop("tkey")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"), k=13)
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op5_minhash, op10_substring_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+SPACE = "[\\x20\\x09-\\x0D]+"
+WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), lambda x: x <> '')"
+NORMAL = f"trim(regexp_replace(lower(line), '{SPACE}', ' ', 'g'))"
+
+OP3_SQL = f"""
+WITH rows AS (SELECT doc_id, source, coalesce(text, '') AS t, md5(coalesce(text, '') || coalesce(source, '')) AS k FROM documents),
+parts AS (SELECT doc_id, source, k, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM rows),
+lines AS (SELECT *, {NORMAL} AS norm, len(list_filter(regexp_split_to_array(line, '{SPACE}'), lambda x: x <> '')) >= 3 AS counted FROM parts),
+spread AS (SELECT norm, min(struct_pack(d := doc_id, k := k)) AS first FROM lines WHERE counted GROUP BY norm HAVING count(DISTINCT source) >= 10),
+marked AS (SELECT l.*, counted AND first IS NOT NULL AND (doc_id <> first.d OR l.k <> first.k) AS gone FROM lines l LEFT JOIN spread USING (norm))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id, k"""
+
+OP8_SQL = f"""
+WITH rows AS (SELECT doc_id, source, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+grams AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM rows WHERE len(w) > 2),
+hits AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM grams),
+repeats AS (SELECT doc_id, count(DISTINCT j) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM hits WHERE n > 1) GROUP BY doc_id),
+parts AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM rows),
+lines AS (SELECT *, {NORMAL} AS norm, len(list_filter(regexp_split_to_array(line, '{SPACE}'), lambda x: x <> '')) AS n FROM parts),
+often AS (SELECT source, norm, min(doc_id) AS first FROM lines JOIN (SELECT source, count(*) AS total FROM rows GROUP BY source) USING (source)
+  WHERE n >= 3 GROUP BY source, norm, total HAVING count(DISTINCT doc_id) >= 10 AND count(DISTINCT doc_id) > 0.05 * total),
+lost AS (SELECT doc_id, sum(n) AS lost FROM lines JOIN often USING (source, norm) WHERE n >= 3 AND doc_id <> first GROUP BY doc_id),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE n > 0 GROUP BY doc_id),
+base AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '{SPACE}', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(lost, 0) AS lost
+  FROM rows LEFT JOIN repeats USING (doc_id) LEFT JOIN dups USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - lost >= 0.5 * n_words AS kept
+FROM base"""
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_line_dedup, op5_minhash, op8_quality_rules, op10_substring_dedup)}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_quality_rules": OP8_SQL}
