@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .fingerprints import fingerprint_edits
 from .lines import line_dedup, quality_rules
+from .mixing import mix
 from .neardup import near_duplicates
 from .pieces import piece_digests
 from .substrings import substring_dedup
 from .tables import read
+from .urls import judge_urls
 
 
 def model_path() -> str:
@@ -32,10 +35,24 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), percent=85).drop("tkey")
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(read(spark, sf_dir, "pages"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    number = [F.round(c, 6).alias(c[1:]) for c in ("_weight", "_chance")]
+    return out.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), *number, F.col("_kept").alias("kept"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents")).drop("tkey")
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"), k=13)
 
@@ -74,5 +91,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - lost >= 0.5 * n_words AS kept
 FROM base"""
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_line_dedup, op5_minhash, op8_quality_rules, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_line_dedup, op5_minhash, op6_url_filter, op7_mixing, op8_quality_rules, op9_fingerprints, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_quality_rules": OP8_SQL}
