@@ -164,7 +164,7 @@ def repeated_spans(docs: DataFrame, k: int = 13, inner: int = 6) -> DataFrame:
     least = each.groupBy("anchor", "w").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor", "w", "least")
     single = each.join(least, ["anchor", "w"]).where("least < doc_id").select("doc_id", "tkey", "at", F.lit(1).alias("size"))
     spans = found.where("whole").select("doc_id", "tkey", "at", "size").unionByName(single)
-    return spans.groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
+    return cut(spans.groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("at", "size")).alias("spans")))
 
 
 def substring_dedup(docs: DataFrame, k: int = 13) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: Words are maximal runs of characters outside this class.
 SPACES = r"[\x20\x09-\x0D]+"
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -31,10 +33,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, read back from a written table: lineage ends here and survives lost executors."""
+    """The same rows, read back from a written table: lineage ends here and survives lost executors.
+
+    Nothing reads the plan's shuffle files after the write, so Spark may drop them then.
+    """
     spark = df.sparkSession
     path = shared_dir(spark)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
