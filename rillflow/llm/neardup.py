@@ -11,11 +11,11 @@ the start, so only class representatives are compared:
 
 1. in each band bucket, members are compared with the least member (a star, linear
    in the bucket);
-2. buckets whose members are then still in different components get the pairs across
-   components, where two buckets at least are shared and the set sizes allow the link
-   (sharing exactly one of 44 at J = 0.85 has probability 3e-8).  So no link between
-   components is left out, and pairs within a component, the bulk of a large group of
-   near copies, are never made.
+2. in buckets whose members are then still in different components, pairs across
+   components are compared too, unless counts rule the link out (see ``_across``) or
+   the pair shares one bucket only (at J = 0.85 of 44 exactly one or none: 3e-8).  So
+   no link between components is left out, and pairs within a component, the bulk of
+   a large group of near copies, are never made.
 """
 
 from __future__ import annotations
@@ -99,30 +99,60 @@ def _set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0)[lo : lo + len(sets)], pa.array(sets, pa.binary())], ["node", "shingles"])
 
 
-def _confirmed(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                u, v = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                both = np.concatenate([u, v])
-                both.sort(kind="stable")  # two sorted runs: one merge
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(u) + len(v) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles that two full sets share."""
+    for batch in batches:
+        counts = []
+        for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            both = np.concatenate([np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y)])
+            both.sort(kind="stable")  # two sorted runs: one merge
+            counts.append(int((both[1:] == both[:-1]).sum()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], ["a", "b", "common"])
 
-    return run
 
+def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 1000):
+            part = batch.slice(lo, 1000)
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
+            take = pa.array(np.repeat(np.arange(len(sets)), list(map(len, sets))))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(take), pa.array(np.concatenate(sets))], ["node", "shingle"])
 
-def _links(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets are similar enough."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = keyed(docs).select(F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("t")).alias("node"), "text")
-    one = texts.join(nodes, "node", "left_semi").dropDuplicates(["node"])
-    kind = "struct<id:bigint,t:bigint>"
-    sets = cut(one.mapInArrow(_set_bytes, f"node {kind}, shingles binary"))
+
+NODE = "struct<id:bigint,t:bigint>"
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, common of pairs of nodes."""
     both = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-    return cut(both.select("a", "b", "sa", "sb").mapInArrow(_confirmed(percent), f"a {kind}, b {kind}"))
+    return cut(both.select("a", "b", "sa", "sb").mapInArrow(_common, f"a {NODE}, b {NODE}, common long"))
+
+
+def _across(shared: DataFrame, compared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of one bucket or more in different components that could still be linked.
+
+    What is known of a member x: its size n, the c shingles it shares with the head of
+    the bucket, and its u shingles that no other candidate has.  For any y, x and y
+    share at most min(c) + min(n - c - u) shingles, and x at most n - u with anything.
+    Members, and then pairs, that these bounds rule out are left; the rest is
+    compared.  In a group of near copies each copy's own edits are its unique
+    shingles, so nearly all pairs across are ruled out by counts alone.
+    """
+    once = sets.mapInArrow(_each_shingle, f"node {NODE}, shingle long").groupBy("shingle").agg(F.count("*").alias("k"), F.min("node").alias("node"))
+    unique = once.where("k = 1").groupBy("node").agg(F.count("*").alias("u"))
+    known = compared.select(F.col("a").alias("h"), F.col("b").alias("node"), F.col("common").alias("c"))
+    placed = shared.select("bucket", "node", "n", F.col("head.node").alias("h")).join(known, ["h", "node"], "left").join(unique, "node", "left").join(roots, "node", "left")
+    placed = placed.select("bucket", "node", "n", F.coalesce("c", "n").alias("c"), F.coalesce("u", F.lit(0)).alias("u"), F.coalesce("root", "node").alias("root"))
+    placed = cut(placed.where(f"100 * (n - u) >= {percent} * n").withColumn("e", F.greatest(F.expr("n - c - u"), F.lit(0))))
+    sides = placed.groupBy("bucket", "root").agg(F.count("*").alias("k"), F.min("n").alias("low"), F.max("e").alias("most"))
+    sides = sides.groupBy("bucket").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.min("low").alias("low"), F.max("most").alias("most"), F.count("*").alias("sides")).where("sides > 1")
+    bound = F.col("c") + F.least("e", "most")
+    odd = placed.join(sides, "bucket").where("root <> main").where(100 * bound >= percent * (F.col("n") + F.col("low") - bound))
+    odd = odd.select("bucket", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("e").alias("ex"), F.col("root").alias("rx"))
+    shared_most = F.least("cx", "c") + F.least("ex", "e")
+    pairs = odd.join(placed, "bucket").where((F.col("rx") != F.col("root")) & (100 * shared_most >= percent * (F.col("nx") + F.col("n") - shared_most)))
+    pairs = pairs.groupBy(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).agg(F.count("*").alias("k")).where("k > 1").select("a", "b")
+    return cut(pairs.join(compared, ["a", "b"], "left_anti"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
@@ -143,23 +173,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands:
     buckets = heads.select(node.alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     least = buckets.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size")).where("size > 1").select("bucket", "head")
     shared = cut(buckets.join(least, "bucket"))  # a head for each row; rows alone in their bucket end here
-    fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    star = shared.select(F.col("head.node").alias("a"), F.col("node").alias("b"), "n", F.col("head.n").alias("m")).where("a <> b").where(fits).select("a", "b").distinct()
-    star = cut(star)
-    links = _links(docs, star, percent)
-    found = components(links)
-
-    root = F.coalesce("root", "node")
-    placed = shared.select("bucket", "node", "n").join(found, "node", "left").select("bucket", "node", "n", root.alias("root"))
-    split = placed.groupBy("bucket").agg((F.min("root") < F.max("root")).alias("split")).where("split").select("bucket")
-    placed = cut(placed.join(split, "bucket", "left_semi"))
-    left = placed.select("bucket", F.col("node").alias("a"), "n", F.col("root").alias("ra"))
-    right = placed.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("rb"))
-    across = left.join(right, "bucket").where("a < b AND ra <> rb").where(fits).groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
-    across = cut(across.join(star, ["a", "b"], "left_anti"))
+    texts = keyed(docs).select(F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("t")).alias("node"), "text")
+    some = texts.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    sets = cut(some.mapInArrow(_set_bytes, f"node {NODE}, shingles binary"))
+    size = sets.select("node", (F.length("shingles") / 8).cast("long").alias("n"))
+
+    def links(pairs: DataFrame) -> DataFrame:
+        sizes = pairs.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+        return sizes.where(f"100 * common >= {percent} * (na + nb - common)").select("a", "b")
+
+    star = shared.select(F.col("head.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
+    compared = _compared(star, sets)
+    found = components(links(compared))
+    across = _across(shared, compared, found, sets, percent)
     if not across.isEmpty():
-        links = links.unionByName(_links(docs, across, percent))
-        found = components(links)
+        found = components(links(compared).unionByName(links(_compared(across, sets))))
     member = classes.join(found, "node", "left").select("set1", "set2", F.coalesce("root.id", "node.id").alias("least"))
     out = sketch.select("doc_id", "tkey", "n_shingles", "set1", "set2").join(member, ["set1", "set2"], "left")
     least_id = F.when(F.col("n_shingles") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id"))
