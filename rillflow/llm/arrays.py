@@ -17,6 +17,9 @@ import pyarrow as pa
 U64 = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: White space and ASCII marks.
+MARKS = _SPACE.copy()
+MARKS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _BASE = 0x9E3779B97F4A7C13
 _STEP = U64(0xD6E8FEB86659FD93)
 #: Bytes hashed at a time; a longer word is hashed by hashlib instead.
@@ -74,12 +77,14 @@ def text_slices(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, np
         lo = hi
 
 
-def word_bounds(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each word, and the index of each text's first word (one more at the end)."""
+def word_bounds(buf: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each word, and the index of each text's first word (one more at the end).
+
+    ``between`` marks the bytes that stand between words."""
     n = len(buf)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    space = _SPACE[buf]
+    space = between[buf]
     before = np.empty(n, bool)
     before[0], before[1:] = True, space[:-1]
     edges = offsets[1:-1]

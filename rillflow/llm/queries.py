@@ -12,6 +12,7 @@ from .neardup import near_duplicates
 from .pieces import piece_digests
 from .substrings import substring_dedup
 from .tables import read
+from .toxicity import fit_toxicity, score_toxicity
 from .urls import judge_urls
 
 
@@ -31,6 +32,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), digest.alias("kept_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), percent=85).drop("tkey")
 
@@ -91,5 +97,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - lost >= 0.5 * n_words AS kept
 FROM base"""
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_line_dedup, op5_minhash, op6_url_filter, op7_mixing, op8_quality_rules, op9_fingerprints, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_line_dedup, op4_toxicity, op5_minhash, op6_url_filter, op7_mixing, op8_quality_rules, op9_fingerprints, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_quality_rules": OP8_SQL}
