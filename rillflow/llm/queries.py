@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fingerprints import fingerprint_edits
+from .licenses import scan_licenses
 from .lines import line_dedup, quality_rules
 from .mixing import mix
 from .neardup import near_duplicates
@@ -26,6 +27,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(read(spark, sf_dir, "documents"), model_path())
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(read(spark, sf_dir, "documents"), min_sites=10, min_words=3)
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
@@ -97,5 +102,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - lost >= 0.5 * n_words AS kept
 FROM base"""
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_line_dedup, op4_toxicity, op5_minhash, op6_url_filter, op7_mixing, op8_quality_rules, op9_fingerprints, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_license_scan, op3_line_dedup, op4_toxicity, op5_minhash, op6_url_filter, op7_mixing, op8_quality_rules, op9_fingerprints, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_quality_rules": OP8_SQL}
