@@ -46,8 +46,8 @@ def timing(msgs: DataFrame) -> DataFrame:
         "n",
         r6(length / 1e6).alias("span_s"),
         r6(F.when(length > 0, (F.col("n") - 1) / (length / 1e6))).alias("hz"),
-        r6(F.col("mid") / 1e6).alias("median_dt_s"),
-        r6(F.col("p95") / 1e6).alias("p95_dt_s"),
+        half_up(F.col("mid") / 1e6, 8).alias("median_dt_s"),
+        half_up(F.col("p95") / 1e6, 8).alias("p95_dt_s"),
         r6(F.col("most") / 1e6).alias("max_dt_s"),
         r6((F.col("t0") - F.col("b0")) / 1e6).alias("start_offset_s"),
         r6((F.col("b1") - F.col("t1")) / 1e6).alias("end_offset_s"),

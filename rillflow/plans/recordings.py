@@ -287,7 +287,7 @@ TIMING = """b AS (SELECT bag_id, min(t) AS b0, max(t) AS b1 FROM m GROUP BY bag_
 o AS (SELECT bag_id, topic, count(*) AS n, min(t) AS t0, max(t) AS t1, median(dt) AS mid, quantile_cont(dt, 0.95) AS p95, max(dt) AS most FROM dd GROUP BY ALL)"""
 
 
-@query(f"WITH {M}, {TIMING} SELECT bag_id, topic, n, round((t1 - t0) / 1e6, 6) AS span_s, round(CASE WHEN t1 > t0 THEN (n - 1) / ((t1 - t0) / 1e6) END, 6) AS hz, round(mid / 1e6, 6) AS median_dt_s, round(p95 / 1e6, 6) AS p95_dt_s, round(most / 1e6, 6) AS max_dt_s, round((t0 - b0) / 1e6, 6) AS start_offset_s, round((b1 - t1) / 1e6, 6) AS end_offset_s, round(CASE WHEN b1 > b0 THEN (t1 - t0) / (b1 - b0) END, 6) AS coverage FROM o JOIN b USING (bag_id)")
+@query(f"WITH {M}, {TIMING} SELECT bag_id, topic, n, round((t1 - t0) / 1e6, 6) AS span_s, round(CASE WHEN t1 > t0 THEN (n - 1) / ((t1 - t0) / 1e6) END, 6) AS hz, round(mid / 1e6, 8) AS median_dt_s, round(p95 / 1e6, 8) AS p95_dt_s, round(most / 1e6, 6) AS max_dt_s, round((t0 - b0) / 1e6, 6) AS start_offset_s, round((b1 - t1) / 1e6, 6) AS end_offset_s, round(CASE WHEN b1 > b0 THEN (t1 - t0) / (b1 - b0) END, 6) AS coverage FROM o JOIN b USING (bag_id)")
 def topic_timing(spark, sf_dir):
     return qc.timing(messages(spark, sf_dir))
 
