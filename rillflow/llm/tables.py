@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 #: Words are maximal runs of characters outside this class.
 SPACES = r"[\x20\x09-\x0D]+"
 
-DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while a table is written.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,15 +37,18 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, read back from a written table: lineage ends here and survives lost executors.
 
     Nothing reads the plan's shuffle files after the write, so Spark may drop them then.
+    Batches for Python are kept small: long texts and sets would make them large.
     """
     spark = df.sparkSession
     path = shared_dir(spark)
-    before = spark.conf.get(DROP_SHUFFLES, None)
-    spark.conf.set(DROP_SHUFFLES, "true")
+    before = {k: spark.conf.get(k, None) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
