@@ -1 +1,228 @@
+"""Training logs: line parsing, metric series, outcomes, checkpoints."""
 
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import logs
+from ..operators.sequence import last_of_equal
+from ..sources.streams import literal
+from .registry import query, values
+
+LINES = [
+    ("a", 0, "INFO start"),
+    ("a", 1, "Training:   1%|#         | 125/10000 [02:02<2:36:10,  1.05step/s]"),
+    ("a", 2, "INFO step:250 smpl:2K loss:0.500 grdn:1.5 lr:1e-04"),
+    ("a", 3, "INFO step:250 smpl:2K loss:0.450 grdn:1.4 lr:1e-04"),
+    ("a", 4, "Training:  12%|##        | 1234/10000 [05:00<04:30,  1.05step/s]"),
+    ("a", 5, "INFO step:1K smpl:8K loss:0.300 grdn:1.2 lr:9e-05"),
+    ("a", 6, "INFO step:250 smpl:2K loss:0.410 grdn:n/a lr:9e-05"),
+    ("a", 7, "see https://wandb.ai/team/proj/runs/abc123 and https://wandb.ai/team/proj/runs/zzz"),
+    ("b", 0, "Job submitted: 77"),
+    ("b", 1, "  Job page: https://jobs.example.org/77"),
+    ("b", 2, "INFO step:0 loss:1.0"),
+    ("b", 3, "INFO step:2K loss:0.2 grdn:0.5 lr:1e-05"),
+    ("b", 4, "Model repo: https://hub.example.org/org/model"),
+    ("b", 5, "INFO step: loss:"),
+    ("b", 6, "Job submitted: 78"),
+]
+SQL_LINES = f"l AS {values(LINES, 'job, pos, line')}"
+
+
+def lines(spark):
+    return literal(spark, "job string, pos int, line string", LINES)
+
+
+NUM = "CAST(round_even(TRY_CAST(replace(nullif(regexp_extract(trim({t}), '^([\\d,]+(?:\\.\\d+)?)([KMBTQ])?$', 1), ''), ',', '') AS DOUBLE) * CASE regexp_extract(trim({t}), '^([\\d,]+(?:\\.\\d+)?)([KMBTQ])?$', 2) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 WHEN 'T' THEN 1e12 WHEN 'Q' THEN 1e15 ELSE 1.0 END, 0) AS BIGINT)"
+
+
+def tok(n: str) -> str:
+    return f"nullif(regexp_extract(line, '{n}:\\s*(\\S+)', 1), '')"
+
+
+PARSED = f"""p AS (SELECT job, pos, line, CASE WHEN line LIKE '%step:%' AND line LIKE '%loss:%' THEN {NUM.format(t=tok('step'))} END AS step,
+ CASE WHEN line LIKE '%step:%' AND line LIKE '%loss:%' THEN TRY_CAST({tok('loss')} AS DOUBLE) END AS loss, CASE WHEN line LIKE '%step:%' AND line LIKE '%loss:%' THEN TRY_CAST({tok('lr')} AS DOUBLE) END AS lr,
+ CASE WHEN line LIKE '%step:%' AND line LIKE '%loss:%' THEN TRY_CAST({tok('grdn')} AS DOUBLE) END AS grad_norm FROM l)"""
+
+
+def parsed(spark):
+    return lines(spark).select("job", "pos", "line", *[c.alias(k) for k, c in logs.metrics(F.col("line")).items()])
+
+
+@query(f"WITH {SQL_LINES}, {PARSED} SELECT job, pos, step, loss, lr, grad_norm FROM p WHERE line LIKE '%step:%' AND line LIKE '%loss:%'")
+def parse_metrics(spark, sf_dir):
+    return parsed(spark).where(logs.is_metric(F.col("line"))).drop("line")
+
+
+KEPT = f"{PARSED}, s AS (SELECT * FROM p WHERE step > 0), d AS (SELECT *, lead(step) OVER (PARTITION BY job ORDER BY pos) AS nx FROM s)"
+
+
+@query(f"WITH {SQL_LINES}, {KEPT} SELECT job, row_number() OVER (PARTITION BY job ORDER BY step, pos) AS place, step, loss, lr, grad_norm FROM d WHERE nx IS NULL OR nx <> step")
+def metrics_history(spark, sf_dir):
+    """Of neighbouring points with one step the last; then a stable sort by step."""
+    kept = last_of_equal(parsed(spark).where("step > 0"), ["job"], "pos", "step")
+    return kept.select("job", F.row_number().over(W.partitionBy("job").orderBy("step", "pos")).alias("place"), "step", "loss", "lr", "grad_norm")
+
+
+@query(f"WITH {SQL_LINES}, {KEPT}, f AS (SELECT *, CAST(coalesce(step < lag(step) OVER (PARTITION BY job ORDER BY pos), false) AS INT) AS cut FROM d WHERE nx IS NULL OR nx <> step), g AS (SELECT *, sum(cut) OVER (PARTITION BY job ORDER BY pos) AS run FROM f), m AS (SELECT *, max(run) OVER (PARTITION BY job) AS last_run FROM g) SELECT job, step, loss FROM m WHERE run = last_run")
+def live_series(spark, sf_dir):
+    """A live chart's series: cleared where the step falls, the last 2000 points."""
+    by = W.partitionBy("job").orderBy("pos")
+    df = last_of_equal(parsed(spark).where("step > 0"), ["job"], "pos", "step")
+    df = df.withColumn("cut", F.coalesce((F.col("step") < F.lag("step").over(by)).cast("int"), F.lit(0)))
+    df = df.withColumn("run", F.sum("cut").over(by.rowsBetween(W.unboundedPreceding, 0)))
+    df = df.withColumn("last", F.max("run").over(W.partitionBy("job"))).where("run = last")
+    return df.withColumn("i", F.row_number().over(W.partitionBy("job").orderBy(F.desc("pos")))).where("i <= 2000").select("job", "step", "loss")
+
+
+NUMBERS = [("750",), ("1K",), ("238K",), ("1.5M",), ("1,024",), ("2.5",), (" 3B ",), ("nope",), ("",), ("K",)]
+
+
+@query(f"SELECT token, {NUM.format(t='token')} AS value FROM {values(NUMBERS, 'token')}")
+def parse_big_number(spark, sf_dir):
+    return literal(spark, "token string", NUMBERS).withColumn("value", logs.big_number(F.col("token")))
+
+
+TIMES = [("01:30",), ("01:00:00",), ("?",), ("garbage",), ("a:b",), ("00:05",), ("1:2:3:4",)]
+
+
+@query(f"WITH t AS (SELECT token, string_split(token, ':') AS p FROM {values(TIMES, 'token')}) SELECT token, CASE len(p) WHEN 2 THEN TRY_CAST(p[1] AS BIGINT) * 60 + TRY_CAST(p[2] AS BIGINT) WHEN 3 THEN TRY_CAST(p[1] AS BIGINT) * 3600 + TRY_CAST(p[2] AS BIGINT) * 60 + TRY_CAST(p[3] AS BIGINT) END AS seconds FROM t")
+def parse_duration(spark, sf_dir):
+    return literal(spark, "token string", TIMES).withColumn("seconds", logs.duration(F.col("token")))
+
+
+@query(f"WITH {SQL_LINES}, u AS (SELECT job, pos, nullif(regexp_extract(line, 'https://wandb\\.ai/[^\\s/]+/[^\\s/]+/runs/[A-Za-z0-9]+'), '') AS url FROM l) SELECT job, arg_min(url, pos) AS url FROM u WHERE url IS NOT NULL GROUP BY job")
+def run_url(spark, sf_dir):
+    u = lines(spark).withColumn("url", logs.group(F.col("line"), logs.RUN_URL, 0)).where("url IS NOT NULL")
+    return u.groupBy("job").agg(F.min_by("url", "pos").alias("url"))
+
+
+MARKS = {"submitted": r"^Job submitted: (\S+)", "page": r"^\s*Job page: (\S+)", "repo": r"^\s*Model repo: https://[^/]+/(\S+)"}
+
+
+@query(f"WITH {SQL_LINES} SELECT job, " + ", ".join(f"arg_min(nullif(regexp_extract(line, '{p}', 1), ''), pos) FILTER (WHERE regexp_matches(line, '{p}')) AS {k}" for k, p in MARKS.items()) + " FROM l GROUP BY job")
+def job_markers(spark, sf_dir):
+    """The first value of each marker line."""
+    c = F.col("line")
+    return lines(spark).groupBy("job").agg(*[F.min_by(F.when(c.rlike(p), logs.group(c, p, 1)), F.when(c.rlike(p), F.col("pos"))).alias(k) for k, p in MARKS.items()])
+
+
+RAW = [(1, json.dumps({"ts": 1.5, "message": "ok"})), (2, ""), (3, "{broken"), (4, json.dumps({"ts": 2.0, "message": "two"})), (5, "   ")]
+
+
+@query(f"WITH r AS {values(RAW, 'pos, raw')} SELECT pos, CAST(json_extract_string(raw, '$.ts') AS DOUBLE) AS ts, json_extract_string(raw, '$.message') AS message FROM r WHERE json_valid(raw)")
+def log_lines(spark, sf_dir):
+    """JSON lines; blank and malformed ones are skipped."""
+    df = literal(spark, "pos int, raw string", RAW).withColumn("j", F.from_json("raw", "ts double, message string"))
+    return df.where("j.message IS NOT NULL").select("pos", "j.ts", "j.message")
+
+
+TAILS = [
+    ("exc", ["start", "work", "Traceback (most recent call last):", "  File x", "RuntimeError: arm lost", "", "", "see manual"]),
+    ("plain", ["a", "", "b", "c", "d", "e", "f", "g", ""]),
+    ("long", ["ValueError: " + "x" * 600]),
+    ("empty", ["", " "]),
+]
+ERR = r"^[A-Za-z_][\w.]*(Error|Exception|Interrupt|Timeout|Failure)\b"
+
+
+@query(f"""WITH t AS {values(TAILS, 'job, lines')}, n AS (SELECT job, lines, list_filter(range(1, len(lines) + 1), lambda i: regexp_matches(lines[i], '{ERR}')) AS hits FROM t),
+s AS (SELECT job, CASE WHEN len(hits) > 0 THEN array_to_string(lines[list_max(hits):], chr(10)) ELSE array_to_string(list_filter(lines, lambda x: trim(x) <> '')[-6:], chr(10)) END AS raw FROM n), c AS (SELECT job, regexp_replace(trim(raw, chr(10) || ' '), '\\n\\s*\\n+', chr(10), 'g') AS x FROM s)
+SELECT job, nullif(CASE WHEN length(x) > 500 THEN substr(x, 1, 500) || '…' ELSE x END, '') AS error FROM c""")
+def log_error_tail(spark, sf_dir):
+    """From the last exception line on, else the last six lines with text, at most 500 characters."""
+    t = literal(spark, "job string, lines array<string>", TAILS).withColumn("lines", F.slice("lines", F.greatest(F.size("lines") - 49, F.lit(1)), F.lit(50)))
+    hits = F.expr(rf"filter(sequence(1, size(lines)), i -> lines[i - 1] RLIKE r'{ERR}')")
+    full = F.filter("lines", lambda x: F.trim(x) != "")
+    last_six = F.slice(full, F.greatest(F.size(full) - 5, F.lit(1)), F.lit(6))
+    raw = F.when(F.size(hits) > 0, F.array_join(F.slice("lines", F.array_max(hits), F.size("lines")), "\n")).otherwise(F.array_join(last_six, "\n"))
+    x = F.regexp_replace(F.regexp_replace(raw, r"^\s+|\s+$", ""), r"\n\s*\n+", "\n")
+    return t.select("job", F.nullif(F.when(F.length(x) > 500, F.concat(F.substring(x, 1, 500), F.lit("…"))).otherwise(x), F.lit("")).alias("error"))
+
+
+OUTCOMES = [(1, 0, True, None), (2, 1, True, "Overload on motor 6"), (3, 1, False, "overload"), (4, 1, True, "not connected"), (5, None, False, "frame timeout"), (6, 2, True, "Permission denied on port"), (7, 1, True, "torque_enable failed")]
+HINTS = [("motor_overload", ["overload", "torque_enable"]), ("motor_missing", ["missing motor ids", "motor check failed"]), ("no_connection", ["could not connect", "failed to connect", "not connected"]), ("slow_camera", ["frame is too old", "no frame", "frame timeout"]), ("camera_mode", ["failed to set capture_", "actual_width", "actual_height"])]
+
+
+@query(f"""WITH o AS (SELECT *, lower(coalesce(error, '')) AS low FROM {values(OUTCOMES, 'id, rc, started, error')})
+SELECT id, CASE WHEN coalesce(rc, 0) = 0 THEN 'ok' WHEN started AND (low LIKE '%overload%' OR low LIKE '%torque_enable%') THEN 'ran_with_warning' ELSE 'failed' END AS outcome,
+CASE {' '.join('WHEN ' + ' OR '.join(f"contains(low, '{w}')" for w in ws) + f" THEN '{h}'" for h, ws in HINTS)} WHEN contains(low, 'permission') AND (contains(low, 'port') OR contains(low, 'com')) THEN 'port_in_use' END AS hint FROM o""")
+def outcome_class(spark, sf_dir):
+    low = F.lower(F.coalesce("error", F.lit("")))
+    has = lambda *ws: F.array_max(F.array(*[low.contains(w) for w in ws]))
+    hint = F.when(has(*HINTS[0][1]), HINTS[0][0])
+    for h, ws in HINTS[1:]:
+        hint = hint.when(has(*ws), h)
+    hint = hint.when(low.contains("permission") & has("port", "com"), "port_in_use")
+    outcome = F.when(F.coalesce("rc", F.lit(0)) == 0, "ok").when(F.col("started") & has("overload", "torque_enable"), "ran_with_warning").otherwise("failed")
+    return literal(spark, "id int, rc int, started boolean, error string", OUTCOMES).select("id", outcome.alias("outcome"), hint.alias("hint"))
+
+
+PATHS = [("r", "checkpoints/000100/config.json"), ("r", "checkpoints/000100/model.bin"), ("r", "checkpoints/002000/model.bin"), ("r", "checkpoints/last/model.bin"), ("s", "checkpoints/5/model.bin"), ("s", "checkpoints/005/model.bin"), ("s", "readme.md")]
+
+
+@query(f"WITH p AS (SELECT repo, nullif(regexp_extract(path, '^checkpoints/(\\d+)/', 1), '') AS ref FROM {values(PATHS, 'repo, path')}) SELECT repo, CAST(ref AS BIGINT) AS step, max(ref) AS ref FROM p WHERE ref IS NOT NULL GROUP BY repo, CAST(ref AS BIGINT)")
+def checkpoints(spark, sf_dir):
+    """Steps of a file listing with their names as written."""
+    p = literal(spark, "repo string, path string", PATHS).withColumn("ref", logs.group(F.col("path"), r"^checkpoints/(\d+)/", 1)).where("ref IS NOT NULL")
+    return p.groupBy("repo", F.col("ref").cast("long").alias("step")).agg(F.max("ref").alias("ref"))
+
+
+JOBS = [(1, 0, 500, False), (2, 1000, 500, False), (3, 0, 500, True), (4, 0, 0, False), (5, -1, 70, False)]
+
+
+@query(f"SELECT id, CASE WHEN total <= 0 AND config > 0 AND NOT imported THEN config ELSE total END AS total_steps FROM {values(JOBS, 'id, total, config, imported')}")
+def total_steps(spark, sf_dir):
+    return literal(spark, "id int, total int, config int, imported boolean", JOBS).selectExpr("id", "CASE WHEN total <= 0 AND config > 0 AND NOT imported THEN config ELSE total END AS total_steps")
+
+
+CONFIGS = [("act", json.dumps({"type": "act", "input_features": {"observation.images.top": {"type": "VISUAL", "shape": [3, 480, 640]}, "observation.state": {"type": "STATE", "shape": [6]}, "observation.images.flat": {"type": "VISUAL", "shape": [3, 480]}}})), ("pi0", json.dumps({"type": "pi0", "input_features": {}}))]
+
+
+@query(f"""WITH c AS {values(CONFIGS, 'name, doc')}, f AS (SELECT name, k, json_extract(doc, '$.input_features."' || k || '"') AS v FROM (SELECT name, doc, unnest(json_keys(doc, '$.input_features')) AS k FROM c)),
+g AS (SELECT name, string_agg(regexp_extract(k, '([^.]+)$', 1) || ':' || json_extract_string(v, '$.shape[1]') || 'x' || json_extract_string(v, '$.shape[2]'), ',' ORDER BY k) AS images FROM f WHERE json_extract_string(v, '$.type') = 'VISUAL' AND json_array_length(v, '$.shape') = 3 GROUP BY name)
+SELECT name, json_extract_string(doc, '$.type') AS policy_type, coalesce(images, '') AS images, json_extract_string(doc, '$.type') IN ('pi0', 'smolvla') AS requires_task FROM c LEFT JOIN g USING (name)""")
+def policy_summary(spark, sf_dir):
+    """Image inputs of a policy's configuration: rank-3 visual features by the last part of their name."""
+    kind = "type string, input_features map<string, struct<type: string, shape: array<int>>>"
+    df = literal(spark, "name string, doc string", CONFIGS).withColumn("j", F.from_json("doc", kind))
+    visual = F.map_filter("j.input_features", lambda k, v: (v["type"] == "VISUAL") & (F.size(v["shape"]) == 3))
+    names = F.transform(F.array_sort(F.map_entries(visual)), lambda e: F.concat(F.element_at(F.split(e["key"], r"\."), -1), F.lit(":"), e["value"]["shape"][1].cast("string"), F.lit("x"), e["value"]["shape"][2].cast("string")))
+    return df.select("name", F.col("j.type").alias("policy_type"), F.array_join(names, ",").alias("images"), F.col("j.type").isin("pi0", "smolvla").alias("requires_task"))
+
+
+def latest_state(rows: Iterator[tuple[str, int | None, int | None, int | None, float | None, int | None]], state: dict) -> dict:
+    """One job's state after lines in order: a progress bar sets the step, a log line only moves it forward."""
+    for bar_step, bar_total, eta, step, loss in rows:
+        if bar_step is not None:
+            state["step"] = bar_step
+            state["total"] = bar_total or state["total"]
+            state["eta"] = eta if eta is not None else state["eta"]
+        if step is not None and step >= state["step"]:
+            state["step"] = step
+        if loss is not None:
+            state["loss"] = loss
+    return state
+
+
+STATE = "job string, step long, total long, eta_s long, loss double"
+
+
+@query()
+def metrics_state(spark, sf_dir):
+    """Each job's running state; the fold is sequential, so one job's lines are one group."""
+    c = F.col("line")
+    df = lines(spark).select("job", "pos", *[v.alias(k) for k, v in logs.progress(c).items()], *[v.alias(k) for k, v in logs.metrics(c).items() if k in ("step", "loss")])
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values("pos")[["bar_step", "bar_total", "eta_s", "step", "loss"]].astype(object)
+        rows = rows.where(rows.notna(), None)
+        s = latest_state(rows.itertuples(index=False), {"step": 0, "total": None, "eta": None, "loss": None})
+        return pd.DataFrame([{"job": pdf["job"].iloc[0], "step": s["step"], "total": s["total"], "eta_s": s["eta"], "loss": s["loss"]}])
+
+    return df.groupBy("job").applyInPandas(fold, STATE)
