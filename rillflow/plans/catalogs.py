@@ -1 +1,270 @@
+"""Dataset catalogs, episode indexes, nodes, profiles and other literal-table queries."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import cdr
+from ..functions.logs import group
+from ..sources.streams import literal
+from .registry import query, values
+
+HUB = [("org/a", "2024-05-01T10:00:00", False), ("org/b", "2024-04-01T00:00:00", True), ("org/a", "2024-05-01T10:00:00", False)]
+LOCAL = [("org/a", "2024-06-01T00:00:00"), ("me/c", "2024-01-02T00:00:00")]
+NAS = [("me/c", "2024-02-02T00:00:00"), ("lab/d", "2023-01-01T00:00:00")]
+
+
+@query(f"""WITH h AS (SELECT DISTINCT * FROM {values(HUB, 'repo_id, ts, private')}), l AS {values(LOCAL, 'repo_id, ts')}, n AS {values(NAS, 'repo_id, ts')},
+m AS (SELECT repo_id, CASE WHEN h.ts IS NOT NULL AND l.ts IS NOT NULL THEN 'both' WHEN h.ts IS NOT NULL THEN 'hub' ELSE 'local' END AS source, greatest(coalesce(h.ts, l.ts), coalesce(l.ts, h.ts)) AS ts, coalesce(private, false) AS private FROM h FULL JOIN l USING (repo_id))
+SELECT repo_id, CASE WHEN n.ts IS NOT NULL THEN 'nas' ELSE source END AS source, coalesce(n.ts, m.ts) AS last_modified, coalesce(private, false) AS private FROM m FULL JOIN n USING (repo_id)""")
+def catalog_merge(spark, sf_dir):
+    """Hub, local and shared-storage datasets: in hub and local both; shared storage overrides."""
+    h = literal(spark, "repo_id string, h string, private boolean", HUB).distinct()
+    df = h.join(literal(spark, "repo_id string, l string", LOCAL), "repo_id", "full").join(literal(spark, "repo_id string, n string", NAS), "repo_id", "full")
+    source = F.when(F.col("n").isNotNull(), "nas").when(F.col("h").isNotNull() & F.col("l").isNotNull(), "both").when(F.col("h").isNotNull(), "hub").otherwise("local")
+    return df.select("repo_id", source.alias("source"), F.coalesce("n", F.greatest("h", "l")).alias("last_modified"), F.coalesce("private", F.lit(False)).alias("private"))
+
+
+NODES = [("n1", "idle", "24000, 22000, 0"), ("n2", "idle*", "24000, 12000, 0"), ("n3", "ALLOCATED", "24000, 23000, 0"), ("n4", None, "24000, 24000, 0"), ("n5", "idle", "24000, 23500, 2")]
+NODE_SQL = f"""t AS {values(NODES, 'node, state, gpu')}, s AS (SELECT node, coalesce(rtrim(lower(state), '*'), 'unknown') AS state, CAST(trim(string_split(gpu, ',')[1]) AS BIGINT) AS total_mb, CAST(trim(string_split(gpu, ',')[2]) AS BIGINT) AS free_mb, CAST(trim(string_split(gpu, ',')[3]) AS BIGINT) AS procs FROM t),
+e AS (SELECT *, state = 'idle' AND procs = 0 AS eligible, CASE WHEN state <> 'idle' THEN 'state ' || state WHEN procs > 0 THEN 'busy' ELSE '' END AS reason FROM s)"""
+
+
+def nodes(spark):
+    p = lambda i: F.trim(F.get(F.split("gpu", ","), i)).cast("long")
+    s = literal(spark, "node string, state string, gpu string", NODES)
+    s = s.select("node", F.coalesce(F.rtrim(F.lower("state"), F.lit("*")), F.lit("unknown")).alias("state"), p(0).alias("total_mb"), p(1).alias("free_mb"), p(2).alias("procs"))
+    reason = F.when(F.col("state") != "idle", F.concat(F.lit("state "), F.col("state"))).when(F.col("procs") > 0, "busy").otherwise("")
+    return s.withColumn("eligible", (F.col("state") == "idle") & (F.col("procs") == 0)).withColumn("reason", reason)
+
+
+@query(f"WITH {NODE_SQL} SELECT node, state, total_mb, free_mb, procs FROM e")
+def parse_node_states(spark, sf_dir):
+    return nodes(spark).select("node", "state", "total_mb", "free_mb", "procs")
+
+
+@query(f"WITH {NODE_SQL} SELECT node, eligible, reason FROM e")
+def node_eligible(spark, sf_dir):
+    return nodes(spark).select("node", "eligible", "reason")
+
+
+@query(f"WITH {NODE_SQL} SELECT node, free_mb FROM e WHERE eligible ORDER BY node = 'n2' DESC, free_mb DESC LIMIT 1")
+def select_node(spark, sf_dir):
+    """The preferred node if it is eligible, else the one with most free memory."""
+    return nodes(spark).where("eligible").orderBy((F.col("node") == "n2").desc(), F.desc("free_mb")).limit(1).select("node", "free_mb")
+
+
+PROCS = [("n1", "/usr/lib/xorg/Xorg"), ("n1", "gnome-shell"), ("n1", "python train.py"), ("n2", None), ("n2", "firefox")]
+DESKTOP = "xorg|gnome|firefox"
+
+
+@query(f"SELECT node, count(*) FILTER (WHERE NOT regexp_matches(lower(coalesce(name, '')), '{DESKTOP}')) AS compute FROM {values(PROCS, 'node, name')} GROUP BY node")
+def gpu_process_filter(spark, sf_dir):
+    """Processes that aren't a desktop's; lines without a name count."""
+    return literal(spark, "node string, name string", PROCS).groupBy("node").agg(F.count_if(~F.lower(F.coalesce("name", F.lit(""))).rlike(DESKTOP)).alias("compute"))
+
+
+TASKS = [("ep1", "/x/ep1"), ("ep2", "/x/ep2"), ("ep3", "/x/ep3")]
+TASK_MAP = [("ep1", "fold"), ("/x/ep2", "stack")]
+
+
+@query(f"WITH e AS {values(TASKS, 'name, path')}, m AS {values(TASK_MAP, 'k, task')} SELECT name, coalesce(a.task, b.task, 'default') AS task FROM e LEFT JOIN m a ON a.k = e.name LEFT JOIN m b ON b.k = e.path")
+def task_lookup(spark, sf_dir):
+    e, m = literal(spark, "name string, path string", TASKS), literal(spark, "k string, task string", TASK_MAP)
+    df = e.join(m.withColumnsRenamed({"k": "name", "task": "a"}), "name", "left").join(m.withColumnsRenamed({"k": "path", "task": "b"}), "path", "left")
+    return df.select("name", F.coalesce("a", "b", F.lit("default")).alias("task"))
+
+
+LAYERS = [("fps", None, "30", "20"), ("mode", "loop", "capture", "capture"), ("crf", None, None, "0"), ("preset", "8", None, None)]
+
+
+@query(f"SELECT name, coalesce(cli, recipe, preset) AS value, CASE WHEN cli IS NOT NULL THEN 'cli' WHEN recipe IS NOT NULL THEN 'recipe' ELSE 'default' END AS origin FROM {values(LAYERS, 'name, cli, recipe, preset')}")
+def config_layering(spark, sf_dir):
+    origin = F.when(F.col("cli").isNotNull(), "cli").when(F.col("recipe").isNotNull(), "recipe").otherwise("default")
+    return literal(spark, "name string, cli string, recipe string, preset string", LAYERS).select("name", F.coalesce("cli", "recipe", "preset").alias("value"), origin.alias("origin"))
+
+
+FILES = [("a/1.mcap", 100, 5), ("a/2.mcap", 300, 7), ("b/3.mcap", 200, 7), ("meta/info.json", 10, 1), ("top.txt", 1, 9)]
+
+
+@query(f"WITH f AS {values(FILES, 'path, bytes, mtime')} SELECT path, mtime FROM f ORDER BY mtime, path LIMIT 3")
+def sort_limit(spark, sf_dir):
+    return literal(spark, "path string, bytes int, mtime int", FILES).orderBy("mtime", "path").limit(3).select("path", "mtime")
+
+
+@query(f"WITH f AS {values(FILES, 'path, bytes, mtime')} SELECT CASE WHEN contains(path, '/') THEN split_part(path, '/', 1) ELSE '.' END AS branch, count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM f GROUP BY ALL")
+def layout_summary(spark, sf_dir):
+    branch = F.when(F.col("path").contains("/"), F.split_part("path", F.lit("/"), F.lit(1))).otherwise(".")
+    return literal(spark, "path string, bytes int, mtime int", FILES).groupBy(branch.alias("branch")).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+
+
+@query(f"WITH f AS {values(FILES, 'path, bytes, mtime')}, r AS (SELECT path, bytes, coalesce(sum(bytes) OVER (ORDER BY mtime, path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM f) SELECT path, bytes FROM r WHERE before < 250")
+def lru_evict(spark, sf_dir):
+    """The oldest entries until enough is free; a cache node's entries are few."""
+    before = F.coalesce(F.sum("bytes").over(W.orderBy("mtime", "path").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return literal(spark, "path string, bytes int, mtime int", FILES).withColumn("before", before).where("before < 250").select("path", "bytes")
+
+
+@query("SELECT o_orderkey AS job_id, o_orderdate AS started_at FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 10")
+def recent_jobs(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return o.orderBy(F.desc("o_orderdate"), "o_orderkey").limit(10).select(F.col("o_orderkey").alias("job_id"), F.col("o_orderdate").alias("started_at"))
+
+
+TIERS = [("cam", "required"), ("state", "required"), ("cmd", "required"), ("cmd", "fillable"), ("ee", "required"), ("ee", "optional")]
+SEEN = [("cam",), ("cmd",), ("extra",)]
+
+
+@query(f"WITH t AS {values(TIERS, 'topic, tier')}, s AS {values(SEEN, 'topic')}, e AS (SELECT topic FROM t WHERE tier = 'required' EXCEPT SELECT topic FROM t WHERE tier <> 'required') SELECT topic, 'essential' AS kind FROM e UNION ALL SELECT topic, 'wanted_and_seen' FROM (SELECT DISTINCT topic FROM t INTERSECT SELECT topic FROM s)")
+def topic_tiers(spark, sf_dir):
+    t, s = literal(spark, "topic string, tier string", TIERS), literal(spark, "topic string", SEEN)
+    essential = t.where("tier = 'required'").select("topic").subtract(t.where("tier <> 'required'").select("topic"))
+    return essential.withColumn("kind", F.lit("essential")).unionByName(t.select("topic").intersect(s).withColumn("kind", F.lit("wanted_and_seen")))
+
+
+CAMS = [("declared", "head"), ("declared", "left"), ("recorded", "head"), ("recorded", "right")]
+
+
+@query(f"WITH c AS {values(CAMS, 'side, camera')} SELECT camera, min(side) AS only_in FROM c GROUP BY camera HAVING count(DISTINCT side) = 1")
+def camera_mismatch(spark, sf_dir):
+    c = literal(spark, "side string, camera string", CAMS)
+    return c.groupBy("camera").agg(F.min("side").alias("only_in"), F.countDistinct("side").alias("n")).where("n = 1").drop("n")
+
+
+SHARDS = [("data/chunk-003/file-012.parquet",), ("data/chunk-0/file-1.parquet",), ("data/other.parquet",)]
+
+
+@query(f"SELECT path, TRY_CAST(nullif(regexp_extract(path, 'chunk-(\\d+)/file-(\\d+)', 1), '') AS BIGINT) AS chunk, TRY_CAST(nullif(regexp_extract(path, 'chunk-(\\d+)/file-(\\d+)', 2), '') AS BIGINT) AS file FROM {values(SHARDS, 'path')}")
+def chunk_file(spark, sf_dir):
+    p = r"chunk-(\d+)/file-(\d+)"
+    return literal(spark, "path string", SHARDS).select("path", group(F.col("path"), p, 1).cast("long").alias("chunk"), group(F.col("path"), p, 2).cast("long").alias("file"))
+
+
+AMOUNTS = [(1, 5, 512), (2, 75, 2048), (3, 3700, 5_000_000), (4, 90061, 3_221_225_472)]
+
+
+@query(f"SELECT id, CASE WHEN s < 60 THEN s || 's' WHEN s < 3600 THEN (s // 60) || 'm' || lpad(CAST(s % 60 AS VARCHAR), 2, '0') || 's' ELSE (s // 3600) || 'h' || lpad(CAST(s % 3600 // 60 AS VARCHAR), 2, '0') || 'm' END AS span, CASE WHEN b < 1024 THEN b || ' B' WHEN b < 1048576 THEN round(b / 1024, 1) || ' KiB' WHEN b < 1073741824 THEN round(b / 1048576, 1) || ' MiB' ELSE round(b / 1073741824, 1) || ' GiB' END AS size FROM {values(AMOUNTS, 'id, s, b')}")
+def format_units(spark, sf_dir):
+    s, b = F.col("s"), F.col("b")
+    two = lambda c: F.lpad(c.cast("long").cast("string"), 2, "0")
+    whole = lambda c: F.floor(c).cast("string")
+    span = F.when(s < 60, F.concat(s.cast("string"), F.lit("s"))).when(s < 3600, F.concat(whole(s / 60), F.lit("m"), two(s % 60), F.lit("s"))).otherwise(F.concat(whole(s / 3600), F.lit("h"), two(F.floor(s % 3600 / 60)), F.lit("m")))
+    size = F.when(b < 1024, F.concat(b.cast("string"), F.lit(" B")))
+    for limit, unit, name in ((2**20, 2**10, "KiB"), (2**30, 2**20, "MiB"), (2**62, 2**30, "GiB")):
+        size = size.when(b < limit, F.concat(F.round(b / unit, 1).cast("string"), F.lit(f" {name}")))
+    return literal(spark, "id int, s long, b long", AMOUNTS).select("id", span.alias("span"), size.alias("size"))
+
+
+STAGES = [("org/My Set",), ("a/b/c",), ("plain",)]
+
+
+@query(f"SELECT name, regexp_replace(string_split(name, '/')[-1], '[^A-Za-z0-9_.-]', '_', 'g') || '-' || substr(sha256(name), 1, 8) AS dir FROM {values(STAGES, 'name')}")
+def stage_name(spark, sf_dir):
+    base = F.regexp_replace(F.element_at(F.split("name", "/"), -1), "[^A-Za-z0-9_.-]", "_")
+    return literal(spark, "name string", STAGES).select("name", F.concat(base, F.lit("-"), F.substring(F.sha2("name", 256), 1, 8)).alias("dir"))
+
+
+TILES = [("left", 0.0, 0.0, 0.5, 0.5), ("right", 0.5, 0.0, 1.0, 0.5), ("odd", 0.3335, 0.25, 0.6665, 0.999), ("edge", 0.9999, 0.9999, 1.0, 1.0)]
+
+
+@query(f"SELECT name, CAST(least(greatest(round_even(x0 * 1280, 0), 0), 1279) AS INTEGER) AS left_px, CAST(least(greatest(round_even(y0 * 1440, 0), 0), 1439) AS INTEGER) AS top_px, CAST(least(greatest(round_even(x1 * 1280, 0), 1), 1280) AS INTEGER) AS right_px, CAST(least(greatest(round_even(y1 * 1440, 0), 1), 1440) AS INTEGER) AS bottom_px FROM (SELECT name, CAST(x0 AS DOUBLE) AS x0, CAST(y0 AS DOUBLE) AS y0, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1 FROM {values(TILES, 'name, x0, y0, x1, y1')})")
+def tile_bounds(spark, sf_dir):
+    """Fractions of a mosaic as pixels, rounded half even, inside the picture."""
+
+    def px(c, size, low, high):
+        return F.least(F.greatest(F.rint(F.col(c) * size), F.lit(float(low))), F.lit(float(high))).cast("int")
+
+    t = literal(spark, "name string, x0 double, y0 double, x1 double, y1 double", TILES)
+    return t.select("name", px("x0", 1280, 0, 1279).alias("left_px"), px("y0", 1440, 0, 1439).alias("top_px"), px("x1", 1280, 1, 1280).alias("right_px"), px("y1", 1440, 1, 1440).alias("bottom_px"))
+
+
+CACHE = [(1, 10, 3, 64.0, 4), (2, 5000, 3, 64.0, 4), (3, 100, 2, 0.001, 8), (4, 0, 3, 64.0, 4), (5, 50, 1, 8.0, 0)]
+
+
+@query(f"SELECT id, CASE WHEN eps <= 0 OR cams <= 0 THEN NULL ELSE least(eps * cams, greatest(CAST(floor(CAST(mem AS DOUBLE) * 1024 * 0.5 / (greatest(workers, 1) * 4)) AS BIGINT), 1)) END AS decoders FROM {values(CACHE, 'id, eps, cams, mem, workers')}")
+def cache_sizing(spark, sf_dir):
+    """Decoders wanted (episodes by cameras), held to half the memory at 4 MB each and worker."""
+    room = F.greatest(F.floor(F.col("mem") * 1024 * 0.5 / (F.greatest("workers", F.lit(1)) * 4)), F.lit(1))
+    want = (F.col("eps") * F.col("cams")).cast("long")
+    return literal(spark, "id int, eps int, cams int, mem double, workers int", CACHE).select("id", F.when((F.col("eps") > 0) & (F.col("cams") > 0), F.least(want, room)).alias("decoders"))
+
+
+ENC = [("a", "h264", "yuv420p", None, "23.0"), ("b", "av1", None, "2", "0.5"), ("c", None, None, None, None)]
+
+
+@query(f"SELECT name, array_to_string(list_filter([codec, pix, 'g=' || g, 'crf=' || CASE WHEN CAST(crf AS DOUBLE) = floor(CAST(crf AS DOUBLE)) THEN CAST(CAST(crf AS DOUBLE) AS BIGINT)::VARCHAR ELSE crf END], lambda x: x IS NOT NULL), ' ') AS encoder FROM (SELECT name, CAST(codec AS VARCHAR) AS codec, CAST(pix AS VARCHAR) AS pix, CAST(g AS VARCHAR) AS g, CAST(crf AS VARCHAR) AS crf FROM {values(ENC, 'name, codec, pix, g, crf')})")
+def encoder_string(spark, sf_dir):
+    crf = F.col("crf").cast("double")
+    shown = F.when(crf == F.floor(crf), crf.cast("long").cast("string")).otherwise(F.col("crf"))
+    parts = F.array("codec", "pix", F.concat(F.lit("g="), F.col("g")), F.concat(F.lit("crf="), shown))
+    return literal(spark, "name string, codec string, pix string, g string, crf string", ENC).select("name", F.array_join(F.filter(parts, lambda x: x.isNotNull()), " ").alias("encoder"))
+
+
+def headers(spark):
+    rows = [(i, cdr.header(sec, ns, little, "base")) for i, (sec, ns, little) in enumerate([(1700000000, 5, True), (1700000000, 999_999_999, False), (0, 5, True), (5, 1_000_000_000, True), (-3, 0, True)])]
+    return literal(spark, "id int, raw binary", [*rows, (5, b"\x00\x01\x00\x00"), (6, None)])
+
+
+@query(f"SELECT * FROM {values([(0, 1700000000000000005), (1, 1700000000999999999), (2, None), (3, None), (4, None), (5, None), (6, None)], 'id, stamp_ns')}")
+def cdr_header_stamp(spark, sf_dir):
+    """Header stamps of serialised messages in nanoseconds; null where they are no stamps."""
+    return headers(spark).select("id", cdr.header_stamp(F.col("raw")).alias("stamp_ns"))
+
+
+@query(f"SELECT * FROM {values([(0, 3, 0.5, 0.25), (1, None, None, None)], 'id, n, p0, v2')}")
+def joint_states(spark, sf_dir):
+    """Joint messages decoded in Arrow batches; a broken one is null."""
+    raw = literal(spark, "id int, raw binary", [(0, cdr.joint_state(["a", "b", "c"], [0.5, 1.0, -1.0], [0.0, 0.5, 0.25])), (1, b"\x00\x01\x00\x00\x01")])
+    df = raw.select("id", cdr.parse_joint_state()(F.col("raw")).alias("j"))
+    return df.select("id", F.when(F.col("j.name").isNotNull(), F.size("j.name")).alias("n"), F.get("j.position", F.lit(0)).alias("p0"), F.get("j.velocity", F.lit(2)).alias("v2"))
+
+
+@query()
+def pack_batches(spark, sf_dir):
+    """Upload batches: next fit by count and bytes within a group; one group's fold is sequential."""
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderstatus").alias("grp"), F.floor(F.col("o_custkey") / 100).alias("part"), "o_orderkey", "o_totalprice")
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("o_orderkey")
+        batch, files, size, out = 0, 0, 0.0, []
+        for x in pdf["o_totalprice"]:
+            if files and (files >= 50 or size + x > 2_000_000):
+                batch, files, size = batch + 1, 0, 0.0
+            files, size = files + 1, size + x
+            out.append(batch)
+        return pdf.assign(batch=out)[["grp", "part", "o_orderkey", "batch"]]
+
+    return df.groupBy("grp", "part").applyInPandas(pack, "grp string, part long, o_orderkey long, batch int")
+
+
+@query()
+def assign_videos(spark, sf_dir):
+    """Episodes laid onto video files in order; a new file where an episode no longer fits."""
+    df = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("dataset"), "event_id", F.abs("value").alias("length"))
+
+    def lay(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("event_id")
+        file, offset, rows = 0, 0.0, []
+        for key, n in zip(pdf["event_id"], pdf["length"], strict=True):
+            if offset and offset + n > 300.0 + 1 / 30:
+                file, offset = file + 1, 0.0
+            rows.append((pdf["dataset"].iloc[0], key, file, round(offset, 6), round(offset + n, 6)))
+            offset += n
+        return pd.DataFrame(rows, columns=["dataset", "event_id", "file", "start_s", "end_s"])
+
+    return df.groupBy("dataset").applyInPandas(lay, "dataset long, event_id long, file int, start_s double, end_s double")
+
+
+PROBE = [("a", 1, 0), ("a", 2, 0), ("b", 3, 1), ("b", 4, 0)]
+
+
+@query(f"WITH s AS {values(PROBE, 'dataset, pos, broken')}, f AS (SELECT dataset, min(pos) FILTER (WHERE broken = 1) AS first FROM s GROUP BY dataset) SELECT dataset, pos, first IS NULL OR pos < first AS usable FROM s JOIN f USING (dataset)")
+def usable_shards(spark, sf_dir):
+    """Shards up to the first one without a footer; later ones are unusable too."""
+    s = literal(spark, "dataset string, pos int, broken int", PROBE)
+    first = s.groupBy("dataset").agg(F.min(F.when(F.col("broken") == 1, F.col("pos"))).alias("first"))
+    return s.join(first, "dataset").select("dataset", "pos", (F.col("first").isNull() | (F.col("pos") < F.col("first"))).alias("usable"))
+
 

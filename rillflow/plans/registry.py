@@ -35,7 +35,7 @@ def values(rows: list[tuple], names: str) -> str:
             return "'" + v.replace("'", "''") + "'"
         if isinstance(v, (list, tuple)):
             return "[" + ", ".join(map(lit, v)) + "]"
-        return repr(v)
+        return f"{v!r}::DOUBLE" if isinstance(v, float) else repr(v)
 
     return f"(SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(lit, r)) + ')' for r in rows)}) AS _v({names}))"
 
