@@ -171,11 +171,12 @@ def unique_ratio(spark, sf_dir):
     return df.select("bag_id", "n", "images", qc.r6(F.col("u") / F.col("n")).alias("unique_ratio"))
 
 
-@query(f"{rows_sql('hold')} SELECT bag_id, count(*) AS n, round(avg(skew_us / 1000), 4) AS mean_ms, round(median(skew_us / 1000), 4) AS p50_ms, round(quantile_cont(skew_us / 1000, 0.95), 4) AS p95_ms, round(max(skew_us / 1000), 4) AS max_ms FROM r GROUP BY bag_id")
+@query(f"{rows_sql('hold')} SELECT bag_id, count(*) AS n, round(avg(skew_us) / 1000, 6) AS mean_ms, round(median(skew_us) / 1000, 6) AS p50_ms, round(quantile_cont(skew_us, 0.95) / 1000, 6) AS p95_ms, max(skew_us) / 1000 AS max_ms FROM r GROUP BY bag_id")
 def stats_ms(spark, sf_dir):
-    ms = F.col("skew_us") / 1000
-    r4 = lambda c: qc.half_up(c, 4)
-    return rows(spark, sf_dir, "hold").groupBy("bag_id").agg(F.count("*").alias("n"), r4(F.avg(ms)).alias("mean_ms"), r4(F.median(ms)).alias("p50_ms"), r4(F.percentile(ms, 0.95)).alias("p95_ms"), r4(F.max(ms)).alias("max_ms"))
+    u = F.col("skew_us")
+    return rows(spark, sf_dir, "hold").groupBy("bag_id").agg(
+        F.count("*").alias("n"), qc.r6(F.avg(u) / 1000).alias("mean_ms"), qc.r6(F.median(u) / 1000).alias("p50_ms"), qc.r6(F.percentile(u, 0.95) / 1000).alias("p95_ms"), (F.max(u) / 1000).alias("max_ms")
+    )
 
 
 @query(f"WITH {M}, hw AS (SELECT * FROM (WITH {win_sql('hold')} SELECT bag_id, cmd_start, cmd_end, start_us, end_us, 'hold' AS policy FROM w)), fw AS (SELECT * FROM (WITH {win_sql('fill')} SELECT bag_id, cmd_start, cmd_end, start_us, end_us, 'joint-state-fill' AS policy FROM w)) SELECT * FROM hw UNION ALL SELECT * FROM fw")

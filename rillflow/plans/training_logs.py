@@ -226,3 +226,13 @@ def metrics_state(spark, sf_dir):
         return pd.DataFrame([{"job": pdf["job"].iloc[0], "step": s["step"], "total": s["total"], "eta_s": s["eta"], "loss": s["loss"]}])
 
     return df.groupBy("job").applyInPandas(fold, STATE)
+
+
+RECORDS = [("j1", "running", 10, 1), ("j2", "running", 11, 0), ("j3", "done", None, 0), ("j4", None, None, 0), ("j5", "failed", 12, 0)]
+
+
+@query(f"SELECT job, CASE WHEN state = 'running' AND alive = 0 THEN 'interrupted' ELSE state END AS state FROM {values(RECORDS, 'job, state, pid, alive')} WHERE state IS NOT NULL")
+def job_states(spark, sf_dir):
+    """Job records as loaded: malformed ones are skipped, running ones of dead processes are interrupted."""
+    df = literal(spark, "job string, state string, pid int, alive int", RECORDS).where("state IS NOT NULL")
+    return df.select("job", F.when(F.expr("state = 'running' AND alive = 0"), "interrupted").otherwise(F.col("state")).alias("state"))
