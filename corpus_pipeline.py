@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm.lines import line_dedup, quality_rules
-from rillflow.llm.mixing import mix
+from rillflow.llm.lines import deduped_rows, quality_rules
+from rillflow.llm.mixing import mixed_rows
 from rillflow.llm.neardup import near_duplicates
 from rillflow.llm.pieces import piece_digests
 from rillflow.llm.queries import model_path
@@ -20,8 +20,9 @@ from rillflow.llm.tables import cut, read
 def _without(docs: DataFrame, gone: DataFrame, key: list[str]) -> DataFrame:
     """``docs`` without the rows whose id and hash of the columns ``key`` are in ``gone`` (doc_id, tkey)."""
     gone = cut(gone.select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_t")).distinct())
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(*[F.col(c).cast("string") for c in key]) == F.col("_t"))
-    return docs.join(gone, same, "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col("doc_id").cast("long").alias("_i"), F.xxhash64(*[F.col(c).cast("string") for c in key]).alias("_k"))
+    return rows.join(gone, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_t")), "left_anti").select("row.*")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +32,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cross-site boilerplate lines go from the texts; documents that consist of them only go with them."""
-    out = line_dedup(docs).where(~((F.col("_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")))
-    chars = F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long").alias("n_chars")
-    return out.select(*[chars if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    out = deduped_rows(docs).where(~((F.col("_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")))
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")).cast("long")}
+    return out.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,7 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled so that sources, languages and topics have their target weights."""
-    return mix(docs, keep=0.8).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return mixed_rows(docs, keep=0.8).where("_kept").select("row.*")
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,23 +64,28 @@ def line_dedup(docs: DataFrame, min_sites: int = 10, min_words: int = 3) -> Data
     or more that is on ``min_sites`` sites or more stays in the row with the least id
     that has it (null ids last; there, at every place) and goes everywhere else.  Rows
     that share id, text and source are one row repeated and keep the same lines.  Null
-    text stays null.  All columns of ``docs`` stay as they are.
+    text stays null.  All columns of ``docs`` stay as they are, but for ones named _lines or
+    _removed, which give way.
     """
+    out = deduped_rows(docs, min_sites, min_words)
+    columns = [F.col("text").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns if c not in ("_lines", "_removed")]
+    return out.select(*columns, "_lines", "_removed")
+
+
+def deduped_rows(docs: DataFrame, min_sites: int = 10, min_words: int = 3) -> DataFrame:
+    """``line_dedup`` with each row of ``docs`` as a struct ``row``, so that no names clash: row, text, _lines, _removed."""
     found = boilerplate(docs, min_sites, min_words)
     hits = _rows(docs).select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_t"), F.explode(F.array_distinct(_line_keys(F.col("text"), min_words))).alias("line"))
     hits = hits.join(found, "line").where(~(F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("tkey"))))
     hits = hits.groupBy("_id", "_t").agg(F.collect_set("line").alias("_gone"))
-    old = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(*old, F.col("doc_id").cast("long").alias("_i"), F.xxhash64("text", F.col("source").cast("string")).alias("_k"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_i"), F.xxhash64("text", F.col("source").cast("string")).alias("_k"))
     rows = rows.join(hits, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_t")), "left")
-    lines = _lines(F.col("text"))
+    lines, null = _lines(F.col("row.text")), F.col("row.text").isNull()
     kept = F.filter(lines, lambda x: ~(_counted(x, min_words) & F.array_contains("_gone", _line_key(x))))
-    rows = rows.select(*old, F.when(F.col("_gone").isNull(), lines).otherwise(kept).alias("_kept"), F.size(lines).alias("_lines"))
-    null = F.col("text").isNull()
-    text = F.when(~null, F.concat_ws("\n", "_kept")).alias("text")
+    rows = rows.select("row", F.when(F.col("_gone").isNull(), lines).otherwise(kept).alias("_kept"), F.size(lines).alias("_lines"))
     count = F.when(null, F.lit(0)).otherwise(F.col("_lines")).cast("long").alias("_lines")
     removed = F.when(null, F.lit(0)).otherwise(F.col("_lines") - F.size("_kept")).cast("long").alias("_removed")
-    return rows.select(*[text if c == "text" else F.col(f"`{c}`") for c in docs.columns], count, removed)
+    return rows.select("row", F.when(~null, F.concat_ws("\n", "_kept")).alias("text"), count, removed)
 
 
 def base_rules(text: Column) -> dict[str, Column]:

@@ -64,10 +64,18 @@ def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = 0
     and a document is kept with probability min(1, keep * weight), decided by a hash of
     its id, text and ``seed``, so the same rows are kept at any partitioning and rows
     that repeat are decided alike.  Null values are values of their own.  Documents
-    without words have weight 0 and are not kept.
+    without words have weight 0 and are not kept.  Columns of ``docs`` with the names of
+    the new ones give way.
     """
+    new = ["_topic", "_tokens", "_weight", "_chance", "_kept"]
+    out = mixed_rows(docs, powers, keep, seed, topic)
+    return out.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in new], *new)
+
+
+def mixed_rows(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = 0.5, seed: int = 17, topic: Column | None = None) -> DataFrame:
+    """``mix`` with each row of ``docs`` as a struct ``row``, so that no names clash."""
     powers = powers or {"source": 0.5, "lang": 0.7, "topic": 0.7}
-    old = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text = F.col("text")
     form = topic if topic is not None else topic_of(text)
     tokens = F.size(text_words(text)).cast("long")
@@ -79,10 +87,10 @@ def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = 0
     cells = cut(dims(docs).where("_tokens > 0").groupBy(*keys).agg(F.sum("_tokens").alias("tokens")))
     raked = rake(cells, {f"_{d}": tempered(cells, f"_{d}", p) for d, p in powers.items()})
     chances = raked.select(*keys, (F.col("w") / F.col("tokens")).alias("_weight"))
-    out = dims(docs, *old).join(chances, keys, "left").withColumn("_weight", F.coalesce("_weight", F.lit(0.0)))
+    out = dims(docs, row).join(chances, keys, "left").withColumn("_weight", F.coalesce("_weight", F.lit(0.0)))
     out = out.withColumn("_weight", F.when(F.col("_tokens") > 0, F.col("_weight")).otherwise(F.lit(0.0)))
     out = out.withColumn("_chance", F.least(F.lit(1.0), F.lit(keep) * F.col("_weight")))
-    return out.withColumn("_kept", draw(F.col("doc_id"), text, seed) < F.col("_chance")).drop("_source", "_lang")
+    return out.withColumn("_kept", draw(F.col("row.doc_id"), F.col("row.text"), seed) < F.col("_chance")).drop("_source", "_lang")
 
 
 def draw(doc_id: Column, text: Column, seed: int) -> Column:
