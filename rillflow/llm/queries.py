@@ -102,5 +102,15 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - lost >= 0.5 * n_words AS kept
 FROM base"""
 
+OP10_SQL = f"""
+WITH d AS (SELECT doc_id, md5(coalesce(text, '')) AS t, {WORDS} AS w FROM documents),
+g AS (SELECT doc_id, t, i, md5(array_to_string(w[i:i + 12], ' ')) AS h FROM (SELECT doc_id, t, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) > 12)),
+least AS (SELECT h, min(doc_id) AS first FROM g GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, t, unnest(range(i, i + 13)) AS i FROM g JOIN least USING (h) WHERE first < doc_id),
+cut AS (SELECT doc_id, t, count(*) AS n, list(i) AS places FROM gone GROUP BY doc_id, t)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+  sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(places, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id, t)"""
+
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_license_scan, op3_line_dedup, op4_toxicity, op5_minhash, op6_url_filter, op7_mixing, op8_quality_rules, op9_fingerprints, op10_substring_dedup)}
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_quality_rules": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_quality_rules": OP8_SQL, "op10_substring_dedup": OP10_SQL}
