@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .asof import asof, interpolated
+from .asof import asof_many, between
 
 HOUR = 3_600_000_000
 COMMANDS = ("purchase", "signup")
@@ -45,15 +45,19 @@ def held_commands(ticks: DataFrame, msgs: DataFrame, topic: str, tolerance: int,
     Policy ``fail`` takes only the next command; then cmd is null where it is too far.
     """
     source = msgs.where(F.col("topic") == topic).select("bag_id", "t", "seq", "value")
-    df = asof(ticks, source, ["bag_id"], ["value"], "_n", "forward")
-    df = asof(df, source, ["bag_id"], ["value"], "_p", "backward")
+    df = asof_many(ticks, source, ["bag_id"], ["value"], {"_n": (None, "forward"), "_p": (None, "backward")})
     first = source.groupBy("bag_id").agg(F.min(F.struct("t", "seq", "value")).alias("_f"))
-    df = df.join(first, "bag_id", "left")
-    real = F.coalesce(F.col("_n.t") - F.col("t") <= tolerance, F.lit(False))
-    held = F.when(real, F.col("_n"))
+    df = choose(df.join(first, "bag_id", "left"), tolerance, policy)
+    return df.select(*ticks.columns, "cmd", (F.col("_n.t") - F.col("t")).alias("lead_us"), "real")
+
+
+def choose(df: DataFrame, tolerance: int, policy: str, i: str = "") -> DataFrame:
+    """cmd and real from the next (_n), previous (_p) and first (_f) command."""
+    real = F.coalesce(F.col(f"_n{i}.t") - F.col("t") <= tolerance, F.lit(False))
+    held = F.when(real, F.col(f"_n{i}"))
     if policy != "fail":
-        held = F.coalesce(held, "_p", "_f")
-    return df.select(*ticks.columns, held.alias("cmd"), (F.col("_n.t") - F.col("t")).alias("lead_us"), real.alias("real"))
+        held = F.coalesce(held, f"_p{i}", f"_f{i}")
+    return df.withColumn(f"real{i}", real).withColumn(f"cmd{i}", held)
 
 
 def aligned(msgs: DataFrame, policy: str = "joint-state-fill", state_tol: int = 96 * HOUR, action_tol: int = 24 * HOUR, pair_tol: int = 12 * HOUR, effector_tol: int = 48 * HOUR, windows: DataFrame | None = None) -> DataFrame:
@@ -64,12 +68,15 @@ def aligned(msgs: DataFrame, policy: str = "joint-state-fill", state_tol: int =
     """
     windows = windows if windows is not None else window_bounds(msgs, policy)
     df = anchor_ticks(msgs, windows)
-    state = msgs.where("topic = 'click'").select("bag_id", "t", "seq", "value")
-    df = interpolated(df, state, ["bag_id"], "value", state_tol, "qpos")
-    for i, topic in enumerate(COMMANDS):
-        df = held_commands(df, msgs, topic, action_tol, policy).withColumnsRenamed({"cmd": f"cmd{i}", "real": f"real{i}"}).drop("lead_us")
-    effector = msgs.where("topic = 'error'").select("bag_id", "t", "seq", "value")
-    df = asof(df, effector, ["bag_id"], ["value"], "ee", "backward")
+    topic = F.col("topic")
+    picks = {"_p": (topic == "click", "backward"), "_n": (topic == "click", "forward"), "ee": (topic == "error", "backward")}
+    for i, command in enumerate(COMMANDS):
+        picks |= {f"_p{i}": (topic == command, "backward"), f"_n{i}": (topic == command, "forward")}
+    df = between(asof_many(df, msgs.where("topic <> 'view'"), ["bag_id"], ["value"], picks), "value", state_tol, "qpos")
+    first = [F.min(F.when(topic == c, F.struct("t", "seq", "value"))).alias(f"_f{i}") for i, c in enumerate(COMMANDS)]
+    df = df.join(msgs.groupBy("bag_id").agg(*first), "bag_id", "left")
+    for i in range(len(COMMANDS)):
+        df = choose(df, action_tol, policy, str(i))
     fill = policy == "joint-state-fill"
     actions = [F.when(F.col(f"real{i}"), F.col(f"cmd{i}.value")).otherwise(F.col("qpos") if fill else F.col(f"cmd{i}.value")) for i in range(2)]
     skew = F.greatest("cmd0.t", "cmd1.t") - F.least("cmd0.t", "cmd1.t")

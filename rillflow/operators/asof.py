@@ -15,40 +15,61 @@ from pyspark.sql import functions as F
 DAY_US = 86_400_000_000
 
 
-def asof(left: DataFrame, right: DataFrame, by: list[str], payload: list[str], prefix: str = "src", direction: str = "backward", strict: bool = False, bucket: int = 7 * DAY_US) -> DataFrame:
-    """``left`` with a struct ``prefix`` (t, seq, payload) of the source before or after its ``t``; null where there is none.
+def asof_many(left: DataFrame, right: DataFrame, by: list[str], payload: list[str], picks: dict[str, tuple[Column | None, str]], bucket: int = 7 * DAY_US) -> DataFrame:
+    """``left`` with a struct (t, seq, payload) for each of ``picks``; null where there is none.
 
-    ``right`` has ``by``, t, seq and the payload.  Backward takes the greatest source t
-    at or before the tick, the last seq of equal ones; forward the least at or after,
-    the first seq.  ``strict`` leaves out sources at the tick itself.  Rows without a
-    key or t match nothing.
+    ``picks`` maps a name to which rows of ``right`` count (null: all) and a direction:
+    ``backward`` takes the greatest t at or before the tick, the last seq of equal ones,
+    ``before`` the greatest strictly before it, ``forward`` the least at or after it, the
+    first seq of equal ones.  All picks share one exchange; a direction is one sort.
+    Rows without a key or t match nothing.
     """
-    back = direction == "backward"
+    names = list(picks)
+    ahead = {n: picks[n][1] == "forward" for n in names}
     value = F.struct("t", "seq", *payload)
     kind = right.select(value.alias("v")).schema["v"].dataType
     row = F.struct(*[F.col(f"`{c}`") for c in left.columns])
     row_kind = left.select(row.alias("r")).schema["r"].dataType
     place = F.floor(F.col("t") / bucket).cast("long")
-    source = right.where(F.col("t").isNotNull()).select(*by, "t", "seq", F.lit(1 if strict else 0).alias("_tag"), value.alias("_v"), F.lit(None).cast(row_kind).alias("_row"), place.alias("_b"))
-    ticks = left.select(*by, F.col("t"), F.lit(None).cast("long").alias("seq"), F.lit(0 if strict else 1).alias("_tag"), F.lit(None).cast(kind).alias("_v"), row.alias("_row"), place.alias("_b"))
-    # one row for each bucket with ticks: what the nearest other buckets leave
-    edge = source.groupBy(*by, "_b").agg((F.max("_v") if back else F.min("_v")).alias("_v"))
-    edge = edge.unionByName(ticks.select(*by, "_b").distinct().withColumn("_v", F.lit(None).cast(kind))).groupBy(*by, "_b").agg(F.max("_v").alias("_v"))
-    order = F.col("_b").asc() if back else F.col("_b").desc()
-    carried = edge.withColumn("_v", F.last("_v", True).over(W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1))).where("_v IS NOT NULL")
-    start = F.col("_b") * bucket if back else (F.col("_b") + 1) * bucket - 1
-    carried = carried.select(*by, start.alias("t"), F.lit(None).cast("long").alias("seq"), F.lit(-1).alias("_tag"), "_v", F.lit(None).cast(row_kind).alias("_row"), "_b")
-    both = source.unionByName(ticks).unionByName(carried)
-    sort = [F.col("t").asc(), F.col("_tag").asc(), F.col("seq").asc()] if back else [F.col("t").desc(), F.col("_tag").asc(), F.col("seq").desc()]
-    window = W.partitionBy(*by, "_b").orderBy(*sort).rowsBetween(W.unboundedPreceding, 0)
-    out = both.withColumn("_v", F.last("_v", True).over(window)).where("_row IS NOT NULL")
-    return out.select("_row.*", F.col("_v").alias(prefix))
+    none, no_row = F.lit(None).cast(kind), F.lit(None).cast(row_kind)
+    right = right.where(F.col("t").isNotNull())
+    source = right.select(*by, "t", F.col("seq").cast("long").alias("seq"), F.lit(0).alias("_tag"), no_row.alias("_row"), place.alias("_b"), *[(value if picks[n][0] is None else F.when(picks[n][0], value)).alias(f"_{n}") for n in names])
+    ticks = left.select(*by, F.col("t"), F.lit(None).cast("long").alias("seq"), F.lit(1).alias("_tag"), row.alias("_row"), place.alias("_b"), *[none.alias(f"_{n}") for n in names])
+    # a row for each bucket: what the nearest buckets before and after it leave
+    edge = source.groupBy(*by, "_b").agg(*[(F.min if ahead[n] else F.max)(f"_{n}").alias(f"_{n}") for n in names])
+    edge = edge.unionByName(ticks.select(*by, "_b", *[f"_{n}" for n in names]).dropDuplicates([*by, "_b"])).groupBy(*by, "_b").agg(*[F.max(f"_{n}").alias(f"_{n}") for n in names])
+    over = {n: W.partitionBy(*by).orderBy(F.desc("_b") if ahead[n] else F.asc("_b")).rowsBetween(W.unboundedPreceding, -1) for n in names}
+    edge = edge.select(*by, "_b", *[F.last(f"_{n}", True).over(over[n]).alias(f"_{n}") for n in names])
+
+    def carried(forward: bool) -> DataFrame:
+        own = [n for n in names if ahead[n] == forward]
+        t = (F.col("_b") + 1) * bucket - 1 if forward else F.col("_b") * bucket
+        return edge.select(*by, t.alias("t"), F.lit(None).cast("long").alias("seq"), F.lit(-1).alias("_tag"), no_row.alias("_row"), "_b", *[(F.col(f"_{n}") if n in own else none).alias(f"_{n}") for n in names])
+
+    both = source.unionByName(ticks)
+    for forward in sorted(set(ahead.values())):
+        both = both.unionByName(carried(forward))
+    keys = W.partitionBy(*by, "_b")
+    ticks_first = F.when(F.col("_tag") == 0, 2).otherwise(F.col("_tag"))
+    order = {
+        "backward": keys.orderBy("t", "_tag", "seq"),
+        "before": keys.orderBy("t", ticks_first, "seq"),
+        "forward": keys.orderBy(F.desc("t"), F.asc("_tag"), F.desc("seq")),
+    }
+    found = both
+    for n in names:
+        found = found.withColumn(f"_{n}", F.last(f"_{n}", True).over(order[picks[n][1]].rowsBetween(W.unboundedPreceding, 0)))
+    return found.where("_row IS NOT NULL").select("_row.*", *[F.col(f"_{n}").alias(n) for n in names])
+
+
+def asof(left: DataFrame, right: DataFrame, by: list[str], payload: list[str], prefix: str = "src", direction: str = "backward", strict: bool = False, bucket: int = 7 * DAY_US) -> DataFrame:
+    """``asof_many`` with one pick."""
+    return asof_many(left, right, by, payload, {prefix: (None, "before" if strict else direction)}, bucket)
 
 
 def nearest(left: DataFrame, right: DataFrame, by: list[str], payload: list[str], prefix: str = "src") -> DataFrame:
     """The nearer of the sources strictly before and at or after each tick; the earlier one if both are as near."""
-    out = asof(left, right, by, payload, "_before", "backward", strict=True)
-    out = asof(out, right, by, payload, "_after", "forward")
+    out = asof_many(left, right, by, payload, {"_before": (None, "before"), "_after": (None, "forward")})
     gap_before, gap_after = F.col("t") - F.col("_before.t"), F.col("_after.t") - F.col("t")
     after = F.col("_before").isNull() | (gap_after < gap_before)
     return out.withColumn(prefix, F.when(after & F.col("_after").isNotNull(), F.col("_after")).otherwise(F.col("_before"))).drop("_before", "_after")
@@ -56,11 +77,15 @@ def nearest(left: DataFrame, right: DataFrame, by: list[str], payload: list[str]
 
 def interpolated(left: DataFrame, right: DataFrame, by: list[str], field: str, tolerance: int, out: str = "v") -> DataFrame:
     """``out``: the field's linear value at each tick between its neighbours, null unless both are within ``tolerance``; an exact hit is itself."""
-    df = asof(left, right, by, [field], "_p", "backward")
-    df = asof(df, right, by, [field], "_n", "forward")
+    df = asof_many(left, right, by, [field], {"_p": (None, "backward"), "_n": (None, "forward")})
+    return between(df, field, tolerance, out).drop("_p", "_n")
+
+
+def between(df: DataFrame, field: str, tolerance: int, out: str) -> DataFrame:
+    """The linear value at ``t`` between the picks _p and _n."""
     span = F.col("_n.t") - F.col("_p.t")
     alpha = F.when(span > 0, (F.col("t") - F.col("_p.t")) / span).otherwise(F.lit(0.0))
     line = F.col(f"_p.{field}") + alpha * (F.col(f"_n.{field}") - F.col(f"_p.{field}"))
     near = (F.col("t") - F.col("_p.t") <= tolerance) & (F.col("_n.t") - F.col("t") <= tolerance)
     value: Column = F.when(F.col("_p.t") == F.col("t"), F.col(f"_p.{field}")).when(near, line)
-    return df.withColumn(out, value).drop("_p", "_n")
+    return df.withColumn(out, value)
