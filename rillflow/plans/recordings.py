@@ -379,6 +379,12 @@ def bag_report(spark, sf_dir):
     return messages(spark, sf_dir).groupBy("bag_id").agg(F.count("*").alias("messages"), F.count_if(F.col("topic") != "signup").alias("claimed"), F.countDistinct("topic").alias("topics"), F.sum("k").alias("payload"), F.round(F.sum("k") / 1073741824, 12).alias("gib"))
 
 
+def claimed(m):
+    """bag_id, topic, role: what the profile asks of every recording."""
+    rows = F.array(*[F.struct(F.lit(t).alias("topic"), F.lit(r).alias("role")) for t, r in PROFILE])
+    return m.select("bag_id").distinct().select("bag_id", F.inline(rows))
+
+
 PROFILE = [("view", "camera"), ("click", "arm_state"), ("purchase", "arm_command"), ("signup", "arm_command"), ("depth", "depth")]
 
 
@@ -388,7 +394,7 @@ SELECT bag_id, topic, CASE WHEN seen.n IS NULL THEN 'claimed_absent' WHEN role I
 FROM claims FULL JOIN seen USING (bag_id, topic)""")
 def topic_inventory(spark, sf_dir):
     m = messages(spark, sf_dir)
-    claims = m.select("bag_id").distinct().crossJoin(F.broadcast(literal(spark, "topic string, role string", PROFILE)))  # a profile is a few rows
+    claims = claimed(m)
     seen = m.groupBy("bag_id", "topic").agg(F.count("*").alias("n"), F.min("t").alias("a"), F.max("t").alias("b"))
     df = claims.join(seen, ["bag_id", "topic"], "full")
     status = F.when(F.col("n").isNull(), "claimed_absent").when(F.col("role").isNull(), "unclaimed").otherwise("claimed")
@@ -400,7 +406,7 @@ def topic_inventory(spark, sf_dir):
 SELECT bag_id, p.topic, format('{{}} topic {{}} is not advertised by the recording', p.role, p.topic) AS problem FROM bags CROSS JOIN p WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.bag_id = bags.bag_id AND seen.topic = p.topic)""")
 def inventory_problems(spark, sf_dir):
     m = messages(spark, sf_dir)
-    claims = m.select("bag_id").distinct().crossJoin(F.broadcast(literal(spark, "topic string, role string", PROFILE)))
+    claims = claimed(m)
     gone = claims.join(m.select("bag_id", "topic").distinct(), ["bag_id", "topic"], "left_anti")
     return gone.select("bag_id", "topic", F.format_string("%s topic %s is not advertised by the recording", "role", "topic").alias("problem"))
 
@@ -409,7 +415,7 @@ def inventory_problems(spark, sf_dir):
 def missing_topics(spark, sf_dir):
     """Essential topics that are missing are fatal; fillable ones are recorded as absent."""
     m = messages(spark, sf_dir)
-    claims = m.select("bag_id").distinct().crossJoin(F.broadcast(literal(spark, "topic string, role string", PROFILE)))
+    claims = claimed(m)
     gone = claims.join(m.select("bag_id", "topic").distinct(), ["bag_id", "topic"], "left_anti")
     return gone.select("bag_id", "topic", F.when(F.col("role").isin("camera", "arm_state"), "fatal").otherwise("absent").alias("outcome"))
 
