@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .arrays import grams, mixed, ranges, text_slices, word_bounds, word_hashes
 from .tables import cut, keyed
 
-#: Repeated anchors up to this many are broadcast (under 200 bytes each in the join); more are joined by a shuffle.
-BROADCAST_ANCHORS = 2_000_000
+#: Repeated anchors up to this many are broadcast (about 85 bytes each in the join); more are joined by a shuffle.
+BROADCAST_ANCHORS = 4_000_000
 
 
 def _paths(buf: np.ndarray, offsets: np.ndarray, k: int, inner: int):
