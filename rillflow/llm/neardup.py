@@ -146,12 +146,17 @@ def _across(shared: DataFrame, compared: DataFrame, roots: DataFrame, sets: Data
     placed = cut(placed.where(f"100 * (n - u) >= {percent} * n").withColumn("e", F.greatest(F.expr("n - c - u"), F.lit(0))))
     sides = placed.groupBy("bucket", "root").agg(F.count("*").alias("k"), F.min("n").alias("low"), F.max("e").alias("most"))
     sides = sides.groupBy("bucket").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.min("low").alias("low"), F.max("most").alias("most"), F.count("*").alias("sides")).where("sides > 1")
+    split = placed.join(sides, "bucket")
+    # a pair is made in the least bucket that it shares, and only if it shares another one
+    split = cut(split.join(split.groupBy("node").agg(F.collect_set("bucket").alias("mine")), "node"))
     bound = F.col("c") + F.least("e", "most")
-    odd = placed.join(sides, "bucket").where("root <> main").where(100 * bound >= percent * (F.col("n") + F.col("low") - bound))
-    odd = odd.select("bucket", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("e").alias("ex"), F.col("root").alias("rx"))
-    shared_most = F.least("cx", "c") + F.least("ex", "e")
-    pairs = odd.join(placed, "bucket").where((F.col("rx") != F.col("root")) & (100 * shared_most >= percent * (F.col("nx") + F.col("n") - shared_most)))
-    pairs = pairs.groupBy(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).agg(F.count("*").alias("k")).where("k > 1").select("a", "b")
+    odd = split.where("root <> main").where(100 * bound >= percent * (F.col("n") + F.col("low") - bound))
+    odd = odd.select("bucket", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("e").alias("ex"), F.col("root").alias("rx"), F.col("mine").alias("mx"))
+    most = F.least("cx", "c") + F.least("ex", "e")
+    fits = (F.col("rx") != F.col("root")) & (100 * most >= percent * (F.col("nx") + F.col("n") - most))
+    here = F.array_intersect("mx", "mine")
+    pairs = odd.join(split, "bucket").where(fits & (F.size(here) > 1) & (F.array_min(here) == F.col("bucket")))
+    pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     return cut(pairs.join(compared, ["a", "b"], "left_anti"))
 
 
