@@ -17,6 +17,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -92,8 +93,9 @@ class Scanner:
     """Templates with their key words."""
 
     def __init__(self, templates=TEMPLATES, least: float = 0.8):
-        self.least = least
         self.templates = [(name, words_of(text)) for name, text in templates]
+        #: words of each template that must be aligned; less a little, as 0.8 * 5 may be over 4 in floats
+        self.need = [ceil(least * len(words) - 1e-9) for _, words in self.templates]
         spread = Counter(w for _, words in self.templates for w in set(words))
         self.keys: dict[str, list[int]] = {}
         for t, (_, words) in enumerate(self.templates):
@@ -102,7 +104,7 @@ class Scanner:
             for w in sorted(count, key=lambda w: (spread[w], -len(w), w)):
                 self.keys.setdefault(w, []).append(t)
                 covered += count[w]
-                if covered > (1 - least) * len(words):
+                if covered > len(words) - self.need[t]:
                     break
 
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
@@ -121,7 +123,7 @@ class Scanner:
                     continue
                 lo = max(done, p - reach)
                 pairs = align(template, words[lo : p + reach + 1])
-                if len(pairs) >= self.least * len(template):
+                if len(pairs) >= self.need[t]:
                     out.append((name, len(pairs) / len(template), lo + pairs[0][1], lo + pairs[-1][1] + 1))
                     done = lo + pairs[-1][1] + 1
         return sorted(out, key=lambda x: (x[2], x[0]))
