@@ -46,8 +46,9 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled so that sources, languages and topics have their target weights."""
-    return mixed_rows(docs, keep=0.8).where("_kept").select("row.*")
+    """Documents sampled so that sources, languages and topics have their target weights; where one is due more than once it repeats."""
+    out = mixed_rows(docs, keep=0.8).where("_kept").select("row", F.explode(F.expr("array_repeat(0, int(_copies))")))
+    return out.select("row.*")
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
 
     ``targets[d]`` has (d, share); shares sum to 1 over the values present.  A round
     scales to each dimension in turn; each scaling is one aggregation joined back.
-    The cells are as many as combinations of values; they stay distributed.
+    The cells are as many as combinations of values; they stay distributed.  A warning
+    tells if the rounds end before the scales are within ``tolerance`` of 1.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     cells = cells.withColumn("w", F.col("tokens").cast("double"))
@@ -46,6 +49,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
         cells = cells.drop(*[f"_s_{d}" for d in targets])
         if far < tolerance:
             break
+    else:
+        if total:
+            warnings.warn(f"raking ended after {rounds} rounds with a scale {far:.3g} off 1", stacklevel=2)
     return cells
 
 
@@ -57,17 +63,20 @@ def tempered(cells: DataFrame, d: str, power: float) -> DataFrame:
 
 
 def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = 0.5, seed: int = 17, topic: Column | None = None) -> DataFrame:
-    """The rows of ``docs`` with _topic, _tokens, _weight, _chance and _kept.
+    """The rows of ``docs`` with _topic, _tokens, _weight, _chance, _kept and _copies.
 
     Tokens are words.  Marginals of source, lang and topic are raked to shares
     proportional to tokens ** power; _weight is a cell's raked tokens over its tokens,
-    and a document is kept with probability min(1, keep * weight), decided by a hash of
-    its id, text and ``seed``, so the same rows are kept at any partitioning and rows
-    that repeat are decided alike.  Null values are values of their own.  Documents
+    and a document is kept with probability _chance = min(1, keep * weight), decided by a
+    hash of its id, text and ``seed``, so the same rows are kept at any partitioning and
+    rows that repeat are decided alike.  Where keep * weight is over 1 a document is due
+    more than once: _copies is floor(keep * weight), and one more with the rest as
+    probability.  So _copies has the mean keep * weight, and the tokens of the copies
+    meet the targets however skewed the cells are; _kept is _copies > 0.  Null values are values of their own.  Documents
     without words have weight 0 and are not kept.  Columns of ``docs`` with the names of
     the new ones give way.
     """
-    new = ["_topic", "_tokens", "_weight", "_chance", "_kept"]
+    new = ["_topic", "_tokens", "_weight", "_chance", "_kept", "_copies"]
     out = mixed_rows(docs, powers, keep, seed, topic)
     return out.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in new], *new)
 
@@ -89,8 +98,11 @@ def mixed_rows(docs: DataFrame, powers: dict[str, float] | None = None, keep: fl
     chances = raked.select(*keys, (F.col("w") / F.col("tokens")).alias("_weight"))
     out = dims(docs, row).join(chances, keys, "left").withColumn("_weight", F.coalesce("_weight", F.lit(0.0)))
     out = out.withColumn("_weight", F.when(F.col("_tokens") > 0, F.col("_weight")).otherwise(F.lit(0.0)))
-    out = out.withColumn("_chance", F.least(F.lit(1.0), F.lit(keep) * F.col("_weight")))
-    return out.withColumn("_kept", draw(F.col("row.doc_id"), F.col("row.text"), seed) < F.col("_chance")).drop("_source", "_lang")
+    due = F.lit(float(keep)) * F.col("_weight")
+    out = out.withColumn("_chance", F.least(F.lit(1.0), due))
+    more = draw(F.col("row.doc_id"), F.col("row.text"), seed) < due - F.floor(due)
+    out = out.withColumn("_copies", F.floor(due).cast("long") + more.cast("long"))
+    return out.withColumn("_kept", F.col("_copies") > 0).drop("_source", "_lang")
 
 
 def draw(doc_id: Column, text: Column, seed: int) -> Column:

@@ -53,7 +53,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
     number = [F.round(c, 6).alias(c[1:]) for c in ("_weight", "_chance")]
-    return out.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), *number, F.col("_kept").alias("kept"))
+    return out.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), *number, F.col("_kept").alias("kept"), F.col("_copies").alias("copies"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
