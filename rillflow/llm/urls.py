@@ -14,6 +14,10 @@ from .tables import cut
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Host words that label a URL as unwanted, for training.
 UNWANTED = ("casino", "pills", "bets", "adult", "spam", "ads")
+#: Suffixes up to which all statistics are broadcast.
+BROADCAST_SUFFIXES = 100_000
+#: Beyond that, suffixes with this share of the URLs or more are broadcast (1000 at most), and the others are shuffled.
+HOT_SHARE = 0.001
 #: Labelled URLs that the trees are fitted on, at most.
 TRAINING_URLS = 20_000
 FEATURES = ["f_length", "f_host", "f_depth", "f_digits", "f_entropy", "f_params", "f_hyphens", "f_labels", "f_suffix_share", "f_suffix_rate"]
@@ -59,46 +63,66 @@ def lexical(pages: DataFrame) -> DataFrame:
     )
 
 
-def labelled(rows: DataFrame, unwanted=UNWANTED, limit: int = TRAINING_URLS) -> DataFrame:
-    """At most ``limit`` URLs with ``label``, those with the least hash: 1 if a host word is unwanted."""
+def labelled(rows: DataFrame, unwanted=UNWANTED) -> DataFrame:
+    """The URLs with a host and their ``label``: 1 if a host word is unwanted."""
     words = F.split("host", "[.-]")
     bad = F.lit(False)
     for w in unwanted:
         bad = bad | F.array_contains(words, w)
-    some = rows.where(F.col("host") != "").orderBy(F.xxhash64("url"), "url").limit(limit)
-    return some.withColumn("label", bad.cast("double"))
+    return rows.where(F.col("host") != "").withColumn("label", bad.cast("double"))
 
 
-def suffix_stats(sample: DataFrame, n: int, base: float) -> DataFrame:
-    """suffix, f_suffix_share, f_suffix_rate: a row for each suffix of the ``n`` sampled URLs, ``base`` of them unwanted."""
-    one = sample.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
+def suffix_counts(rows: DataFrame) -> DataFrame:
+    """suffix, n, bad: URLs and unwanted URLs of each suffix, of all labelled ``rows``."""
+    return cut(rows.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("bad")))
+
+
+def with_suffixes(rows: DataFrame, counts: DataFrame, most: int = BROADCAST_SUFFIXES) -> DataFrame:
+    """``rows`` with f_suffix_share and f_suffix_rate: the suffix's share of all URLs, and its smoothed rate of unwanted ones.
+
+    More than ``most`` suffixes are joined by a shuffle.  Hot ones are then broadcast, and
+    their rows are spread over keys that no suffix has.
+    """
+    total, bad, k = counts.agg(F.sum("n"), F.sum("bad"), F.count("*")).first()
+    total, base = total or 0, (bad / total if total else 0.0)
     rate = (F.col("bad") + F.lit(10 * base)) / (F.col("n") + 10)
-    return one.select("suffix", (F.col("n") / F.lit(max(n, 1))).alias("f_suffix_share"), rate.alias("f_suffix_rate"))
+    stats = counts.select("suffix", (F.col("n") / F.lit(max(total, 1))).alias("f_suffix_share"), rate.alias("f_suffix_rate"))
+    if k <= most:
+        rows = rows.join(F.broadcast(stats), "suffix", "left")
+    else:
+        hot = F.col("f_suffix_share") >= HOT_SHARE
+        few = stats.where(hot).select("suffix", F.col("f_suffix_share").alias("_share"), F.col("f_suffix_rate").alias("_rate"))
+        rows = rows.join(F.broadcast(few), "suffix", "left")
+        spread = F.concat(F.lit("/"), F.xxhash64("url", "page_id").cast("string"))
+        key = F.when(F.col("_share").isNotNull() | (F.col("suffix") == ""), spread).otherwise(F.col("suffix"))
+        others = stats.where(~hot).withColumnRenamed("suffix", "_key")
+        rows = rows.withColumn("_key", key).join(others.hint("merge"), "_key", "left")
+        rows = rows.withColumn("f_suffix_share", F.coalesce("_share", "f_suffix_share")).withColumn("f_suffix_rate", F.coalesce("_rate", "f_suffix_rate"))
+        rows = rows.drop("_key", "_share", "_rate")
+    return rows.fillna({"f_suffix_share": 0.0, "f_suffix_rate": base})
 
 
 def judge_urls(pages: DataFrame, rules=RULES, unwanted=UNWANTED, training_urls: int = TRAINING_URLS, trees: int = 10) -> DataFrame:
     """page_id, host, path, rule, verdict, score, one row for each row of ``pages``.
 
-    A URL that no rule fits gets the trees' verdict: block from a score of 0.5 on.
+    A URL that no rule fits gets the trees' verdict: block from a score of 0.5 on.  The
+    trees are fitted on ``training_urls`` labelled URLs at most, those with the least
+    hash; the suffix statistics are those of all URLs.
     Null, or no ``://``: host and path are empty and only the trees judge.  If the
     labelled URLs are all of one kind (or none), that kind is every URL's score.
     """
     rows = pages.select(F.col("page_id").alias("page_id"), F.col("url").cast("string").alias("url"))
     rows = rows.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     rows = lexical(rows)
-    sample = cut(labelled(rows, unwanted, training_urls))
-    base, n = sample.agg(F.avg("label"), F.count("*")).first()
-    base = base or 0.0
-    stats = suffix_stats(sample, n, base)
-
-    def ready(df: DataFrame) -> DataFrame:
-        df = df.join(F.broadcast(stats), "suffix", "left")  # no more suffixes than sampled URLs
-        return df.fillna({"f_suffix_share": 0.0, "f_suffix_rate": base})
+    known = labelled(rows, unwanted)
+    counts = suffix_counts(known)
+    sample = cut(known.orderBy(F.xxhash64("url"), "url").limit(training_urls))
+    base = sample.agg(F.avg("label")).first()[0] or 0.0
 
     if 0 < base < 1:
         vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
-        model = GBTClassifier(maxIter=trees, maxDepth=3, stepSize=0.3, seed=7, cacheNodeIds=False).fit(vector.transform(ready(sample)).select("features", "label"))
-        scored = model.transform(vector.transform(ready(rows))).withColumn("score", vector_to_array("probability")[1])
+        model = GBTClassifier(maxIter=trees, maxDepth=3, stepSize=0.3, seed=7, cacheNodeIds=False).fit(vector.transform(with_suffixes(sample, counts)).select("features", "label"))
+        scored = model.transform(vector.transform(with_suffixes(rows, counts))).withColumn("score", vector_to_array("probability")[1])
     else:
         scored = rows.withColumn("score", F.lit(float(base)))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
