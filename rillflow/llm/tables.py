@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.cuts import cut
+
 #: Words are maximal runs of characters outside this class.
 SPACES = r"[\x20\x09-\x0D]+"
 
-#: Settings while a table is written.
-WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
-
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -24,34 +20,6 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), F.col("text").cast("string").alias("text"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the shared one; a temporary folder only where none is set (tests)."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        top = tempfile.mkdtemp(prefix="rillflow-")
-        spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/rillflow-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, read back from a written table: lineage ends here and survives lost executors.
-
-    Nothing reads the plan's shuffle files after the write, so Spark may drop them then.
-    Batches for Python are kept small: long texts and sets would make them large.
-    """
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    before = {k: spark.conf.get(k, None) for k in WRITING}
-    for k, v in WRITING.items():
-        spark.conf.set(k, v)
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_words(text: Column) -> Column:
     """The words of a text as an array; null gives an empty array."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")

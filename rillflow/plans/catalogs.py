@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import cdr
 from ..functions.logs import group
+from ..operators.packing import next_fit
 from ..sources.streams import literal
 from .registry import query, values
 
@@ -223,38 +223,17 @@ def joint_states(spark, sf_dir):
 
 @query()
 def pack_batches(spark, sf_dir):
-    """Upload batches: next fit by count and bytes within a group; one group's fold is sequential."""
-    df = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderstatus").alias("grp"), F.floor(F.col("o_custkey") / 100).alias("part"), "o_orderkey", "o_totalprice")
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("o_orderkey")
-        batch, files, size, out = 0, 0, 0.0, []
-        for x in pdf["o_totalprice"]:
-            if files and (files >= 50 or size + x > 2_000_000):
-                batch, files, size = batch + 1, 0, 0.0
-            files, size = files + 1, size + x
-            out.append(batch)
-        return pdf.assign(batch=out)[["grp", "part", "o_orderkey", "batch"]]
-
-    return df.groupBy("grp", "part").applyInPandas(pack, "grp string, part long, o_orderkey long, batch int")
+    """Upload batches: next fit by count (50) and bytes (2,000,000) within a group."""
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderstatus").alias("grp"), "o_orderkey", "o_totalprice")
+    return next_fit(df, ["grp"], "o_orderkey", "o_totalprice", 2_000_000.0, 50).select("grp", "o_orderkey", F.col("bin").alias("batch"))
 
 
 @query()
 def assign_videos(spark, sf_dir):
     """Episodes laid onto video files in order; a new file where an episode no longer fits."""
     df = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("dataset"), "event_id", F.abs("value").alias("length"))
-
-    def lay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("event_id")
-        file, offset, rows = 0, 0.0, []
-        for key, n in zip(pdf["event_id"], pdf["length"], strict=True):
-            if offset and offset + n > 300.0 + 1 / 30:
-                file, offset = file + 1, 0.0
-            rows.append((pdf["dataset"].iloc[0], key, file, round(offset, 6), round(offset + n, 6)))
-            offset += n
-        return pd.DataFrame(rows, columns=["dataset", "event_id", "file", "start_s", "end_s"])
-
-    return df.groupBy("dataset").applyInPandas(lay, "dataset long, event_id long, file int, start_s double, end_s double")
+    out = next_fit(df, ["dataset"], "event_id", "length", 300.0 + 1 / 30)
+    return out.select("dataset", "event_id", F.col("bin").alias("file"), F.round("offset", 6).alias("start_s"), F.round(F.col("offset") + F.col("length"), 6).alias("end_s"))
 
 
 PROBE = [("a", 1, 0), ("a", 2, 0), ("b", 3, 1), ("b", 4, 0)]
