@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .cuts import cut
+from .cuts import cut, drop
 
 #: Sums are exact in units of 1e-9.
 EXACT = "decimal(30,9)"
@@ -70,8 +70,11 @@ def next_fit(rows: DataFrame, by: list[str], order: str, size: str, cap: float,
         new = cut(opened.join(jump, ["key", "pos"]).select("key", F.col("to").alias("pos"), (F.col("bin") + step).alias("bin")))
         if new.isEmpty():
             break
-        opened, step = cut(opened.unionByName(new)), 2 * step
-        jump = cut(jump.join(jump.select("key", F.col("pos").alias("to"), F.col("to").alias("far")), ["key", "to"]).select("key", "pos", F.col("far").alias("to")))
+        more = cut(opened.unionByName(new))
+        far = cut(jump.join(jump.select("key", F.col("pos").alias("to"), F.col("to").alias("far")), ["key", "to"]).select("key", "pos", F.col("far").alias("to")))
+        drop(opened, new, jump)
+        opened, jump, step = more, far, 2 * step
+    drop(new, jump)
     rows = rows.join(opened, ["key", "pos"], "left").withColumn("open", F.when(F.col("bin").isNotNull(), F.struct("bin", F.col("before").alias("base"))))
     here = W.partitionBy("key", "shard").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     past = W.partitionBy("key").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
