@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cuts import cut
+from ..operators.cuts import cut, drop
 
 #: Words are maximal runs of characters outside this class.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -17,7 +17,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, tkey (hash of the text), text.  Rows that agree in both keys are the same row repeated."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string").alias("text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), text)
 
 
 def text_words(text: Column) -> Column:
@@ -25,6 +26,39 @@ def text_words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+def least_hashes(rows: DataFrame, total: int, limit: int, *key: str) -> DataFrame:
+    """At most ``limit`` of the ``total`` rows, those whose keys have the least hashes.
+
+    A threshold on the hash leaves about ``limit`` rows in all before they are ordered,
+    so no task gets more than about that, however many partitions there are.
+    """
+    place = F.pmod(F.xxhash64(*key), F.lit(1 << 40))
+    if total > limit:
+        rows = rows.where(place < F.lit(int((1 << 40) * min(1.0, 1.05 * limit / total + 20 / total))))
+    return rows.orderBy(place, *key).limit(limit)
+
+
+#: A key with this part of the rows or more is hot: there are no more hot keys than this.
+HOT_KEYS = 4096
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table``, which has each ``key`` (long) once and the number ``n`` of its rows; ``total``: all rows.
+
+    Keys with a 4096th of the rows or more, 4096 of them at most, are broadcast, and their
+    rows are spread over all tasks.  The others meet in one shuffle, so no task gets a
+    large group, at any size by the same plan.  ``n`` isn't passed on.
+    """
+    hot = F.col("n") * HOT_KEYS >= F.lit(total)
+    more = [c for c in table.columns if c not in (key, "n")]
+    few = table.where(hot).select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in more])
+    others = table.where(~hot).select(F.col(key).alias("_key"), F.lit(True).alias("_cold"), *[F.col(c).alias(f"_cold_{c}") for c in more])
+    both = rows.join(F.broadcast(few), key, "left")
+    both = both.withColumn("_key", F.when(F.col("_hot"), F.xxhash64(*rows.columns)).otherwise(F.col(key)))
+    both = both.join(others.hint("merge"), "_key", "left").where("_hot OR _cold")
+    return both.select(*rows.columns, *[F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c) for c in more])
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node of ``links`` (a, b): root is the least node reachable.
 
@@ -41,8 +75,11 @@ def components(links: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         # small star: a and its lesser partners point to the least of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
-        edges = cut(small)
+        pairs = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        small = large.join(low, "a").select(F.explode(pairs).alias("e")).select("e.*").where("a <> b").distinct()
+        after = cut(small)
+        drop(edges)
+        edges = after
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == before:
             break
