@@ -4,7 +4,9 @@ Each permutation of the shingle hashes gives two signature values, its minimum a
 its maximum, so a signature costs half the evaluations of plain MinHash.  The
 signature is banded: two texts whose sets have similarity J share a band of r values
 with probability J**r, and of b bands at least one with 1 - (1 - J**r)**b.  With
-r = 6, b = 44 and J = 0.85 all bands miss with probability 1e-9.
+r = 6, all bands miss with probability 1e-9 at J = 0.8 and b = 68, and at J = 0.85
+and b = 44.  (The formula takes the values of a band as independent.  Minimum and maximum under one permutation are
+nearly so for sets of some size; tests/llm measures bands and links against all pairs.)
 
 Candidates are confirmed on the full sets.  Copies (equal sets) are one class from
 the start, so only class representatives are compared:
@@ -12,10 +14,9 @@ the start, so only class representatives are compared:
 1. in each band bucket, members are compared with the least member (a star, linear
    in the bucket);
 2. in buckets whose members are then still in different components, pairs across
-   components are compared too, unless counts rule the link out (see ``_across``) or
-   the pair shares one bucket only (at J = 0.85 of 44 exactly one or none: 3e-8).  So
-   no link between components is left out, and pairs within a component, the bulk of
-   a large group of near copies, are never made.
+   components are compared too, unless counts rule the link out (see ``_across``).  So
+   no link between components that shares a bucket is left out, and pairs within a
+   component, the bulk of a large group of near copies, are never made.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import grams, mixed, text_slices, word_bounds, word_hashes
-from .tables import components, cut, keyed
+from .tables import components, cut, drop, keyed
 
-ROWS, BANDS, SHINGLE = 6, 44, 5
+ROWS, BANDS, SHINGLE = 6, 68, 5
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -131,36 +132,44 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _across(shared: DataFrame, compared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of one bucket or more in different components that could still be linked.
 
-    What is known of a member x: its size n, the c shingles it shares with the head of
-    the bucket, and its u shingles that no other candidate has.  For any y, x and y
-    share at most min(c) + min(n - c - u) shingles, and x at most n - u with anything.
-    Members, and then pairs, that these bounds rule out are left; the rest is
-    compared.  In a group of near copies each copy's own edits are its unique
-    shingles, so nearly all pairs across are ruled out by counts alone.
+    Only members of buckets with several components are looked at.  What is known of
+    a member x: its size n, the c shingles it shares with the head of the bucket, and
+    its u shingles that no other such member has.  For any y, x and y share at most
+    min(c) + min(n - c - u) shingles, and x at most n - u with anything.  Members, and
+    then pairs, that these bounds rule out are left; the rest is compared.  In a group
+    of near copies each copy's own edits are its unique shingles, so nearly all pairs
+    across are ruled out by counts alone.
     """
-    once = sets.mapInArrow(_each_shingle, f"node {NODE}, shingle long").groupBy("shingle").agg(F.count("*").alias("k"), F.min("node").alias("node"))
+    rooted = cut(shared.join(roots, "node", "left").select("bucket", "node", "n", F.col("head.node").alias("h"), F.coalesce("root", "node").alias("root")))
+    several = rooted.groupBy("bucket").agg((F.min("root") < F.max("root")).alias("several")).where("several").select("bucket")
+    members = cut(rooted.join(several, "bucket", "left_semi"))
+    own = sets.join(members.select("node").distinct(), "node", "left_semi")
+    once = own.mapInArrow(_each_shingle, f"node {NODE}, shingle long").groupBy("shingle").agg(F.count("*").alias("k"), F.min("node").alias("node"))
     unique = once.where("k = 1").groupBy("node").agg(F.count("*").alias("u"))
     known = compared.select(F.col("a").alias("h"), F.col("b").alias("node"), F.col("common").alias("c"))
-    placed = shared.select("bucket", "node", "n", F.col("head.node").alias("h")).join(known, ["h", "node"], "left").join(unique, "node", "left").join(roots, "node", "left")
-    placed = placed.select("bucket", "node", "n", F.coalesce("c", "n").alias("c"), F.coalesce("u", F.lit(0)).alias("u"), F.coalesce("root", "node").alias("root"))
+    placed = members.join(known, ["h", "node"], "left").join(unique, "node", "left")
+    placed = placed.select("bucket", "node", "n", F.coalesce("c", "n").alias("c"), F.coalesce("u", F.lit(0)).alias("u"), "root")
     placed = cut(placed.where(f"100 * (n - u) >= {percent} * n").withColumn("e", F.greatest(F.expr("n - c - u"), F.lit(0))))
     sides = placed.groupBy("bucket", "root").agg(F.count("*").alias("k"), F.min("n").alias("low"), F.max("e").alias("most"))
-    sides = sides.groupBy("bucket").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.min("low").alias("low"), F.max("most").alias("most"), F.count("*").alias("sides")).where("sides > 1")
+    main = F.max_by("root", F.struct("k", "root")).alias("main")
+    sides = sides.groupBy("bucket").agg(main, F.min("low").alias("low"), F.max("most").alias("most"), F.count("*").alias("sides")).where("sides > 1")
     split = placed.join(sides, "bucket")
-    # a pair is made in the least bucket that it shares, and only if it shares another one
+    # a pair is made in the least bucket that it shares
     split = cut(split.join(split.groupBy("node").agg(F.collect_set("bucket").alias("mine")), "node"))
     bound = F.col("c") + F.least("e", "most")
     odd = split.where("root <> main").where(100 * bound >= percent * (F.col("n") + F.col("low") - bound))
-    odd = odd.select("bucket", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("e").alias("ex"), F.col("root").alias("rx"), F.col("mine").alias("mx"))
+    x = {"node": "x", "n": "nx", "c": "cx", "e": "ex", "root": "rx", "mine": "mx"}
+    odd = odd.select("bucket", *[F.col(c).alias(v) for c, v in x.items()])
     most = F.least("cx", "c") + F.least("ex", "e")
     fits = (F.col("rx") != F.col("root")) & (100 * most >= percent * (F.col("nx") + F.col("n") - most))
-    here = F.array_intersect("mx", "mine")
-    pairs = odd.join(split, "bucket").where(fits & (F.size(here) > 1) & (F.array_min(here) == F.col("bucket")))
+    pairs = odd.join(split, "bucket").where(fits & (F.array_min(F.array_intersect("mx", "mine")) == F.col("bucket")))
     pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    return cut(pairs.join(compared, ["a", "b"], "left_anti"))
+    pairs = cut(pairs.join(compared, ["a", "b"], "left_anti"))
+    drop(rooted, members, placed, split)
+    return pairs
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and tkey (hash of the text), one row for each row of ``docs``.
 
     Documents with 100 * common >= percent * united shingles are linked, and
@@ -192,7 +201,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands:
     found = components(links(compared))
     across = _across(shared, compared, found, sets, percent)
     if not across.isEmpty():
-        found = components(links(compared).unionByName(links(_compared(across, sets))))
+        more = _compared(across, sets)
+        found = components(links(compared).unionByName(links(more)))
+        drop(more)
+    drop(shared, sets, compared, across)
     member = classes.join(found, "node", "left").select("set1", "set2", F.coalesce("root.id", "node.id").alias("least"))
     out = sketch.select("doc_id", "tkey", "n_shingles", "set1", "set2").join(member, ["set1", "set2"], "left")
     least_id = F.when(F.col("n_shingles") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id"))

@@ -43,7 +43,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"), percent=85).drop("tkey")
+    return near_duplicates(read(spark, sf_dir, "documents"), percent=85, bands=44).drop("tkey")
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
