@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import cut, text_words
+from .tables import HOT_KEYS, SPACES, cut, drop, spread_join, text_words
 
 #: A line with a word in it.
 WORDED = r"[^\x20\x09-\x0D]"
@@ -17,43 +17,57 @@ def _lines(text: Column) -> Column:
 
 def _normal(line: Column) -> Column:
     """Lower case, single spaces, no spaces at the ends."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "))
+    return F.trim(F.regexp_replace(F.lower(line), SPACES, " "))
 
 
-def _line_key(line: Column) -> Column:
-    return F.xxhash64(_normal(line))
+def _row_key() -> Column:
+    return F.xxhash64("text", F.col("source").cast("string"))
 
 
-def _counted(line: Column, min_words: int) -> Column:
-    """Whether a line has ``min_words`` words or more."""
-    return line.rlike(rf"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{{min_words - 1}}}[^\x20\x09-\x0D]")
+def seen_lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, tkey, site, at, line, w: every line of ``min_words`` words or more, as its place and the hash of its normal form.
+
+    Written once, about a twentieth of the texts, so that the texts are split and
+    normalised in one pass.
+    """
+    doc = F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("tkey"), F.col("source").cast("string").alias("site")
+    # normalised before the explode: a filter on the exploded line would compute it again
+    each = docs.select(*doc, F.posexplode(F.transform(_lines(F.col("text")), _normal)).alias("at", "x"))
+    words = F.length("x") - F.length(F.translate("x", " ", "")) + 1
+    return cut(each.where((words >= min_words) & (F.col("x") != "")).select("doc_id", "tkey", "site", "at", F.xxhash64("x").alias("line"), words.alias("w")))
 
 
-def _line_keys(text: Column, min_words: int) -> Column:
-    return F.transform(F.filter(_lines(text), lambda x: _counted(x, min_words)), _line_key)
+def _first() -> Column:
+    """The row with the least id; null ids last, equal ones by text and source."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey"))
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    site = F.col("source").cast("string")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text", site).alias("tkey"), site.alias("site"), F.col("text").cast("string").alias("text"))
+def _not_first() -> Column:
+    return ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tkey") == F.col("first.tkey")))
 
 
-def boilerplate(docs: DataFrame, min_sites: int = 10, min_words: int = 3, rsd: float = 0.13) -> DataFrame:
-    """line, doc_id, tkey: hashes of lines seen on ``min_sites`` sites or more, and the first row that has each.
+def boilerplate(docs: DataFrame, min_sites: int = 10, min_words: int = 3, rsd: float = 0.13, slack: int = 4) -> DataFrame:
+    """doc_id, tkey, at, line: the places of lines that are on ``min_sites`` sites or more, but for those in a line's first row.
 
-    Each line hash aggregates a HyperLogLog sketch of its sites (rsd 0.13: 64
-    registers, 56 bytes), merged by Spark's partial aggregation.  A sketch of so few
-    values can't be off by half: lines with an estimate under min_sites / 2 are out,
-    over 2 * min_sites in, and those between are counted exactly.
+    Each line hash aggregates a HyperLogLog sketch of its sites (rsd 0.13: 64 registers,
+    56 bytes), merged by Spark's partial aggregation.  Lines with an estimate under
+    min_sites / slack are out, those over slack * min_sites in, and those between are
+    counted exactly.  An estimate of 10 sites is off by a factor of 4 with probability
+    2e-12, one of many sites (5.8 deviations) with 1e-8.
     """
-    seen = _rows(docs).select("doc_id", "tkey", "site", F.explode(F.array_distinct(_line_keys(F.col("text"), min_words))).alias("line"))
-    about = seen.groupBy("line").agg(F.approx_count_distinct("site", rsd).alias("about")).where(F.col("about") >= min_sites / 2)
-    about = cut(about)
-    near = about.where(F.col("about") <= 2 * min_sites).select("line")
-    exact = seen.select("line", "site").join(near, "line", "left_semi").groupBy("line", "site").count().groupBy("line").agg(F.count("site").alias("sites"))
-    chosen = exact.where(F.col("sites") >= min_sites).select("line").unionByName(about.where(F.col("about") > 2 * min_sites).select("line"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey")).alias("first")
-    return cut(seen.join(chosen, "line", "left_semi").groupBy("line").agg(first).select("line", "first.doc_id", "first.tkey"))
+    seen = seen_lines(docs, min_words)
+    total = seen.count()
+    about = seen.groupBy("line").agg(F.approx_count_distinct("site", rsd).alias("about"), F.count("*").alias("n"))
+    # hot lines stay in the table, so that their rows aren't shuffled by line
+    about = cut(about.where((F.col("about") * slack >= min_sites) | (F.col("n") * HOT_KEYS >= total)))
+    rows = cut(spread_join(seen, about, "line", total).where(F.col("about") * slack >= min_sites))
+    near = F.when(F.col("about") <= slack * min_sites, F.col("site"))
+    once = rows.groupBy("line", "about", near.alias("site")).agg(_first().alias("first"), F.count("*").alias("n"))
+    found = once.groupBy("line", "about").agg(F.count("site").alias("sites"), F.min("first").alias("first"), F.sum("n").alias("n"))
+    found = cut(found.where((F.col("about") > slack * min_sites) | (F.col("sites") >= min_sites)).select("line", "first", "n"))
+    gone = cut(spread_join(rows, found, "line", rows.count()).where(_not_first()).select("doc_id", "tkey", "at", "line"))
+    drop(seen, about, rows, found)
+    return gone
 
 
 def line_dedup(docs: DataFrame, min_sites: int = 10, min_words: int = 3) -> DataFrame:
@@ -63,7 +77,8 @@ def line_dedup(docs: DataFrame, min_sites: int = 10, min_words: int = 3) -> Data
     site is the value of ``source`` (null is no site).  A line of ``min_words`` words
     or more that is on ``min_sites`` sites or more stays in the row with the least id
     that has it (null ids last; there, at every place) and goes everywhere else.  Rows
-    that share id, text and source are one row repeated and keep the same lines.  Null
+    that share id, text and source are one row repeated and keep the same lines; of
+    other rows with one id the first is told by a hash of text and source.  Null
     text stays null.  All columns of ``docs`` stay as they are, but for ones named _lines or
     _removed, which give way.
     """
@@ -74,18 +89,18 @@ def line_dedup(docs: DataFrame, min_sites: int = 10, min_words: int = 3) -> Data
 
 def deduped_rows(docs: DataFrame, min_sites: int = 10, min_words: int = 3) -> DataFrame:
     """``line_dedup`` with each row of ``docs`` as a struct ``row``, so that no names clash: row, text, _lines, _removed."""
-    found = boilerplate(docs, min_sites, min_words)
-    hits = _rows(docs).select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_t"), F.explode(F.array_distinct(_line_keys(F.col("text"), min_words))).alias("line"))
-    hits = hits.join(found, "line").where(~(F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("tkey"))))
-    hits = hits.groupBy("_id", "_t").agg(F.collect_set("line").alias("_gone"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_i"), F.xxhash64("text", F.col("source").cast("string")).alias("_k"))
-    rows = rows.join(hits, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_t")), "left")
+    gone = boilerplate(docs, min_sites, min_words).groupBy(F.col("doc_id").alias("_id"), F.col("tkey").alias("_t")).agg(F.collect_set("at").alias("_gone"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col("doc_id").cast("long").alias("_i"), _row_key().alias("_k"))
+    rows = rows.join(gone, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_t")), "left")
     lines, null = _lines(F.col("row.text")), F.col("row.text").isNull()
-    kept = F.filter(lines, lambda x: ~(_counted(x, min_words) & F.array_contains("_gone", _line_key(x))))
-    rows = rows.select("row", F.when(F.col("_gone").isNull(), lines).otherwise(kept).alias("_kept"), F.size(lines).alias("_lines"))
-    count = F.when(null, F.lit(0)).otherwise(F.col("_lines")).cast("long").alias("_lines")
-    removed = F.when(null, F.lit(0)).otherwise(F.col("_lines") - F.size("_kept")).cast("long").alias("_removed")
-    return rows.select("row", F.when(~null, F.concat_ws("\n", "_kept")).alias("text"), count, removed)
+    rows = rows.select("row", "_gone", lines.alias("_all"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), "_gone")
+    rows = rows.select("row", F.size("_all").alias("_lines"), F.when(F.col("_gone").isNotNull(), F.size("_gone")).otherwise(0).alias("_removed"), "_all", "_gone", left.alias("_left"))
+    kept = F.concat_ws("\n", F.transform("_left", lambda i: F.get("_all", i)))
+    text = F.when(~null, F.when(F.col("_gone").isNull(), F.col("row.text")).otherwise(kept))
+    counts = [F.when(null, F.lit(0)).otherwise(F.col(c)).cast("long").alias(c) for c in ("_lines", "_removed")]
+    return rows.select("row", text.alias("text"), *counts)
 
 
 def base_rules(text: Column) -> dict[str, Column]:
@@ -115,40 +130,49 @@ def with_repeat_words(rows: DataFrame) -> DataFrame:
     return rows.withColumn("n_repeat_words", F.expr(f"CASE WHEN _p IS NULL THEN 0 ELSE {covered} END").cast("long")).drop("_g", "_p")
 
 
-def depleting_lines(docs: DataFrame, min_docs: int, max_share: float, min_words: int) -> DataFrame:
+def depleting_lines(docs: DataFrame, min_docs: int, max_share: float, max_docs: int, min_words: int) -> DataFrame:
     """_id, _t, _removed: the words that a document loses to lines above its host's limits."""
-    rows = _rows(docs).withColumn("host", F.xxhash64("site"))
-    seen = rows.select("host", "doc_id", "tkey", F.explode(F.array_distinct(_line_keys(F.col("text"), min_words))).alias("line"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey")).alias("first")
-    often = seen.groupBy("host", "line").agg(F.count("*").alias("docs"), first).where(F.col("docs") >= min_docs)
-    often = often.join(rows.groupBy("host").agg(F.count("*").alias("all")), "host").where(F.col("docs") > max_share * F.col("all"))
-    often = cut(often.select("host", "line", "first.doc_id", "first.tkey"))
-    each = F.transform(_lines(F.col("text")), lambda x: F.when(_counted(x, min_words), F.struct(_line_key(x).alias("line"), F.size(text_words(x)).alias("w"))))
-    hits = rows.select("host", F.col("doc_id").alias("_id"), F.col("tkey").alias("_t"), F.posexplode(each).alias("at", "x")).where("x IS NOT NULL")
-    hits = hits.select("host", "_id", "_t", "at", "x.line", "x.w").join(often, ["host", "line"])
-    hits = hits.where(~(F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("tkey"))))
-    return hits.groupBy("_id", "_t", "at").agg(F.max("w").alias("w")).groupBy("_id", "_t").agg(F.sum("w").alias("_removed"))
-
-
-def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.05, min_line_words: int = 3, min_left: float = 0.5) -> DataFrame:
+    host = F.coalesce(F.concat(F.lit("="), F.col("site")), F.lit("null"))
+    seen = seen_lines(docs, min_words)
+    lines = seen.select("doc_id", "tkey", "at", "w", host.alias("host"), F.xxhash64(host, "line").alias("line"))
+    total = seen.count()
+    # a line in so many documents has as many rows at least; only such lines are counted by document
+    often = cut(lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs))
+    rows = cut(spread_join(lines, often, "line", total))
+    once = rows.groupBy("host", "line", "doc_id", "tkey").agg(F.count("*").alias("n"))
+    each = once.groupBy("host", "line").agg(F.count("*").alias("docs"), _first().alias("first"), F.sum("n").alias("n"))
+    site = F.col("source").cast("string").alias("site")
+    sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("tkey"), site).distinct().groupBy(host.alias("host")).agg(F.count("*").alias("all"))
+    above = (F.col("docs") >= min_docs) & ((F.col("docs") > max_share * F.col("all")) | (F.col("docs") >= max_docs))
+    above = cut(each.join(sizes, "host").select("line", "n", F.when(above, F.col("first")).alias("first")))
+    hits = spread_join(rows, above, "line", rows.count()).where(F.col("first").isNotNull() & _not_first())
+    hits = hits.groupBy(F.col("doc_id").alias("_id"), F.col("tkey").alias("_t"), "at").agg(F.max("w").alias("w"))
+    lost = cut(hits.groupBy("_id", "_t").agg(F.sum("w").alias("_removed")))
+    drop(seen, often, rows, above)
+    return lost
+
+
+def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.05, max_docs: int = 1000, min_line_words: int = 3, min_left: float = 0.5) -> DataFrame:
     """doc_id, counts, base_failed, kept and tkey (hash of text and source), one row for each row of ``docs``.
 
     ``kept`` is false if the base rules fail, or if the document is depleted: lines
-    (lower case, single spaces, ``min_line_words`` words or more) that more than
-    ``max_share`` of the host's documents have, and ``min_docs`` at least, are removed
-    from all documents of the host but the first (least id), and what is left is under
-    ``min_left`` of the document's words.  The host is ``source``; null is a host.  Null
-    text has no words and fails.  Rows that share id, text and source are counted each,
-    and get the same verdict.
+    (lower case, single spaces, ``min_line_words`` words or more) that are above their
+    host's limits are removed from all documents of the host but the first (least id),
+    and what is left is under ``min_left`` of the document's words.  Above the limits is a
+    line in ``min_docs`` documents or more that are more than ``max_share`` of the host's, or
+    in ``max_docs`` documents at least, however large the host.  The host is ``source``; null is
+    a host.  Null text has no words and fails.  Rows that share id, text and source
+    are one document repeated, count once and get the same verdict.
     """
-    rows = _rows(docs)
     counts = base_rules(F.col("text"))
     words = counts.pop("n_words")
-    base = rows.select("doc_id", "tkey", words.alias("n_words"), *[c.alias(k) for k, c in counts.items()], text_words(F.col("text")).alias("_w"))
+    row = F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("tkey")
+    base = docs.select(*row, words.alias("n_words"), *[c.alias(k) for k, c in counts.items()], text_words(F.col("text")).alias("_w"))
     base = with_repeat_words(base).drop("_w")
     base = base.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    gone = depleting_lines(docs, min_docs, max_share, min_line_words)
+    gone = depleting_lines(docs, min_docs, max_share, max_docs, min_line_words)
     out = base.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tkey") == F.col("_t")), "left")
     left = F.col("n_words") - F.coalesce("_removed", F.lit(0))
     kept = ~F.col("base_failed") & (left >= min_left * F.col("n_words"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "tkey")
+    shown = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    return out.select(*shown, kept.alias("kept"), "tkey")

@@ -87,10 +87,11 @@ WITH rows AS (SELECT doc_id, source, coalesce(text, '') AS text, {WORDS} AS w FR
 grams AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM rows WHERE len(w) > 2),
 hits AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM grams),
 repeats AS (SELECT doc_id, count(DISTINCT j) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM hits WHERE n > 1) GROUP BY doc_id),
-parts AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM rows),
+parts AS (SELECT doc_id, source, md5(text) AS t, unnest(string_split(text, chr(10))) AS line FROM rows),
 lines AS (SELECT *, {NORMAL} AS norm, len(list_filter(regexp_split_to_array(line, '{SPACE}'), lambda x: x <> '')) AS n FROM parts),
-often AS (SELECT source, norm, min(doc_id) AS first FROM lines JOIN (SELECT source, count(*) AS total FROM rows GROUP BY source) USING (source)
-  WHERE n >= 3 GROUP BY source, norm, total HAVING count(DISTINCT doc_id) >= 10 AND count(DISTINCT doc_id) > 0.05 * total),
+totals AS (SELECT source, count(DISTINCT (doc_id, md5(text))) AS total FROM rows GROUP BY source),
+spread AS (SELECT source, norm, count(DISTINCT (doc_id, t)) AS docs, min(doc_id) AS first FROM lines WHERE n >= 3 GROUP BY source, norm),
+often AS (SELECT source, norm, first FROM spread JOIN totals USING (source) WHERE docs >= 10 AND (docs > 0.05 * total OR docs >= 1000)),
 lost AS (SELECT doc_id, sum(n) AS lost FROM lines JOIN often USING (source, norm) WHERE n >= 3 AND doc_id <> first GROUP BY doc_id),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE n > 0 GROUP BY doc_id),
 base AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '{SPACE}', '', 'g')) AS BIGINT) AS word_chars,
