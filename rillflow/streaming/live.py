@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,40 +10,50 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import logs
+from ..operators.cuts import shared_dir
 from ..plans.training_logs import STATE, latest_state
 
 
-def shared(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors see."""
-    import tempfile
-
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rillflow-")
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+ORDER = ["made", "file", "place"]
 
 
 def tail(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
-    """job, line of log files as they appear; the job is the file's folder."""
-    df = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder, wholetext=False, recursiveFileLookup=True)
-    return df.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("job"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+    """job, line of log files as they appear, with their order: time and name of the file, number of the line.
+
+    The job is the file's folder.  Log writers close a file after a while, so a file is one
+    row until it is split into lines, and its lines keep their numbers.  Offsets are those of
+    Spark's file source: a file that was read isn't read again after a restart.
+    """
+    df = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder, wholetext=True, recursiveFileLookup=True)
+    meta = F.col("_metadata")
+    made, file = meta["file_modification_time"].alias("made"), meta["file_path"].alias("file")
+    text = F.regexp_replace("value", r"\r?\n$", "")
+    df = df.select(made, file, F.posexplode(F.split(text, r"\r?\n")).alias("place", "line"))
+    return df.select(F.element_at(F.split("file", "/"), -2).alias("job"), *ORDER, "line")
 
 
 def metric_states(lines: DataFrame) -> DataFrame:
-    """Each job's state after every batch: step, total, eta and loss, kept between batches."""
+    """Each job's state after every batch: step, total, eta and loss, kept between batches; lines count in their order."""
     c = F.col("line")
-    df = lines.select("job", *[v.alias(k) for k, v in logs.progress(c).items()], *[v.alias(k) for k, v in logs.metrics(c).items() if k in ("step", "loss")])
+    df = lines.select("job", *ORDER, *[v.alias(k) for k, v in logs.progress(c).items()], *[v.alias(k) for k, v in logs.metrics(c).items() if k in ("step", "loss")])
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         old = state.get if state.exists else (0, None, None, None)
         now = dict(zip(("step", "total", "eta", "loss"), old, strict=True))
-        for pdf in batches:
-            rows = pdf[["bar_step", "bar_total", "eta_s", "step", "loss"]].astype(object)
-            now = latest_state(rows.where(rows.notna(), None).itertuples(index=False), now)
+        rows = pd.concat(list(batches)).sort_values(ORDER)[["bar_step", "bar_total", "eta_s", "step", "loss"]].astype(object)
+        now = latest_state(rows.where(rows.notna(), None).itertuples(index=False), now)
         state.update((now["step"], now["total"], now["eta"], now["loss"]))
         yield pd.DataFrame([{"job": key[0], "step": now["step"], "total": now["total"], "eta_s": now["eta"], "loss": now["loss"]}])
 
     return df.groupBy("job").applyInPandasWithState(fold, STATE, "step long, total long, eta_s long, loss double", "update", GroupStateTimeout.NoTimeout)
 
 
+def log_sink(lines: DataFrame, path: str, state: str):
+    """Lines of running jobs appended to ``path`` as JSON, a folder a job; Spark's file sink writes each batch once."""
+    shown = lines.select("job", F.unix_timestamp("made").cast("double").alias("ts"), F.col("line").alias("message"))
+    return shown.writeStream.format("json").partitionBy("job").option("path", path).option("checkpointLocation", state).trigger(availableNow=True).start()
+
+
 def live_bursts(events: DataFrame, gap: str, late: str) -> DataFrame:
     """Sessions of each recording and stream on event time; the end is the last message, not the gap's end."""
     df = events.withWatermark("ts", late)
@@ -57,14 +66,31 @@ def throttled(events: DataFrame, width: str, late: str) -> DataFrame:
     return df.dropDuplicatesWithinWatermark(["user_id", "bucket"])
 
 
-def run_available(df: DataFrame, mode: str = "append") -> DataFrame:
-    """Run a stream over what is there and return the rows it wrote."""
+def run_available(df: DataFrame, mode: str = "append", state: str | None = None) -> DataFrame:
+    """Run a stream over what is there and return the rows it wrote.
+
+    Each batch is a folder of its number, written anew if the batch is tried again, so no
+    row comes twice.  A source without rows gives an empty table.
+    """
     spark = df.sparkSession
-    out = shared(spark, "stream")
+    out, kind = shared_dir(spark, "stream"), df.schema
+    state = state or shared_dir(spark, "stream-state")
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("_batch", F.lit(number)).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    query = df.writeStream.outputMode(mode).option("checkpointLocation", shared(spark, "stream-state")).trigger(availableNow=True).foreachBatch(write).start()
+    query = df.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
-    return spark.read.parquet(out)
+    spark.createDataFrame([], kind).write.mode("append").parquet(f"{out}/batch=-1")
+    return spark.read.option("basePath", out).parquet(f"{out}/batch=*")
+
+
+def closed_bursts(events: DataFrame, gap: str, late: str) -> DataFrame:
+    """``live_bursts`` of all that is there: closed sessions as the stream wrote them, and open ones from its state."""
+    spark = events.sparkSession
+    state = shared_dir(spark, "stream-state")
+    closed = run_available(live_bursts(events, gap, late), state=state).drop("batch")
+    value = F.col("value")
+    left = spark.read.format("statestore").load(state)
+    left = left.select(value["user_id"].alias("user_id"), value["event_type"].alias("event_type"), value["session_window"]["start"].alias("start_ts"), value["max"].alias("end_ts"), value["count"].alias("n"))
+    return closed.unionByName(left)
