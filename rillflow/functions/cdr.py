@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 NAMES = 4096
 
@@ -50,48 +50,115 @@ def header_stamp(raw: Column) -> Column:
     return F.when((F.length(raw) >= 12) & (sec > 0) & (sec < 2**31) & (nanosec < 1_000_000_000), sec * 1_000_000_000 + nanosec)
 
 
-def _read_joint_state(raw: bytes | None) -> dict | None:
-    try:
-        o = "<" if raw[1] & 1 else ">"
-        body, at = memoryview(raw)[4:], 8
-
-        def number(kind: str, size: int, n: int = 1):
-            nonlocal at
-            at += -at % size
-            out = np.frombuffer(body, f"{o}{kind}{size}", n, at)
-            at += n * size
-            return out
-
-        def text() -> str:
-            nonlocal at
-            n = int(number("u", 4)[0])
-            if at + n > len(body):
-                raise ValueError
-            out = bytes(body[at : at + max(n - 1, 0)]).decode("utf-8", "replace")
-            at += n
-            return out
-
-        text()
-        n = int(number("u", 4)[0])
-        if n > NAMES:
-            return None
-        out = {"name": [text() for _ in range(n)]}
-        for field in ("position", "velocity", "effort"):
-            k = int(number("u", 4)[0])
-            out[field] = number("f", 8, k).astype(float).tolist() if k else []
+class _Body:
+    """Reads the fields of a message after its 4 leading bytes; alignment counts from there."""
+
+    def __init__(self, raw: bytes):
+        if len(raw) < 4:
+            raise ValueError("no message")
+        self.order, self.body, self.at = "<" if raw[1] & 1 else ">", memoryview(raw)[4:], 0
+
+    def numbers(self, kind: str, size: int, n: int = 1) -> np.ndarray:
+        self.at += -self.at % size if n else 0
+        out = np.frombuffer(self.body, f"{self.order}{kind}{size}", n, self.at) if n else np.zeros(0)
+        self.at += n * size
         return out
+
+    def uint(self) -> int:
+        return int(self.numbers("u", 4)[0])
+
+    def text(self) -> str:
+        n = self.uint()
+        if self.at + n > len(self.body):
+            raise ValueError("text beyond the end")
+        out = bytes(self.body[self.at : self.at + max(n - 1, 0)]).decode("utf-8", "replace")
+        self.at += n
+        return out
+
+    def stamp(self) -> int | None:
+        """Nanoseconds of a header, whose frame name is passed over."""
+        sec, nanosec = int(self.numbers("i", 4)[0]), self.uint()
+        self.text()
+        return sec * 1_000_000_000 + nanosec if sec > 0 and nanosec < 1_000_000_000 else None
+
+    def sequence(self, size: int) -> list[float]:
+        return self.numbers("f", size, self.uint()).astype(float).tolist()
+
+
+def _joint_state(b: _Body) -> dict | None:
+    out = {"stamp_ns": b.stamp()}
+    n = b.uint()
+    if n > NAMES:
+        return None
+    out["name"] = [b.text() for _ in range(n)]
+    out |= {f: b.sequence(8) for f in ("position", "velocity", "effort")}
+    return out | {"trailing": len(b.body) - b.at}
+
+
+def _multi_array(b: _Body) -> dict:
+    for _ in range(b.uint()):  # dimensions: label, size, stride
+        b.text()
+        b.uint()
+        b.uint()
+    b.uint()  # offset of the data
+    return {"data": b.sequence(4)}
+
+
+def _read(raw: bytes | None, reader) -> dict | None:
+    """The fields of a message; null if it is broken."""
+    try:
+        return reader(_Body(raw)) if raw is not None else None
     except (ValueError, TypeError, IndexError, struct.error):
         return None
 
 
-def parse_joint_state():
-    """A pandas function from messages to names, positions, velocities, efforts; null for broken ones."""
-    doubles = ArrayType(DoubleType())
-    kind = StructType([StructField("name", ArrayType(StringType()))] + [StructField(f, doubles) for f in ("position", "velocity", "effort")])
+def _parser(fields: dict, reader):
+    """A pandas function from messages to a struct of ``fields``, all null for broken ones."""
+    kind = StructType([StructField(k, v) for k, v in fields.items()])
 
     @F.pandas_udf(kind)
     def parse(raw: pd.Series) -> pd.DataFrame:
-        rows = [_read_joint_state(r) or {} for r in raw]
-        return pd.DataFrame({f: [r.get(f) for r in rows] for f in ("name", "position", "velocity", "effort")})
+        rows = [_read(r, reader) or {} for r in raw]
+        return pd.DataFrame({f: pd.Series([r.get(f) for r in rows], dtype=object) for f in fields})
 
     return parse
+
+
+DOUBLES = ArrayType(DoubleType())
+
+
+def parse_joint_state():
+    """stamp_ns, name, position, velocity, effort and trailing: bytes after the message, which a strict reader refuses."""
+    fields = {"stamp_ns": LongType(), "name": ArrayType(StringType()), "position": DOUBLES, "velocity": DOUBLES, "effort": DOUBLES, "trailing": IntegerType()}
+    return _parser(fields, _joint_state)
+
+
+def parse_joint_command(dim: int):
+    """stamp_ns and position of a command with ``dim`` values."""
+    return _parser({"stamp_ns": LongType(), "position": DOUBLES}, lambda b: {"stamp_ns": b.stamp(), "position": b.numbers("f", 8, dim).astype(float).tolist()})
+
+
+def parse_float():
+    """value of a message that is one 32-bit number and has no header."""
+    return _parser({"value": DoubleType()}, lambda b: {"value": float(b.numbers("f", 4)[0])})
+
+
+def parse_float_array():
+    """data of an array of 32-bit numbers; its layout is passed over."""
+    return _parser({"data": DOUBLES}, _multi_array)
+
+
+@F.pandas_udf(BinaryType())
+def _written(position: pd.Series, velocity: pd.Series) -> pd.Series:
+    return pd.Series([joint_state([f"j{i}" for i in range(len(p))], list(p), list(v)) for p, v in zip(position, velocity, strict=True)])
+
+
+def write_joint_states():
+    """A pandas function from positions and velocities to joint messages; joints are named by number."""
+    return _written
+
+
+def decode_report(parsed: Column) -> list[Column]:
+    """Aggregates of ``parse_joint_state``: messages, broken ones, and those that only a tolerant reader takes."""
+    broken = parsed["name"].isNull()
+    return [F.count("*").alias("n"), F.count_if(broken).alias("broken"), F.count_if(parsed["trailing"] > 0).alias("tolerant")]
