@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, FloatType, StringType
 
 SIZE, SIGMA = 11, 1.5
 C1, C2 = (0.01 * 255) ** 2, (0.03 * 255) ** 2
@@ -27,7 +27,9 @@ def _smooth(x: np.ndarray) -> np.ndarray:
 
 
 def ssim(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Mean structural similarity of stacks of single-channel frames (n, h, w)."""
+    """Mean structural similarity of stacks of frames (n, h, w), or of each channel (n, h, w, channels) in the mean."""
+    if a.ndim == 4:
+        return np.mean([ssim(a[..., c], b[..., c]) for c in range(a.shape[3])], axis=0)
     a, b = a.astype(np.float64), b.astype(np.float64)
     ma, mb = _smooth(a), _smooth(b)
     va, vb, cab = _smooth(a * a) - ma * ma, _smooth(b * b) - mb * mb, _smooth(a * b) - ma * mb
@@ -51,28 +53,79 @@ def ssim_rows(vectors: DataFrame) -> DataFrame:
     return vectors.select("vec_id", "embedding").mapInPandas(run, "vec_id long, ssim double")
 
 
-def letterbox(frames: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Nearest-neighbour resize by one factor, centred on zeros."""
-    n, h, w = frames.shape
+def crop(frames: np.ndarray, left: int, top: int, right: int, bottom: int) -> np.ndarray:
+    """A tile of a mosaic, by pixels (see ``tile_bounds``)."""
+    return frames[:, top:bottom, left:right]
+
+
+def bilinear(frames: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Linear resize with pixel centres at halves, edges repeated; 8-bit frames are rounded half up."""
+
+    def taps(size: int, new: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = (np.arange(new) + 0.5) * size / new - 0.5
+        low = np.floor(at).astype(int)
+        return np.clip(low, 0, size - 1), np.clip(low + 1, 0, size - 1), at - low
+
+    (y0, y1, fy), (x0, x1, fx) = taps(frames.shape[1], height), taps(frames.shape[2], width)
+    tail = (1,) * (frames.ndim - 3)
+    x = frames.astype(np.float64)
+    rows = x[:, y0] * (1 - fy).reshape(-1, 1, *tail) + x[:, y1] * fy.reshape(-1, 1, *tail)
+    out = rows[:, :, x0] * (1 - fx).reshape(-1, *tail) + rows[:, :, x1] * fx.reshape(-1, *tail)
+    return np.floor(out + 0.5).astype(np.uint8) if frames.dtype == np.uint8 else out.astype(frames.dtype)
+
+
+def nearest(frames: np.ndarray, height: int, width: int) -> np.ndarray:
+    h, w = frames.shape[1:3]
+    rows = np.minimum((np.arange(height) * h / height).astype(int), h - 1)
+    cols = np.minimum((np.arange(width) * w / width).astype(int), w - 1)
+    return frames[:, rows][:, :, cols]
+
+
+def letterbox(frames: np.ndarray, height: int, width: int, resize=nearest) -> np.ndarray:
+    """Frames (n, h, w) or (n, h, w, channels) resized by one factor and centred on zeros; depth takes ``nearest``, colour ``bilinear``."""
+    n, h, w = frames.shape[:3]
     scale = min(width / w, height / h)
     nh, nw = max(1, round(h * scale)), max(1, round(w * scale))
-    rows = np.minimum((np.arange(nh) * h / nh).astype(int), h - 1)
-    cols = np.minimum((np.arange(nw) * w / nw).astype(int), w - 1)
-    out = np.zeros((n, height, width), frames.dtype)
+    out = np.zeros((n, height, width, *frames.shape[3:]), frames.dtype)
     top, left = (height - nh) // 2, (width - nw) // 2
-    out[:, top : top + nh, left : left + nw] = frames[:, rows][:, :, cols]
+    out[:, top : top + nh, left : left + nw] = resize(frames, nh, nw)
     return out
 
 
 def crop_resize_rows(vectors: DataFrame) -> DataFrame:
-    """vec_id, pixels, total of 8 x 8 tiles letterboxed to 12 x 20."""
+    """vec_id, pixels, total of 8 x 8 tiles letterboxed to 12 x 20, and total of their middle 4 x 4 resized linearly to 6 x 6."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = letterbox(_tiles(batch["embedding"], 8), 12, 20)
-            yield pd.DataFrame({"vec_id": batch["vec_id"], "pixels": (out > 0).sum(axis=(1, 2)), "total": out.sum(axis=(1, 2))})
+            tiles = _tiles(batch["embedding"], 8)
+            out, middle = letterbox(tiles, 12, 20), bilinear(crop(tiles, 2, 2, 6, 6), 6, 6)
+            yield pd.DataFrame({"vec_id": batch["vec_id"], "pixels": (out > 0).sum(axis=(1, 2)), "total": out.sum(axis=(1, 2)), "middle": middle.sum(axis=(1, 2)).round(6)})
+
+    return vectors.select("vec_id", "embedding").mapInPandas(run, "vec_id long, pixels long, total double, middle double")
+
 
-    return vectors.select("vec_id", "embedding").mapInPandas(run, "vec_id long, pixels long, total double")
+#: Raw colour encodings as channels and their places of red, green and blue.
+COLOURS = {"rgb8": (3, (0, 1, 2)), "bgr8": (3, (2, 1, 0)), "rgba8": (4, (0, 1, 2)), "bgra8": (4, (2, 1, 0)), "mono8": (1, (0, 0, 0)), "8uc1": (1, (0, 0, 0))}
+
+
+@F.pandas_udf(BinaryType())
+def colour_image(data: pd.Series, encoding: pd.Series, height: pd.Series, width: pd.Series, step: pd.Series) -> pd.Series:
+    """Raw images as red, green, blue bytes row by row; ``step`` is the bytes of a row (0: no padding).
+
+    Null for other encodings, sizes that aren't positive, or too few bytes.
+    """
+
+    def one(raw, kind, h, w, row):
+        channels, places = COLOURS.get(str(kind).lower(), (0, ()))
+        if raw is None or not channels or not (h > 0 and w > 0):
+            return None
+        row = int(row) if row and row > 0 else int(w) * channels
+        if row < w * channels or len(raw) != row * h:
+            return None
+        pixels = np.frombuffer(raw, np.uint8).reshape(int(h), row)[:, : int(w) * channels].reshape(int(h), int(w), channels)
+        return np.ascontiguousarray(pixels[:, :, list(places)]).tobytes()
+
+    return pd.Series([one(*r) for r in zip(data, encoding, height, width, step, strict=True)])
 
 
 @F.pandas_udf(StringType())
@@ -92,15 +145,19 @@ def jpeg_subsampling(data: pd.Series) -> pd.Series:
     return data.map(one)
 
 
+#: Depth encodings as number types and metres of a unit.
+DEPTHS = {"16uc1": ("<u2", 0.001), "mono16": ("<u2", 0.001), "32fc1": ("<f4", 1.0), "64fc1": ("<f8", 1.0)}
+
+
 @F.pandas_udf(ArrayType(FloatType()))
 def depth_metres(data: pd.Series, encoding: pd.Series) -> pd.Series:
-    """Depth images as metres: 16-bit millimetres, or floats; not finite or negative is 0."""
+    """Depth images as metres: 16-bit millimetres, or floats; not finite or negative is 0, other encodings are null."""
 
     def one(raw: bytes | None, kind: str | None):
-        if raw is None or kind not in ("16UC1", "32FC1", "64FC1"):
+        number, scale = DEPTHS.get(str(kind).lower(), (None, 0.0))
+        if raw is None or number is None or len(raw) % np.dtype(number).itemsize:
             return None
-        x = np.frombuffer(raw, {"16UC1": "<u2", "32FC1": "<f4", "64FC1": "<f8"}[kind]).astype(np.float32)
-        x = x * np.float32(0.001) if kind == "16UC1" else x
+        x = np.frombuffer(raw, number).astype(np.float32) * np.float32(scale)
         return np.where(np.isfinite(x) & (x >= 0), x, np.float32(0))
 
     return pd.Series([one(r, k) for r, k in zip(data, encoding, strict=True)])

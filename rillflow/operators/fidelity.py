@@ -38,12 +38,39 @@ def summary(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     )
 
 
-def pixel_errors(a: Column, b: Column) -> dict[str, Column]:
-    """Errors of two arrays of 0..255 values; PSNR is infinite for equal ones."""
-    gap = F.zip_with(a, b, lambda x, y: F.abs(x - y).cast("double"))
-    n = F.size(a)
-    total = F.aggregate(gap, F.lit(0.0), lambda s, x: s + x)
-    square = F.aggregate(gap, F.lit(0.0), lambda s, x: s + x * x)
-    mse = square / n
-    same = F.size(F.filter(gap, lambda x: x == 0))
-    return {"mse": mse, "rmse": F.sqrt(mse), "mae": total / n, "psnr_db": F.when(mse == 0, F.lit(float("inf"))).otherwise(10 * F.log10(255.0 * 255.0 / mse)), "max_abs": F.array_max(gap), "unchanged": same / n}
+def pixel_errors(a: Column, b: Column, channels: int = 1) -> dict[str, Column]:
+    """Errors of two arrays of 0..255 values, ``channels`` values a pixel: ``b`` less ``a``; PSNR is infinite for equal ones.
+
+    Percentiles of absolute errors are interpolated; a pixel is unchanged if all its
+    channels are.  With several channels there are mae_i and bias_i of each.
+    """
+    delta = F.zip_with(b, a, lambda x, y: (x - y).cast("double"))
+    gap, n = F.transform(delta, F.abs), F.size(a)
+    ordered = F.array_sort(gap)
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+
+    def at(q: float) -> Column:
+        place = (n - 1) * q
+        low = F.floor(place).cast("int")
+        x, y = F.get(ordered, low), F.get(ordered, F.least(low + 1, n - 1))
+        return x + (y - x) * (place - low)
+
+    mse = total(F.transform(gap, lambda x: x * x)) / n
+    pixels = F.sequence(F.lit(0), (n / channels).cast("int") - 1)
+    changed = lambda p: F.array_max(F.slice(gap, p * channels + 1, F.lit(channels))) > 0
+    out = {
+        "mse": mse,
+        "rmse": F.sqrt(mse),
+        "mae": total(gap) / n,
+        "psnr_db": F.when(mse == 0, F.lit(float("inf"))).otherwise(10 * F.log10(255.0 * 255.0 / mse)),
+        "max_abs": F.array_max(gap),
+        "p95_abs": at(0.95),
+        "p99_abs": at(0.99),
+        "unchanged": F.size(F.filter(pixels, lambda p: ~changed(p))) / (n / channels),
+    }
+    for c in range(channels if channels > 1 else 0):
+        mine = lambda values, c=c: F.filter(values, lambda x, i: i % channels == c)
+        out |= {f"mae_{c}": total(mine(gap)) / (n / channels), f"bias_{c}": total(mine(delta)) / (n / channels)}
+    return out

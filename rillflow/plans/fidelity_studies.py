@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.frames import crop_resize_rows, ssim_rows
 from ..operators import fidelity as fi
+from ..operators.cuts import cut
 from ..operators.qc import half_up, r6
+from ..operators.sequence import numbered
 from ..sources.streams import literal
 from .registry import query, values
 
@@ -159,25 +161,42 @@ def cross_report(spark, sf_dir):
 SELECT v.label, count(r.i) AS paired, v0.n AS frames, n0.n AS reference, CASE WHEN v0.n < n0.n THEN 'early_end' WHEN v0.n > n0.n THEN 'extra_frame' ELSE 'ok' END AS verdict FROM a v LEFT JOIN (SELECT i FROM a WHERE label = 0) r USING (i) JOIN g v0 ON v0.label = v.label CROSS JOIN n0 GROUP BY v.label, v0.n, n0.n""")
 def frame_pairing(spark, sf_dir):
     """Variant frames paired with the reference's by place; unequal lengths are fatal."""
-    a = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn("i", F.row_number().over(W.partitionBy("label").orderBy("vec_id")) - 1)
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("label", F.col("vec_id").cast("long").alias("t"), F.col("vec_id").cast("long").alias("seq"))
+    a = cut(numbered(e, ["label"], "i", 1 << 16).select("label", "i"))
     ref = a.where("label = 0").select("i", F.lit(1).alias("hit"))
-    n0 = a.where("label = 0").agg(F.count("*").alias("reference"))  # one row
-    df = a.join(ref, "i", "left").groupBy("label").agg(F.count("hit").alias("paired"), F.count("*").alias("frames")).join(F.broadcast(n0))
+    n0 = a.where("label = 0").count()
+    df = a.join(ref, "i", "left").groupBy("label").agg(F.count("hit").alias("paired"), F.count("*").alias("frames")).withColumn("reference", F.lit(n0).cast("long"))
     verdict = F.when(F.col("frames") < F.col("reference"), "early_end").when(F.col("frames") > F.col("reference"), "extra_frame").otherwise("ok")
     return df.select("label", "paired", "frames", "reference", verdict.alias("verdict"))
 
 
-FRAMES = [("same", [10, 20, 30, 40], [10, 20, 30, 40]), ("one_off", [10, 20, 30, 40], [11, 20, 30, 40]), ("saturated", [0, 255, 0, 255], [255, 0, 255, 0]), ("mixed", [0, 128, 64, 7], [3, 120, 64, 9])]
+#: A vector as a frame of 0..255 values, three channels a pixel; the other frame is coarser, with a shift in some.
+FRAME = "[CAST(least(greatest(round_even(128 + 40 * CAST(x AS DOUBLE), 0), 0), 255) AS INTEGER) FOR x IN embedding[1:60]]"
+COARSE = "[CASE WHEN vec_id % 5 = 0 THEN x ELSE CAST(least(x // 8 * 8 + vec_id % 4, 255) AS INTEGER) END FOR x IN a]"
+CHANNELS = 3
+EACH = ", ".join(f"round(list_avg(list_transform(range({c + 1}, len(d) + 1, 3), lambda i: abs(d[i]))), 6) AS mae_{c}, round(list_avg(list_transform(range({c + 1}, len(d) + 1, 3), lambda i: d[i])), 6) AS bias_{c}" for c in range(CHANNELS))
 
 
-@query(f"""WITH p AS {values(FRAMES, 'name, a, b')}, g AS (SELECT name, list_transform(list_zip(a, b), lambda z: CAST(abs(z[1] - z[2]) AS DOUBLE)) AS d FROM p), m AS (SELECT name, d, list_sum(list_transform(d, lambda x: x * x)) / len(d) AS mse FROM g)
-SELECT name, mse, round(sqrt(mse), 6) AS rmse, list_sum(d) / len(d) AS mae, CASE WHEN mse = 0 THEN 1e9 ELSE round(10 * log10(65025.0 / mse), 6) END AS psnr_db, list_max(d) AS max_abs, len(list_filter(d, lambda x: x = 0)) / len(d) AS unchanged FROM m""")
+def frame_pairs(spark, sf_dir):
+    """name and two frames, as arrays of values."""
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    level = lambda x: F.least(F.greatest(F.rint(128 + 40 * x.cast("double")), F.lit(0.0)), F.lit(255.0)).cast("int")
+    df = e.select(F.col("vec_id").alias("name"), F.explode(F.array(F.transform(F.slice("embedding", 1, 60), level))).alias("a"))
+    coarse = F.transform("a", lambda x: F.least(F.floor(x / 8) * 8 + F.col("name") % 4, F.lit(255)).cast("int"))
+    return df.select("name", "a", F.explode(F.array(F.when(F.col("name") % 5 == 0, F.col("a")).otherwise(coarse))).alias("b"))
+
+
+@query(f"""WITH p AS (SELECT vec_id, {FRAME} AS a FROM embeddings), q AS (SELECT vec_id, a, {COARSE} AS b FROM p),
+g AS (SELECT vec_id AS name, list_transform(list_zip(a, b), lambda z: CAST(z[2] - z[1] AS DOUBLE)) AS d FROM q),
+m AS (SELECT name, d, list_sort(list_transform(d, lambda x: abs(x))) AS s, list_sum(list_transform(d, lambda x: x * x)) / len(d) AS mse FROM g)
+SELECT name, round(mse, 6) AS mse, round(sqrt(mse), 6) AS rmse, round(list_sum(s) / len(s), 6) AS mae, CASE WHEN mse = 0 THEN 1e9 ELSE round(10 * log10(65025.0 / mse), 6) END AS psnr_db,
+  s[-1] AS max_abs, round(list_aggregate(s, 'quantile_cont', 0.95), 6) AS p95_abs, round(list_aggregate(s, 'quantile_cont', 0.99), 6) AS p99_abs,
+  round(len(list_filter(range(1, len(d) + 1, 3), lambda i: d[i] = 0 AND d[i + 1] = 0 AND d[i + 2] = 0)) / (len(d) / 3), 6) AS unchanged, {EACH} FROM m""")
 def pixel_metrics(spark, sf_dir):
     """Error metrics of frame pairs; an infinite PSNR is shown as 1e9."""
-    df = literal(spark, "name string, a array<int>, b array<int>", FRAMES)
-    e = fi.pixel_errors(F.col("a"), F.col("b"))
-    psnr = F.when(e["mse"] == 0, F.lit(1e9)).otherwise(r6(e["psnr_db"]))
-    return df.select("name", e["mse"].alias("mse"), r6(e["rmse"]).alias("rmse"), e["mae"].alias("mae"), psnr.alias("psnr_db"), e["max_abs"].alias("max_abs"), e["unchanged"].alias("unchanged"))
+    e = fi.pixel_errors(F.col("a"), F.col("b"), CHANNELS)
+    e["psnr_db"] = F.when(e["mse"] == 0, F.lit(1e9)).otherwise(e["psnr_db"])
+    return frame_pairs(spark, sf_dir).select("name", *[r6(v).alias(k) for k, v in e.items()])
 
 
 @query()
