@@ -5,38 +5,53 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field, fields, replace
 
-MODES = ("loop", "capture")
-GAP_POLICIES = ("fail", "hold", "joint-state-fill")
+#: users' settings hold them.
+MODES = ("capture", "lerobot-loop")
+GAP_POLICIES = ("fail", "hold-last-command", "joint-state-fill")
 FRAME_POLICIES = ("fail", "drop")
 MISSING_POLICIES = ("fail", "fill")
+GRID_ANCHORS = ("anchor-camera", "anchor-camera-ticks", "first-command")
 
 
 @dataclass(frozen=True)
 class AlignmentConfig:
     """Tolerances in milliseconds; null ones follow from the frame rate."""
 
-    fps: float = 30.0
-    mode: str = "capture"
+    fps: float = 30
+    mode: str = "lerobot-loop"
     image_tolerance_ms: float | None = None
     state_tolerance_ms: float | None = None
-    action_tolerance_ms: float = 50.0
-    pair_tolerance_ms: float = 5.0
-    action_gap_policy: str = "fail"
+    state_tolerance_periods: float = 1.5
+    action_tolerance_ms: float | None = None
+    action_pair_tolerance_ms: float = 5.0
+    end_effector_tolerance_ms: float = 100.0
+    image_height: int = 0
+    image_width: int = 0
     invalid_frame_policy: str = "fail"
+    include_depth: bool = False
+    max_decode_errors: int = 0
+    action_gap_policy: str = "hold-last-command"
     missing_topic_policy: str = "fail"
-    max_hold_fraction: float = 1.0
+    grid_anchor: str = "anchor-camera-ticks"
+    max_hold_fraction: float | None = None
+    max_hold_run_s: float | None = None
+    max_tick_rate_deviation: float = 0.1
 
     def __post_init__(self) -> None:
-        if self.fps <= 0:
-            raise ValueError("fps must be positive")
-        for name in ("image_tolerance_ms", "state_tolerance_ms", "action_tolerance_ms", "pair_tolerance_ms"):
-            if (getattr(self, name) or 0) < 0:
-                raise ValueError(f"{name} must not be negative")
-        if not 0 <= self.max_hold_fraction <= 1:
+        for name in ("fps", "state_tolerance_periods"):
+            if getattr(self, name) <= 0:
+                raise ValueError(f"{name} must be positive")
+        for f in fields(self):
+            if (f.name.endswith("_ms") or f.name.startswith("max_")) and (getattr(self, f.name) or 0) < 0:
+                raise ValueError(f"{f.name} must not be negative")
+        if bool(self.image_height) != bool(self.image_width):
+            raise ValueError("image_height and image_width must both be given or both be zero")
+        if (self.max_hold_fraction or 0) > 1:
             raise ValueError("max_hold_fraction must be between 0 and 1")
-        for name, allowed in (("mode", MODES), ("action_gap_policy", GAP_POLICIES), ("invalid_frame_policy", FRAME_POLICIES), ("missing_topic_policy", MISSING_POLICIES)):
-            if getattr(self, name) not in allowed:
-                raise ValueError(f"{name} must be one of {', '.join(allowed)}")
+        allowed = {"mode": MODES, "action_gap_policy": GAP_POLICIES, "invalid_frame_policy": FRAME_POLICIES, "missing_topic_policy": MISSING_POLICIES, "grid_anchor": GRID_ANCHORS}
+        for name, values in allowed.items():
+            if getattr(self, name) not in values:
+                raise ValueError(f"{name} must be one of {', '.join(values)}")
         if self.missing_topic_policy == "fill" and self.action_gap_policy != "joint-state-fill":
             raise ValueError("missing topics can be filled only with action_gap_policy joint-state-fill")
 
@@ -46,10 +61,34 @@ class AlignmentConfig:
             return self.image_tolerance_ms
         return (500 if self.mode == "capture" else 1500) / self.fps
 
-    def state_tolerance(self, median_period_ms: float, periods: float = 3.0) -> float:
+    def action_tolerance(self) -> float:
+        return self.action_tolerance_ms if self.action_tolerance_ms is not None else 1000 / self.fps
+
+    def state_tolerance(self, median_period_ms: float) -> float:
         if self.state_tolerance_ms is not None:
             return self.state_tolerance_ms
-        return max(periods * median_period_ms, 500 / self.fps, 1.0)
+        return max(self.state_tolerance_periods * median_period_ms, 500 / self.fps, 1.0)
+
+
+@dataclass(frozen=True)
+class QualityLimits:
+    """Thresholds of a recording's verdict."""
+
+    gap_factor: float = 1.5
+    warn_drop_ratio: float = 0.01
+    fail_drop_ratio: float = 0.05
+    sync_warn_ms: float = 20.0
+    warn_latency_ms: float = 100.0
+    fail_latency_ms: float = 500.0
+    command_gap_warn_s: float = 1.0
+
+    def __post_init__(self) -> None:
+        if self.gap_factor <= 1:
+            raise ValueError("gap_factor must be greater than 1")
+        if not 0 <= self.warn_drop_ratio <= self.fail_drop_ratio <= 1:
+            raise ValueError("drop ratios must rise from warn to fail, between 0 and 1")
+        if not 0 <= self.warn_latency_ms <= self.fail_latency_ms:
+            raise ValueError("latencies must rise from warn to fail")
 
 
 @dataclass(frozen=True)
@@ -89,6 +128,23 @@ class Profile:
         return out
 
 
+#: Fields of a recipe beside its alignment, and of its video block.
+RECIPE_FIELDS = {"name", "description", "storage", "profile", "cameras", "depths", "anchor_camera", "robot_type", "alignment", "video", "notes", "_comment"}
+VIDEO_FIELDS = {"codec", "pixel_format", "crf", "gop", "preset", "fast_decode", "encoder_threads"}
+
+
+def load_recipe(text: str) -> dict:
+    """A recipe from JSON: a profile's name with defaults of alignment and video; unknown fields are errors."""
+    doc = json.loads(text)
+    if "profile" not in doc:
+        raise ValueError("a recipe names a profile")
+    own = {f.name for f in fields(AlignmentConfig)}
+    for where, known, found in (("recipe", RECIPE_FIELDS, doc), ("alignment", own, doc.get("alignment") or {}), ("video", VIDEO_FIELDS, doc.get("video") or {})):
+        if unknown := set(found) - known:
+            raise ValueError(f"unknown {where} fields: {', '.join(sorted(unknown))}")
+    return doc
+
+
 def layered(base: AlignmentConfig, recipe: dict | None = None, given: dict | None = None) -> AlignmentConfig:
     """A setting that was given, else the recipe's, else the default; nulls count as not given."""
     for layer in (recipe, given):

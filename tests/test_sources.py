@@ -1,16 +1,32 @@
+import json
+import os
+
 import pytest
 
-from rillflow.sources.config import AlignmentConfig, Profile, layered, name_and_topic
-from rillflow.sources.discovery import episodes, listing, newest, recordings
+from rillflow.plans.episodes import indexed
+from rillflow.sources import repair
+from rillflow.sources.config import AlignmentConfig, Profile, QualityLimits, layered, load_recipe, name_and_topic
+from rillflow.sources.discovery import datasets, episodes, find_recordings, listing, newest, ordered, recordings
 
 
 def test_settings_are_checked():
-    assert AlignmentConfig().image_tolerance() == 500 / 30 and AlignmentConfig(mode="loop").image_tolerance() == 50
-    assert AlignmentConfig().state_tolerance(10.0) == 30.0
-    for bad in ({"fps": 0}, {"mode": "x"}, {"action_tolerance_ms": -1}, {"max_hold_fraction": 1.5}, {"missing_topic_policy": "fill"}):
+    assert AlignmentConfig(mode="capture").image_tolerance() == 500 / 30 and AlignmentConfig().image_tolerance() == 50
+    assert AlignmentConfig().state_tolerance(20.0) == 30.0 and AlignmentConfig().state_tolerance(1.0) == 500 / 30 and AlignmentConfig().action_tolerance() == 1000 / 30
+    bad = [{"fps": 0}, {"mode": "x"}, {"action_tolerance_ms": -1}, {"max_hold_fraction": 1.5}, {"missing_topic_policy": "fill"}, {"grid_anchor": "x"}, {"image_height": 5}]
+    for settings in [*bad, {"max_decode_errors": -1}, {"state_tolerance_periods": 0}, {"max_tick_rate_deviation": -0.1}]:
+        with pytest.raises(ValueError):
+            AlignmentConfig(**settings)
+    assert layered(AlignmentConfig(), {"fps": 20.0, "mode": "capture"}, {"fps": 25.0, "mode": None}) == AlignmentConfig(fps=25.0, mode="capture")
+    for settings in ({"gap_factor": 1}, {"warn_drop_ratio": 0.5}, {"warn_latency_ms": 900}):
+        with pytest.raises(ValueError):
+            QualityLimits(**settings)
+
+
+def test_recipe():
+    assert load_recipe('{"profile": "arm", "alignment": {"fps": 20}, "video": {"crf": 20}}')["alignment"] == {"fps": 20}
+    for text in ("{}", '{"profile": "a", "colour": 1}', '{"profile": "a", "alignment": {"speed": 1}}', '{"profile": "a", "video": {"fps": 1}}'):
         with pytest.raises(ValueError):
-            AlignmentConfig(**bad)
-    assert layered(AlignmentConfig(), {"fps": 20.0, "mode": "loop"}, {"fps": 25.0, "mode": None}) == AlignmentConfig(fps=25.0, mode="loop")
+            load_recipe(text)
 
 
 def test_profile():
@@ -32,4 +48,44 @@ def test_discovery(spark, tmp_path):
     files = listing(spark, str(tmp_path))
     got = {r.bag.rpartition("/")[2]: r.storage for r in recordings(files).collect()}
     assert got == {"one": "mcap", "two": "sqlite3", "three": "unknown"}
-    assert episodes(files).count() == 2 and newest(recordings(files), 2).count() == 2
+    assert episodes(files).count() == 2
+    assert [r.bag.rpartition("/")[2] for r in find_recordings(spark, str(tmp_path / "one" / "a.mcap")).collect()] == ["one"]
+    with pytest.raises(ValueError):
+        find_recordings(spark, str(tmp_path / "e" / "3.txt"))
+    for i, f in enumerate(("one/a.mcap", "two/y.mcap", "two/x.db3", "two/metadata.yaml", "three/metadata.yaml")):
+        os.utime(tmp_path / f, (1000 - i, 1000 - i))
+    found, name = recordings(listing(spark, str(tmp_path))), lambda rows: [r.bag.rpartition("/")[2] for r in rows.collect()]
+    assert name(newest(found)) == ["one"] and name(newest(found, 2)) == ["one", "two"]
+    assert name(ordered(found, 2, "mtime")) == ["three", "two"] and name(ordered(found)) == ["one", "three", "two"] and name(ordered(found, -1)) == ["one", "three", "two"]
+    with pytest.raises(ValueError):
+        ordered(found, 1, "size")
+
+
+def test_datasets(spark, tmp_path):
+    for d, files in {"org/a": {"info": {"total_frames": 5, "fps": 30}}, "org/b": {"info": {"repo_id": "x/b"}}, "org/c": {"info": {"repo_id": "x/c"}, "conversion_manifest": {"repo_id": "y/c"}}}.items():
+        (tmp_path / d / "meta").mkdir(parents=True)
+        for name, doc in files.items():
+            (tmp_path / d / "meta" / f"{name}.json").write_text(json.dumps(doc))
+    got = {(r.repo_id, r.origin, r.frames) for r in datasets(spark, str(tmp_path)).collect()}
+    assert got == {("org/a", "path", 5), ("x/b", "info", None), ("y/c", "manifest", None)}
+
+
+def test_repair(spark, tmp_path):
+    """Three shards, the second without a footer: only the first counts, and episodes past the last whole one are trimmed."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    shards = tmp_path / "data" / "chunk-000"
+    shards.mkdir(parents=True)
+    (tmp_path / "meta").mkdir()
+    for i, episodes_ in enumerate([[0, 0, 0, 1, 1, 2], [3, 3], [4]]):
+        pq.write_table(pa.table({"episode_index": episodes_, "task_index": [e % 2 for e in episodes_]}), shards / f"file-{i:03d}.parquet")
+    assert repair.frames(spark, str(tmp_path)).count() == 0  # no tasks table: nothing was finished
+    pq.write_table(pa.table({"task_index": [0, 1]}), tmp_path / "meta" / "tasks.parquet")
+    broken = shards / "file-001.parquet"
+    broken.write_bytes(broken.read_bytes()[:-4])
+    assert {(r.file, r.broken, r.usable) for r in repair.readable(repair.probed(spark, str(tmp_path))).collect()} == {(0, False, True), (1, True, False), (2, False, False)}
+    index = sorted((r.episode, r.length, r.from_idx, r.to_idx, r.tasks, r.file) for r in indexed(repair.frames(spark, str(tmp_path))).collect())
+    assert index == [(0, 3, 0, 3, [0], 0), (1, 2, 3, 5, [1], 0), (2, 1, 5, 6, [0], 0)]
+    assert repair.trimmed(spark, str(tmp_path), 1, str(tmp_path / "new")) == 1
+    assert spark.read.parquet(str(tmp_path / "new")).count() == 5
