@@ -26,6 +26,20 @@ def text_words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+def word_count(text: Column) -> Column:
+    """The number of words; only the pieces at the ends of a split can be empty."""
+    parts = F.split(F.coalesce(text, F.lit("")), SPACES)
+    n = F.size(parts)
+    return n - (F.get(parts, F.lit(0)) == "").cast("int") - ((n > 1) & (F.get(parts, n - 1) == "")).cast("int")
+
+
+def without(text: Column, marks: str) -> Column:
+    """``text`` without some characters; several times as fast as ``translate``, which looks up each character."""
+    for c in marks:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
+
+
 def least_hashes(rows: DataFrame, total: int, limit: int, *key: str) -> DataFrame:
     """At most ``limit`` of the ``total`` rows, those whose keys have the least hashes.
 

@@ -2,9 +2,10 @@
 
 P(grade > j) = sigmoid(w . x - cut_j) with one sparse weight vector shared by all
 thresholds and increasing cuts.  x marks which hashed words and stems a text has.
-Labels say toxic or not, so grades are made in two steps: a fit of one threshold
-scores the toxic rows, those under the median score are grade 1 and the others grade
-2; then all thresholds are fitted together.  Weights are fitted on a bounded sample by
+Labels say toxic or not; no severity is labelled.  So the grades of toxic rows are
+derived, in two steps: a fit of one threshold scores the toxic rows, those under the
+median score are grade 1 and the others grade 2; then all thresholds are fitted
+together.  Severity thus ranks by what tells toxic rows from others, no more.  Weights are fitted on a bounded sample by
 proximal gradient steps with an L1 penalty, which leaves the few words that tell
 grades apart; scoring streams over all texts.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import MARKS, mixed, text_slices, word_bounds, word_hashes
-from .tables import cut
+from .tables import cut, drop, least_hashes
 
 #: Hashed word features (a power of two), labelled rows that are fitted on at most, grades.
 BUCKETS, TRAINING_ROWS, GRADES = 1 << 20, 20_000, 3
@@ -129,10 +130,10 @@ class CumulativeLink:
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> DataFrame:
     """toxic, text of at most ``limit`` labelled documents, those whose ids have the least hashes."""
-    toxic = F.col("toxic").cast("int")
-    one = labels.where(toxic.isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(toxic).alias("grade"))
-    one = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)  # no more than the bound, so small enough to broadcast
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(one), "doc_id").select("grade", "text")
+    toxic, doc = F.col("toxic").cast("int"), F.col("doc_id").cast("long").alias("doc_id")
+    one = labels.where(toxic.isNotNull() & F.col("doc_id").isNotNull()).groupBy(doc).agg(F.max(toxic).alias("grade"))
+    one = least_hashes(one, one.count(), limit, "doc_id")  # no more than the bound, so small enough to broadcast
+    return docs.select(doc, F.col("text").cast("string").alias("text")).join(F.broadcast(one), "doc_id").select("grade", "text")
 
 
 def fit_rows(rows: list[np.ndarray], toxic: np.ndarray) -> CumulativeLink:
@@ -150,7 +151,9 @@ def fit_rows(rows: list[np.ndarray], toxic: np.ndarray) -> CumulativeLink:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> CumulativeLink:
     """The model of the labelled rows; their sparse features, not their texts, come to the driver."""
-    found = cut(training_rows(docs, labels, limit).mapInArrow(_sparse, "grade int, words array<int>")).toArrow()
+    table = cut(training_rows(docs, labels, limit).mapInArrow(_sparse, "grade int, words array<int>"))
+    found = table.toArrow()
+    drop(table)
     words = found["words"].combine_chunks()
     flat, bounds = words.values.to_numpy(zero_copy_only=False), words.offsets.to_numpy()
     return fit_rows([flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], found["grade"].to_numpy())
