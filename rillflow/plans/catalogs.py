@@ -54,7 +54,7 @@ def catalog_merge(spark, sf_dir):
 # --- nodes ----------------------------------------------------------------------
 
 NODE = """s_suppkey AS node, CASE s_suppkey % 6 WHEN 0 THEN 'idle*' WHEN 1 THEN 'ALLOCATED' WHEN 2 THEN NULL ELSE 'idle' END AS state,
- '24000, ' || CAST(10000 + s_suppkey * 37 % 14000 AS STRING) || ', ' || CAST(CASE WHEN s_suppkey % 5 = 0 THEN 2 ELSE 0 END AS STRING) AS gpu"""
+ '24000, ' || CAST(10000 + s_suppkey * 3700 % 14000 AS STRING) || ', ' || CAST(CASE WHEN s_suppkey % 5 = 0 THEN 2 ELSE 0 END AS STRING) AS gpu"""
 #: What is asked of a node: the preferred one, excluded ones, least free memory in MB.
 PREFERRED, EXCLUDED, LEAST_MB = 3, (4, 9), 12000
 NODE_SQL = f"""s AS (SELECT node, coalesce(rtrim(lower(state), '*'), 'unknown') AS state, CAST(trim(string_split(gpu, ',')[1]) AS BIGINT) AS total_mb,
@@ -159,7 +159,7 @@ def layout_summary(spark, sf_dir):
 
 
 #: Cached entries of a node, and the bytes that have to be free.
-ENTRY = "o_orderstatus AS node, o_orderkey AS entry, CAST(o_totalprice AS BIGINT) AS bytes, CASE WHEN o_orderkey % 50 > 0 THEN o_custkey % 300 END AS mtime"
+ENTRY = "o_orderstatus AS node, o_orderkey AS entry, CAST(floor(o_totalprice) AS BIGINT) AS bytes, CASE WHEN o_orderkey % 50 > 0 THEN o_custkey % 300 END AS mtime"
 NEEDED = 5_000_000
 
 
