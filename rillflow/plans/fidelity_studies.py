@@ -33,11 +33,15 @@ e AS (SELECT vec_id, label, list_sum(list_transform(list_zip(embedding, r), lamb
 c AS (SELECT vec_id, label, ab / greatest(sqrt(aa) * sqrt(bb), 1e-8) AS cos, sqrt(dd) / greatest(sqrt(bb), 1e-8) AS rel FROM e)"""
 
 
+def reference(e):
+    """The reference vector, as one row whatever the table holds."""
+    return e.where("vec_id = 0").agg(F.first("embedding", True).alias("r"))
+
+
 def drift_rows(spark, sf_dir):
-    """Every vector against the reference vector (one row, broadcast)."""
+    """Every vector against the reference vector."""
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    ref = e.where("vec_id = 0").select(F.col("embedding").alias("r"))
-    df = e.join(F.broadcast(ref))
+    df = e.join(F.broadcast(reference(e)))
     return df.select("vec_id", "label", fi.cosine(F.col("embedding"), F.col("r")).alias("cos"), fi.relative_l2(F.col("embedding"), F.col("r")).alias("rel"))
 
 
@@ -54,17 +58,46 @@ def embedding_drift(spark, sf_dir):
     )
 
 
-@query("""WITH t AS (SELECT vec_id, label, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM embeddings), ref AS (SELECT i, v AS r FROM t WHERE vec_id = 0), g AS (SELECT vec_id, label, CAST(floor(i / 8) AS BIGINT) AS token, sum(CAST(v AS DOUBLE) * r) / greatest(sqrt(sum(CAST(v AS DOUBLE) * v)) * sqrt(sum(CAST(r AS DOUBLE) * r)), 1e-8) AS cos FROM t JOIN ref USING (i) GROUP BY vec_id, label, floor(i / 8))
-SELECT label AS variant, count(*) AS tokens, round(avg(cos), 4) AS cos_mean, round(quantile_cont(cos, 0.05), 4) AS cos_p05, round(min(cos), 4) AS cos_min FROM g GROUP BY label""")
+TOKENS = """t AS (SELECT vec_id, label, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM embeddings), ref AS (SELECT i, v AS r FROM t WHERE vec_id = 0),
+g AS (SELECT vec_id, label, CAST(floor(i / 8) AS BIGINT) AS token, sum(CAST(v AS DOUBLE) * r) / greatest(sqrt(sum(CAST(v AS DOUBLE) * v)) * sqrt(sum(CAST(r AS DOUBLE) * r)), 1e-8) AS cos,
+  sqrt(sum((CAST(v AS DOUBLE) - r) * (CAST(v AS DOUBLE) - r))) / greatest(sqrt(sum(CAST(r AS DOUBLE) * r)), 1e-8) AS rel FROM t JOIN ref USING (i) GROUP BY vec_id, label, floor(i / 8)),
+p AS (SELECT vec_id, label, i % 8 AS j, avg(CAST(v AS DOUBLE)) AS v, avg(CAST(r AS DOUBLE)) AS r FROM t JOIN ref USING (i) GROUP BY vec_id, label, i % 8),
+q AS (SELECT vec_id, label, sum(v * r) / greatest(sqrt(sum(v * v)) * sqrt(sum(r * r)), 1e-8) AS cos FROM p GROUP BY vec_id, label),
+qs AS (SELECT label, round(avg(cos), 4) AS mean_patch_cos FROM q GROUP BY label)"""
+
+
+@query(f"""WITH {TOKENS} SELECT g.label AS variant, count(*) AS tokens, round(avg(cos), 4) AS cos_mean, round(quantile_cont(cos, 0.05), 4) AS cos_p05, round(min(cos), 4) AS cos_min,
+  round(avg(rel), 4) AS rel_l2_mean, round(quantile_cont(rel, 0.95), 4) AS rel_l2_p95, round(max(rel), 4) AS rel_l2_max, any_value(mean_patch_cos) AS mean_patch_cos FROM g JOIN qs USING (label) GROUP BY g.label""")
 def token_drift(spark, sf_dir):
-    """Tokens of eight values each; every token against the reference's token of the same place."""
+    """Tokens of eight values each against the reference's token of the same place, and mean tokens against its mean token."""
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     token = lambda c, i: F.slice(c, i * 8 + 1, 8)
     places = F.sequence(F.lit(0), F.floor(F.size("embedding") / 8).cast("int") - 1)
-    df = e.join(F.broadcast(e.where("vec_id = 0").select(F.col("embedding").alias("r"))))
-    df = df.select("label", "embedding", "r", F.explode(places).alias("i")).select("label", fi.cosine(token(F.col("embedding"), F.col("i")), token(F.col("r"), F.col("i"))).alias("cos"))
+    both = e.join(F.broadcast(reference(e)))
+    df = both.select("label", "embedding", "r", F.explode(places).alias("i"))
+    a, b = token(F.col("embedding"), F.col("i")), token(F.col("r"), F.col("i"))
+    df = df.select("label", fi.cosine(a, b).alias("cos"), fi.relative_l2(a, b).alias("rel"))
     r4 = lambda c: half_up(c, 4)
-    return df.groupBy(F.col("label").alias("variant")).agg(F.count("*").alias("tokens"), r4(F.avg("cos")).alias("cos_mean"), r4(F.percentile("cos", 0.05)).alias("cos_p05"), r4(F.min("cos")).alias("cos_min"))
+    each = df.groupBy(F.col("label").alias("variant")).agg(
+        F.count("*").alias("tokens"), r4(F.avg("cos")).alias("cos_mean"), r4(F.percentile("cos", 0.05)).alias("cos_p05"), r4(F.min("cos")).alias("cos_min"),
+        r4(F.avg("rel")).alias("rel_l2_mean"), r4(F.percentile("rel", 0.95)).alias("rel_l2_p95"), r4(F.max("rel")).alias("rel_l2_max"),
+    )
+
+    def mean_token(c: str):
+        n = F.floor(F.size(c) / 8)
+        own = lambda j: F.filter(F.col(c), lambda x, i: i % 8 == j)
+        return F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: F.aggregate(own(j), F.lit(0.0), lambda t, x: t + x.cast("double")) / n)
+
+    means = both.select("label", fi.cosine(mean_token("embedding"), mean_token("r")).alias("cos"))
+    means = means.groupBy(F.col("label").alias("variant")).agg(r4(F.avg("cos")).alias("mean_patch_cos"))
+    return each.join(means, "variant")
+
+
+@query(f"WITH {MET} SELECT frame, l_linenumber, l_partkey, round(psnr, 6) AS value FROM x WHERE camera = 'N' AND source = 'O' AND isfinite(psnr)")
+def metric_series(spark, sf_dir):
+    """One metric of one variant and camera, by frame."""
+    df = metric_rows(spark, sf_dir).where((F.col("camera") == "N") & (F.col("source") == "O") & (F.col("psnr") < float("inf")))
+    return df.select("frame", "l_linenumber", "l_partkey", r6(F.col("psnr")).alias("value"))
 
 
 @query(f"WITH {MET}, y AS (SELECT camera, source, CASE WHEN isfinite(psnr) THEN psnr END AS p, isfinite(psnr) AS ok FROM x) SELECT camera, source, count(p) AS n, count(*) FILTER (WHERE NOT ok) AS infinite_frames, round(avg(p), 6) AS mean, round(stddev_pop(p), 6) AS std, round(median(p), 6) AS median, round(min(p), 6) AS low, round(max(p), 6) AS high, round(quantile_cont(p, 0.05), 6) AS p05, round(quantile_cont(p, 0.95), 6) AS p95 FROM y GROUP BY ALL")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.frames import colour_image
 from ..operators import align as al
 from ..operators import qc
 from ..operators.asof import asof, interpolated, nearest
@@ -548,44 +549,71 @@ def bag_report(spark, sf_dir):
     return messages(spark, sf_dir).groupBy("bag_id").agg(F.count("*").alias("messages"), F.count_if(F.col("topic") != "signup").alias("claimed"), F.countDistinct("topic").alias("topics"), F.sum("k").alias("payload"), F.round(F.sum("k") / 1073741824, 12).alias("gib"))
 
 
-def claimed(m):
-    """bag_id, topic, role: what the profile asks of every recording."""
-    return claims_of(m, PROFILE, ("topic", "role"))
-
-
-PROFILE = [("view", "camera"), ("click", "arm_state"), ("purchase", "arm_command"), ("signup", "arm_command"), ("depth", "depth")]
+#: What the profile asks of a recording: topic, role, cameras cut from it, and whether it is optional.
+PROFILE = [
+    ("view", "camera", "head", False), ("mosaic", "camera", "left, right", False), ("click", "arm_state", None, False),
+    ("purchase", "arm_command", None, False), ("signup", "arm_command", None, False), ("depth", "depth", "head", True),
+]
+#: Message types; a recording in three advertises a depth stream, one in four a mosaic, that never spoke.
+TYPES = [("view", "Image"), ("click", "JointState"), ("purchase", "JointCommand"), ("signup", "JointCommand"), ("error", "Image"), ("depth", "Image"), ("mosaic", "Image")]
+SILENT = [("depth", 3), ("mosaic", 4)]
+INVENTORY = f"""p AS {values(PROFILE, "topic, role, cameras, optional")}, ty AS {values(TYPES, "topic, msgtype")}, bags AS (SELECT DISTINCT bag_id FROM m),
+seen AS (SELECT bag_id, topic, count(*) AS n, min(t) AS a, max(t) AS b FROM m GROUP BY ALL
+  UNION ALL SELECT bag_id, topic, 0, NULL, NULL FROM bags CROSS JOIN {values(SILENT, "topic, every")} WHERE bag_id % every = 0),
+claims AS (SELECT * FROM bags CROSS JOIN p),
+inv AS (SELECT bag_id, topic, CASE WHEN seen.n IS NULL THEN 'claimed_absent' WHEN role IS NULL THEN 'unclaimed' WHEN seen.n = 0 THEN 'claimed_empty' ELSE 'claimed' END AS status,
+  coalesce(role, '-') AS role, CASE WHEN seen.n IS NULL THEN '-' ELSE msgtype END AS msgtype, coalesce(n, 0) AS n,
+  round(CASE WHEN n >= 2 AND b > a THEN (n - 1) / ((b - a) / 1e6) END, 6) AS hz, cameras, coalesce(optional, true) AS optional
+  FROM claims FULL JOIN seen USING (bag_id, topic) LEFT JOIN ty USING (topic))"""
+
+
+def inventory(spark, m):
+    """One row for each topic that a recording advertises or the profile claims."""
+    claims = claims_of(m, PROFILE, ("topic", "role", "cameras", "optional"))
+    silent = claims_of(m, SILENT, ("topic", "every")).where(F.col("bag_id") % F.col("every") == 0).select("bag_id", "topic", F.lit(0).cast("long").alias("n"), *[F.lit(None).cast("long").alias(c) for c in "ab"])
+    seen = m.groupBy("bag_id", "topic").agg(F.count("*").alias("n"), F.min("t").alias("a"), F.max("t").alias("b")).unionByName(silent)
+    types = F.broadcast(literal(spark, "topic string, msgtype string", TYPES))
+    df = claims.join(seen, ["bag_id", "topic"], "full").join(types, "topic", "left")
+    status = F.when(F.col("n").isNull(), "claimed_absent").when(F.col("role").isNull(), "unclaimed").when(F.col("n") == 0, "claimed_empty").otherwise("claimed")
+    hz = F.when((F.col("n") >= 2) & (F.col("b") > F.col("a")), (F.col("n") - 1) / ((F.col("b") - F.col("a")) / 1e6))
+    kind = F.when(F.col("n").isNull(), "-").otherwise(F.col("msgtype"))
+    shown = F.coalesce("role", F.lit("-")).alias("role"), kind.alias("msgtype"), F.coalesce("n", F.lit(0).cast("long")).alias("n")
+    return df.select("bag_id", "topic", status.alias("status"), *shown, qc.r6(hz).alias("hz"), "cameras", F.coalesce("optional", F.lit(True)).alias("optional"))
 
 
-@query(f"""WITH {M}, p AS {values(PROFILE, 'topic, role')}, bags AS (SELECT DISTINCT bag_id FROM m), claims AS (SELECT bag_id, topic, role FROM bags CROSS JOIN p),
-seen AS (SELECT bag_id, topic, count(*) AS n, min(t) AS a, max(t) AS b FROM m GROUP BY ALL)
-SELECT bag_id, topic, CASE WHEN seen.n IS NULL THEN 'claimed_absent' WHEN role IS NULL THEN 'unclaimed' ELSE 'claimed' END AS status, coalesce(role, '-') AS role, coalesce(n, 0) AS n, round(CASE WHEN n >= 2 AND b > a THEN (n - 1) / ((b - a) / 1e6) END, 6) AS hz
-FROM claims FULL JOIN seen USING (bag_id, topic)""")
+@query(f"WITH {M}, {INVENTORY} SELECT bag_id, topic, status, role, msgtype, n, hz, cameras FROM inv")
 def topic_inventory(spark, sf_dir):
-    m = messages(spark, sf_dir)
-    claims = claimed(m)
-    seen = m.groupBy("bag_id", "topic").agg(F.count("*").alias("n"), F.min("t").alias("a"), F.max("t").alias("b"))
-    df = claims.join(seen, ["bag_id", "topic"], "full")
-    status = F.when(F.col("n").isNull(), "claimed_absent").when(F.col("role").isNull(), "unclaimed").otherwise("claimed")
-    hz = F.when((F.col("n") >= 2) & (F.col("b") > F.col("a")), (F.col("n") - 1) / ((F.col("b") - F.col("a")) / 1e6))
-    return df.select("bag_id", "topic", status.alias("status"), F.coalesce("role", F.lit("-")).alias("role"), F.coalesce("n", F.lit(0).cast("long")).alias("n"), qc.r6(hz).alias("hz"))
+    return inventory(spark, messages(spark, sf_dir)).drop("optional")
 
 
-@query(f"""WITH {M}, p AS {values(PROFILE, 'topic, role')}, bags AS (SELECT DISTINCT bag_id FROM m), seen AS (SELECT DISTINCT bag_id, topic FROM m)
-SELECT bag_id, p.topic, format('{{}} topic {{}} is not advertised by the recording', p.role, p.topic) AS problem FROM bags CROSS JOIN p WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.bag_id = bags.bag_id AND seen.topic = p.topic)""")
+@query(f"""WITH {M}, {INVENTORY}, broken AS (SELECT * FROM inv WHERE status IN ('claimed_absent', 'claimed_empty') AND NOT optional),
+spare AS (SELECT bag_id, string_agg(topic || ' (' || n || ')', ', ' ORDER BY topic) AS spare FROM inv WHERE status = 'unclaimed' AND msgtype = 'Image' GROUP BY bag_id)
+SELECT bag_id, topic, role || ' topic ' || topic || CASE status WHEN 'claimed_absent' THEN ' is not in the recording' ELSE ' has no messages' END || coalesce(' (cameras ' || cameras || ')', '') AS problem,
+  CASE WHEN role = 'camera' THEN 'image topics that the profile leaves out: ' || spare WHEN role = 'arm_command' THEN 'missing_topic_policy fill takes it from the measured state' END AS suggestion
+FROM broken LEFT JOIN spare USING (bag_id)""")
 def inventory_problems(spark, sf_dir):
-    m = messages(spark, sf_dir)
-    claims = claimed(m)
-    gone = claims.join(m.select("bag_id", "topic").distinct(), ["bag_id", "topic"], "left_anti")
-    return gone.select("bag_id", "topic", F.format_string("%s topic %s is not advertised by the recording", "role", "topic").alias("problem"))
+    """What is wrong with a recording's topics, and what would help."""
+    inv = inventory(spark, messages(spark, sf_dir))
+    broken = inv.where("status IN ('claimed_absent', 'claimed_empty') AND NOT optional")
+    spare = inv.where("status = 'unclaimed' AND msgtype = 'Image'").groupBy("bag_id").agg(F.array_join(F.sort_array(F.collect_list(F.format_string("%s (%d)", "topic", "n"))), ", ").alias("spare"))
+    what = F.when(F.col("status") == "claimed_absent", " is not in the recording").otherwise(" has no messages")
+    problem = F.concat("role", F.lit(" topic "), "topic", what, F.coalesce(F.concat(F.lit(" (cameras "), "cameras", F.lit(")")), F.lit("")))
+    help_ = F.when(F.col("role") == "camera", F.concat(F.lit("image topics that the profile leaves out: "), "spare"))
+    help_ = help_.when(F.col("role") == "arm_command", "missing_topic_policy fill takes it from the measured state")
+    return broken.join(spare, "bag_id", "left").select("bag_id", "topic", problem.alias("problem"), help_.alias("suggestion"))
+
 
+FATAL = "role IN ('camera', 'arm_state')"
 
-@query(f"""WITH {M}, p AS {values(PROFILE, 'topic, role')}, bags AS (SELECT DISTINCT bag_id FROM m) SELECT bag_id, p.topic, CASE WHEN role IN ('camera', 'arm_state') THEN 'fatal' ELSE 'absent' END AS outcome FROM bags CROSS JOIN p WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.bag_id = bags.bag_id AND m.topic = p.topic)""")
+
+@query(f"""WITH {M}, {INVENTORY} SELECT bag_id, topic, CASE WHEN {FATAL} OR (role = 'arm_command') THEN 'fatal' ELSE 'absent' END AS under_fail, CASE WHEN {FATAL} THEN 'fatal' ELSE 'absent' END AS under_fill
+FROM inv WHERE status IN ('claimed_absent', 'claimed_empty')""")
 def missing_topics(spark, sf_dir):
-    """Essential topics that are missing are fatal; fillable ones are recorded as absent."""
-    m = messages(spark, sf_dir)
-    claims = claimed(m)
-    gone = claims.join(m.select("bag_id", "topic").distinct(), ["bag_id", "topic"], "left_anti")
-    return gone.select("bag_id", "topic", F.when(F.col("role").isin("camera", "arm_state"), "fatal").otherwise("absent").alias("outcome"))
+    """Missing essential topics are fatal; missing commands are, unless the policy fills them; optional ones are recorded as absent."""
+    gone = inventory(spark, messages(spark, sf_dir)).where("status IN ('claimed_absent', 'claimed_empty')")
+    fatal = F.expr(FATAL)
+    under_fail = F.when(fatal | (F.col("role") == "arm_command"), "fatal").otherwise("absent")
+    return gone.select("bag_id", "topic", under_fail.alias("under_fail"), F.when(fatal, "fatal").otherwise("absent").alias("under_fill"))
 
 
 @query(f"""WITH {M}, r AS {values([(k, v) for k, v in ROLES.items()], 'topic, role')} SELECT bag_id, role, count(*) AS n, bool_or(role IN ('camera', 'arm_state', 'ee_state')) AS continuous FROM m JOIN r USING (topic) GROUP BY ALL""")
@@ -623,12 +651,16 @@ def monotonic_violations(spark, sf_dir):
     return d.groupBy("bag_id", "topic").agg(F.count_if(F.col("h") < F.col("_p.h")).alias("violations"))
 
 
-@query(f"WITH {M}, {win_sql(FILL_POLICY)}, {TICKS} SELECT m.bag_id, m.seq, m.k FROM m WHERE topic = 'view' AND EXISTS (SELECT 1 FROM tk WHERE tk.bag_id = m.bag_id AND tk.tick = m.seq)")
+@query(f"""WITH {M}, {win_sql(FILL_POLICY)}, {TICKS}
+SELECT m.bag_id, m.seq, printf('%02X%02X%02X', 7, k % 256, m.seq % 256) AS pixel FROM m WHERE topic = 'view' AND EXISTS (SELECT 1 FROM tk WHERE tk.bag_id = m.bag_id AND tk.tick = m.seq)""")
 def media_semijoin(spark, sf_dir):
-    """Only messages that a row selected go on to decoding."""
+    """Only messages that a row selected are decoded: here images of one pixel, blue first."""
     m = messages(spark, sf_dir)
     chosen = al.anchor_ticks(m, al.window_bounds(m)).select("bag_id", F.col("tick").alias("seq")).distinct()
-    return m.where("topic = 'view'").select("bag_id", "seq", "k").join(chosen, ["bag_id", "seq"], "left_semi")
+    byte = lambda c: F.lpad(F.hex(c % 256), 2, "0")
+    raw = F.unhex(F.concat(byte(F.col("seq")), byte(F.col("k")), F.lit("07")))
+    some = m.where("topic = 'view'").select("bag_id", "seq", raw.alias("raw")).join(chosen, ["bag_id", "seq"], "left_semi")
+    return some.select("bag_id", "seq", F.hex(colour_image("raw", F.lit("bgr8"), F.lit(1), F.lit(1), F.lit(0))).alias("pixel"))
 
 
 @query(f"WITH {M}, d AS (SELECT bag_id, t - lag(t) OVER (PARTITION BY bag_id ORDER BY t, seq) AS dt FROM m WHERE topic = 'click') SELECT bag_id, round(greatest(3 * median(dt) / 1000, 500 / 30, 1.0), 6) AS tol_ms FROM d GROUP BY bag_id HAVING count(dt) > 0")
