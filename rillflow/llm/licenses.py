@@ -5,9 +5,13 @@ both: of those anchors the longest increasing subsequence is kept, and the gaps
 between them are aligned again in the same way.  Coverage is the share of the
 template's words that are aligned.
 
-A stretch is looked at wherever a document has one of the template's key words.  The
-key words stand on so many of the template's places that an alignment without any of
-them can't reach the least coverage, so no match is missed by looking there only.
+A match is a stretch of words, a quarter longer than the template at most, that covers the
+template enough.  Stretches are looked at wherever they have one of the template's key
+words.  The key words stand on so many of the template's places that an alignment
+without any of them can't reach the least coverage, so no match is missed by looking
+there only.  Stretches that don't have enough of the template's words in any order are
+passed over; their counts move along with the stretch, so a long text with a key word
+at every place costs its length.
 """
 
 from __future__ import annotations
@@ -96,10 +100,13 @@ class Scanner:
         self.templates = [(name, words_of(text)) for name, text in templates]
         #: words of each template that must be aligned; less a little, as 0.8 * 5 may be over 4 in floats
         self.need = [ceil(least * len(words) - 1e-9) for _, words in self.templates]
+        self.counts = [Counter(words) for _, words in self.templates]
+        #: words of a stretch: a quarter more than the template
+        self.reach = [len(words) + len(words) // 4 for _, words in self.templates]
         spread = Counter(w for _, words in self.templates for w in set(words))
         self.keys: dict[str, list[int]] = {}
         for t, (_, words) in enumerate(self.templates):
-            count, covered = Counter(words), 0
+            count, covered = self.counts[t], 0
             # the words of fewest templates first, then the longest
             for w in sorted(count, key=lambda w: (spread[w], -len(w), w)):
                 self.keys.setdefault(w, []).append(t)
@@ -107,25 +114,60 @@ class Scanner:
                 if covered > len(words) - self.need[t]:
                     break
 
+    def _stretches(self, t: int, words: list[str]):
+        """A function of rising starts: the aligned places of the stretch from there, or nothing if they are too few.
+
+        A stretch that doesn't have enough of the template's words in any order isn't aligned;
+        the counts of its words move along.
+        """
+        template, want, reach, need = self.templates[t][1], self.counts[t], self.reach[t], self.need[t]
+        have: Counter = Counter()
+        common = a = b = 0
+
+        def stretch(lo: int) -> list[tuple[int, int]] | None:
+            nonlocal have, common, a, b
+            hi = min(lo + reach, len(words))
+            if lo >= b:
+                have, common, a, b = Counter(), 0, lo, lo
+            for w in words[b:hi]:
+                have[w] += 1
+                common += have[w] <= want.get(w, 0)
+            for w in words[a:lo]:
+                common -= have[w] <= want.get(w, 0)
+                have[w] -= 1
+            a, b = lo, hi
+            if common < need:
+                return None
+            pairs = align(template, words[lo:hi])
+            return [(x, lo + y) for x, y in pairs] if len(pairs) >= need else None
+
+        return stretch
+
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """(id, coverage, first word, end) of the stretches that cover a template enough; stretches of one template don't overlap."""
         words = words_of(text)
         hits: dict[int, list[int]] = {}
-        for w in self.keys.keys() & set(words):
-            for t in self.keys[w]:
-                hits.setdefault(t, []).extend(i for i, x in enumerate(words) if x == w)
+        there = {w: self.keys[w] for w in self.keys.keys() & set(words)}
+        for i, w in enumerate(words) if there else ():
+            for t in there.get(w, ()):
+                hits.setdefault(t, []).append(i)
         out = []
         for t, places in hits.items():
-            name, template = self.templates[t]
-            reach, done = len(template) + len(template) // 4, 0
-            for p in sorted(places):
-                if p < done:
-                    continue
-                lo = max(done, p - reach)
-                pairs = align(template, words[lo : p + reach + 1])
-                if len(pairs) >= self.need[t]:
-                    out.append((name, len(pairs) / len(template), lo + pairs[0][1], lo + pairs[-1][1] + 1))
-                    done = lo + pairs[-1][1] + 1
+            done = after = 0
+            stretch = self._stretches(t, words)
+            for p in places:
+                lo = max(done, after, p - self.reach[t] + 1)
+                while lo <= p:
+                    best = stretch(lo)
+                    if best:
+                        # a later start may have the rest of the notice
+                        for later in range(lo + 1, best[0][1] + 1):
+                            best = max(best, stretch(later) or [], key=len)
+                        out.append((self.templates[t][0], len(best) / len(self.templates[t][1]), best[0][1], best[-1][1] + 1))
+                        lo = done = best[-1][1] + 1
+                    else:
+                        lo += 1
+                after = p + 1
         return sorted(out, key=lambda x: (x[2], x[0]))
 
 
