@@ -101,7 +101,8 @@ PROC = """l_suppkey AS node, CASE l_partkey % 5 WHEN 0 THEN '/usr/lib/xorg/Xorg'
 DESKTOP = "xorg|gnome|firefox"
 
 
-@query(f"SELECT node, count(*) FILTER (WHERE NOT regexp_matches(lower(coalesce(name, '')), '{DESKTOP}')) AS compute FROM (SELECT {PROC} FROM lineitem) GROUP BY node")
+@query(f"""SELECT node, count(*) FILTER (WHERE NOT regexp_matches(lower(coalesce(name, '')), '{DESKTOP}')) AS compute FROM (SELECT {PROC} FROM lineitem)
+  GROUP BY node""")
 def gpu_process_filter(spark, sf_dir):
     """Processes that aren't a desktop's; lines without a name count."""
     own = ~F.lower(F.coalesce("name", F.lit(""))).rlike(DESKTOP)

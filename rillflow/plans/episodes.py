@@ -27,7 +27,8 @@ def frames(spark, sf_dir):
     return df
 
 
-@query(f"WITH {FR}, v AS (SELECT l_orderkey, k, l_quantity, p0, lead(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY k) AS nx FROM f) SELECT l_orderkey AS bag_id, k, coalesce((l_quantity - p0) * 30, (nx - l_quantity) * 30, 0.0) AS v FROM v")
+@query(f"""WITH {FR}, v AS (SELECT l_orderkey, k, l_quantity, p0, lead(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY k) AS nx FROM f)
+  SELECT l_orderkey AS bag_id, k, coalesce((l_quantity - p0) * 30, (nx - l_quantity) * 30, 0.0) AS v FROM v""")
 def velocity(spark, sf_dir):
     return velocity_of(frames(spark, sf_dir), ["l_orderkey"], ["k"], "l_quantity", 30.0).select(F.col("l_orderkey").alias("bag_id"), "k", "v")
 
@@ -43,7 +44,9 @@ def action_vs_state(spark, sf_dir):
     return df.groupBy("l_orderkey").agg(F.count("*").alias("n"), same.alias("identical_rows"), r6(same / F.count("*")).alias("identical_ratio"), r6(F.max(F.greatest(*gaps))).alias("max_abs_diff"), each)
 
 
-@query(f"WITH {FR} SELECT l_orderkey, count(*) AS n, list_filter([CASE WHEN min(l_quantity) = max(l_quantity) THEN 0 END, CASE WHEN min(l_extendedprice) = max(l_extendedprice) THEN 1 END, CASE WHEN min(l_discount) = max(l_discount) THEN 2 END, CASE WHEN min(l_tax) = max(l_tax) THEN 3 END], lambda x: x IS NOT NULL) AS dead FROM f GROUP BY l_orderkey")
+@query(f"""WITH {FR} SELECT l_orderkey, count(*) AS n, list_filter([CASE WHEN min(l_quantity) = max(l_quantity) THEN 0 END, CASE
+  WHEN min(l_extendedprice) = max(l_extendedprice) THEN 1 END, CASE WHEN min(l_discount) = max(l_discount) THEN 2 END, CASE
+  WHEN min(l_tax) = max(l_tax) THEN 3 END], lambda x: x IS NOT NULL) AS dead FROM f GROUP BY l_orderkey""")
 def dead_dims(spark, sf_dir):
     flat = [F.when(F.min(d) == F.max(d), i) for i, d in enumerate(DIMS)]
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.array(*flat).alias("dead"))
@@ -61,7 +64,8 @@ def max_step(spark, sf_dir):
     return top.select("l_orderkey", (-F.col("m.mk")).alias("frame"), (-F.col("m.md")).alias("dim"), r6(step).alias("step"), r6(step * 30).alias("per_s"), F.when(step > 35, "WARN").otherwise("PASS").alias("status"))
 
 
-@query(f"WITH {FR} SELECT l_orderkey, count(*) AS n, round(count(*) FILTER (WHERE l_discount = p2 AND l_tax = p3) / count(*), 6) AS frozen_ratio FROM f WHERE k > 0 GROUP BY l_orderkey")
+@query(f"""WITH {FR} SELECT l_orderkey, count(*) AS n, round(count(*) FILTER (WHERE l_discount = p2 AND l_tax = p3) / count(*), 6) AS frozen_ratio FROM f
+  WHERE k > 0 GROUP BY l_orderkey""")
 def frozen_ratio(spark, sf_dir):
     df = frames(spark, sf_dir).where("k > 0").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_if(F.expr("l_discount = p2 AND l_tax = p3")).alias("f"))
     return df.select("l_orderkey", "n", r6(F.col("f") / F.col("n")).alias("frozen_ratio"))
@@ -82,7 +86,8 @@ l AS (SELECT user_id, event_type, lag_k, abs(action - led) AS d FROM (SELECT use
 m AS (SELECT user_id, event_type, CAST(lag_k AS INTEGER) AS lag, avg(d) AS mad FROM l WHERE d IS NOT NULL GROUP BY ALL)"""
 
 
-@query(f"WITH {LAGS}, r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY mad, lag) AS i FROM m) SELECT user_id AS bag_id, event_type AS topic, lag, round(mad, 6) AS mad, i = 1 AS is_best FROM r")
+@query(f"""WITH {LAGS}, r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY mad, lag) AS i FROM m) SELECT user_id AS bag_id,
+  event_type AS topic, lag, round(mad, 6) AS mad, i = 1 AS is_best FROM r""")
 def best_lag(spark, sf_dir):
     """Mean distance of action[t] and state[t + lag]; of equal ones the smallest lag is best."""
     by = W.partitionBy("user_id", "event_type")
@@ -189,7 +194,8 @@ def split_episodes(spark, sf_dir):
     return df.select("source", "episode", F.when(i <= F.floor(0.8 * F.col("n")), "train").when(i <= F.floor(0.9 * F.col("n")), "val").otherwise("test").alias("split"))
 
 
-@query(f"WITH {FR} SELECT l_orderkey, count(*) AS n, max(k) + 1 = count(*) AS whole, bool_and(l_discount IS NOT DISTINCT FROM l_tax) AS action_equals_state, count(*) FILTER (WHERE l_quantity IS NULL OR isnan(l_quantity)) AS bad_values FROM f GROUP BY l_orderkey")
+@query(f"""WITH {FR} SELECT l_orderkey, count(*) AS n, max(k) + 1 = count(*) AS whole, bool_and(l_discount IS NOT DISTINCT FROM l_tax) AS action_equals_state,
+  count(*) FILTER (WHERE l_quantity IS NULL OR isnan(l_quantity)) AS bad_values FROM f GROUP BY l_orderkey""")
 def episode_validate(spark, sf_dir):
     df = frames(spark, sf_dir)
     bad = F.count_if(F.col("l_quantity").isNull() | F.isnan("l_quantity"))
@@ -221,7 +227,8 @@ def shift_copy(spark, sf_dir):
 MOT = """e AS (SELECT user_id AS motor, value * 10 AS pos, lag(value * 10) OVER (PARTITION BY user_id ORDER BY ts) AS before, ts FROM events WHERE value * 10 > 0 AND value * 10 < 5000)"""
 
 
-@query(f"WITH {MOT} SELECT motor, min(pos) AS low, max(pos) AS high, arg_max(pos, ts) AS current, count(*) FILTER (WHERE abs(pos - before) > 2000) AS jumps, min(pos) = max(pos) OR count(*) FILTER (WHERE abs(pos - before) > 2000) > 0 AS bad FROM e GROUP BY motor")
+@query(f"""WITH {MOT} SELECT motor, min(pos) AS low, max(pos) AS high, arg_max(pos, ts) AS current, count(*) FILTER (WHERE abs(pos - before) > 2000) AS jumps,
+  min(pos) = max(pos) OR count(*) FILTER (WHERE abs(pos - before) > 2000) > 0 AS bad FROM e GROUP BY motor""")
 def range_calibration(spark, sf_dir):
     """Range of each motor over sane positions; a jump or no range at all is an error."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("motor"), (F.col("value") * 10).alias("pos"), "ts").where("pos > 0 AND pos < 5000")

@@ -45,12 +45,14 @@ def drift_rows(spark, sf_dir):
     return df.select("vec_id", "label", fi.cosine(F.col("embedding"), F.col("r")).alias("cos"), fi.relative_l2(F.col("embedding"), F.col("r")).alias("rel"))
 
 
-@query(f"WITH {COS} SELECT vec_id, label, round(cos, 5) AS cos, round(degrees(acos(least(1.0, greatest(-1.0, cos)))), 2) AS angle, round(rel, 5) AS rel_l2 FROM c")
+@query(f"""WITH {COS} SELECT vec_id, label, round(cos, 5) AS cos, round(degrees(acos(least(1.0, greatest(-1.0, cos)))), 2) AS angle, round(rel, 5) AS rel_l2
+  FROM c""")
 def embedding_cosine(spark, sf_dir):
     return drift_rows(spark, sf_dir).select("vec_id", "label", half_up(F.col("cos"), 5).alias("cos"), half_up(fi.angle(F.col("cos")), 2).alias("angle"), half_up(F.col("rel"), 5).alias("rel_l2"))
 
 
-@query(f"WITH {COS} SELECT label AS variant, count(*) AS n, round(avg(cos), 5) AS cos_mean, round(min(cos), 5) AS cos_min, round(quantile_cont(cos, 0.05), 5) AS cos_p05, round(avg(degrees(acos(least(1.0, greatest(-1.0, cos))))), 3) AS angle_mean, round(avg(rel), 5) AS rel_l2_mean FROM c GROUP BY label")
+@query(f"""WITH {COS} SELECT label AS variant, count(*) AS n, round(avg(cos), 5) AS cos_mean, round(min(cos), 5) AS cos_min, round(quantile_cont(cos, 0.05),
+  5) AS cos_p05, round(avg(degrees(acos(least(1.0, greatest(-1.0, cos))))), 3) AS angle_mean, round(avg(rel), 5) AS rel_l2_mean FROM c GROUP BY label""")
 def embedding_drift(spark, sf_dir):
     r5 = lambda c: half_up(c, 5)
     return drift_rows(spark, sf_dir).groupBy(F.col("label").alias("variant")).agg(
@@ -100,12 +102,16 @@ def metric_series(spark, sf_dir):
     return df.select("frame", "l_linenumber", "l_partkey", r6(F.col("psnr")).alias("value"))
 
 
-@query(f"WITH {MET}, y AS (SELECT camera, source, CASE WHEN isfinite(psnr) THEN psnr END AS p, isfinite(psnr) AS ok FROM x) SELECT camera, source, count(p) AS n, count(*) FILTER (WHERE NOT ok) AS infinite_frames, round(avg(p), 6) AS mean, round(stddev_pop(p), 6) AS std, round(median(p), 6) AS median, round(min(p), 6) AS low, round(max(p), 6) AS high, round(quantile_cont(p, 0.05), 6) AS p05, round(quantile_cont(p, 0.95), 6) AS p95 FROM y GROUP BY ALL")
+@query(f"""WITH {MET}, y AS (SELECT camera, source, CASE WHEN isfinite(psnr) THEN psnr END AS p, isfinite(psnr) AS ok FROM x) SELECT camera, source,
+  count(p) AS n, count(*) FILTER (WHERE NOT ok) AS infinite_frames, round(avg(p), 6) AS mean, round(stddev_pop(p), 6) AS std, round(median(p),
+  6) AS median, round(min(p), 6) AS low, round(max(p), 6) AS high, round(quantile_cont(p, 0.05), 6) AS p05, round(quantile_cont(p, 0.95), 6) AS p95
+  FROM y GROUP BY ALL""")
 def metric_summary(spark, sf_dir):
     return fi.summary(metric_rows(spark, sf_dir), ["camera", "source"], "psnr")
 
 
-@query(f"WITH {MET} SELECT source, camera, count(*) AS frames, CAST(sum(bytes) AS BIGINT) AS bytes, round(sum(bytes) / count(*), 6) AS bytes_per_frame, round(sum(bytes) * 8 / (count(*) / 30.0) / 1e6, 6) AS mbit_s, round(5529600 / avg(bytes), 6) AS ratio FROM x GROUP BY ALL")
+@query(f"""WITH {MET} SELECT source, camera, count(*) AS frames, CAST(sum(bytes) AS BIGINT) AS bytes, round(sum(bytes) / count(*), 6) AS bytes_per_frame,
+  round(sum(bytes) * 8 / (count(*) / 30.0) / 1e6, 6) AS mbit_s, round(5529600 / avg(bytes), 6) AS ratio FROM x GROUP BY ALL""")
 def codec_rollup(spark, sf_dir):
     total, n = F.sum("bytes"), F.count("*")
     return metric_rows(spark, sf_dir).groupBy("source", "camera").agg(n.alias("frames"), total.alias("bytes"), r6(total / n).alias("bytes_per_frame"), r6(total * 8 / (n / 30.0) / 1e6).alias("mbit_s"), r6(5529600 / F.avg("bytes")).alias("ratio"))
@@ -114,7 +120,9 @@ def codec_rollup(spark, sf_dir):
 PAR = "row_number() OVER (PARTITION BY source, frame ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) - 1"
 
 
-@query(f"WITH {MET}, y AS (SELECT source, frame, cosine, {PAR} AS i FROM x) SELECT source, frame, count(*) AS n, round(avg(cosine) FILTER (WHERE i % 2 = 0), 8) AS even_mean, round(avg(cosine) FILTER (WHERE i % 2 = 1), 8) AS odd_mean, round(avg(cosine) FILTER (WHERE i % 2 = 0) - avg(cosine) FILTER (WHERE i % 2 = 1), 8) AS gap FROM y GROUP BY ALL")
+@query(f"""WITH {MET}, y AS (SELECT source, frame, cosine, {PAR} AS i FROM x) SELECT source, frame, count(*) AS n, round(avg(cosine) FILTER (WHERE i % 2 = 0),
+  8) AS even_mean, round(avg(cosine) FILTER (WHERE i % 2 = 1), 8) AS odd_mean,
+  round(avg(cosine) FILTER (WHERE i % 2 = 0) - avg(cosine) FILTER (WHERE i % 2 = 1), 8) AS gap FROM y GROUP BY ALL""")
 def parity_split(spark, sf_dir):
     """Even against odd places of an ordered series, as of intra and predicted frames."""
     i = F.row_number().over(W.partitionBy("source", "frame").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")) - 1
@@ -146,7 +154,8 @@ def spearman(spark, sf_dir):
     return d.groupBy("lang").agg(F.count("*").alias("n"), r6(F.corr("x", "y")).alias("pearson"), r6(F.corr(F.col("rx").cast("double"), F.col("ry").cast("double"))).alias("rho"))
 
 
-@query(f"WITH {MET} SELECT camera, round(3 * regr_slope(cosine, psnr) FILTER (WHERE psnr >= 35 AND isfinite(psnr)), 6) AS high_band, round(3 * regr_slope(cosine, psnr) FILTER (WHERE psnr <= 34), 6) AS low_band FROM x GROUP BY camera")
+@query(f"""WITH {MET} SELECT camera, round(3 * regr_slope(cosine, psnr) FILTER (WHERE psnr >= 35 AND isfinite(psnr)), 6) AS high_band,
+  round(3 * regr_slope(cosine, psnr) FILTER (WHERE psnr <= 34), 6) AS low_band FROM x GROUP BY camera""")
 def banded_slope(spark, sf_dir):
     """Least-squares change of similarity for three decibels, inside a high and a low band."""
     df = metric_rows(spark, sf_dir).where(F.col("psnr") < float("inf"))
@@ -154,7 +163,9 @@ def banded_slope(spark, sf_dir):
     return df.groupBy("camera").agg(r6(band(F.col("psnr") >= 35)).alias("high_band"), r6(band(F.col("psnr") <= 34)).alias("low_band"))
 
 
-@query("SELECT user_id AS bag_id, count(*) AS frames, round(epoch_us(max(ts)) / 1e6 - epoch_us(min(ts)) / 1e6, 3) AS span_s, round(CASE WHEN max(ts) > min(ts) THEN count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) END, 9) AS fps, round(avg(value), 6) AS mean, round(median(value), 6) AS median, round(sum(value), 4) AS total FROM events GROUP BY user_id")
+@query("""SELECT user_id AS bag_id, count(*) AS frames, round(epoch_us(max(ts)) / 1e6 - epoch_us(min(ts)) / 1e6, 3) AS span_s, round(CASE
+  WHEN max(ts) > min(ts) THEN count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) END, 9) AS fps, round(avg(value), 6) AS mean,
+  round(median(value), 6) AS median, round(sum(value), 4) AS total FROM events GROUP BY user_id""")
 def size_stats(spark, sf_dir):
     e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("t", F.unix_micros(F.col("ts").cast("timestamp")))
     span = (F.max("t") - F.min("t")) / 1e6
@@ -163,7 +174,8 @@ def size_stats(spark, sf_dir):
     )
 
 
-@query(f"WITH {MET}, r AS (SELECT *, row_number() OVER (PARTITION BY camera, source ORDER BY cosine, frame, l_linenumber, l_partkey) AS i FROM x) SELECT camera, source, frame, round(cosine, 9) AS cosine FROM r WHERE i = 1")
+@query(f"""WITH {MET}, r AS (SELECT *, row_number() OVER (PARTITION BY camera, source ORDER BY cosine, frame, l_linenumber, l_partkey) AS i FROM x)
+  SELECT camera, source, frame, round(cosine, 9) AS cosine FROM r WHERE i = 1""")
 def worst_frame(spark, sf_dir):
     low = F.min(F.struct("cosine", "frame", "l_linenumber", "l_partkey")).alias("m")
     return metric_rows(spark, sf_dir).groupBy("camera", "source").agg(low).select("camera", "source", "m.frame", half_up(F.col("m.cosine"), 9).alias("cosine"))
@@ -183,7 +195,8 @@ def pixel_feature_join(spark, sf_dir):
 RUNGS = [("O", "crf0", "av1_crf_0"), ("F", "crf20", "av1_crf_20")]
 
 
-@query(f"WITH {PIX}, m AS {values(RUNGS, 'source, rung, name')} SELECT camera, rung, name, round(psnr, 6) AS psnr, round(cosine, 6) AS cosine FROM p JOIN c USING (camera, source) JOIN m USING (source) WHERE camera <> 'N'")
+@query(f"""WITH {PIX}, m AS {values(RUNGS, 'source, rung, name')} SELECT camera, rung, name, round(psnr, 6) AS psnr, round(cosine, 6) AS cosine FROM p
+  JOIN c USING (camera, source) JOIN m USING (source) WHERE camera <> 'N'""")
 def cross_report(spark, sf_dir):
     """Two studies aligned by mapped variant names."""
     both = pixel_feature_join(spark, sf_dir).join(F.broadcast(literal(spark, "source string, rung string, name string", RUNGS)), "source")

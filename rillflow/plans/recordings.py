@@ -139,7 +139,8 @@ def align_grid(spark, sf_dir):
 BAD = {p: f"bad_{p[3:]}" for p in al.PARTS}
 
 
-@query(f"{FILL} SELECT bag_id, count(*) AS n, {', '.join(f'count(*) FILTER (WHERE NOT {p}) AS {b}' for p, b in BAD.items())}, count(*) FILTER (WHERE NOT ({' AND '.join(BAD)})) AS bad FROM r GROUP BY bag_id")
+@query(f"""{FILL} SELECT bag_id, count(*) AS n, {', '.join(f'count(*) FILTER (WHERE NOT {p}) AS {b}' for p, b in BAD.items())},
+  count(*) FILTER (WHERE NOT ({' AND '.join(BAD)})) AS bad FROM r GROUP BY bag_id""")
 def invalid_counts(spark, sf_dir):
     """Rows that each part makes invalid, and all of them."""
     each = [F.count_if(~F.col(p)).alias(b) for p, b in BAD.items()]
@@ -230,7 +231,8 @@ def conversion_status_strict(spark, sf_dir):
     return al.conversion_status(rows(spark, sf_dir, HOLD), HOLD, invalid="fail")
 
 
-@query(f"{FILL} SELECT bag_id, count(*) AS n, bool_and(action0 IS NOT DISTINCT FROM qpos AND action1 IS NOT DISTINCT FROM qpos) AS refused FROM r WHERE ok_state GROUP BY bag_id")
+@query(f"""{FILL} SELECT bag_id, count(*) AS n, bool_and(action0 IS NOT DISTINCT FROM qpos AND action1 IS NOT DISTINCT FROM qpos) AS refused FROM r
+  WHERE ok_state GROUP BY bag_id""")
 def action_is_state(spark, sf_dir):
     same = F.col("action0").eqNullSafe(F.col("qpos")) & F.col("action1").eqNullSafe(F.col("qpos"))
     return rows(spark, sf_dir).where("ok_state").groupBy("bag_id").agg(F.count("*").alias("n"), F.bool_and(same).alias("refused"))
@@ -346,20 +348,26 @@ x AS (SELECT bag_id, tick, t, CASE WHEN nt IS NOT NULL AND (pt IS NULL OR nt - t
 CLICKS = "s AS (SELECT bag_id, t, seq, value FROM m WHERE topic = 'click')"
 
 
-@query(f"WITH {M}, {VIEWS}, {CLICKS}, {NEAR} SELECT bag_id, tick AS tick_event_id, ss AS src_event_id, abs(st - t) AS offset_us, coalesce(abs(st - t) <= {48 * H}, false) AS valid FROM x")
+@query(f"""WITH {M}, {VIEWS}, {CLICKS}, {NEAR} SELECT bag_id, tick AS tick_event_id, ss AS src_event_id, abs(st - t) AS offset_us,
+  coalesce(abs(st - t) <= {48 * H}, false) AS valid FROM x""")
 def asof_nearest(spark, sf_dir):
     m = messages(spark, sf_dir)
     return bound(nearest(views(m), of(m, "click"), ["bag_id"], []), F.abs(F.col("src.t") - F.col("t")), "offset_us", 48 * H)
 
 
-@query(f"WITH {M}, {VIEWS}, {CLICKS}, p AS (SELECT v.*, s.t AS pt, s.value AS pv FROM v ASOF LEFT JOIN s ON v.bag_id = s.bag_id AND v.t >= s.t), n AS (SELECT p.*, s.t AS nt, s.value AS nv FROM p ASOF LEFT JOIN s ON p.bag_id = s.bag_id AND p.t <= s.t), x AS (SELECT *, CASE WHEN pt = t THEN pv WHEN t - pt <= {96 * H} AND nt - t <= {96 * H} THEN pv + (t - pt) / (nt - pt) * (nv - pv) END AS y FROM n) SELECT bag_id, tick AS tick_event_id, round(y, 6) AS v, y IS NOT NULL AS valid FROM x")
+@query(f"""WITH {M}, {VIEWS}, {CLICKS}, p AS (SELECT v.*, s.t AS pt, s.value AS pv FROM v ASOF LEFT JOIN s ON v.bag_id = s.bag_id AND v.t >= s.t),
+  n AS (SELECT p.*, s.t AS nt, s.value AS nv FROM p ASOF LEFT JOIN s ON p.bag_id = s.bag_id AND p.t <= s.t), x AS (SELECT *, CASE WHEN pt = t THEN pv
+  WHEN t - pt <= {96 * H} AND nt - t <= {96 * H} THEN pv + (t - pt) / (nt - pt) * (nv - pv) END AS y FROM n) SELECT bag_id, tick AS tick_event_id,
+  round(y, 6) AS v, y IS NOT NULL AS valid FROM x""")
 def asof_interpolate(spark, sf_dir):
     m = messages(spark, sf_dir)
     df = interpolated(views(m), of(m, "click"), ["bag_id"], "value", 96 * H)
     return df.select("bag_id", "tick_event_id", qc.r6(F.col("v")).alias("v"), F.col("v").isNotNull().alias("valid"))
 
 
-@query(f"WITH {M}, tol AS (SELECT topic, CASE topic WHEN 'click' THEN {36 * H} ELSE {60 * H} END AS tol FROM (VALUES ('click'), ('error')) AS c(topic)), {VIEWS}, z AS (SELECT v.*, topic, tol FROM v CROSS JOIN tol), s AS (SELECT bag_id, topic, t, seq FROM m) SELECT z.bag_id, z.topic, z.tick, s.seq AS src, coalesce(z.t - s.t <= z.tol, false) AS ok FROM z ASOF LEFT JOIN s ON z.bag_id = s.bag_id AND z.topic = s.topic AND z.t >= s.t")
+@query(f"""WITH {M}, tol AS (SELECT topic, CASE topic WHEN 'click' THEN {36 * H} ELSE {60 * H} END AS tol FROM (VALUES ('click'), ('error')) AS c(topic)),
+  {VIEWS}, z AS (SELECT v.*, topic, tol FROM v CROSS JOIN tol), s AS (SELECT bag_id, topic, t, seq FROM m) SELECT z.bag_id, z.topic, z.tick,
+  s.seq AS src, coalesce(z.t - s.t <= z.tol, false) AS ok FROM z ASOF LEFT JOIN s ON z.bag_id = s.bag_id AND z.topic = s.topic AND z.t >= s.t""")
 def bind_images(spark, sf_dir):
     """Two cameras bound in one pass: the camera is part of the key, each with its tolerance."""
     m = messages(spark, sf_dir)
@@ -369,7 +377,8 @@ def bind_images(spark, sf_dir):
     return df.select("bag_id", "topic", "tick", F.col("src.seq").alias("src"), F.coalesce(F.col("t") - F.col("src.t") <= tol, F.lit(False)).alias("ok"))
 
 
-@query(f"WITH {M}, {VIEWS}, {CLICKS} SELECT v.bag_id, v.tick, round(s.value, 6) AS position, s.seq AS src, coalesce(v.t - s.t <= {96 * H}, false) AS ok FROM v ASOF LEFT JOIN s ON v.bag_id = s.bag_id AND v.t >= s.t")
+@query(f"""WITH {M}, {VIEWS}, {CLICKS} SELECT v.bag_id, v.tick, round(s.value, 6) AS position, s.seq AS src, coalesce(v.t - s.t <= {96 * H}, false) AS ok
+  FROM v ASOF LEFT JOIN s ON v.bag_id = s.bag_id AND v.t >= s.t""")
 def bind_state(spark, sf_dir):
     """The loop mode: the last state at the tick."""
     m = messages(spark, sf_dir)
@@ -377,7 +386,9 @@ def bind_state(spark, sf_dir):
     return df.select("bag_id", "tick", qc.r6(F.col("src.value")).alias("position"), F.col("src.seq").alias("src"), F.coalesce(F.col("t") - F.col("src.t") <= 96 * H, F.lit(False)).alias("ok"))
 
 
-@query(f"WITH {M}, g AS (SELECT bag_id, count(*) FILTER (WHERE topic = 'error' AND value > 50) AS measured, count(*) FILTER (WHERE topic = 'purchase') AS commanded FROM m GROUP BY bag_id) SELECT bag_id, CASE WHEN measured > 0 THEN 'measured' WHEN commanded > 0 THEN 'command_echo' ELSE 'error' END AS source FROM g")
+@query(f"""WITH {M}, g AS (SELECT bag_id, count(*) FILTER (WHERE topic = 'error' AND value > 50) AS measured,
+  count(*) FILTER (WHERE topic = 'purchase') AS commanded FROM m GROUP BY bag_id) SELECT bag_id, CASE WHEN measured > 0 THEN 'measured'
+  WHEN commanded > 0 THEN 'command_echo' ELSE 'error' END AS source FROM g""")
 def effector_source(spark, sf_dir):
     """Measured feedback if it was delivered, else the command's echo, else an error."""
     g = messages(spark, sf_dir).groupBy("bag_id").agg(F.count_if((F.col("topic") == "error") & (F.col("value") > 50)).alias("m"), F.count_if(F.col("topic") == "purchase").alias("c"))
@@ -544,7 +555,8 @@ def status_counts(spark, sf_dir):
     return verdicts(messages(spark, sf_dir)).groupBy("status").agg(F.count("*").alias("bags"))
 
 
-@query(f"WITH {M} SELECT bag_id, count(*) AS messages, count(*) FILTER (WHERE topic <> 'signup') AS claimed, count(DISTINCT topic) AS topics, CAST(sum(k) AS BIGINT) AS payload, round(sum(k) / 1073741824, 12) AS gib FROM m GROUP BY bag_id")
+@query(f"""WITH {M} SELECT bag_id, count(*) AS messages, count(*) FILTER (WHERE topic <> 'signup') AS claimed, count(DISTINCT topic) AS topics,
+  CAST(sum(k) AS BIGINT) AS payload, round(sum(k) / 1073741824, 12) AS gib FROM m GROUP BY bag_id""")
 def bag_report(spark, sf_dir):
     return messages(spark, sf_dir).groupBy("bag_id").agg(F.count("*").alias("messages"), F.count_if(F.col("topic") != "signup").alias("claimed"), F.countDistinct("topic").alias("topics"), F.sum("k").alias("payload"), F.round(F.sum("k") / 1073741824, 12).alias("gib"))
 
@@ -645,7 +657,8 @@ def scan_stream_summary(spark, sf_dir):
 NUMBERS = 1 << 20
 
 
-@query(f"WITH {M}, d AS (SELECT bag_id, topic, h - lag(h) OVER (PARTITION BY bag_id, topic ORDER BY seq) AS dh FROM m) SELECT bag_id, topic, count(*) FILTER (WHERE dh < 0) AS violations FROM d GROUP BY ALL")
+@query(f"""WITH {M}, d AS (SELECT bag_id, topic, h - lag(h) OVER (PARTITION BY bag_id, topic ORDER BY seq) AS dh FROM m) SELECT bag_id, topic,
+  count(*) FILTER (WHERE dh < 0) AS violations FROM d GROUP BY ALL""")
 def monotonic_violations(spark, sf_dir):
     d = previous(messages(spark, sf_dir).withColumn("t", F.col("seq")), qc.KEY, ["h"], {"_p": None}, NUMBERS)
     return d.groupBy("bag_id", "topic").agg(F.count_if(F.col("h") < F.col("_p.h")).alias("violations"))
@@ -663,7 +676,8 @@ def media_semijoin(spark, sf_dir):
     return some.select("bag_id", "seq", F.hex(colour_image("raw", F.lit("bgr8"), F.lit(1), F.lit(1), F.lit(0))).alias("pixel"))
 
 
-@query(f"WITH {M}, d AS (SELECT bag_id, t - lag(t) OVER (PARTITION BY bag_id ORDER BY t, seq) AS dt FROM m WHERE topic = 'click') SELECT bag_id, round(greatest(3 * median(dt) / 1000, 500 / 30, 1.0), 6) AS tol_ms FROM d GROUP BY bag_id HAVING count(dt) > 0")
+@query(f"""WITH {M}, d AS (SELECT bag_id, t - lag(t) OVER (PARTITION BY bag_id ORDER BY t, seq) AS dt FROM m WHERE topic = 'click') SELECT bag_id,
+  round(greatest(3 * median(dt) / 1000, 500 / 30, 1.0), 6) AS tol_ms FROM d GROUP BY bag_id HAVING count(dt) > 0""")
 def state_tolerance(spark, sf_dir):
     d = previous(messages(spark, sf_dir).where("topic = 'click'"), ["bag_id"], ["t"], {"_p": None})
     d = d.groupBy("bag_id").agg(F.median(F.col("t") - F.col("_p.t")).alias("mid")).where("mid IS NOT NULL")

@@ -325,7 +325,8 @@ def metrics_state(spark, sf_dir):
 RECORD = "o_orderkey AS job, CASE o_orderkey % 4 WHEN 0 THEN 'running' WHEN 1 THEN 'done' WHEN 2 THEN NULL ELSE 'failed' END AS state, o_custkey % 3 AS alive"
 
 
-@query(f"SELECT job, CASE WHEN state = 'running' AND alive = 0 THEN 'interrupted' ELSE state END AS state FROM (SELECT {RECORD} FROM orders) WHERE state IS NOT NULL")
+@query(f"""SELECT job, CASE WHEN state = 'running' AND alive = 0 THEN 'interrupted' ELSE state END AS state FROM (SELECT {RECORD} FROM orders)
+  WHERE state IS NOT NULL""")
 def job_states(spark, sf_dir):
     """Job records as loaded: malformed ones are skipped, running ones of dead processes are interrupted."""
     df = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(f"struct({RECORD}) AS r").select("r.*").where("state IS NOT NULL")
