@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import HOT_KEYS, SPACES, cut, drop, spread_join, text_words
+from .tables import HOT_KEYS, SPACES, cut, drop, spread_join, text_words, without, word_count
 
 #: A line with a word in it.
 WORDED = r"[^\x20\x09-\x0D]"
@@ -33,7 +33,7 @@ def seen_lines(docs: DataFrame, min_words: int) -> DataFrame:
     doc = F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("tkey"), F.col("source").cast("string").alias("site")
     # normalised before the explode: a filter on the exploded line would compute it again
     each = docs.select(*doc, F.posexplode(F.transform(_lines(F.col("text")), _normal)).alias("at", "x"))
-    words = F.length("x") - F.length(F.translate("x", " ", "")) + 1
+    words = F.length("x") - F.length(without(F.col("x"), " ")) + 1
     return cut(each.where((words >= min_words) & (F.col("x") != "")).select("doc_id", "tkey", "site", "at", F.xxhash64("x").alias("line"), words.alias("w")))
 
 
@@ -108,9 +108,9 @@ def base_rules(text: Column) -> dict[str, Column]:
     text = F.coalesce(text, F.lit(""))
     worded = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORDED))
     return {
-        "n_words": F.size(text_words(text)).cast("long"),
-        "word_chars": F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
+        "n_words": word_count(text).cast("long"),
+        "word_chars": F.length(without(text, " \t\n\x0b\x0c\r")).cast("long"),
+        "n_symbols": (F.length(text) - F.length(without(text, "#*$%&|<>"))).cast("long"),
         "n_dup_lines": (F.size(worded) - F.size(F.array_distinct(worded))).cast("long"),
     }
 

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import warnings
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .tables import cut, text_words
+from .tables import cut, drop, without, word_count
 
 
 def topic_of(text: Column) -> Column:
     """A topic for corpora without one, by form: empty, table, noise, short, long or prose."""
-    n = F.size(text_words(text))
-    chars = F.length(F.coalesce(text, F.lit("")))
+    n, text = word_count(text), F.coalesce(text, F.lit(""))
 
     def share(marks: str) -> Column:
-        return chars - F.length(F.translate(F.coalesce(text, F.lit("")), marks, ""))
+        return F.length(text) - F.length(without(text, marks))
 
     topic = F.when(n == 0, "empty").when(share("|") * 10 >= n, "table").when(share("#*$%&<>") * 10 >= n, "noise")
     return topic.when(n < 100, "short").when(n >= 1000, "long").otherwise("prose")
@@ -27,31 +24,32 @@ def _name(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-9, rounds: int = 50) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-9, rounds: int = 100) -> DataFrame:
     """``cells`` (dimensions, tokens) with ``w``: tokens scaled until each marginal has its target share.
 
     ``targets[d]`` has (d, share); shares sum to 1 over the values present.  A round
-    scales to each dimension in turn; each scaling is one aggregation joined back.
-    The cells are as many as combinations of values; they stay distributed.  A warning
-    tells if the rounds end before the scales are within ``tolerance`` of 1.
+    scales to each dimension in turn; each scaling is one aggregation joined back, and a
+    round is one job.  The cells are as many as combinations of values; they stay
+    distributed.  If the scales aren't within ``tolerance`` of 1 after ``rounds``, the
+    targets can't all be met, and that is an error.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    cells = cells.withColumn("w", F.col("tokens").cast("double"))
+    cells, far = cells.withColumn("w", F.col("tokens").cast("double")), 0.0
     for _ in range(rounds if total else 0):
-        off = []
+        off, before = [], cells
         for d, target in targets.items():
             sums = cells.groupBy(d).agg(F.sum("w").alias("_have")).join(target, d)
             scale = F.when(F.col("_have") > 0, F.col("share") * float(total) / F.col("_have")).otherwise(F.lit(1.0))
             cells = cells.join(sums.select(d, scale.alias(f"_s_{d}")), d).withColumn("w", F.col("w") * F.col(f"_s_{d}"))
-            off.append(F.max(F.abs(F.col(f"_s_{d}") - 1)))
-        cells = cut(cells)
-        far = max(x or 0.0 for x in cells.agg(*off).first())
-        cells = cells.drop(*[f"_s_{d}" for d in targets])
+            off.append(F.max(F.abs(F.col(f"_s_{d}") - 1)).alias(d))
+        seen = Observation()
+        cells = cut(cells.observe(seen, *off).drop(*[f"_s_{d}" for d in targets]))
+        drop(before)
+        far = max(x or 0.0 for x in seen.get.values())
         if far < tolerance:
             break
-    else:
-        if total:
-            warnings.warn(f"raking ended after {rounds} rounds with a scale {far:.3g} off 1", stacklevel=2)
+    if far >= tolerance:
+        raise ValueError(f"raking ended after {rounds} rounds with a scale {far:.3g} off 1: the targets can't be met together")
     return cells
 
 
@@ -87,13 +85,14 @@ def mixed_rows(docs: DataFrame, powers: dict[str, float] | None = None, keep: fl
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text = F.col("text")
     form = topic if topic is not None else topic_of(text)
-    tokens = F.size(text_words(text)).cast("long")
+    tokens = word_count(text).cast("long")
 
     def dims(df: DataFrame, *more: Column) -> DataFrame:
         return df.select(*more, _name(F.col("source")).alias("_source"), _name(F.col("lang")).alias("_lang"), form.alias("_topic"), tokens.alias("_tokens"))
 
     keys = ["_source", "_lang", "_topic"]
-    cells = cut(dims(docs).where("_tokens > 0").groupBy(*keys).agg(F.sum("_tokens").alias("tokens")))
+    # filtered after the sum: before it the words would be split twice
+    cells = cut(dims(docs).groupBy(*keys).agg(F.sum("_tokens").alias("tokens")).where("tokens > 0"))
     raked = rake(cells, {f"_{d}": tempered(cells, f"_{d}", p) for d, p in powers.items()})
     chances = raked.select(*keys, (F.col("w") / F.col("tokens")).alias("_weight"))
     out = dims(docs, row).join(chances, keys, "left").withColumn("_weight", F.coalesce("_weight", F.lit(0.0)))

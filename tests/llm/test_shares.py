@@ -18,7 +18,7 @@ def form(text):
     return "empty" if n == 0 else "short" if n < 100 else "long" if n >= 1000 else "prose"
 
 
-def raked(rows):
+def raked(rows, form=form):
     """Weight of each cell (source, lang, topic)."""
     cells = Counter()
     for _, t, lang, source in rows:
@@ -75,8 +75,8 @@ def test_copies_meet_the_targets(spark, skewed):
     assert stage == Counter({x.doc_id: x._copies for x in out if x._copies})
 
 
-def test_unfinished_raking_is_told(spark):
+def test_unfinished_raking_is_an_error(spark):
     cells = spark.createDataFrame([("a", "x", 90), ("a", "y", 5), ("b", "x", 2), ("b", "y", 80)], "p string, q string, tokens long")
     even = {d: spark.createDataFrame([(v, 0.4 + 0.2 * (v in "ax")) for v in vs], f"{d} string, share double") for d, vs in (("p", "ab"), ("q", "yx"))}
-    with pytest.warns(UserWarning, match="1 rounds"):
+    with pytest.raises(ValueError, match="1 rounds"):
         rake(cells, even, rounds=1)
