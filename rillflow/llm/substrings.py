@@ -112,7 +112,8 @@ def _read(k: int):
                 own = np.arange(bounds[lo], bounds[lo + rows])
                 row = np.repeat(np.arange(rows), np.diff(bounds[lo : lo + rows + 1]))
                 at, size = place[own] // PLACE, place[own] % PLACE
-                chain = total[own] > 0
+                # a chain that a clash of hashes placed beyond the end of this text isn't in it
+                chain = (total[own] > 0) & (first[row] + at + total[own] + k - 1 <= first[row + 1])
                 a, n = (first[row] + at)[chain], total[own][chain]
                 digests = [hashlib.blake2b(b" ".join(buf[start[i] : end[i + m + k - 2]].tobytes().split()), digest_size=16).digest() for i, m in zip(a, n, strict=True)]
                 whole = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
