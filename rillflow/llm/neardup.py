@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import grams, mixed, text_slices, word_bounds, word_hashes
-from .tables import components, cut, drop, keyed
+from .tables import components, cut, drop, keyed, spread_join
 
 ROWS, BANDS, SHINGLE = 6, 68, 5
 
@@ -169,6 +169,18 @@ def _across(shared: DataFrame, compared: DataFrame, roots: DataFrame, sets: Data
     return pairs
 
 
+def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
+    """``found`` (node, root) with further links: only the components that they join are labelled again."""
+    ends = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node"))).distinct()
+    every = found.unionByName(ends.join(found.select("node"), "node", "left_anti").select("node", F.col("node").alias("root")))
+    root = lambda c: every.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    tops = cut(more.join(root("a"), "a").join(root("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).where("a <> b").distinct())
+    if tops.isEmpty():
+        return found
+    up = components(tops).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return every.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and tkey (hash of the text), one row for each row of ``docs``.
 
@@ -185,8 +197,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = ROWS, bands:
     classes = known.groupBy("set1", "set2").agg(F.min(node).alias("node"))
     heads = known.join(classes.select(F.col("node.id").alias("doc_id"), F.col("node.t").alias("tkey")), ["doc_id", "tkey"], "left_semi").dropDuplicates(["doc_id", "tkey"])
     buckets = heads.select(node.alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    least = buckets.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size")).where("size > 1").select("bucket", "head")
-    shared = cut(buckets.join(least, "bucket"))  # a head for each row; rows alone in their bucket end here
+    # most rows are alone in their bucket: counts of bare buckets tell which ones travel on
+    met = cut(buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket", F.col("size").alias("n")))
+    rows = cut(spread_join(buckets.select("bucket", "node", F.col("n").alias("size")), met, "bucket", met.agg(F.sum("n")).first()[0] or 0).withColumnRenamed("size", "n"))
+    least = rows.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"))
+    shared = cut(rows.join(least, "bucket"))  # a head for each row
+    drop(met, rows)
     texts = keyed(docs).select(F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("t")).alias("node"), "text")
     some = texts.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
     sets = cut(some.mapInArrow(_set_bytes, f"node {NODE}, shingles binary"))
@@ -202,7 +218,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = ROWS, bands:
     across = _across(shared, compared, found, sets, percent)
     if not across.isEmpty():
         more = _compared(across, sets)
-        found = components(links(compared).unionByName(links(more)))
+        found = _joined(found, cut(links(more)))
         drop(more)
     drop(shared, sets, compared, across)
     member = classes.join(found, "node", "left").select("set1", "set2", F.coalesce("root.id", "node.id").alias("least"))

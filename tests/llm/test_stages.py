@@ -1,15 +1,142 @@
-"""The stages of the pipeline against results of their own."""
+"""The stages of the pipeline against results of their own: each in plain Python on what the stage before kept."""
 
-from test_llm import table
+import hashlib
+from collections import Counter, defaultdict
 
+import pytest
+from conftest import DATA
+from test_llm import WORD, base_counts, norm, row_key, table
+from test_shares import raked
+
+from rillflow.llm import queries
 from rillflow.llm.neardup import near_duplicates
 
+ASCII = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+
+
+def shingles(t, k=5):
+    w = WORD.findall((t or "").translate(ASCII))
+    return {tuple(w[p : p + k]) for p in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
 
-def united(a, b, k=5):
-    x, y = ({tuple(t.split()[p : p + k]) for p in range(len(t.split()) - k + 1)} for t in (a, b))
+
+def united(a, b):
+    x, y = shingles(a), shingles(b)
     return len(x & y) / len(x | y)
 
 
+def lines_of(t):
+    """(line, normal form, words) of each line."""
+    return [(x, norm(x), len(WORD.findall(x))) for x in (t or "").split("\n")]
+
+
+def plain_quality(rows):
+    docs, hosts = defaultdict(set), defaultdict(set)
+    for r in rows:
+        hosts[r["source"]].add(r["doc_id"])
+        for _, n, w in lines_of(r["text"]):
+            if w >= 3:
+                docs[r["source"], n].add(r["doc_id"])
+    often = {k: min(v) for k, v in docs.items() if len(v) >= 10 and (len(v) > 0.05 * len(hosts[k[0]]) or len(v) >= 1000)}
+    kept = []
+    for r in rows:
+        words, _, _, _, repeats = base_counts(r["text"])
+        lost = sum(w for _, n, w in lines_of(r["text"]) if w >= 3 and often.get((r["source"], n), r["doc_id"]) != r["doc_id"])
+        if words >= 50 and 100 * repeats <= 50 * words and words - lost >= 0.5 * words:
+            kept.append(r)
+    return kept
+
+
+def plain_lines(rows):
+    sites, first = defaultdict(set), {}
+    for r in rows:
+        for _, n, w in lines_of(r["text"]):
+            if w >= 3:
+                sites[n].add(r["source"])
+                first[n] = min(first.get(n, r["doc_id"]), r["doc_id"])
+    out = []
+    for r in rows:
+        kept = [x for x, n, w in lines_of(r["text"]) if w < 3 or len(sites[n]) < 10 or first[n] == r["doc_id"]]
+        text = "\n".join(kept)
+        if text == r["text"]:
+            out.append(r)
+        elif WORD.search(text):
+            out.append(r | {"text": text, "n_chars": len(text)})
+    return out
+
+
+def plain_near(rows):
+    sets = {r["doc_id"]: shingles(r["text"]) for r in rows}
+    ids, parent = sorted(sets), {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return [r for r in rows if find(r["doc_id"]) == r["doc_id"]]
+
+
+def plain_mixing(rows):
+    def form(text):
+        n = len(WORD.findall(text))
+        marks = sum(text.count(c) for c in "#*$%&<>")
+        if n and text.count("|") * 10 >= n:
+            return "table"
+        if n and marks * 10 >= n:
+            return "noise"
+        return "empty" if n == 0 else "short" if n < 100 else "long" if n >= 1000 else "prose"
+
+    weights, _, _ = raked([(r["doc_id"], r["text"], r["lang"], r["source"]) for r in rows], form)
+    out = []
+    for r in rows:
+        due = 0.8 * weights[r["source"], r["lang"], form(r["text"])]
+        key = f"17/{r['doc_id']}/{hashlib.md5(r['text'].encode()).hexdigest()}"
+        draw = int(hashlib.md5(key.encode()).hexdigest()[:12], 16) / 16**12
+        out += [r] * (int(due) + (draw < due - int(due)))
+    return out
+
+
+PLAIN = {"quality rules": plain_quality, "line dedup": plain_lines, "near-dedup": plain_near, "mixing": plain_mixing}
+
+
+def counted(rows):
+    return Counter(tuple(sorted((k, repr(v)) for k, v in r.items())) for r in rows)
+
+
+def test_stages_against_plain_python(spark):
+    import sentencepiece
+
+    import corpus_pipeline as c
+
+    docs = queries.read(spark, DATA, "documents")
+    rows = [r.asDict() for r in docs.collect()]
+    for name, stage in c.STAGES[:-1]:
+        after = c.cut(stage(spark, docs, DATA))
+        assert after.columns == docs.columns
+        plain = PLAIN[name](rows)
+        assert counted(r.asDict() for r in after.collect()) == counted(plain), name
+        assert len(plain) != len(rows) or plain != rows, "a stage without effect tells nothing"
+        docs, rows = after, plain
+    sp = sentencepiece.SentencePieceProcessor(model_file=queries.model_path())
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = Counter((r["doc_id"], len(e := sp.encode(r["text"])), sha(",".join(map(str, e))), sha(sp.decode(e))) for r in rows)
+    assert Counter(tuple(r) for r in c.STAGES[-1][1](spark, docs, DATA).collect()) == want
+
+
+def test_stages_keep_odd_columns(spark):
+    import corpus_pipeline as c
+
+    odd = spark.createDataFrame([(None, "a b c", None, None, None, "q")], "doc_id long, text string, lang string, source string, n_chars long, _t string")
+    for _, stage in c.STAGES[:-1]:
+        assert stage(spark, odd, DATA).columns == odd.columns
+        assert stage(spark, odd.limit(0), DATA).count() == 0
+
+
 def test_near_dup_stage_links_at_80(spark):
     """Pairs between 0.80 and 0.85, that op5's 85 leaves apart, go from the corpus; a pair under 0.80 stays."""
     import corpus_pipeline as c
@@ -25,3 +152,28 @@ def test_near_dup_stage_links_at_80(spark):
     docs = table(spark, rows)
     assert {r.doc_id for r in c.near_dup_stage(spark, docs, "").collect()} == want
     assert near_duplicates(docs, percent=85).where("kept").count() > len(want)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_recall_against_all_pairs(spark, percent):
+    """Classes of sf0.01 against all pairs of full sets: no link is missed."""
+    path = DATA.replace("sf0.001", "sf0.01")
+    docs = queries.read(spark, path, "documents")
+    sets = {r.doc_id: shingles(r.text) for r in docs.select("doc_id", "text").collect()}
+    places = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            places[x].append(i)
+    common = Counter()
+    for ids in places.values():
+        common.update((a, b) for i, a in enumerate(ids) for b in ids[:i])
+    links = [(a, b) for (a, b), n in common.items() if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n)]
+    root = {r.doc_id: r.component_id for r in near_duplicates(docs, percent=percent).collect()}
+    assert len(links) > 50 and all(root[a] == root[b] for a, b in links)
+    linked = {x for pair in links for x in pair}
+    assert all(root[i] == i for i in sets if i not in linked)
+
+
+def test_row_key_is_sparks(spark):
+    df = spark.createDataFrame([("aé", "b"), ("x" * 99, None), (None, None)], "text string, source string")
+    assert [r[0] for r in df.selectExpr("xxhash64(text, source)").collect()] == [row_key("aé", "b"), row_key("x" * 99, None), row_key(None, None)]
