@@ -14,7 +14,7 @@ from rillflow.llm.mixing import mixed_rows
 from rillflow.llm.neardup import near_duplicates
 from rillflow.llm.pieces import piece_digests
 from rillflow.llm.queries import model_path
-from rillflow.llm.tables import cut, read
+from rillflow.llm.tables import cut, drop, read
 
 
 def _without(docs: DataFrame, gone: DataFrame, key: list[str]) -> DataFrame:
@@ -40,9 +40,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (similarity of word shingles 0.8 or more) the document with the least id stays.
 
-    68 bands: a link at 0.8 shares one band or none with probability 3e-8.
+    68 bands: a link at 0.8 shares none of them with probability 1e-9.
     """
-    return _without(docs, near_duplicates(docs, percent=80, bands=68).where("NOT kept"), ["text"])
+    return _without(docs, near_duplicates(docs, percent=80).where("NOT kept"), ["text"])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,13 +64,14 @@ STAGES = [
     ("encoding", encoding_stage),
 ]
 
-#: Similarity components and raked sampling aren't SQL; tests/llm compares each stage with a brute-force version.
+#: Similarity components and raked sampling aren't SQL; tests/llm/test_stages.py compares each stage with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; a table goes once the next one is written."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        before, docs = docs, cut(stage(spark, docs, sf_dir))
+        drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
