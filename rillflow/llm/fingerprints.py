@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LANES = 128
-#: Documents a part of the id order holds on average, and parts at most.
-PART, PARTS = 500, 20_000
+#: Documents that a part of the order holds, and sampled rows that the driver gets at most (on average).
+PART, SAMPLED = 4_000, 4_000_000
 
 
 def fingerprints(texts: list[str]) -> np.ndarray:
@@ -64,21 +64,37 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(1 - (d**2).sum(axis=1) / np.where(both > 0, both, 1), 0, 1)
 
 
-def _dealt(splits: list[int]):
-    """Each row with its part of the id order; the first row of a part also ends the part that comes before it."""
+def _part_of(ids: np.ndarray, null: np.ndarray, keys: np.ndarray, splits: list[tuple[int | None, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """How many of the ordered splits (id, key; null ids first) are under each row, and whether the next one is the row's own."""
+    low = np.array([k for i, k in splits if i is None], np.int64)
+    tops, ends = (np.array([s[j] for s in splits if s[0] is not None], np.int64) for j in (0, 1))
+    first, last = np.searchsorted(tops, ids, "left"), np.searchsorted(tops, ids, "right")
+    part = first + len(low)
+    own = np.zeros(len(ids), bool)
+    for i in np.unique(ids[(first < last) & ~null]):  # ids that are splits: few
+        rows = np.flatnonzero((ids == i) & ~null)
+        here = ends[first[rows[0]] : last[rows[0]]]
+        under = np.searchsorted(here, keys[rows])
+        part[rows] += under
+        own[rows] = here[np.minimum(under, len(here) - 1)] == keys[rows]
+    part[null] = np.searchsorted(low, keys[null])
+    if len(low):
+        own[null] = low[np.minimum(part[null], len(low) - 1)] == keys[null]
+    return part, own
+
+
+def _dealt(splits: list[tuple[int | None, int]]):
+    """Each row with its part of the order; the first row of a part also ends the part that comes before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tops = np.array(splits, np.int64)
         for batch in batches:
             null = np.asarray(batch.column(0).is_null())
-            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            part = np.where(null, 0, np.searchsorted(tops, ids)).astype(np.int64)
-            part = np.minimum(part, max(len(tops) - 1, 0))
-            top = np.flatnonzero(~null & (tops[part] == ids)) if len(tops) else np.flatnonzero(null)
-            take = np.concatenate([np.arange(len(part)), top])
+            ids, keys = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
+            part, own = _part_of(ids, null, keys, splits)
+            take = np.concatenate([np.arange(len(part)), np.flatnonzero(own)])
             halo = np.arange(len(take)) >= len(part)
-            part = np.where(halo, (part[take] + 1) % max(len(tops), 1), part[take])
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(halo), batch.column(0).take(pa.array(take)), batch.column(1).take(pa.array(take))], ["part", "halo", "doc_id", "text"])
+            part = np.where(halo, (part[take] + 1) % max(len(splits), 1), part[take])
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(halo), *(batch.column(i).take(pa.array(take)) for i in range(3))], ["part", "halo", "doc_id", "tkey", "text"])
 
     return run
 
@@ -89,7 +105,7 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 500):
             rows = batch.slice(lo, 500)
-            part, halo, ids, texts = (c.to_pylist() for c in rows.columns)
+            part, halo, ids, texts = (rows.column(i).to_pylist() for i in (0, 1, 2, 4))
             prints = fingerprints(texts)
             if held is not None:
                 part, halo, ids, texts = ([h, *x] for h, x in zip(held, (part, halo, ids, texts), strict=False))
@@ -113,24 +129,32 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def fingerprint_edits(docs: DataFrame) -> DataFrame:
+def fingerprint_edits(docs: DataFrame, part: int = PART) -> DataFrame:
     """Fingerprints of each text and of its edited text, one row for each row of ``docs``.
 
     The edited text has the last half of the text's characters replaced by as many (or
     all) of the next document's first ones.  Next is by descending doc_id, equal ids by
-    text, rows without id last; after the last row comes the first.  Null text is empty.
-
-    The id order is dealt into parts at ids from one quantile aggregation.  A part's
-    first row goes also to the part before it, so each part is whole by itself and the
-    texts move once.
+    descending hash of the text, rows without id last; after the last row comes the
+    first.  Null text is empty.
+
+    The order is dealt into parts of about ``part`` rows at every 8th of some sampled rows,
+    of which id and hash come to the driver.  A part's first row goes also to the part
+    before it, so each part is whole by itself and the texts move once.  With the table
+    the number of parts and tasks grows, not their size (up to ``SAMPLED`` * part / 8
+    rows; beyond that the sample is as large as it gets).  Rows of one id, and rows without,
+    are spread by the hash.  Only rows that agree in id and text share a part.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    n = rows.count()
-    parts = max(1, min(PARTS, math.ceil(n / PART)))
-    shares = F.array(*[F.lit(i / parts) for i in range(1, parts + 1)])
-    splits = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 4 * parts)).alias("s")).first()["s"]
-    splits = sorted(set(splits or []))
-    dealt = rows.mapInArrow(_dealt(splits), "part long, halo boolean, doc_id long, text string")
-    ordered = dealt.repartition("part").sortWithinPartitions("part", "halo", F.desc_nulls_last("doc_id"), "text")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), text.alias("text"))
+    every = max(1, part // 8, math.ceil(rows.count() / SAMPLED))
+    largest = rows.agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "tkey")).alias("top")).select("top.doc_id", "top.tkey").where("tkey IS NOT NULL")
+    sample = rows.where(F.pmod(F.xxhash64("tkey", "doc_id"), F.lit(every)) == 0).select("doc_id", "tkey").distinct()
+    place = lambda s: (s[0] is not None, s[0] or 0, s[1])
+    splits = sorted(map(tuple, sample.collect()), key=place)[:: max(1, part // every)]
+    splits = sorted({*splits, *map(tuple, largest.collect())}, key=place)
+    dealt = rows.mapInArrow(_dealt(splits), "part long, halo boolean, doc_id long, tkey long, text string")
+    order = "part", "halo", F.desc_nulls_last("doc_id"), F.desc("tkey")
+    # so many tasks that few get several parts
+    ordered = dealt.repartition(2 * len(splits) + 1, "part").sortWithinPartitions(*order)
     out = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return ordered.mapInArrow(_edited, out)
