@@ -53,6 +53,13 @@ class Vocabulary:
         self.symbol = {p: i for i, p in enumerate(names)}
         self.ids = np.array([normal.get(p, -1) for p in names])
         self.names = names
+        # symbol of each code point; -1 - code point for those in no piece
+        self.of_char = -1 - np.arange(0x110000)
+        for p, i in self.symbol.items():
+            if len(p) == 1:
+                self.of_char[ord(p)] = i
+        self.is_byte = np.array([i in self.of_byte for i in range(size)])
+        self.numbers = list(map(str, range(size)))
         order = {s: r for r, s in enumerate(sorted({sp.get_score(i) for i in normal.values()}, reverse=True))}
         found = []
         for p, i in normal.items():
@@ -69,27 +76,21 @@ class Vocabulary:
         alone = "".join(re.escape(c) for c in ["\n", "\t", "\r"] if c not in inner)
         self.cut = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone}]" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
-    def merge(self, words: list[str]) -> list[list[int]]:
-        """Symbols of each word after all merges; -1 - code point for characters in no piece."""
-        if not words:
-            return []
-        of = self.symbol
-        sym = np.array([of.get(c, -1 - ord(c)) for w in words for c in w], np.int64)
-        size = np.array([len(w) for w in words])
-        word = np.repeat(np.arange(len(words)), size)
+    def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all words after all merges, one word after the other, and each word's end; -1 - code point for characters in no piece."""
+        sym = self.of_char[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        word = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
         done: list[tuple[np.ndarray, np.ndarray]] = []
-        base = len(self.names)
         never = np.iinfo(np.int64).max
+        at = self._pair(sym, word, np.arange(len(sym)))
         while len(sym):
-            key = np.where((sym[:-1] >= 0) & (sym[1:] >= 0) & (word[1:] == word[:-1]), sym[:-1] * base + sym[1:], -1)
-            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            known = np.append(self.pairs[at] == key, False)
+            known = at >= 0
             live = np.zeros(len(words), bool)
             live[word[known]] = True
             stays = live[word]
             if not stays.all():  # words without pairs are finished
                 done.append((sym[~stays], word[~stays]))
-            at, known, sym, word = np.append(at, 0)[stays], known[stays], sym[stays], word[stays]
+                at, known, sym, word = at[stays], known[stays], sym[stays], word[stays]
             n = len(sym)
             if not n:
                 break
@@ -97,27 +98,61 @@ class Vocabulary:
             rank = np.where(known, self.ranks[at] * np.int64(1 << 40) + np.arange(n), never)
             heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
             length = np.diff(np.append(heads, n))
-            take = rank == np.repeat(np.minimum.reduceat(rank, heads), length)
-            for h, m in zip(heads[length > self.near], length[length > self.near], strict=True):
-                take[h : h + m] = rank[h : h + m] == _least_near(rank[h : h + m], self.near)
-            chosen = np.flatnonzero(take & known)
+            least = np.minimum.reduceat(rank, heads)
+            chosen = least & np.int64((1 << 40) - 1)
+            if (long := np.flatnonzero(length > self.near)).size:
+                some = [chosen[length <= self.near]]
+                for h, m in zip(heads[long], length[long], strict=True):
+                    own = rank[h : h + m]
+                    some.append(h + np.flatnonzero((own == _least_near(own, self.near)) & (own != never)))
+                chosen = np.sort(np.concatenate(some))
             sym[chosen] = self.merged[at[chosen]]
             keep = np.ones(n, bool)
             keep[chosen + 1] = False
-            sym, word = sym[keep], word[keep]
+            # only pairs with a merged symbol are new
+            new = np.zeros(n, bool)
+            new[chosen] = True
+            new[np.maximum(chosen - 1, 0)] = True
+            before = chosen - 1
+            gone = before[(before >= 0) & ~keep[np.maximum(before, 0)]]  # the neighbour before was merged away: its own left part is
+            new[np.maximum(gone - 1, 0)] = True
+            sym, word, at, new = sym[keep], word[keep], at[keep], np.flatnonzero(new[keep])
+            at[new] = self._pair(sym, word, new)
         if done:
             sym, word = (np.concatenate([d[i] for d in done]) for i in (0, 1))
         order = np.argsort(word, kind="stable")
-        sym, ends = sym[order], np.cumsum(np.bincount(word, minlength=len(words)))
-        return [sym[e - c : e].tolist() for e, c in zip(ends, np.diff(ends, prepend=0), strict=True)]
+        return sym[order], np.cumsum(np.bincount(word, minlength=len(words)))
+
+    def _pair(self, sym: np.ndarray, word: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The vocabulary's pair at each place and the one after it; -1 if there is none."""
+        after = np.minimum(places + 1, len(sym) - 1)
+        a, b = sym[places], sym[after]
+        fits = (a >= 0) & (b >= 0) & (word[places] == word[after]) & (after > places)
+        key = np.where(fits, a * len(self.names) + b, -1)
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, at, -1)
+
+    def encode_flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and each word's end; characters in no piece become their UTF-8 bytes."""
+        sym, ends = self.merge(words)
+        ids = np.where(sym >= 0, self.ids[np.maximum(sym, 0)], -1)
+        odd = np.flatnonzero(ids < 0)
+        if not len(odd):
+            return ids, ends
+        raw = [self._bytes_of(int(s)) for s in sym[odd]]
+        counts = np.ones(len(ids), np.int64)
+        counts[odd] = list(map(len, raw))
+        wide = np.repeat(ids, counts)
+        wide[np.repeat(ids, counts) < 0] = [i for r in raw for i in r]
+        return wide, np.append(0, np.cumsum(counts))[ends]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word; characters in no piece become their UTF-8 bytes."""
-        return [[i for s in symbols for i in self._ids_of(s)] for symbols in self.merge(words)]
+        """Ids of each word."""
+        ids, ends = self.encode_flat(words)
+        flat, ends = ids.tolist(), ends.tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    def _ids_of(self, s: int) -> list[int]:
-        if s >= 0 and self.ids[s] >= 0:
-            return [int(self.ids[s])]
+    def _bytes_of(self, s: int) -> list[int]:
         return [self.bytes[b] for b in (chr(-1 - s) if s < 0 else self.names[s]).encode()]
 
     def words(self, text: str) -> list[str]:
@@ -190,11 +225,19 @@ class _Known(dict):
         if len(self) + len(new) > REMEMBERED:
             self.clear()
             new = list(words)
+        vocab = self.vocab
         for lo in range(0, len(new), 20_000):
             part = new[lo : lo + 20_000]
-            for w, ids in zip(part, self.vocab.encode_words(part), strict=True):
+            ids, ends = vocab.encode_flat(part)
+            byte = np.append(0, np.cumsum(vocab.is_byte[ids]))[ends]  # bytes up to each word's end
+            flat, ends = ids.tolist(), ends.tolist()
+            numbers, texts = [vocab.numbers[i] for i in flat], [vocab.texts[i] for i in flat]
+            a = 0
+            for w, e, odd in zip(part, ends, np.diff(byte, prepend=0).tolist(), strict=True):
                 # a word starts and ends with whole characters, so it decodes on its own
-                self[w] = (len(ids), ",".join(map(str, ids)), self.vocab.decode([*self.vocab_space, *ids]))
+                text = vocab.decode([*self.vocab_space, *flat[a:e]]) if odd else "".join(texts[a:e])
+                self[w] = (e - a, ",".join(numbers[a:e]), text)
+                a = e
 
     @property
     def vocab_space(self) -> list[int]:
@@ -214,7 +257,7 @@ def _digests(model: str):
                 n, ids, back = [], [], []
                 for words in split:
                     found = [known[w] for w in words]
-                    n.append(sum(f[0] for f in found))
+                    n.append(sum([f[0] for f in found]))
                     ids.append(hashlib.sha256(",".join([f[1] for f in found]).encode()).hexdigest())
                     text = "".join([f[2] for f in found])
                     back.append(hashlib.sha256((text[1:] if text.startswith(" ") else text).encode()).hexdigest())
