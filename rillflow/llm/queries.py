@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_tokenizers
 from .fingerprints import fingerprint_edits
+from .impacts import integers, top_k
 from .licenses import scan_licenses
 from .lines import line_dedup, quality_rules
+from .middles import fill_in_middle, restored
 from .mixing import mix
 from .neardup import near_duplicates
 from .pieces import piece_digests
@@ -17,10 +20,10 @@ from .toxicity import fit_toxicity, score_toxicity
 from .urls import judge_urls
 
 
-def model_path() -> str:
+def model_path(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +71,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"), k=13)
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", integers(F.col("embedding"), 256).alias("v"))
+    return top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(read(spark, sf_dir, "documents"), model_path("byte_bpe_50k.json"), model_path())
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(read(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    back = digest(restored(F.col("output"), F.col("form"))).alias("restored_sha256")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), back)
+
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), lambda x: x <> '')"
 NORMAL = f"trim(regexp_replace(lower(line), '{SPACE}', ' ', 'g'))"
@@ -113,5 +132,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
   sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(places, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id, t)"""
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_license_scan, op3_line_dedup, op4_toxicity, op5_minhash, op6_url_filter, op7_mixing, op8_quality_rules, op9_fingerprints, op10_substring_dedup)}
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_quality_rules": OP8_SQL, "op10_substring_dedup": OP10_SQL}
+OP11_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, r.vec_id, CAST(list_inner_product(q.e, r.e) AS BIGINT) AS score FROM v q JOIN v r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0),
+t AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM t WHERE rank <= 5"""
+
+OP13_SQL = """
+WITH u AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || doc_id) AS h FROM documents),
+d AS (SELECT doc_id, t, u, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM u),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p"""
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_license_scan, op3_line_dedup, op4_toxicity, op5_minhash, op6_url_filter, op7_mixing, op8_quality_rules, op9_fingerprints, op10_substring_dedup, op11_topk, op12_token_alignment, op13_fill_in_middle)}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_quality_rules": OP8_SQL, "op10_substring_dedup": OP10_SQL, "op11_topk": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
