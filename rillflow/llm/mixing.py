@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .tables import cut, drop, without, word_count
 
 
+#: Shares are tokens to this power.
+POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
+
+
 def topic_of(text: Column) -> Column:
     """A topic for corpora without one, by form: empty, table, noise, short, long or prose."""
     n, text = word_count(text), F.coalesce(text, F.lit(""))
@@ -24,35 +28,72 @@ def _name(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null"))
 
 
+#: A round whose scales come no nearer to 1 than this part of the round before has stalled; so many in a row tell targets that can't be met together.
+STALLED, PATIENCE = 0.97, 2
+#: The largest change of a weight that ends balancing, and the power of all scales together: 1 can't diverge, 2 could.
+SETTLED, RELAXED = 1e-4, 1.5
+
+
+def _scales(cells: DataFrame, d: str, target: DataFrame, total: float) -> DataFrame:
+    """d, _s_d: the scale that gives each value of ``d`` its share."""
+    sums = cells.groupBy(d).agg(F.sum("w").alias("_have")).join(target, d)
+    scale = F.when(F.col("_have") > 0, F.col("share") * total / F.col("_have")).otherwise(F.lit(1.0))
+    return sums.select(d, scale.alias(f"_s_{d}"))
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-9, rounds: int = 100) -> DataFrame:
     """``cells`` (dimensions, tokens) with ``w``: tokens scaled until each marginal has its target share.
 
     ``targets[d]`` has (d, share); shares sum to 1 over the values present.  A round
     scales to each dimension in turn; each scaling is one aggregation joined back, and a
     round is one job.  The cells are as many as combinations of values; they stay
-    distributed.  If the scales aren't within ``tolerance`` of 1 after ``rounds``, the
-    targets can't all be met, and that is an error.
+    distributed.
+
+    Targets may exclude each other: where each source has one language, the sources' shares
+    tell the languages'.  Then the scales stop coming nearer to 1, or ``rounds`` end first, and balancing follows:
+    all dimensions are scaled at once, each by a root of its scale, which lowers the
+    sum of the marginals' divergences from their targets down to the least that
+    there is.  ``marginals`` tells what is left of it.
     """
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    cells, far = cells.withColumn("w", F.col("tokens").cast("double")), 0.0
-    for _ in range(rounds if total else 0):
-        off, before = [], cells
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    cells, far, slow = cells.withColumn("w", F.col("tokens").cast("double")), [], 0
+    if not total:
+        return cells
+    scales = [f"_s_{d}" for d in targets]
+    while len(far) < rounds and slow < PATIENCE:
+        before = cells
         for d, target in targets.items():
-            sums = cells.groupBy(d).agg(F.sum("w").alias("_have")).join(target, d)
-            scale = F.when(F.col("_have") > 0, F.col("share") * float(total) / F.col("_have")).otherwise(F.lit(1.0))
-            cells = cells.join(sums.select(d, scale.alias(f"_s_{d}")), d).withColumn("w", F.col("w") * F.col(f"_s_{d}"))
-            off.append(F.max(F.abs(F.col(f"_s_{d}") - 1)).alias(d))
+            cells = cells.join(_scales(cells, d, target, total), d).withColumn("w", F.col("w") * F.col(f"_s_{d}"))
         seen = Observation()
-        cells = cut(cells.observe(seen, *off).drop(*[f"_s_{d}" for d in targets]))
+        cells = cut(cells.observe(seen, *[F.max(F.abs(F.col(s) - 1)).alias(s) for s in scales]).drop(*scales))
         drop(before)
-        far = max(x or 0.0 for x in seen.get.values())
-        if far < tolerance:
+        far.append(max(x or 0.0 for x in seen.get.values()))
+        if far[-1] < tolerance:
+            return cells
+        slow = slow + 1 if len(far) > 1 and far[-1] > STALLED * far[-2] else 0
+    for _ in range(rounds):
+        before, step = cells, F.lit(1.0)
+        for d, target in targets.items():
+            cells, step = cells.join(_scales(before, d, target, total), d), step * F.col(f"_s_{d}")
+        seen, step = Observation(), F.pow(step, RELAXED / len(targets))
+        cells = cut(cells.withColumn("w", F.col("w") * step).observe(seen, F.max(F.abs(step - 1)).alias("step")).drop(*scales))
+        drop(before)
+        if (seen.get["step"] or 0.0) < SETTLED:
             break
-    if far >= tolerance:
-        raise ValueError(f"raking ended after {rounds} rounds with a scale {far:.3g} off 1: the targets can't be met together")
     return cells
 
 
+def marginals(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """dimension, value, target, share, residual (share - target) of each marginal of raked ``cells``."""
+    total = cells.agg(F.sum("w").alias("_all"))
+    parts = [cells.groupBy(F.col(d).alias("value")).agg(F.sum("w").alias("_w")).join(t.select(F.col(d).alias("value"), F.col("share").alias("target")), "value").select(F.lit(d).alias("dimension"), "*") for d, t in targets.items()]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    share = F.col("_w") / F.col("_all")
+    return both.join(F.broadcast(total)).select("dimension", "value", "target", share.alias("share"), (share - F.col("target")).alias("residual"))
+
+
 def tempered(cells: DataFrame, d: str, power: float) -> DataFrame:
     """Target shares of a dimension's values: their tokens to a power, normalised."""
     sums = cells.groupBy(d).agg(F.pow(F.sum("tokens").cast("double"), power).alias("_p")).where("_p > 0")
@@ -73,6 +114,9 @@ def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = 0
     meet the targets however skewed the cells are; _kept is _copies > 0.  Null values are values of their own.  Documents
     without words have weight 0 and are not kept.  Columns of ``docs`` with the names of
     the new ones give way.
+
+    Where the targets can't all be met (a source of one language each), weights are the ones
+    whose marginals are nearest to them (``rake``); ``mixed_marginals`` shows what is left.
     """
     new = ["_topic", "_tokens", "_weight", "_chance", "_kept", "_copies"]
     out = mixed_rows(docs, powers, keep, seed, topic)
@@ -81,19 +125,14 @@ def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = 0
 
 def mixed_rows(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = 0.5, seed: int = 17, topic: Column | None = None) -> DataFrame:
     """``mix`` with each row of ``docs`` as a struct ``row``, so that no names clash."""
-    powers = powers or {"source": 0.5, "lang": 0.7, "topic": 0.7}
+    powers = powers or POWERS
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    text = F.col("text")
-    form = topic if topic is not None else topic_of(text)
-    tokens = word_count(text).cast("long")
 
     def dims(df: DataFrame, *more: Column) -> DataFrame:
-        return df.select(*more, _name(F.col("source")).alias("_source"), _name(F.col("lang")).alias("_lang"), form.alias("_topic"), tokens.alias("_tokens"))
+        return _dims(df, topic, *more)
 
     keys = ["_source", "_lang", "_topic"]
-    # filtered after the sum: before it the words would be split twice
-    cells = cut(dims(docs).groupBy(*keys).agg(F.sum("_tokens").alias("tokens")).where("tokens > 0"))
-    raked = rake(cells, {f"_{d}": tempered(cells, f"_{d}", p) for d, p in powers.items()})
+    raked, _ = _raked(dims(docs), powers)
     chances = raked.select(*keys, (F.col("w") / F.col("tokens")).alias("_weight"))
     out = dims(docs, row).join(chances, keys, "left").withColumn("_weight", F.coalesce("_weight", F.lit(0.0)))
     out = out.withColumn("_weight", F.when(F.col("_tokens") > 0, F.col("_weight")).otherwise(F.lit(0.0)))
@@ -104,6 +143,23 @@ def mixed_rows(docs: DataFrame, powers: dict[str, float] | None = None, keep: fl
     return out.withColumn("_kept", F.col("_copies") > 0).drop("_source", "_lang")
 
 
+def _dims(docs: DataFrame, topic: Column | None, *more: Column) -> DataFrame:
+    form, tokens = topic if topic is not None else topic_of(F.col("text")), word_count(F.col("text")).cast("long")
+    return docs.select(*more, _name(F.col("source")).alias("_source"), _name(F.col("lang")).alias("_lang"), form.alias("_topic"), tokens.alias("_tokens"))
+
+
+def _raked(rows: DataFrame, powers: dict[str, float]) -> tuple[DataFrame, dict[str, DataFrame]]:
+    # filtered after the sum: before it the words would be split twice
+    cells = cut(rows.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")).where("tokens > 0"))
+    targets = {f"_{d}": tempered(cells, f"_{d}", p) for d, p in powers.items()}
+    return rake(cells, targets), targets
+
+
+def mixed_marginals(docs: DataFrame, powers: dict[str, float] | None = None, topic: Column | None = None) -> DataFrame:
+    """``marginals`` of the weights that ``mix`` gives; values as text after ``=``, or null."""
+    return marginals(*_raked(_dims(docs, topic), powers or POWERS))
+
+
 def draw(doc_id: Column, text: Column, seed: int) -> Column:
     """A number in [0, 1) from md5 of id, text and seed."""
     key = F.concat_ws("/", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("null")), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
