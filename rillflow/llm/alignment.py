@@ -36,7 +36,7 @@ SPACE = "▁"
 #: A pair of ids is b * WIDTH + a.
 WIDTH = 1 << 21
 #: Characters of a segment that is remembered, and of all that are before memory starts anew.
-LONGEST, REMEMBERED = 64, 8_000_000
+LONGEST, REMEMBERED = 64, 4_000_000
 
 
 def _byte_of() -> dict[str, int]:
@@ -60,6 +60,10 @@ class Aligner:
         self.a_bytes = {i: bytes(of[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
         kinds = range(self.b.get_piece_size())
         self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace(SPACE, " ").encode() for i in kinds]
+        self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
+        for i, t in self.a_bytes.items():
+            self.a_sizes[i] = len(t)
+        self.b_sizes = np.array([len(t) for t in self.b_bytes])
         if any(SPACE in self.b.id_to_piece(i).lstrip(SPACE) for i in kinds):
             raise ValueError("pieces that join words are not supported")
         # both sides cut before a single space that a visible character follows
@@ -78,12 +82,9 @@ class Aligner:
             self.known, self.size = {}, 0
             new = list(segments)
         long = {}
-        for lo in range(0, len(new), 1000):
-            part = new[lo : lo + 1000]
-            a = [e.ids for e in self.a.encode_batch(part, add_special_tokens=False)]
-            b = self.b.encode([s[1:] for s in part], num_threads=1)
-            for s, x, y in zip(part, a, b, strict=True):
-                found = self.groups(s.encode("utf-8", "replace"), x, y)
+        for lo in range(0, len(new), 5000):
+            part = new[lo : lo + 5000]
+            for s, found in zip(part, self.groups(part), strict=True):
                 if len(s) <= LONGEST:
                     self.known[s] = found
                     self.size += len(s)
@@ -91,16 +92,36 @@ class Aligner:
                     long[s] = found
         return long
 
-    def groups(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
-        x, y = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(x) != raw or b"".join(y) != raw:
-            return None
-        cuts = [np.cumsum([len(t) for t in side]) for side in (x, y)]
-        _, i, j = np.intersect1d(*cuts, assume_unique=True, return_indices=True)
-        i, j = i.tolist(), j.tolist()
-        one, two = list(map(str, a)), list(map(str, b))
-        text = ";".join([",".join(one[p + 1 : q + 1]) + "|" + ",".join(two[r + 1 : s + 1]) for p, q, r, s in zip([-1, *i], i, [-1, *j], j, strict=False)])
-        return len(a), len(b), len(i), text, tuple(b[q] * WIDTH + a[p] for p, q in zip(i, j, strict=True))
+    def groups(self, segments: list[str]) -> list[tuple | None]:
+        """What ``learn`` tells of each segment; all are cut at once, on the byte ends of their tokens one after the other."""
+        sides = [e.ids for e in self.a.encode_batch(segments, add_special_tokens=False)], self.b.encode([s[1:] for s in segments], num_threads=1)
+        raw = [s.encode("utf-8", "replace") for s in segments]
+        size = np.array(list(map(len, raw)))
+        bad = np.zeros(len(segments), bool)
+        flat, last = [], []
+        for ids, known, sizes in zip(sides, (self.a_bytes, self.b_bytes), (self.a_sizes, self.b_sizes), strict=True):
+            one = np.fromiter(chain.from_iterable(ids), np.int64)
+            first = np.cumsum([0, *map(len, ids)])
+            total = np.append(0, np.cumsum(sizes[one]))[first]
+            if b"".join([known[i] for i in one.tolist()]) != b"".join(raw) or (np.diff(total) != size).any():
+                bad |= [b"".join([known[i] for i in x]) != r for x, r in zip(ids, raw, strict=True)]
+            flat.append(one)
+            last.append(first)
+        if bad.any():  # segments that don't come back are left out, the others cut again
+            good = np.flatnonzero(~bad).tolist()
+            found: list[tuple | None] = [None] * len(segments)
+            for i, x in zip(good, self.groups([segments[i] for i in good]) if good else [], strict=True):
+                found[i] = x
+            return found
+        (a, b), (at_a, at_b) = flat, last
+        _, i, j = np.intersect1d(np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]), assume_unique=True, return_indices=True)
+        pairs = (b[j] * WIDTH + a[i]).tolist()
+        groups = np.searchsorted(i, at_a)  # groups before each segment
+        one, two = [str(x) for x in a.tolist()], [str(x) for x in b.tolist()]
+        i, j = [-1, *i.tolist()], [-1, *j.tolist()]
+        texts = [f"{','.join(one[p + 1 : q + 1])}|{','.join(two[r + 1 : s + 1])}" for p, q, r, s in zip(i, i[1:], j, j[1:], strict=False)]
+        n_a, n_b, groups = np.diff(at_a).tolist(), np.diff(at_b).tolist(), groups.tolist()
+        return [(x, y, t - f, ";".join(texts[f:t]), tuple(pairs[f:t])) for x, y, f, t in zip(n_a, n_b, groups, groups[1:], strict=False)]
 
     def aligned(self, texts: list[str]) -> Iterator[tuple]:
         """n_a, n_b, n_groups, the groups as text, and the multiplicity of each linked pair of each text; zeros where a text has no tokens."""
@@ -134,8 +155,8 @@ def token_groups(docs: DataFrame, byte_level: str, pieces: str, texts: bool = Tr
             texts_here = [t or "" for t in batch.column(2).to_pylist()]
             sizes = np.cumsum([0, *map(len, texts_here)])
             lo = 0
-            while lo < batch.num_rows:  # about a million characters at a time
-                hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + 1_000_000, "right")) - 1)
+            while lo < batch.num_rows:  # about two million characters at a time
+                hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + 2_000_000, "right")) - 1)
                 part = batch.slice(lo, hi - lo)
                 found = list(sides.aligned(texts_here[lo:hi]))
                 sums = [hashlib.sha256(f[3].encode()).hexdigest() if f[2] else "" for f in found]
