@@ -64,6 +64,7 @@ class Aligner:
         for i, t in self.a_bytes.items():
             self.a_sizes[i] = len(t)
         self.b_sizes = np.array([len(t) for t in self.b_bytes])
+        self.a_text, self.b_text = (np.array([[f"{i}{end}" for i in range(len(sizes))] for end in ends], object) for sizes, ends in ((self.a_sizes, ",|"), (self.b_sizes, ",;")))
         if any(SPACE in self.b.id_to_piece(i).lstrip(SPACE) for i in kinds):
             raise ValueError("pieces that join words are not supported")
         # both sides cut before a single space that a visible character follows
@@ -76,7 +77,7 @@ class Aligner:
         return [s for s in self.cut.split(" " + text) if s]
 
     def learn(self, segments: set[str]) -> dict[str, tuple | None]:
-        """For each segment n_a, n_b, n_groups, the groups as text and the linked pairs; None if either side's bytes differ from it."""
+        """For each segment n_a, n_b, n_groups, the groups as text (a ; after each) and the linked pairs; None if either side's bytes differ from it."""
         new = [s for s in segments if s not in self.known]
         if self.size + sum(len(s) for s in new if len(s) <= LONGEST) > REMEMBERED:
             self.known, self.size = {}, 0
@@ -116,12 +117,15 @@ class Aligner:
         (a, b), (at_a, at_b) = flat, last
         _, i, j = np.intersect1d(np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]), assume_unique=True, return_indices=True)
         pairs = (b[j] * WIDTH + a[i]).tolist()
-        groups = np.searchsorted(i, at_a)  # groups before each segment
-        one, two = [str(x) for x in a.tolist()], [str(x) for x in b.tolist()]
-        i, j = [-1, *i.tolist()], [-1, *j.tolist()]
-        texts = [f"{','.join(one[p + 1 : q + 1])}|{','.join(two[r + 1 : s + 1])}" for p, q, r, s in zip(i, i[1:], j, j[1:], strict=False)]
-        n_a, n_b, groups = np.diff(at_a).tolist(), np.diff(at_b).tolist(), groups.tolist()
-        return [(x, y, t - f, ";".join(texts[f:t]), tuple(pairs[f:t])) for x, y, f, t in zip(n_a, n_b, groups, groups[1:], strict=False)]
+        # a token's text ends with what stands after it; the tokens of both sides in the order of their groups
+        inside = np.append(np.arange(len(a)), np.arange(len(b)))
+        inside[: len(a)], inside[len(a) :] = 2 * np.searchsorted(i, inside[: len(a)]), 2 * np.searchsorted(j, inside[len(a) :]) + 1
+        ends = np.zeros(len(a) + len(b), np.int64)
+        ends[i], ends[len(a) + j] = 1, 1
+        words = np.append(self.a_text[ends[: len(a)], a], self.b_text[ends[len(a) :], b])[np.argsort(inside, kind="stable")].tolist()
+        groups, first = np.searchsorted(i, at_a).tolist(), (at_a + at_b).tolist()  # groups and tokens before each segment
+        n_a, n_b = np.diff(at_a).tolist(), np.diff(at_b).tolist()
+        return [(x, y, t - f, "".join(words[p:q]), tuple(pairs[f:t])) for x, y, f, t, p, q in zip(n_a, n_b, groups, groups[1:], first, first[1:], strict=False)]
 
     def aligned(self, texts: list[str]) -> Iterator[tuple]:
         """n_a, n_b, n_groups, the groups as text, and the multiplicity of each linked pair of each text; zeros where a text has no tokens."""
@@ -133,7 +137,7 @@ class Aligner:
                 yield 0, 0, 0, "", {}
             else:
                 n_a, n_b, n, text, pairs = zip(*found, strict=True)
-                yield sum(n_a), sum(n_b), sum(n), ";".join(text), Counter(chain.from_iterable(pairs))
+                yield sum(n_a), sum(n_b), sum(n), "".join(text)[:-1], Counter(chain.from_iterable(pairs))
 
 
 @lru_cache(maxsize=1)
