@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .qc import r6
+from .quantiles import grouped
 
 EPS = 1e-8
 
@@ -32,10 +33,9 @@ def summary(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     x = F.col(value)
     finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     y = F.when(finite, x)
-    return rows.groupBy(*by).agg(
-        F.count(y).alias("n"), F.count_if(~finite).alias("infinite_frames"), r6(F.avg(y)).alias("mean"), r6(F.stddev_pop(y)).alias("std"), r6(F.median(y)).alias("median"),
-        r6(F.min(y)).alias("low"), r6(F.max(y)).alias("high"), r6(F.percentile(y, 0.05)).alias("p05"), r6(F.percentile(y, 0.95)).alias("p95"),
-    )
+    moments = [F.count(y).alias("n"), F.count_if(~finite).alias("infinite_frames"), r6(F.avg(y)).alias("mean"), r6(F.stddev_pop(y)).alias("std"), r6(F.min(y)).alias("low"), r6(F.max(y)).alias("high")]
+    df = grouped(rows, by, moments, {"median": (y, 0.5), "p05": (y, 0.05), "p95": (y, 0.95)})
+    return df.select(*by, "n", "infinite_frames", "mean", "std", r6(F.col("median")).alias("median"), "low", "high", r6(F.col("p05")).alias("p05"), r6(F.col("p95")).alias("p95"))
 
 
 def pixel_errors(a: Column, b: Column, channels: int = 1) -> dict[str, Column]:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .asof import nearest
+from .quantiles import grouped
 from .sequence import bursts, previous
 
 #: Verdicts by severity.
@@ -117,7 +118,8 @@ def latency(msgs: DataFrame, by: list[str], warn_ms: float, fail_ms: float) -> D
     """Time from valid header to receipt."""
     ms = (F.col("t") - F.col("h")) / 1000
     late = F.abs(ms)
-    df = stamped(msgs).where("ok").groupBy(*by).agg(F.count("*").alias("n"), r6(F.median(ms)).alias("p50"), r6(F.percentile(late, 0.95)).alias("abs_p95"), r6(F.max(late)).alias("abs_max"))
+    df = grouped(stamped(msgs).where("ok"), by, [F.count("*").alias("n"), r6(F.max(late)).alias("abs_max")], {"p50": (ms, 0.5), "abs_p95": (late, 0.95)})
+    df = df.select(*by, "n", r6(F.col("p50")).alias("p50"), r6(F.col("abs_p95")).alias("abs_p95"), "abs_max")
     return df.withColumn("status", F.when(F.col("abs_p95") >= fail_ms, "FAIL").when(F.col("abs_p95") >= warn_ms, "WARN").otherwise("PASS"))
 
 
@@ -149,7 +151,7 @@ def sync_report(msgs: DataFrame, anchor: str, targets, warn_ms: float) -> DataFr
     for target in targets[1:]:
         offs = offs.unionByName(offsets(msgs, anchor, target))
     ms = F.col("offset_us") / 1000
-    offs = offs.groupBy("bag_id", "target").agg(F.median(ms).alias("m"), F.percentile(ms, 0.95).alias("p"), F.max(ms).alias("x"))
+    offs = grouped(offs, ["bag_id", "target"], [F.max(ms).alias("x")], {"m": (ms, 0.5), "p": (ms, 0.95)})
     pairs = msgs.select("bag_id").distinct().select("bag_id", F.explode(F.array(*map(F.lit, targets))).alias("target"))
     df = pairs.join(offs, ["bag_id", "target"], "left")
     status = F.when(F.col("p").isNull(), "SKIP").when(F.col("p") > warn_ms, "WARN").otherwise("PASS")

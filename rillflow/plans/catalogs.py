@@ -167,7 +167,7 @@ NEEDED = 5_000_000
 def evicted(entries: DataFrame, needed: int) -> DataFrame:
     """node, entry, bytes of each node's oldest entries until ``needed`` bytes are free; entries without a time go first."""
     rows = entries.withColumn("t", F.coalesce("mtime", F.lit(-1)).cast("long")).withColumn("seq", F.col("entry"))
-    rows = running_sum(rows, ["node"], "bytes", "upto", 64)
+    rows = running_sum(rows, ["node"], "bytes", "upto")
     return rows.where(F.col("upto") - F.col("bytes") < needed).select("node", "entry", "bytes")
 
 

@@ -125,18 +125,14 @@ def frame_sample_stats(spark, sf_dir):
 
 IDX = """c AS (SELECT l_orderkey AS episode, count(*) AS length, list_sort(list(DISTINCT l_returnflag)) AS tasks, l_orderkey // 100 // 50 AS chunk, l_orderkey // 100 % 50 AS file
   FROM lineitem GROUP BY l_orderkey)"""
-#: Episodes in a bucket of the running offsets.
-EPISODES = 1 << 14
-
-
 def indexed(rows: DataFrame) -> DataFrame:
     """One row an episode from frames (episode, task, chunk, file): length, tasks, shard, and frame offsets in the order of episodes.
 
-    Offsets are summed within buckets of episodes; only bucket totals meet in one place.
+    Many episodes are cut into buckets; only bucket totals meet in one place.
     """
     one = rows.groupBy("episode").agg(F.count("*").alias("length"), F.sort_array(F.collect_set("task")).alias("tasks"), F.min("chunk").alias("chunk"), F.min("file").alias("file"))
     one = cut(one.withColumn("t", F.col("episode").cast("long")).withColumn("seq", F.col("episode").cast("long")))
-    df = running_sum(one, [], "length", "to_idx", EPISODES).drop("t", "seq")
+    df = running_sum(one, [], "length", "to_idx").drop("t", "seq")
     return df.withColumn("from_idx", F.col("to_idx") - F.col("length"))
 
 
@@ -179,7 +175,7 @@ def merge_datasets(spark, sf_dir):
     df = cut(lengths.join(o, "episode").withColumn("t", F.col("episode")).withColumn("seq", F.col("episode")))
     tasks = df.select("task").distinct().withColumn("task_index", (F.row_number().over(W.orderBy("task")) - 1).cast("long"))
     base = running_offsets(df.groupBy("source").agg(F.count("*").alias("c")), [], ["source"], "c").select("source", F.col("from_idx").alias("base"))
-    df = numbered(df, ["source"], "place", EPISODES).join(tasks, "task").join(base, "source")
+    df = numbered(df, ["source"], "place").join(tasks, "task").join(base, "source")
     return df.select("source", "episode", "length", "task_index", (F.col("base") + F.col("place")).alias("episode_index"))
 
 
@@ -188,7 +184,7 @@ SELECT source, episode, CASE WHEN i <= floor(0.8 * n) THEN 'train' WHEN i <= flo
 def split_episodes(spark, sf_dir):
     """Sequential splits by ratio: an episode's place comes from its bucket's offset."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderstatus").alias("source"), F.col("o_orderkey").alias("episode"))
-    df = numbered(o.withColumn("t", F.col("episode")).withColumn("seq", F.col("episode")), ["source"], "i", EPISODES)
+    df = numbered(o.withColumn("t", F.col("episode")).withColumn("seq", F.col("episode")), ["source"], "i")
     df = df.join(o.groupBy("source").agg(F.count("*").alias("n")), "source")
     i = F.col("i") + 1
     return df.select("source", "episode", F.when(i <= F.floor(0.8 * F.col("n")), "train").when(i <= F.floor(0.9 * F.col("n")), "val").otherwise("test").alias("split"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.frames import crop_resize_rows, ssim_rows
 from ..operators import fidelity as fi
 from ..operators.cuts import cut
+from ..operators.quantiles import grouped
 from ..operators.qc import half_up, r6
 from ..operators.sequence import numbered
 from ..sources.streams import literal
@@ -55,9 +56,9 @@ def embedding_cosine(spark, sf_dir):
   5) AS cos_p05, round(avg(degrees(acos(least(1.0, greatest(-1.0, cos))))), 3) AS angle_mean, round(avg(rel), 5) AS rel_l2_mean FROM c GROUP BY label""")
 def embedding_drift(spark, sf_dir):
     r5 = lambda c: half_up(c, 5)
-    return drift_rows(spark, sf_dir).groupBy(F.col("label").alias("variant")).agg(
-        F.count("*").alias("n"), r5(F.avg("cos")).alias("cos_mean"), r5(F.min("cos")).alias("cos_min"), r5(F.percentile("cos", 0.05)).alias("cos_p05"), half_up(F.avg(fi.angle(F.col("cos"))), 3).alias("angle_mean"), r5(F.avg("rel")).alias("rel_l2_mean")
-    )
+    moments = [F.count("*").alias("n"), r5(F.avg("cos")).alias("cos_mean"), r5(F.min("cos")).alias("cos_min"), half_up(F.avg(fi.angle(F.col("cos"))), 3).alias("angle_mean"), r5(F.avg("rel")).alias("rel_l2_mean")]
+    df = grouped(drift_rows(spark, sf_dir).withColumnRenamed("label", "variant"), ["variant"], moments, {"cos_p05": (F.col("cos"), 0.05)})
+    return df.withColumn("cos_p05", r5(F.col("cos_p05")))
 
 
 TOKENS = """t AS (SELECT vec_id, label, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM embeddings), ref AS (SELECT i, v AS r FROM t WHERE vec_id = 0),
@@ -80,10 +81,9 @@ def token_drift(spark, sf_dir):
     a, b = token(F.col("embedding"), F.col("i")), token(F.col("r"), F.col("i"))
     df = df.select("label", fi.cosine(a, b).alias("cos"), fi.relative_l2(a, b).alias("rel"))
     r4 = lambda c: half_up(c, 4)
-    each = df.groupBy(F.col("label").alias("variant")).agg(
-        F.count("*").alias("tokens"), r4(F.avg("cos")).alias("cos_mean"), r4(F.percentile("cos", 0.05)).alias("cos_p05"), r4(F.min("cos")).alias("cos_min"),
-        r4(F.avg("rel")).alias("rel_l2_mean"), r4(F.percentile("rel", 0.95)).alias("rel_l2_p95"), r4(F.max("rel")).alias("rel_l2_max"),
-    )
+    moments = [F.count("*").alias("tokens"), r4(F.avg("cos")).alias("cos_mean"), r4(F.min("cos")).alias("cos_min"), r4(F.avg("rel")).alias("rel_l2_mean"), r4(F.max("rel")).alias("rel_l2_max")]
+    each = grouped(df.withColumnRenamed("label", "variant"), ["variant"], moments, {"cos_p05": (F.col("cos"), 0.05), "rel_l2_p95": (F.col("rel"), 0.95)})
+    each = each.withColumns({c: r4(F.col(c)) for c in ("cos_p05", "rel_l2_p95")})
 
     def mean_token(c: str):
         n = F.floor(F.size(c) / 8)
@@ -208,7 +208,7 @@ SELECT v.label, count(r.i) AS paired, v0.n AS frames, n0.n AS reference, CASE WH
 def frame_pairing(spark, sf_dir):
     """Variant frames paired with the reference's by place; unequal lengths are fatal."""
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("label", F.col("vec_id").cast("long").alias("t"), F.col("vec_id").cast("long").alias("seq"))
-    a = cut(numbered(e, ["label"], "i", 1 << 16).select("label", "i"))
+    a = cut(numbered(e, ["label"], "i").select("label", "i"))
     ref = a.where("label = 0").select("i", F.lit(1).alias("hit"))
     n0 = a.where("label = 0").count()
     df = a.join(ref, "i", "left").groupBy("label").agg(F.count("hit").alias("paired"), F.count("*").alias("frames")).withColumn("reference", F.lit(n0).cast("long"))

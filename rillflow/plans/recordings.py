@@ -8,6 +8,7 @@ from ..functions.frames import colour_image
 from ..operators import align as al
 from ..operators import qc
 from ..operators.asof import asof, interpolated, nearest
+from ..operators.quantiles import grouped
 from ..operators.sequence import numbered, previous, segments
 from ..sources.streams import CONTINUOUS, ROLES, literal, messages
 from .registry import query, values
@@ -271,10 +272,9 @@ MS = "round(avg(skew_us) / 1000, 6) AS mean_ms, round(median(skew_us) / 1000, 6)
 @query(f"{HELD} SELECT bag_id, count(*) AS n, {MS} FROM r GROUP BY bag_id")
 def stats_ms(spark, sf_dir):
     u = F.col("skew_us")
-    return rows(spark, sf_dir, HOLD).groupBy("bag_id").agg(
-        F.count("*").alias("n"), qc.r6(F.avg(u) / 1000).alias("mean_ms"), qc.r6(F.median(u) / 1000).alias("p50_ms"),
-        qc.r6(F.percentile(u, 0.95) / 1000).alias("p95_ms"), (F.max(u) / 1000).alias("max_ms"),
-    )
+    one = [F.count("*").alias("n"), qc.r6(F.avg(u) / 1000).alias("mean_ms"), (F.max(u) / 1000).alias("max_ms")]
+    df = grouped(rows(spark, sf_dir, HOLD), ["bag_id"], one, {"p50_ms": (u, 0.5), "p95_ms": (u, 0.95)})
+    return df.withColumns({c: qc.r6(F.col(c) / 1000) for c in ("p50_ms", "p95_ms")})
 
 
 @query(f"""WITH {M}, hw AS (SELECT * FROM (WITH {win_sql(HOLD)} SELECT *, '{HOLD}' AS policy FROM w)),
@@ -653,14 +653,10 @@ def scan_stream_summary(spark, sf_dir):
     return df.withColumn("budget", F.when(F.col("errors") > F.when(F.col("topic") == "view", 0).otherwise(1), "over_budget").otherwise("ok"))
 
 
-#: Messages in a bucket of an order by number.
-NUMBERS = 1 << 20
-
-
 @query(f"""WITH {M}, d AS (SELECT bag_id, topic, h - lag(h) OVER (PARTITION BY bag_id, topic ORDER BY seq) AS dh FROM m) SELECT bag_id, topic,
   count(*) FILTER (WHERE dh < 0) AS violations FROM d GROUP BY ALL""")
 def monotonic_violations(spark, sf_dir):
-    d = previous(messages(spark, sf_dir).withColumn("t", F.col("seq")), qc.KEY, ["h"], {"_p": None}, NUMBERS)
+    d = previous(messages(spark, sf_dir).withColumn("t", F.col("seq")), qc.KEY, ["h"], {"_p": None})
     return d.groupBy("bag_id", "topic").agg(F.count_if(F.col("h") < F.col("_p.h")).alias("violations"))
 
 

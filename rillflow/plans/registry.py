@@ -41,7 +41,7 @@ def values(rows: list[tuple], names: str) -> str:
 
 
 def _load() -> None:
-    from . import catalogs, episodes, fidelity_studies, recordings, streams, training_logs  # noqa: F401
+    from . import catalogs, episodes, fidelity_studies, profiled_recordings, recordings, streams, training_logs  # noqa: F401
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

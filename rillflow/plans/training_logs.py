@@ -8,13 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import logs
+from ..operators.buckets import spread
 from ..operators.cuts import cut
 from ..operators.sequence import first_of_equal, numbered, previous
 from .registry import query
 
-#: Lines, steps in a bucket of an order by number.
-NUMBERS, STEPS = 1 << 20, 1 << 10
-
 #: The log line of an event, as an expression of both SQL dialects.
 LINE = """CASE event_type
  WHEN 'view' THEN 'Training:  ' || CAST(event_id % 101 AS STRING) || '%|##   | ' || CAST(event_id % 9000 AS STRING) || '/' || CAST(event_id % 4 * 5000 AS STRING)
@@ -67,9 +65,11 @@ def parse_metrics(spark, sf_dir):
 
 def history(rows: DataFrame) -> DataFrame:
     """Of neighbouring points with one step the last, then a stable sort by step."""
-    points = cut(parsed(rows).where("step > 0").drop("line"))  # what follows reads its rows twice
-    kept = cut(first_of_equal(placed(points, back=True), ["job"], "step", NUMBERS))
-    return numbered(placed(kept, "step"), ["job"], "place", STEPS).select("job", (F.col("place") + 1).alias("place"), "step", "loss", "lr", "grad_norm")
+    points = cut(parsed(rows).where("step > 0").drop("line"))
+    buckets = spread(placed(points, back=True), ["job"])
+    kept = first_of_equal(placed(points, back=True), ["job"], "step", buckets)
+    kept = placed(cut(kept) if buckets.split else kept, "step")
+    return numbered(kept, ["job"], "place", spread(kept, ["job"], buckets)).select("job", (F.col("place") + 1).alias("place"), "step", "loss", "lr", "grad_norm")
 
 
 @query(f"""WITH {SQL_LINES}, {PARSED}, d AS (SELECT *, lead(step) OVER (PARTITION BY job ORDER BY pos) AS nx FROM p WHERE step > 0)
@@ -88,14 +88,19 @@ def chart(rows: DataFrame) -> DataFrame:
     Both are cleared where the step falls; of neighbouring points with one step the first
     stays; the last ``CHART`` points are kept.
     """
-    steps = cut(parsed(rows).where("step IS NOT NULL").drop("line"))  # what follows reads its rows twice
-    steps = cut(previous(placed(steps), ["job"], ["step"], {"_p": None}, NUMBERS))
+    steps = placed(cut(parsed(rows).where("step IS NOT NULL").drop("line")))
+    buckets = spread(steps, ["job"])
+    steps = cut(previous(steps, ["job"], ["step"], {"_p": None}, buckets))
     fell = steps.where(F.col("step") < F.col("_p.step")).groupBy("job").agg(F.max("pos").alias("_cleared"))
     now = steps.join(fell, "job", "left").where("step > 0 AND (_cleared IS NULL OR pos >= _cleared)")
     each = F.array(*[F.struct(F.lit(c).alias("series"), F.col(c).alias("value")) for c in ("loss", "lr")])
     points = now.select("job", "pos", "step", F.inline(each)).where("value IS NOT NULL")
-    points = cut(first_of_equal(placed(points), ["job", "series"], "step", NUMBERS))
-    points = numbered(placed(points, back=True), ["job", "series"], "_age", NUMBERS).where(F.col("_age") < CHART)
+    key = ["job", "series"]
+    if buckets.split:
+        points = cut(points)
+    points = first_of_equal(placed(points), key, "step", spread(placed(points), key, buckets))
+    points = placed(cut(points) if buckets.split else points, back=True)
+    points = numbered(points, key, "_age", spread(points, key, buckets)).where(F.col("_age") < CHART)
     return points.select("job", "series", "step", "value")
 
 
@@ -176,7 +181,7 @@ ERR = r"^[A-Za-z_][\w.]*(Error|Exception|Interrupt|Timeout|Failure)\b"
 
 def error_tails(rows: DataFrame) -> DataFrame:
     """job, error: the text from the last exception line on, else the last six lines with text, at most 500 characters."""
-    last = numbered(placed(rows, back=True), ["job"], "_age", NUMBERS).where(F.col("_age") < TAIL)
+    last = numbered(placed(rows, back=True), ["job"], "_age").where(F.col("_age") < TAIL)
     found = last.groupBy("job").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("_s"))  # TAIL lines a job at most
     df = found.select("job", F.col("_s.line").alias("lines"))
     hits = F.expr(rf"filter(sequence(1, size(lines)), i -> lines[i - 1] RLIKE r'{ERR}')")

@@ -1,136 +1,89 @@
-"""Alignment settings and recording profiles, checked when they are made."""
+"""Alignment settings, quality limits and recipes: tables of settings and one checker."""
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field, fields, replace
-
-#: users' settings hold them.
-MODES = ("capture", "lerobot-loop")
-GAP_POLICIES = ("fail", "hold-last-command", "joint-state-fill")
-FRAME_POLICIES = ("fail", "drop")
-MISSING_POLICIES = ("fail", "fill")
-GRID_ANCHORS = ("anchor-camera", "anchor-camera-ticks", "first-command")
-
-
-@dataclass(frozen=True)
-class AlignmentConfig:
-    """Tolerances in milliseconds; null ones follow from the frame rate."""
-
-    fps: float = 30
-    mode: str = "lerobot-loop"
-    image_tolerance_ms: float | None = None
-    state_tolerance_ms: float | None = None
-    state_tolerance_periods: float = 1.5
-    action_tolerance_ms: float | None = None
-    action_pair_tolerance_ms: float = 5.0
-    end_effector_tolerance_ms: float = 100.0
-    image_height: int = 0
-    image_width: int = 0
-    invalid_frame_policy: str = "fail"
-    include_depth: bool = False
-    max_decode_errors: int = 0
-    action_gap_policy: str = "hold-last-command"
-    missing_topic_policy: str = "fail"
-    grid_anchor: str = "anchor-camera-ticks"
-    max_hold_fraction: float | None = None
-    max_hold_run_s: float | None = None
-    max_tick_rate_deviation: float = 0.1
-
-    def __post_init__(self) -> None:
-        for name in ("fps", "state_tolerance_periods"):
-            if getattr(self, name) <= 0:
-                raise ValueError(f"{name} must be positive")
-        for f in fields(self):
-            if (f.name.endswith("_ms") or f.name.startswith("max_")) and (getattr(self, f.name) or 0) < 0:
-                raise ValueError(f"{f.name} must not be negative")
-        if bool(self.image_height) != bool(self.image_width):
-            raise ValueError("image_height and image_width must both be given or both be zero")
-        if (self.max_hold_fraction or 0) > 1:
-            raise ValueError("max_hold_fraction must be between 0 and 1")
-        allowed = {"mode": MODES, "action_gap_policy": GAP_POLICIES, "invalid_frame_policy": FRAME_POLICIES, "missing_topic_policy": MISSING_POLICIES, "grid_anchor": GRID_ANCHORS}
-        for name, values in allowed.items():
-            if getattr(self, name) not in values:
-                raise ValueError(f"{name} must be one of {', '.join(values)}")
-        if self.missing_topic_policy == "fill" and self.action_gap_policy != "joint-state-fill":
-            raise ValueError("missing topics can be filled only with action_gap_policy joint-state-fill")
-
-    def image_tolerance(self) -> float:
-        """Half a frame around a capture time, one and a half frames behind a loop tick."""
-        if self.image_tolerance_ms is not None:
-            return self.image_tolerance_ms
-        return (500 if self.mode == "capture" else 1500) / self.fps
-
-    def action_tolerance(self) -> float:
-        return self.action_tolerance_ms if self.action_tolerance_ms is not None else 1000 / self.fps
-
-    def state_tolerance(self, median_period_ms: float) -> float:
-        if self.state_tolerance_ms is not None:
-            return self.state_tolerance_ms
-        return max(self.state_tolerance_periods * median_period_ms, 500 / self.fps, 1.0)
-
-
-@dataclass(frozen=True)
-class QualityLimits:
-    """Thresholds of a recording's verdict."""
-
-    gap_factor: float = 1.5
-    warn_drop_ratio: float = 0.01
-    fail_drop_ratio: float = 0.05
-    sync_warn_ms: float = 20.0
-    warn_latency_ms: float = 100.0
-    fail_latency_ms: float = 500.0
-    command_gap_warn_s: float = 1.0
-
-    def __post_init__(self) -> None:
-        if self.gap_factor <= 1:
-            raise ValueError("gap_factor must be greater than 1")
-        if not 0 <= self.warn_drop_ratio <= self.fail_drop_ratio <= 1:
-            raise ValueError("drop ratios must rise from warn to fail, between 0 and 1")
-        if not 0 <= self.warn_latency_ms <= self.fail_latency_ms:
-            raise ValueError("latencies must rise from warn to fail")
-
-
-@dataclass(frozen=True)
-class Profile:
-    """What a recording should hold: cameras, state and command topics, effectors with optional feedback."""
-
-    name: str
-    cameras: dict[str, str]
-    anchor: str
-    state_topic: str
-    command_topics: tuple[str, ...]
-    effectors: dict[str, str | None] = field(default_factory=dict)
-
-    def __post_init__(self) -> None:
-        if self.anchor not in self.cameras:
-            raise ValueError("the anchor must be one of the cameras")
-        for topic in (*self.cameras.values(), self.state_topic, *self.command_topics):
-            if not topic.startswith("/"):
-                raise ValueError(f"{topic} is not an absolute topic")
-
-    @classmethod
-    def from_json(cls, text: str) -> Profile:
-        doc = json.loads(text)
-        unknown = doc.keys() - {f.name for f in fields(cls)}
-        if unknown:
-            raise ValueError(f"unknown fields: {', '.join(sorted(unknown))}")
-        return cls(**(doc | {"command_topics": tuple(doc.get("command_topics", ()))}))
-
-    def roles(self) -> list[tuple[str, str, bool]]:
-        """(topic, role, required), for a broadcast dimension table."""
-        out = [(t, "camera", True) for t in self.cameras.values()] + [(self.state_topic, "arm_state", True)]
-        out += [(t, "arm_command", True) for t in self.command_topics]
-        for command, state in self.effectors.items():
-            out.append((command, "ee_command", True))
-            if state:
-                out.append((state, "ee_state", False))
-        return out
+from collections.abc import Mapping
+from types import MappingProxyType
+
+#: The settings that users' files and recipes hold.  Name: default, least value (None: any), greatest value or the allowed words.
+ALIGNMENT = {
+    "mode": ("lerobot-loop", None, ("capture", "lerobot-loop")),
+    "grid_anchor": ("anchor-camera-ticks", None, ("anchor-camera", "anchor-camera-ticks", "first-command")),
+    "action_gap_policy": ("hold-last-command", None, ("fail", "hold-last-command", "joint-state-fill")),
+    "invalid_frame_policy": ("fail", None, ("fail", "drop")),
+    "missing_topic_policy": ("fail", None, ("fail", "fill")),
+    "fps": (30, 1e-9, None),
+    "image_tolerance_ms": (None, 0, None),
+    "state_tolerance_ms": (None, 0, None),
+    "state_tolerance_periods": (1.5, 1e-9, None),
+    "action_tolerance_ms": (None, 0, None),
+    "action_pair_tolerance_ms": (5.0, 0, None),
+    "end_effector_tolerance_ms": (100.0, 0, None),
+    "max_hold_fraction": (None, 0, 1),
+    "max_hold_run_s": (None, 0, None),
+    "max_tick_rate_deviation": (0.1, 0, None),
+    "max_decode_errors": (0, 0, None),
+    "include_depth": (False, None, None),
+    "image_height": (0, 0, None),
+    "image_width": (0, 0, None),
+}
+LIMITS = {
+    "gap_factor": (1.5, 1 + 1e-9, None),
+    "warn_drop_ratio": (0.01, 0, 1),
+    "fail_drop_ratio": (0.05, 0, 1),
+    "sync_warn_ms": (20.0, None, None),
+    "warn_latency_ms": (100.0, 0, None),
+    "fail_latency_ms": (500.0, 0, None),
+    "command_gap_warn_s": (1.0, None, None),
+}
+#: Pairs of which the first mustn't be the greater one.
+RISING = (("warn_drop_ratio", "fail_drop_ratio"), ("warn_latency_ms", "fail_latency_ms"))
+
+
+def checked(table: Mapping, given: Mapping) -> Mapping:
+    """All settings of ``table``: those given, else the defaults.  Unknown names and values out of bounds are errors."""
+    if unknown := given.keys() - table.keys():
+        raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
+    out = {name: given.get(name, default) for name, (default, _, _) in table.items()}
+    for name, (_, least, most) in table.items():
+        value = out[name]
+        if isinstance(most, tuple):
+            if value not in most:
+                raise ValueError(f"{name} must be one of {', '.join(most)}")
+        elif value is not None and (least is not None and value < least or most is not None and value > most):
+            raise ValueError(f"{name} is {value}, out of bounds")
+    for low, high in RISING:
+        if low in out and out[low] > out[high]:
+            raise ValueError(f"{low} must not be over {high}")
+    return MappingProxyType(out)
+
+
+def alignment(given: Mapping | None = None) -> Mapping:
+    """Checked alignment settings.  Tolerances are in milliseconds; null ones follow from the frame rate."""
+    out = checked(ALIGNMENT, given or {})
+    if bool(out["image_height"]) != bool(out["image_width"]):
+        raise ValueError("image_height and image_width must both be given or both be zero")
+    if out["missing_topic_policy"] == "fill" and out["action_gap_policy"] != "joint-state-fill":
+        raise ValueError("missing topics can be filled only with action_gap_policy joint-state-fill")
+    return out
+
+
+def limits(given: Mapping | None = None) -> Mapping:
+    """Checked thresholds of a recording's verdict."""
+    return checked(LIMITS, given or {})
+
+
+def layered(recipe: Mapping | None = None, given: Mapping | None = None) -> Mapping:
+    """Alignment settings: what was given, else the recipe's, else the default; nulls count as not given."""
+    return alignment({k: v for layer in (recipe, given) for k, v in (layer or {}).items() if v is not None})
 
 
 #: Fields of a recipe beside its alignment, and of its video block.
 RECIPE_FIELDS = {"name", "description", "storage", "profile", "cameras", "depths", "anchor_camera", "robot_type", "alignment", "video", "notes", "_comment"}
 VIDEO_FIELDS = {"codec", "pixel_format", "crf", "gop", "preset", "fast_decode", "encoder_threads"}
+#: Fields of a recipe that stand in for those of its own profile.
+OVERRIDES = ("cameras", "depths", "anchor_camera", "robot_type")
 
 
 def load_recipe(text: str) -> dict:
@@ -138,18 +91,19 @@ def load_recipe(text: str) -> dict:
     doc = json.loads(text)
     if "profile" not in doc:
         raise ValueError("a recipe names a profile")
-    own = {f.name for f in fields(AlignmentConfig)}
-    for where, known, found in (("recipe", RECIPE_FIELDS, doc), ("alignment", own, doc.get("alignment") or {}), ("video", VIDEO_FIELDS, doc.get("video") or {})):
-        if unknown := set(found) - known:
+    for where, known, found in (("recipe", RECIPE_FIELDS, doc), ("alignment", ALIGNMENT, doc.get("alignment") or {}), ("video", VIDEO_FIELDS, doc.get("video") or {})):
+        if unknown := set(found) - set(known):
             raise ValueError(f"unknown {where} fields: {', '.join(sorted(unknown))}")
     return doc
 
 
-def layered(base: AlignmentConfig, recipe: dict | None = None, given: dict | None = None) -> AlignmentConfig:
-    """A setting that was given, else the recipe's, else the default; nulls count as not given."""
-    for layer in (recipe, given):
-        base = replace(base, **{k: v for k, v in (layer or {}).items() if v is not None})
-    return base
+def chosen_profile(recipe: Mapping | None, given: str | None) -> tuple[str, dict]:
+    """The profile's name, and the recipe's overrides of it; a profile that was given discards those, as they belong to another one."""
+    if given:
+        return given, {}
+    if not recipe:
+        raise ValueError("neither a recipe nor a profile was given")
+    return recipe["profile"], {k: recipe[k] for k in OVERRIDES if recipe.get(k) is not None}
 
 
 def name_and_topic(text: str) -> tuple[str, str]:

@@ -10,8 +10,10 @@ from conftest import DATA
 from pyspark.sql import functions as F
 
 from rillflow.functions import cdr, frames, logs
-from rillflow.operators import align, cuts, qc
+from rillflow.operators import align, buckets, cuts, qc
+from rillflow.operators.buckets import spread
 from rillflow.operators.asof import asof, interpolated, nearest
+from rillflow.operators.quantiles import grouped, quantiles
 from rillflow.operators.sequence import bursts, first_of_equal, islands, numbered, previous, running_sum, segments, velocity_of
 from rillflow.plans import registry
 from rillflow.plans.training_logs import latest_state, states
@@ -25,11 +27,12 @@ def tables(spark, seed):
     return ticks, source, spark.createDataFrame(ticks, "b int, k int, t long"), spark.createDataFrame(source or [(9, 0, 0, 0.0)], "b int, t long, seq int, v double")
 
 
-def test_asof_directions_with_duplicates(spark):
-    for seed in (1, 2):
+def test_asof_directions_with_duplicates(spark, monkeypatch):
+    for seed, most in ((1, 10**9), (2, 10**9), (1, 4), (2, 4)):
+        monkeypatch.setattr(buckets, "ROWS", most)
         ticks, source, left, right = tables(spark, seed)
         for direction, strict in (("backward", False), ("backward", True), ("forward", False)):
-            got = {(x.b, x.k): x.src and (x.src.t, x.src.seq) for x in asof(left, right, ["b"], ["v"], direction=direction, strict=strict, bucket=16).collect()}
+            got = {(x.b, x.k): x.src and (x.src.t, x.src.seq) for x in asof(left, right, ["b"], ["v"], direction=direction, strict=strict).collect()}
             for b, k, t in ticks:
                 own = [(s[1], s[2]) for s in source if s[0] == b]
                 if direction == "forward":
@@ -59,19 +62,21 @@ def test_nearest_and_interpolation(spark):
             assert line[b, k] is None
 
 
-def test_islands_and_bursts(spark):
+def test_islands_and_bursts(spark, monkeypatch):
     flags = [k in (0, 1, 4, 6) for k in range(7)]
     rows = spark.createDataFrame([(1, k, k * 10, f) for k, f in enumerate(flags)] + [(2, 0, 5, False)], "b int, k int, t long, f boolean")
-    for width in (10**9, 15):
-        got = sorted((x["first"], x["last"], x.seg, x.end_us - x.start_us) for x in segments(islands(rows, ["b"], "f", "k", width), ["b"]).collect())
+    for most in (10**9, 2):
+        monkeypatch.setattr(buckets, "ROWS", most)
+        got = sorted((x["first"], x["last"], x.seg, x.end_us - x.start_us) for x in segments(islands(rows, ["b"], "f", "k"), ["b"]).collect())
         assert got == [(0, 1, 0, 10), (4, 4, 1, 0), (6, 6, 2, 0)]
     stream = spark.createDataFrame([(1, 0, 0), (1, 10, 1), (1, 21, 2), (2, 5, 0)], "b int, t long, seq int")
-    for width in (10**9, 7):
-        got = sorted((x.b, x.start_us, x.end_us, x.n) for x in bursts(stream, ["b"], 10, width).collect())
+    for most in (10**9, 1):
+        monkeypatch.setattr(buckets, "ROWS", most)
+        got = sorted((x.b, x.start_us, x.end_us, x.n) for x in bursts(stream, ["b"], 10).collect())
         assert got == [(1, 0, 10, 2), (1, 21, 21, 1), (2, 5, 5, 1)]
 
 
-def test_ordered_helpers_across_buckets(spark):
+def test_ordered_helpers_across_buckets(spark, monkeypatch):
     """Previous rows, sums and numbers of keys cut into many buckets, null keys included, against a plain loop."""
     r = random.Random(4)
     rows = [(r.choice([1, 1, 1, 2, None]), r.randrange(0, 90), i, r.choice([None, 1, 2]), r.random() < 0.3) for i in range(300)]
@@ -86,12 +91,33 @@ def test_ordered_helpers_across_buckets(spark):
             total[x[2]], place[x[2]] = sum_, n
             n += 1
     tup = lambda s: s and tuple(s)
-    for width in (7, 10**9):
-        got = previous(df, ["b"], ["t", "v"], {"p": None, "q": df.ok}, width).collect()
+    for most in (9, 10**9):
+        monkeypatch.setattr(buckets, "ROWS", most)
+        assert spread(df, ["b"]).split == (most == 9)
+        got = previous(df, ["b"], ["t", "v"], {"p": None, "q": df.ok}).collect()
         assert {x.seq: (tup(x.p), tup(x.q)) for x in got} == before
-        assert {x.seq: x.s or 0 for x in running_sum(df, ["b"], "v", "s", width).collect()} == total
-        assert {x.seq: x.v for x in numbered(df, ["b"], "v", width).collect()} == place
-    assert {x.seq for x in first_of_equal(spark.createDataFrame([(1, i, i, s) for i, s in enumerate([5, 5, 7, 5])], "b int, t long, seq long, s long"), ["b"], "s", 2).collect()} == {0, 2, 3}
+        assert {x.seq: x.s or 0 for x in running_sum(df, ["b"], "v", "s").collect()} == total
+        assert {x.seq: x.v for x in numbered(df, ["b"], "v").collect()} == place
+    assert {x.seq for x in first_of_equal(spark.createDataFrame([(1, i, i, s) for i, s in enumerate([5, 5, 7, 5])], "b int, t long, seq long, s long"), ["b"], "s").collect()} == {0, 2, 3}
+
+
+def test_a_minute_with_a_third_of_all_rows_spreads(spark, monkeypatch):
+    """One recording of a minute has a third of the messages, most of them in one second; no bucket holds many of them."""
+    r = random.Random(6)
+    dense = [(1, 30_000_000 + int(r.random() ** 4 * 60e6), i) for i in range(4000)]
+    rows = dense + [(2 + i % 40, r.randrange(10**15), 4000 + i) for i in range(8000)]
+    df = spark.createDataFrame(rows, "b int, t long, seq long").repartition(6)
+    monkeypatch.setattr(buckets, "ROWS", 100)
+    found = spread(df, ["b"])
+    limit = 12_000 // (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sizes = found.place(df).groupBy("b", "_b").count().collect()
+    assert max(x["count"] for x in sizes) <= 1.5 * limit and len([x for x in sizes if x.b == 1]) >= 5
+    assert all(x["_b"] == 0 for x in sizes if x.b != 1)
+    order = found.place(df).where("b = 1").orderBy("t").collect()
+    assert [x["_b"] for x in order] == sorted(x["_b"] for x in order)
+    got = {x.seq: x.n for x in numbered(df, ["b"], "n").collect()}
+    for b in (1, 7):
+        assert [got[x[2]] for x in sorted((x for x in rows if x[0] == b), key=lambda x: (x[1], x[2]))] == list(range(sum(x[0] == b for x in rows)))
 
 
 def test_window_anchor_and_silent_streams(spark):
@@ -324,3 +350,19 @@ def test_intermediate_tables(spark):
     one = cuts.cut(spark.range(3))
     cuts.clear(spark)
     assert not os.path.exists(one._cut_path.removeprefix("file://"))
+
+
+def test_quantiles_of_large_groups(spark):
+    """Narrowed groups give what Spark's percentile gives: ties, outliers, tiny spans, null keys, NaN."""
+    r = random.Random(12)
+    rows = [(r.choice([1, 1, 1, 2, None]), r.choice([r.gauss(0, 1), r.expovariate(1e-6), 5.0, -1e300, 1e-300 * r.random(), None])) for _ in range(3000)]
+    rows += [(3, 7.0)] * 500 + [(4, None)] * 3 + [(5, float("nan")), (5, 2.0), (6, 0.0), (6, 1.0)]
+    df = spark.createDataFrame(rows, "g int, v double").repartition(4)
+    points = {"a": 0.0, "b": 0.05, "m": 0.5, "c": 0.95, "z": 1.0}
+    plain = df.where("v IS NOT NULL AND NOT isnan(v)").groupBy("g").agg(*[F.percentile("v", p).alias(n) for n, p in points.items()])
+    want = sorted(map(repr, map(tuple, plain.collect())))
+    assert sorted(map(repr, map(tuple, quantiles(df, ["g"], "v", points, most=20).collect()))) == want
+    assert sorted(map(repr, map(tuple, quantiles(df, ["g"], "v", points).collect()))) == want
+    both = grouped(df, ["g"], [F.count("*").alias("n")], {"m": (F.col("v"), 0.5), "k": (F.col("v") * 2, 0.5)}, most=20).collect()
+    assert {x.g: x.n for x in both} == {g: sum(y[0] == g for y in rows) for g in (1, 2, None, 3, 4, 5, 6)}
+    assert all(x.k == 2 * x.m for x in both if x.g == 3) and [x.m for x in both if x.g == 4] == [None]

@@ -5,42 +5,9 @@ import pytest
 
 from rillflow.plans.episodes import indexed
 from rillflow.sources import repair
-from rillflow.sources.config import AlignmentConfig, Profile, QualityLimits, layered, load_recipe, name_and_topic
 from rillflow.sources.discovery import datasets, episodes, find_recordings, listing, newest, ordered, recordings
 
 
-def test_settings_are_checked():
-    assert AlignmentConfig(mode="capture").image_tolerance() == 500 / 30 and AlignmentConfig().image_tolerance() == 50
-    assert AlignmentConfig().state_tolerance(20.0) == 30.0 and AlignmentConfig().state_tolerance(1.0) == 500 / 30 and AlignmentConfig().action_tolerance() == 1000 / 30
-    bad = [{"fps": 0}, {"mode": "x"}, {"action_tolerance_ms": -1}, {"max_hold_fraction": 1.5}, {"missing_topic_policy": "fill"}, {"grid_anchor": "x"}, {"image_height": 5}]
-    for settings in [*bad, {"max_decode_errors": -1}, {"state_tolerance_periods": 0}, {"max_tick_rate_deviation": -0.1}]:
-        with pytest.raises(ValueError):
-            AlignmentConfig(**settings)
-    assert layered(AlignmentConfig(), {"fps": 20.0, "mode": "capture"}, {"fps": 25.0, "mode": None}) == AlignmentConfig(fps=25.0, mode="capture")
-    for settings in ({"gap_factor": 1}, {"warn_drop_ratio": 0.5}, {"warn_latency_ms": 900}):
-        with pytest.raises(ValueError):
-            QualityLimits(**settings)
-
-
-def test_recipe():
-    assert load_recipe('{"profile": "arm", "alignment": {"fps": 20}, "video": {"crf": 20}}')["alignment"] == {"fps": 20}
-    for text in ("{}", '{"profile": "a", "colour": 1}', '{"profile": "a", "alignment": {"speed": 1}}', '{"profile": "a", "video": {"fps": 1}}'):
-        with pytest.raises(ValueError):
-            load_recipe(text)
-
-
-def test_profile():
-    p = Profile.from_json('{"name": "r", "cameras": {"head": "/h"}, "anchor": "head", "state_topic": "/s", "command_topics": ["/c"], "effectors": {"/e": "/f", "/g": null}}')
-    assert [r[1] for r in p.roles()] == ["camera", "arm_state", "arm_command", "ee_command", "ee_state", "ee_command"]
-    with pytest.raises(ValueError):
-        Profile("r", {"head": "h"}, "head", "/s", ())
-    with pytest.raises(ValueError):
-        Profile.from_json('{"nmae": "r"}')
-    assert name_and_topic("a=/b") == ("a", "/b")
-    with pytest.raises(ValueError):
-        name_and_topic("a=b")
-
-
 def test_discovery(spark, tmp_path):
     for f in ("one/a.mcap", "two/metadata.yaml", "two/x.db3", "two/y.mcap", "three/metadata.yaml", "e/1.hdf5", "e/2.h5", "e/3.txt"):
         (tmp_path / f).parent.mkdir(exist_ok=True)
