@@ -45,8 +45,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
     """``cells`` (dimensions, tokens) with ``w``: tokens scaled until each marginal has its target share.
 
     ``targets[d]`` has (d, share); shares sum to 1 over the values present.  A round
-    scales to each dimension in turn; each scaling is one aggregation joined back, and a
-    round is one job.  The cells are as many as combinations of values; they stay
+    scales to each dimension in turn; each scaling is one aggregation joined back, and one job.  The cells are as many as combinations of values; they stay
     distributed.
 
     Targets may exclude each other: where each source has one language, the sources' shares
@@ -61,13 +60,14 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
         return cells
     scales = [f"_s_{d}" for d in targets]
     while len(far) < rounds and slow < PATIENCE:
-        before = cells
+        off = []
         for d, target in targets.items():
-            cells = cells.join(_scales(cells, d, target, total), d).withColumn("w", F.col("w") * F.col(f"_s_{d}"))
-        seen = Observation()
-        cells = cut(cells.observe(seen, *[F.max(F.abs(F.col(s) - 1)).alias(s) for s in scales]).drop(*scales))
-        drop(before)
-        far.append(max(x or 0.0 for x in seen.get.values()))
+            seen, scale = Observation(), F.col(f"_s_{d}")
+            before, cells = cells, cells.join(_scales(cells, d, target, total), d)
+            cells = cut(cells.withColumn("w", F.col("w") * scale).observe(seen, F.max(F.abs(scale - 1)).alias("far")).drop(f"_s_{d}"))
+            drop(before)
+            off.append(seen.get["far"] or 0.0)
+        far.append(max(off))
         if far[-1] < tolerance:
             return cells
         slow = slow + 1 if len(far) > 1 and far[-1] > STALLED * far[-2] else 0

@@ -119,7 +119,7 @@ def test_targets_that_exclude_each_other(spark, n):
 
 
 def test_few_rounds_still_give_weights(spark):
-    cells = spark.createDataFrame([("a", "x", 90), ("a", "y", 5), ("b", "x", 2), ("b", "y", 80)], "p string, q string, tokens long")
+    cells = spark.createDataFrame([("a", "x", 60), ("a", "y", 40), ("b", "x", 30), ("b", "y", 70)], "p string, q string, tokens long")
     even = {d: spark.createDataFrame([(v, 0.4 + 0.2 * (v in "ax")) for v in vs], f"{d} string, share double") for d, vs in (("p", "ab"), ("q", "yx"))}
     assert max(abs(x.residual) for x in marginals(rake(cells, even), even).collect()) < 1e-8
     assert max(abs(x.residual) for x in marginals(rake(cells, even, rounds=4), even).collect()) < 0.05
