@@ -96,9 +96,9 @@ def select_node(spark, sf_dir):
     return nodes(spark, sf_dir).where("eligible").orderBy((F.col("node") == PREFERRED).desc(), F.desc("free_mb"), "node").limit(1).select("node", "free_mb")
 
 
-PROC = """l_suppkey AS node, CASE l_partkey % 5 WHEN 0 THEN '/usr/lib/xorg/Xorg' WHEN 1 THEN 'gnome-shell' WHEN 2 THEN 'python train.py' WHEN 3 THEN NULL ELSE 'firefox' END AS name"""
+PROC = """l_suppkey AS node, CASE l_partkey % 9 WHEN 0 THEN '/usr/lib/xorg/Xorg' WHEN 1 THEN 'gnome-shell' WHEN 2 THEN 'python train.py' WHEN 3 THEN NULL WHEN 4 THEN '/opt/google/chrome' WHEN 5 THEN '/usr/share/code/code' WHEN 6 THEN 'RustDesk' WHEN 7 THEN 'blender' ELSE 'firefox' END AS name"""
 #: Parts of the names of a desktop's processes.
-DESKTOP = "xorg|gnome|firefox"
+DESKTOP = "xorg|x11|gnome|kde|plasma|compiz|rustdesk|teamviewer|anydesk|parsec|awesun|code|chrome|firefox|edge|safari|clash|v2ray|sunlogin"
 
 
 @query(f"""SELECT node, count(*) FILTER (WHERE NOT regexp_matches(lower(coalesce(name, '')), '{DESKTOP}')) AS compute FROM (SELECT {PROC} FROM lineitem)

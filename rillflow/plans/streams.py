@@ -8,7 +8,7 @@ from .registry import query
 
 HOURS = 48
 BURSTS = f"""WITH s AS (SELECT *, epoch_us(ts) AS t, lag(epoch_us(ts)) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS before FROM events),
-g AS (SELECT *, sum(CAST(coalesce(t - before >= {HOURS * 3_600_000_000}, false) AS INT)) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS burst FROM s)
+g AS (SELECT *, sum(CAST(coalesce(t - before > {HOURS * 3_600_000_000}, false) AS INT)) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS burst FROM s)
 SELECT user_id, event_type, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n FROM g GROUP BY user_id, event_type, burst"""
 
 

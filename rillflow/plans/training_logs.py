@@ -189,7 +189,7 @@ def error_tails(rows: DataFrame) -> DataFrame:
     six = F.slice(full, F.greatest(F.size(full) - 5, F.lit(1)), F.lit(6))
     raw = F.when(F.size(hits) > 0, F.array_join(F.slice("lines", F.array_max(hits), F.size("lines")), "\n")).otherwise(F.array_join(six, "\n"))
     x = F.regexp_replace(F.regexp_replace(raw, r"^\s+|\s+$", ""), r"\n\s*\n+", "\n")
-    return df.select("job", F.nullif(F.when(F.length(x) > 500, F.concat(F.substring(x, 1, 500), F.lit("…"))).otherwise(x), F.lit("")).alias("error"))
+    return df.select("job", F.nullif(F.when(F.length(x) > 500, F.concat(F.regexp_replace(F.substring(x, 1, 500), r"\s+$", ""), F.lit("…"))).otherwise(x), F.lit("")).alias("error"))
 
 
 @query(f"""WITH {SQL_LINES}, b AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY pos DESC) AS age FROM l),
@@ -197,7 +197,7 @@ t AS (SELECT job, list(line ORDER BY pos) AS lines FROM b WHERE age <= {TAIL} GR
 n AS (SELECT job, lines, list_filter(range(1, len(lines) + 1), lambda i: regexp_matches(lines[i], '{ERR}')) AS hits FROM t),
 s AS (SELECT job, CASE WHEN len(hits) > 0 THEN array_to_string(lines[list_max(hits):], chr(10)) ELSE array_to_string(list_filter(lines, lambda x: trim(x) <> '')[-6:], chr(10)) END AS raw FROM n),
 c AS (SELECT job, regexp_replace(trim(raw, chr(10) || ' '), '\\n\\s*\\n+', chr(10), 'g') AS x FROM s)
-SELECT job, nullif(CASE WHEN length(x) > 500 THEN substr(x, 1, 500) || '…' ELSE x END, '') AS error FROM c""")
+SELECT job, nullif(CASE WHEN length(x) > 500 THEN regexp_replace(substr(x, 1, 500), '\\s+$', '') || '…' ELSE x END, '') AS error FROM c""")
 def log_error_tail(spark, sf_dir):
     return error_tails(lines(spark, sf_dir))
 

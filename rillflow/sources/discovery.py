@@ -26,9 +26,10 @@ def recordings(files: DataFrame) -> DataFrame:
 
 def find_recordings(spark: SparkSession, source: str) -> DataFrame:
     """``recordings`` below a folder, or the folder of one file, which has to be a recording's."""
-    if "." in source.rpartition("/")[2] and not source.endswith((".db3", ".mcap")):
+    files = listing(spark, source)
+    if not source.endswith((".db3", ".mcap")) and not files.where(F.col("path").endswith("/" + source.strip("/"))).isEmpty():
         raise ValueError(f"{source} is neither a folder nor a .db3 or .mcap file")
-    return recordings(listing(spark, source))
+    return recordings(files)
 
 
 def episodes(files: DataFrame) -> DataFrame:

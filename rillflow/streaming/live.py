@@ -12,28 +12,23 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions import logs
 from ..operators.cuts import shared_dir
 from ..plans.training_logs import STATE, latest_state
-
+from .growing import register
 
 ORDER = ["made", "file", "place"]
 
 
-def tail(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
-    """job, line of log files as they appear, with their order: time and name of the file, number of the line.
+def tail(spark: SparkSession, folder: str) -> DataFrame:
+    """job, line of log files as they grow, with their order: time and name of the file, the byte that the line starts at.
 
-    The job is the file's folder.  Log writers close a file after a while, so a file is one
-    row until it is split into lines, and its lines keep their numbers.  Offsets are those of
-    Spark's file source: a file that was read isn't read again after a restart.
+    The job is the file's folder.  Whole lines only; what is appended later is read by the
+    next batch, and a restart goes on after the last line that was read (``growing``).
     """
-    df = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder, wholetext=True, recursiveFileLookup=True)
-    meta = F.col("_metadata")
-    made, file = meta["file_modification_time"].alias("made"), meta["file_path"].alias("file")
-    text = F.regexp_replace("value", r"\r?\n$", "")
-    df = df.select(made, file, F.posexplode(F.split(text, r"\r?\n")).alias("place", "line"))
-    return df.select(F.element_at(F.split("file", "/"), -2).alias("job"), *ORDER, "line")
+    register(spark)
+    return spark.readStream.format("growing_logs").load(folder)
 
 
-def metric_states(lines: DataFrame) -> DataFrame:
-    """Each job's state after every batch: step, total, eta and loss, kept between batches; lines count in their order."""
+def metric_states(lines: DataFrame, mode: str = "update") -> DataFrame:
+    """Each job's state after every batch: step, total, eta and loss, kept between batches; lines count in their order.  ``mode`` append is for sinks that know no updates."""
     c = F.col("line")
     df = lines.select("job", *ORDER, *[v.alias(k) for k, v in logs.progress(c).items()], *[v.alias(k) for k, v in logs.metrics(c).items() if k in ("step", "loss")])
 
@@ -45,7 +40,7 @@ def metric_states(lines: DataFrame) -> DataFrame:
         state.update((now["step"], now["total"], now["eta"], now["loss"]))
         yield pd.DataFrame([{"job": key[0], "step": now["step"], "total": now["total"], "eta_s": now["eta"], "loss": now["loss"]}])
 
-    return df.groupBy("job").applyInPandasWithState(fold, STATE, "step long, total long, eta_s long, loss double", "update", GroupStateTimeout.NoTimeout)
+    return df.groupBy("job").applyInPandasWithState(fold, STATE, "step long, total long, eta_s long, loss double", mode, GroupStateTimeout.NoTimeout)
 
 
 def log_sink(lines: DataFrame, path: str, state: str):
@@ -85,12 +80,29 @@ def run_available(df: DataFrame, mode: str = "append", state: str | None = None)
     return spark.read.option("basePath", out).parquet(f"{out}/batch=*")
 
 
+def state_sink(states: DataFrame, path: str, state: str, every: str = "1 second", available: bool = False):
+    """The last row of each job of an appended stream as ``path``/job.json, replaced by a rename, at most once in ``every``."""
+    register(states.sparkSession)
+    trigger = {"availableNow": True} if available else {"processingTime": every}
+    return states.writeStream.format("job_states").outputMode("append").option("checkpointLocation", state).trigger(**trigger).start(path)
+
+
+#: Later than any event: it closes all sessions.
+CLOSING = "9999-01-01"
+
+
 def closed_bursts(events: DataFrame, gap: str, late: str) -> DataFrame:
-    """``live_bursts`` of all that is there: closed sessions as the stream wrote them, and open ones from its state."""
+    """``live_bursts`` of all that is there, open sessions included.
+
+    The stream runs twice on one checkpoint: over the events, then over one closing row in a second
+    source that moves the watermark past every session.
+    """
     spark = events.sparkSession
-    state = shared_dir(spark, "stream-state")
-    closed = run_available(live_bursts(events, gap, late), state=state).drop("batch")
-    value = F.col("value")
-    left = spark.read.format("statestore").load(state)
-    left = left.select(value["user_id"].alias("user_id"), value["event_type"].alias("event_type"), value["session_window"]["start"].alias("start_ts"), value["max"].alias("end_ts"), value["count"].alias("n"))
-    return closed.unionByName(left)
+    own = events.select("user_id", "event_type", "ts")
+    folder, state = shared_dir(spark, "closing"), shared_dir(spark, "stream-state")
+    none = own.schema
+    spark.createDataFrame([], none).write.parquet(folder)
+    rows = live_bursts(own.unionByName(spark.readStream.schema(none).parquet(folder)), gap, late)
+    closed = run_available(rows, state=state)
+    spark.range(1).select(*[(F.lit(CLOSING) if c == "ts" else F.lit(None)).cast(none[c].dataType).alias(c) for c in own.columns]).write.mode("append").parquet(folder)
+    return closed.unionByName(run_available(rows, state=state)).drop("batch")
