@@ -51,6 +51,8 @@ class Profile:
     crops: Mapping[str, Mapping[str, float]] = field(default_factory=dict)
     robot: str = "unknown"
     definitions: Mapping[str, str] = field(default_factory=dict)
+    #: Whether joints are told apart by name; otherwise by place.
+    named: bool = True
 
     def __post_init__(self) -> None:
         _need(bool(self.cameras), "a profile has a camera at least")
@@ -130,6 +132,7 @@ def load_profile(text: str, overrides: Mapping | None = None) -> Profile:
             name=doc["name"], robot=doc.get("robot_type") or "unknown", cameras=dict(doc["cameras"]), depths=dict(doc.get("depths") or {}), anchor=doc.get("anchor_camera") or "",
             crops=dict(doc.get("camera_tiles") or {}), state_topic=arm["joint_states_topic"], joints=tuple(arm["joint_names"]), commands=tuple(arm["command_topics"]),
             effectors=tuple(map(_effector, doc.get("end_effectors") or ())), definitions=dict(doc.get("message_definitions") or {}),
+            named=arm.get("joint_state_order", "named") == "named",
         )
     except KeyError as e:
         raise ValueError(f"the profile has no {e.args[0]}") from e

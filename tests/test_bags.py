@@ -92,3 +92,57 @@ def test_damaged_and_undefined(spark, folder):
     empty = folder / "none"
     empty.mkdir()
     assert bags.read_bags(spark, str(empty)).count() == 0
+
+
+def stamped(ms, values=(), names=None):
+    """A message: header, then a joint message (``names``) or plain doubles."""
+    out = bytearray(b"\x00\x01\x00\x00" + struct.pack("<II", ms // 1000, ms % 1000 * 1_000_000) + struct.pack("<I", 1) + b"\x00")
+
+    def align(n):
+        out.extend(b"\x00" * (-(len(out) - 4) % n))
+
+    if names is not None:
+        align(4)
+        out.extend(struct.pack("<I", len(names)))
+        for n in names:
+            align(4)
+            out.extend(struct.pack("<I", len(n) + 1) + n.encode() + b"\x00")
+    for part in ([values, [], []] if names is not None else [values]):
+        if names is not None:
+            align(4)
+            out.extend(struct.pack("<I", len(part)))
+        if part:
+            align(8)
+            out.extend(struct.pack(f"<{len(part)}d", *part))
+    return bytes(out)
+
+
+def test_a_bag_is_aligned_by_its_profile(spark, tmp_path):
+    """From the file to control rows: joints come in another order than the profile's, the gripper without header."""
+    import json
+
+    from rillflow.operators.profiled import align
+    from rillflow.sources.config import alignment
+    from rillflow.sources.profiles import load_profile
+
+    arm = {"joint_states_topic": "/s", "joint_names": ["x", "y"], "command_topics": ["/c"], "command_dim": 2}
+    effector = {"name": "G", "kind": "gripper", "dim": 1, "command_topic": "/g", "command_kind": "float32"}
+    profile = load_profile(json.dumps({"name": "p", "arm": arm, "cameras": {"head": "/h"}, "end_effectors": [effector]}))
+    rows, n = [], 0
+    for ms in range(1000, 1500, 50):
+        every = [("/s", stamped(ms, [ms / 100, -1.0], ["y", "x"])), ("/g", b"\x00\x01\x00\x00" + struct.pack("<f", 0.5)), ("/junk", b"?")]
+        every += [("/h", stamped(ms))] if ms % 100 == 0 else []
+        every += [("/c", stamped(ms + 5, [1.0, 2.0]))] if ms >= 1100 else []
+        for topic, raw in every:
+            n += 1
+            rows.append((n, {"/s": 1, "/g": 2, "/h": 3, "/c": 4, "/junk": 5}[topic], (ms + 5) * 1_000_000, raw))
+    (tmp_path / "bag").mkdir()
+    db3(tmp_path / "bag" / "b.db3", rows, [(1, "/s", "j"), (2, "/g", "f"), (3, "/h", "i"), (4, "/c", "c"), (5, "/junk", "u")])
+    msgs = bags.decoded(bags.read_bags(spark, str(tmp_path)), profile)
+    settings = alignment({"mode": "capture", "fps": 10, "invalid_frame_policy": "drop", "action_tolerance_ms": 60})
+    out, status = align(msgs, profile, settings)
+    got = sorted(((r.t // 1_000_000, list(r.state), list(r.action)) for r in out.collect()))
+    assert status.collect()[0].status == "converted"
+    assert got == [(ms, [-1.0, ms / 100, 0.5], [1.0, 2.0, 0.5]) for ms in (1100, 1200, 1300, 1400)]
+    bad = bags.decoded(bags.read_bags(spark, str(tmp_path)), load_profile(json.dumps({"name": "p", "arm": arm | {"joint_names": ["x", "z"]}, "cameras": {"head": "/h"}})))
+    assert {r.topic for r in bad.where("values IS NULL").select("topic").distinct().collect()} == {"/h", "/s"}
