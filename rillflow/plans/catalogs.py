@@ -229,19 +229,43 @@ def upload_batches(listing: DataFrame) -> DataFrame:
     return out.select("path", F.col("grp").alias("key"), F.col("bin").alias("batch"), (F.col("grp") == "meta").alias("last"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {FILES}, p AS (SELECT path, bytes, string_split(path, '/') AS d FROM f),
+g AS (SELECT path, bytes, CASE WHEN len(d) > 2 AND d[1] IN ('videos', 'images') THEN d[1] || '/' || d[2] WHEN len(d) > 1 THEN d[1] ELSE '.' END AS key FROM p),
+r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY path) AS i FROM g),
+w AS (SELECT key, path, i, 0 AS batch, 1 AS n, CAST(bytes AS BIGINT) AS size FROM r WHERE i = 1 UNION ALL
+  SELECT key, path, i, batch + CAST(opens AS INT), CASE WHEN opens THEN 1 ELSE n + 1 END, CASE WHEN opens THEN bytes ELSE size + bytes END
+  FROM (SELECT r.key, r.path, r.i, r.bytes, w.batch, w.n, w.size, w.n >= {BATCH_FILES} OR w.size + r.bytes > {BATCH_BYTES} AS opens FROM w JOIN r ON r.key = w.key AND r.i = w.i + 1))
+SELECT path, key, batch, key = 'meta' AS last FROM w""")
 def pack_batches(spark, sf_dir):
     """Upload batches of a file listing."""
     return upload_batches(files(spark, sf_dir))
 
 
-@query()
+#: Seconds of a video file, with a frame's tolerance.
+VIDEO_S = 300.0 + 1 / 30
+
+
+def video_windows(rows: DataFrame, by: str, order: str, length: str, cap: float, n_files: Column) -> DataFrame:
+    """``rows`` that the key's ``n_files`` video files of ``cap`` seconds cover, with file, start and end.
+
+    Rows are laid end to end in order; one that no longer fits opens the next file.  A row that
+    fits no file uses up all of them: it and all after it are not covered.
+    """
+    lost = rows.where(F.col(length) > cap).groupBy(by).agg(F.min(order).alias("_lost"))
+    fits = rows.join(lost, by, "left").where(F.col("_lost").isNull() | (F.col(order) < F.col("_lost"))).drop("_lost")
+    out = next_fit(fits, [by], order, length, cap).where(F.col("bin") < n_files)
+    return out.select(by, order, F.col("bin").alias("file"), F.round("offset", 6).alias("start_s"), F.round(F.col("offset") + F.col(length), 6).alias("end_s"))
+
+
+@query(f"""WITH RECURSIVE r AS (SELECT user_id AS dataset, event_id, abs(value) AS length, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
+w AS (SELECT dataset, event_id, i, length, 0 AS file, CAST(0 AS DOUBLE) AS start FROM r WHERE i = 1 AND length <= {VIDEO_S} UNION ALL
+  SELECT dataset, event_id, i, length, file + CAST(opens AS INT), CASE WHEN opens THEN 0 ELSE past END
+  FROM (SELECT r.*, w.file, w.start + w.length AS past, w.start + w.length + r.length > {VIDEO_S} AS opens FROM w JOIN r ON r.dataset = w.dataset AND r.i = w.i + 1) WHERE length <= {VIDEO_S})
+SELECT dataset, event_id, file, round(start, 6) AS start_s, round(start + length, 6) AS end_s FROM w WHERE file < 5 + dataset % 40""")
 def assign_videos(spark, sf_dir):
-    """Episodes laid onto video files of 300 s in order; a new file where an episode no longer fits, none after the dataset's files run out."""
+    """Episodes laid onto their dataset's video files of 300 s in order."""
     df = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("dataset"), "event_id", F.abs("value").alias("length"))
-    out = next_fit(df, ["dataset"], "event_id", "length", 300.0 + 1 / 30)
-    there = out.where(F.col("bin") < 5 + F.col("dataset") % 40)
-    return there.select("dataset", "event_id", F.col("bin").alias("file"), F.round("offset", 6).alias("start_s"), F.round(F.col("offset") + F.col("length"), 6).alias("end_s"))
+    return video_windows(df, "dataset", "event_id", "length", VIDEO_S, 5 + F.col("dataset") % 40)
 
 
 # --- profiles -------------------------------------------------------------------

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 
 from rillflow.operators.packing import next_fit
 from rillflow.plans import catalogs, registry
@@ -45,7 +46,24 @@ def test_queries_fold_whole_groups(spark, duck):
     want = fold([(group(p), p, float(b)) for p, b in sizes.items()], 2_000_000, 50)
     assert {(r.key, r.path): r.batch for r in got} == {k: b for k, (b, _) in want.items()}
     assert {r.key for r in got} == {"meta", "data", "videos/head", "videos/wrist", "."} and all(r.last == (r.key == "meta") for r in got)
-    want = fold(duck.execute("SELECT user_id, event_id, abs(value) FROM events").fetchall(), 300 + 1 / 30)
-    got = registry.queries()["assign_videos"](spark, DATA).collect()
-    want = {k: v for k, v in want.items() if v[0] < 5 + k[0] % 40}
-    assert {(r.dataset, r.event_id): (r.file, r.start_s) for r in got} == want
+
+
+def test_videos_end_at_a_row_that_fits_no_file(spark):
+    """By a plain cursor over files: an over-long row passes all files, and nothing after it is covered."""
+    r = random.Random(8)
+    rows = [(d, i, r.choice([0.0, 0.5, 1.0, 2.5, 4.0, 9.0]) if i else 1.0) for d in range(6) for i in range(40)] + [(7, i, x) for i, x in enumerate([4.0, 11.0, 1.0])] + [(8, 0, 11.0), (8, 1, 1.0)]
+    rows += [(2, 40, 10.5), (2, 41, 1.0)]
+    df = spark.createDataFrame(rows, "d int, i int, x double").repartition(4)
+    n_files = lambda d: 3 + 9 * (d % 2)
+    want = {}
+    for d in {x[0] for x in rows}:
+        cursor, offset = 0, 0.0
+        for _, i, x in sorted(x for x in rows if x[0] == d):
+            while cursor < n_files(d) and offset + x > 10.0:
+                cursor, offset = cursor + 1, 0.0
+            if cursor >= n_files(d):
+                break
+            want[d, i] = (cursor, offset, offset + x)
+            offset += x
+    got = catalogs.video_windows(df, "d", "i", "x", 10.0, 3 + 9 * (F.col("d") % 2)).collect()
+    assert {(g.d, g.i): (g.file, g.start_s, g.end_s) for g in got} == want and (7, 0) in want and (7, 1) not in want and (8, 1) not in want
