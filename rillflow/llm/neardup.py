@@ -14,13 +14,16 @@ the start, so only class representatives are compared:
 1. in each band bucket, members are compared with the least member (a star, linear
    in the bucket);
 2. in buckets whose members are then still in different components, pairs across
-   components are compared too, unless counts rule the link out (see ``_across``).  So
-   no link between components that shares a bucket is left out, and pairs within a
-   component, the bulk of a large group of near copies, are never made.
+   components are compared too, unless counts rule the link out (see ``_across``).
+   Pairs within a component, the bulk of a large group of near copies, are never made;
+3. buckets with many members outside their largest component (texts with a common
+   frame) would give all pairs.  Their members are banded again by longer bands, as many
+   as keep the miss at 1e-9 (``deep_bands``), and pairs are made in those buckets only.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +35,24 @@ from .arrays import grams, mixed, text_slices, word_bounds, word_hashes
 from .tables import components, cut, drop, keyed, spread_join
 
 ROWS, BANDS, SHINGLE = 6, 68, 5
+#: Members outside the largest component of a bucket up to which its pairs are made as they are.
+NARROW = 3
+#: Members of a bucket that one task joins with the others' side.
+SHARE = 512
+
+
+def deep_bands(members: int, percent: int) -> tuple[int, int]:
+    """Rows and number of longer bands for texts of which ``members`` share short ones without being linked.
+
+    The number keeps the probability of a missed link at 1e-9.  Longer bands mean more
+    keys a text, but fewer pairs of unlike texts (similarity 0.5) that meet; a pair costs
+    about as much as 50 keys.  The least sum is taken, so both grow with a small power
+    of ``members``.
+    """
+    share = percent / 100
+    if share <= 0.5:  # no longer band tells such texts apart
+        return ROWS, math.ceil(20.73 / share**ROWS)
+    return min(((r, math.ceil(20.73 / share**r)) for r in range(ROWS, 65, 2)), key=lambda x: x[1] * (1 + 50 * members / 2 ** x[0]))
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -55,21 +76,33 @@ def _signature(values: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> n
     """Minimum and maximum of the set under each permutation, side by side."""
     low = high = None
     x = (values >> np.uint64(32)).astype(np.uint32)[:, None]
-    for lo in range(0, len(x), 2048):
-        part = x[lo : lo + 2048] * factors
+    step = max(1, (1 << 20) // max(len(factors), 1))
+    for lo in range(0, len(x), step):
+        part = x[lo : lo + step] * factors
         part += shifts
         a, b = part.min(axis=0), part.max(axis=0)
         low, high = (a, b) if low is None else (np.minimum(low, a), np.maximum(high, b))
     return np.stack([low, high], axis=1).ravel()
 
 
+def _band_keys(rows: int, bands: int, first: int = 1):
+    """A function that gives the band keys of a set of shingles; ``first``: seed of the permutations."""
+    half = rows * bands // 2
+    seeds = mixed(np.arange(first, first + 2 * half, dtype=np.uint64))
+    factors, shifts = (seeds[:half] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (seeds[half:] >> np.uint64(32)).astype(np.uint32)
+    weights = mixed(np.arange(7, 7 + rows, dtype=np.uint64)) | np.uint64(1)
+    salt = mixed(np.arange(100, 100 + bands, dtype=np.uint64))
+
+    def keys(values: np.ndarray) -> np.ndarray:
+        bits = _signature(values, factors, shifts).astype(np.uint64).reshape(bands, rows)
+        return mixed((bits * weights).sum(axis=1, dtype=np.uint64) + salt).view(np.int64)
+
+    return keys
+
+
 def _sketches(rows: int, bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        half = rows * bands // 2
-        seeds = mixed(np.arange(1, 2 * half + 1, dtype=np.uint64))
-        factors, shifts = (seeds[:half] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (seeds[half:] >> np.uint64(32)).astype(np.uint32)
-        weights = mixed(np.arange(7, 7 + rows, dtype=np.uint64)) | np.uint64(1)
-        salt = mixed(np.arange(100, 100 + bands, dtype=np.uint64))
+        band_keys = _band_keys(rows, bands)
         for batch in batches:
             for lo, buf, offsets in text_slices(batch.column(2)):
                 n, sums, keys = [], [[], []], []
@@ -78,11 +111,7 @@ def _sketches(rows: int, bands: int):
                     # two sums over the distinct shingles tell the set: equal sets, equal sums
                     for i, s in enumerate(sums):
                         s.append(int(mixed(values + np.uint64(i * 77 + 1)).sum(dtype=np.uint64)))
-                    if len(values):
-                        bits = _signature(values, factors, shifts).astype(np.uint64).reshape(bands, rows)
-                        keys.append(mixed((bits * weights).sum(axis=1, dtype=np.uint64) + salt).view(np.int64))
-                    else:
-                        keys.append(np.zeros(0, np.int64))
+                    keys.append(band_keys(values) if len(values) else np.zeros(0, np.int64))
                 ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
                 part = slice(lo, lo + len(n))
                 yield pa.RecordBatch.from_arrays(
@@ -123,12 +152,65 @@ def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 NODE = "struct<id:bigint,t:bigint>"
 
 
+def _deep_keys(rows: int, bands: int):
+    """Each node of sets with its long bands, 100 nodes at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        band_keys = _band_keys(rows, bands, 1 << 32)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 100):
+                part = batch.slice(lo, 100)
+                keys = [band_keys(np.frombuffer(x.as_buffer(), np.uint64)) for x in part.column(1)]
+                ends = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * bands)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys)))], ["node", "bands"])
+
+    return run
+
+
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, common of pairs of nodes."""
-    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+    """a, b, common of pairs of nodes.
+
+    Pairs of a node with many partners (the head of a group of near copies) are dealt to
+    shares of ``SHARE``, and the node's set goes to each share.
+    """
+    total = pairs.count()
+    tables = []
+    placed = pairs
+    for side in "a", "b":
+        n = pairs.groupBy(side).agg(F.count("*").alias("n")).withColumn("shares", F.ceil(F.col("n") / SHARE).cast("int"))
+        placed = spread_join(placed, n, side, total)
+        placed = placed.withColumn(f"share_{side}", F.pmod(F.xxhash64("a", "b"), F.col("shares")).cast("int")).drop("shares")
+        shares = n.select(side, F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias(f"share_{side}"))
+        tables.append(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}")).join(shares, side))
+    both = placed.join(tables[1], ["b", "share_b"]).join(tables[0], ["a", "share_a"])
     return cut(both.select("a", "b", "sa", "sb").mapInArrow(_common, f"a {NODE}, b {NODE}, common long"))
 
 
+def _met(odd: DataFrame, all_: DataFrame) -> DataFrame:
+    """Pairs of ``odd`` and ``all_`` rows of one bucket; both have its ``size``, and large buckets meet in shares."""
+    shares = F.ceil(F.col("size") / SHARE).cast("int")
+    odd = odd.withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("size")
+    return odd.join(all_.withColumn("share", F.pmod(F.xxhash64("node"), shares).cast("int")), ["bucket", "share"])
+
+
+def _by_long_bands(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of ``nodes`` (node, n, root) in different components that share a long band."""
+    rows, bands = deep_bands(nodes.count(), percent)
+    keys = sets.join(nodes.select("node"), "node", "left_semi").mapInArrow(_deep_keys(rows, bands), f"node {NODE}, bands array<long>")
+    each = cut(keys.join(nodes, "node")).select("node", "n", "root", F.explode("bands").alias("bucket"))
+    met = cut(each.groupBy("bucket").agg(F.count("*").alias("n"), (F.min("root") < F.max("root")).alias("several")).where("several").drop("several"))
+    total = met.agg(F.sum("n")).first()[0] or 0
+    shared = cut(spread_join(each, met, "bucket", total))
+    drop(met)
+    sides = shared.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.sum("k").alias("size"))
+    split = spread_join(shared, sides.withColumn("n", F.col("size")), "bucket", total)
+    odd = split.where("root <> main").select("bucket", "size", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+    fits = (F.col("rx") != F.col("root")) & (100 * F.least("nx", "n") >= percent * F.greatest("nx", "n"))
+    pairs = cut(_met(odd, split).where(fits).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
+    drop(shared)
+    return pairs
+
+
 def _across(shared: DataFrame, compared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of one bucket or more in different components that could still be linked.
 
@@ -138,11 +220,12 @@ def _across(shared: DataFrame, compared: DataFrame, roots: DataFrame, sets: Data
     min(c) + min(n - c - u) shingles, and x at most n - u with anything.  Members, and
     then pairs, that these bounds rule out are left; the rest is compared.  In a group
     of near copies each copy's own edits are its unique shingles, so nearly all pairs
-    across are ruled out by counts alone.
+    across are ruled out by counts alone.  Where more than ``NARROW`` members outside the
+    largest component of a bucket are left, its members meet by long bands instead.
     """
     rooted = cut(shared.join(roots, "node", "left").select("bucket", "node", "n", F.col("head.node").alias("h"), F.coalesce("root", "node").alias("root")))
-    several = rooted.groupBy("bucket").agg((F.min("root") < F.max("root")).alias("several")).where("several").select("bucket")
-    members = cut(rooted.join(several, "bucket", "left_semi"))
+    several = rooted.groupBy("bucket").agg(F.count("*").alias("n"), (F.min("root") < F.max("root")).alias("several")).where("several").drop("several")
+    members = cut(spread_join(rooted, several, "bucket", rooted.count()))
     own = sets.join(members.select("node").distinct(), "node", "left_semi")
     once = own.mapInArrow(_each_shingle, f"node {NODE}, shingle long").groupBy("shingle").agg(F.count("*").alias("k"), F.min("node").alias("node"))
     unique = once.where("k = 1").groupBy("node").agg(F.count("*").alias("u"))
@@ -152,20 +235,27 @@ def _across(shared: DataFrame, compared: DataFrame, roots: DataFrame, sets: Data
     placed = cut(placed.where(f"100 * (n - u) >= {percent} * n").withColumn("e", F.greatest(F.expr("n - c - u"), F.lit(0))))
     sides = placed.groupBy("bucket", "root").agg(F.count("*").alias("k"), F.min("n").alias("low"), F.max("e").alias("most"))
     main = F.max_by("root", F.struct("k", "root")).alias("main")
-    sides = sides.groupBy("bucket").agg(main, F.min("low").alias("low"), F.max("most").alias("most"), F.count("*").alias("sides")).where("sides > 1")
-    split = placed.join(sides, "bucket")
-    # a pair is made in the least bucket that it shares
-    split = cut(split.join(split.groupBy("node").agg(F.collect_set("bucket").alias("mine")), "node"))
+    sides = sides.groupBy("bucket").agg(main, F.min("low").alias("low"), F.max("most").alias("most"), F.count("*").alias("sides"), F.sum("k").alias("size")).where("sides > 1").drop("sides")
+    total = placed.count()
+    split = spread_join(placed, sides.withColumn("n", F.col("size")), "bucket", total)
     bound = F.col("c") + F.least("e", "most")
-    odd = split.where("root <> main").where(100 * bound >= percent * (F.col("n") + F.col("low") - bound))
+    split = split.withColumn("odd", (F.col("root") != F.col("main")) & (100 * bound >= percent * (F.col("n") + F.col("low") - bound)))
+    # buckets without an odd member give no pair; a pair is made in the least narrow bucket that it shares
+    odds = split.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("odd").alias("odds")).where("odds > 0").withColumn("wide", F.col("odds") > NARROW).drop("odds")
+    split = cut(spread_join(split.drop("main", "low", "most"), odds, "bucket", total))
+    narrow = split.where("NOT wide")
+    narrow = cut(narrow.join(narrow.groupBy("node").agg(F.collect_set("bucket").alias("mine")), "node"))
     x = {"node": "x", "n": "nx", "c": "cx", "e": "ex", "root": "rx", "mine": "mx"}
-    odd = odd.select("bucket", *[F.col(c).alias(v) for c, v in x.items()])
+    odd = narrow.where("odd").select("bucket", "size", *[F.col(c).alias(v) for c, v in x.items()])
     most = F.least("cx", "c") + F.least("ex", "e")
     fits = (F.col("rx") != F.col("root")) & (100 * most >= percent * (F.col("nx") + F.col("n") - most))
-    pairs = odd.join(split, "bucket").where(fits & (F.array_min(F.array_intersect("mx", "mine")) == F.col("bucket")))
-    pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    pairs = cut(pairs.join(compared, ["a", "b"], "left_anti"))
-    drop(rooted, members, placed, split)
+    pairs = _met(odd, narrow).where(fits & (F.array_min(F.array_intersect("mx", "mine")) == F.col("bucket")))
+    pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+    nodes = cut(split.where("wide").select("node", "n", "root").distinct())
+    if not nodes.isEmpty():
+        pairs = pairs.unionByName(_by_long_bands(nodes, sets, percent))
+    pairs = cut(pairs.distinct().join(compared, ["a", "b"], "left_anti"))
+    drop(rooted, members, placed, split, narrow, nodes)
     return pairs
 
 
@@ -194,14 +284,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = ROWS, bands:
     sketch = cut(keyed(docs).mapInArrow(_sketches(rows, bands), spec))
     known = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
     node = F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("t"))
-    classes = known.groupBy("set1", "set2").agg(F.min(node).alias("node"))
+    classes = known.groupBy("set1", "set2").agg(F.min(node).alias("node"), F.count("*").alias("n"))
     heads = known.join(classes.select(F.col("node.id").alias("doc_id"), F.col("node.t").alias("tkey")), ["doc_id", "tkey"], "left_semi").dropDuplicates(["doc_id", "tkey"])
     buckets = heads.select(node.alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     # most rows are alone in their bucket: counts of bare buckets tell which ones travel on
     met = cut(buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket", F.col("size").alias("n")))
     rows = cut(spread_join(buckets.select("bucket", "node", F.col("n").alias("size")), met, "bucket", met.agg(F.sum("n")).first()[0] or 0).withColumnRenamed("size", "n"))
-    least = rows.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"))
-    shared = cut(rows.join(least, "bucket"))  # a head for each row
+    least = rows.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("n"))
+    shared = cut(spread_join(rows, least, "bucket", rows.count()))  # a head for each row
     drop(met, rows)
     texts = keyed(docs).select(F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("t")).alias("node"), "text")
     some = texts.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
@@ -212,8 +302,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = ROWS, bands:
         sizes = pairs.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
         return sizes.where(f"100 * common >= {percent} * (na + nb - common)").select("a", "b")
 
-    star = shared.select(F.col("head.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
+    star = cut(shared.select(F.col("head.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct())
     compared = _compared(star, sets)
+    drop(star)
     found = components(links(compared))
     across = _across(shared, compared, found, sets, percent)
     if not across.isEmpty():
@@ -221,8 +312,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = ROWS, bands:
         found = _joined(found, cut(links(more)))
         drop(more)
     drop(shared, sets, compared, across)
-    member = classes.join(found, "node", "left").select("set1", "set2", F.coalesce("root.id", "node.id").alias("least"))
-    out = sketch.select("doc_id", "tkey", "n_shingles", "set1", "set2").join(member, ["set1", "set2"], "left")
-    least_id = F.when(F.col("n_shingles") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id"))
-    least_id = F.when(F.col("doc_id").isNotNull(), least_id)
+    member = classes.join(found, "node", "left").select("set1", "set2", "n", F.coalesce("root.id", "node.id").alias("least"))
+    # copies of one set are spread; rows that are linked with nothing don't travel
+    columns = "doc_id", "tkey", "n_shingles", "set1", "set2"
+    linked = spread_join(known.select(*columns), member, ["set1", "set2"], known.count())
+    alone = sketch.where("NOT (doc_id IS NOT NULL AND n_shingles > 0)").select(*columns, F.col("doc_id").alias("least"))
+    out = linked.unionByName(alone)
+    least_id = F.col("least")
     return out.select("doc_id", "n_shingles", least_id.alias("component_id"), F.coalesce(F.col("doc_id") == least_id, F.lit(True)).alias("kept"), "tkey")

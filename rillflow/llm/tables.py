@@ -56,20 +56,21 @@ def least_hashes(rows: DataFrame, total: int, limit: int, *key: str) -> DataFram
 HOT_KEYS = 4096
 
 
-def spread_join(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
-    """``rows`` joined with ``table``, which has each ``key`` (long) once and the number ``n`` of its rows; ``total``: all rows.
+def spread_join(rows: DataFrame, table: DataFrame, key: str | list[str], total: int) -> DataFrame:
+    """``rows`` joined with ``table``, which has each key once and the number ``n`` of its rows; ``total``: all rows.
 
     Keys with a 4096th of the rows or more, 4096 of them at most, are broadcast, and their
     rows are spread over all tasks.  The others meet in one shuffle, so no task gets a
-    large group, at any size by the same plan.  ``n`` isn't passed on.
+    4096th of the rows for one key.  ``n`` isn't passed on.
     """
+    keys = [key] if isinstance(key, str) else key
     hot = F.col("n") * HOT_KEYS >= F.lit(total)
-    more = [c for c in table.columns if c not in (key, "n")]
-    few = table.where(hot).select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in more])
-    others = table.where(~hot).select(F.col(key).alias("_key"), F.lit(True).alias("_cold"), *[F.col(c).alias(f"_cold_{c}") for c in more])
-    both = rows.join(F.broadcast(few), key, "left")
-    both = both.withColumn("_key", F.when(F.col("_hot"), F.xxhash64(*rows.columns)).otherwise(F.col(key)))
-    both = both.join(others.hint("merge"), "_key", "left").where("_hot OR _cold")
+    more = [c for c in table.columns if c not in (*keys, "n")]
+    few = table.where(hot).select(*keys, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in more])
+    others = table.where(~hot).select(*keys, F.lit(0).cast("long").alias("_salt"), F.lit(True).alias("_cold"), *[F.col(c).alias(f"_cold_{c}") for c in more])
+    both = rows.join(F.broadcast(few), keys, "left")
+    both = both.withColumn("_salt", F.when(F.col("_hot"), F.xxhash64(*rows.columns)).otherwise(F.lit(0).cast("long")))
+    both = both.join(others.hint("merge"), [*keys, "_salt"], "left").where("_hot OR _cold")
     return both.select(*rows.columns, *[F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c) for c in more])
 
 
@@ -77,26 +78,26 @@ def components(links: DataFrame) -> DataFrame:
     """node, root for every node of ``links`` (a, b): root is the least node reachable.
 
     Alternates large-star and small-star joins; each round is cut to a table, and
-    the rounds stop once a round changes nothing.  A hub's partners are spread by
-    the join, never gathered in one group.  Empty links give no rows.
+    the rounds stop once a round changes nothing.  A hub's partners are spread over all
+    tasks (``spread_join``), never gathered in one.  Empty links give no rows.
     """
     edges = cut(links.select("a", "b").where("a <> b").distinct())
-    before = None
+    total, before = edges.count(), None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
         # large star: partners above a point to the least node around a
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = spread_join(both.where("b > a"), least, "a", 2 * total).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         # small star: a and its lesser partners point to the least of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         pairs = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
-        small = large.join(low, "a").select(F.explode(pairs).alias("e")).select("e.*").where("a <> b").distinct()
+        small = spread_join(large, low, "a", total).select(F.explode(pairs).alias("e")).select("e.*").where("a <> b").distinct()
         after = cut(small)
         drop(edges)
         edges = after
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == before:
             break
-        before = seen
+        total, before = seen[0], seen
     roots = edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

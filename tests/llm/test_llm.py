@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from conftest import DATA
 
-from rillflow.llm import queries
+from rillflow.llm import neardup, queries
 from rillflow.llm.arrays import BLOCK, text_slices, word_bounds, word_hashes
 from rillflow.llm.fingerprints import fingerprint_edits, fingerprints, inserted, to_hex
 from rillflow.llm.licenses import Scanner, align, longest_rise, scan_licenses
@@ -425,3 +425,49 @@ def test_same_rows_as_sql(spark, duck, name):
     names = [d[0] for d in cur.description]
     want = sorted(repr(tuple(r[names.index(c)] for c in columns)) for r in cur.fetchall())
     assert sorted(repr(tuple(r[c] for c in columns)) for r in df.collect()) == want
+
+
+def test_texts_with_a_common_frame_meet_by_long_bands(spark, monkeypatch):
+    """Unlike pages of one frame: all links are found, and few of the pairs are made."""
+    r, made = random.Random(11), []
+    texts = []
+    for _ in range(260):
+        w = [f"f{i}" for i in range(200)]
+        for p in range(10, 200, 14):
+            w[p] = f"v{r.randrange(9)}"
+        texts.append(w)
+    for i in range(40):  # one field or two changed: some links, between pages that are heads of nothing
+        w = list(texts[i * 3])
+        for p in r.sample(range(10, 200, 14), 1 + i % 3):
+            w[p] = f"v{r.randrange(9)}"
+        texts.append(w)
+    sets = [{tuple(w[p : p + 5]) for p in range(196)} for w in texts]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    across = neardup._across
+    monkeypatch.setattr(neardup, "_across", lambda *a: made.append(across(*a)) or made[-1])
+    long_bands = neardup._by_long_bands
+    used = []
+    monkeypatch.setattr(neardup, "_by_long_bands", lambda nodes, *a: used.append(nodes.count()) or long_bands(nodes, *a))
+    monkeypatch.setattr(neardup, "drop", lambda *a: None)
+    got = {x.doc_id: x.component_id for x in near_duplicates(table(spark, [(i, " ".join(w), "s") for i, w in enumerate(texts)]), percent=85, bands=44).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+    assert used and used[0] > 200 and made[0].count() < 10 * len(texts)
+
+
+def test_long_bands_miss_as_little_as_short_ones():
+    for percent in (60, 80, 85, 95):
+        for members in (0, 1, 400, 10**6, 10**9):
+            rows, bands = neardup.deep_bands(members, percent)
+            assert (1 - (percent / 100) ** rows) ** bands < 1.1e-9 and rows % 2 == 0
+    assert neardup.deep_bands(10**6, 80)[1] < 20_000
