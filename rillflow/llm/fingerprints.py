@@ -1,17 +1,20 @@
 """Homomorphic multiset fingerprints of documents.
 
-Every paragraph (a line with any character) is hashed to 128 bits, read as a vector
-of 128 lanes of +1 or -1.  A document's fingerprint is the sum of its paragraphs'
-vectors modulo 2**16 in each lane.  The sum doesn't depend on the order, and a
-paragraph is inserted or deleted by adding or subtracting its vector.  Because the
-lanes are signs, the squared distance of two fingerprints estimates the number of
-paragraphs in which the documents differ, which gives their likeness.
+Every paragraph (a line with any character) is hashed by an extendable hash to a wide
+vector: 1024 lanes of 16 random bits, and beside them 128 lanes of +1 or -1.  A
+document's fingerprint is the sum of its paragraphs' vectors modulo 2**16 in each
+lane.  The sum doesn't depend on the order, and a paragraph is inserted or deleted by
+adding or subtracting its vector.  The wide lanes tell multisets apart: two unequal
+ones agree by chance with probability 2**-16384, and by design only if someone finds a
+short relation among random vectors.  (A paragraph repeated 2**16 times is the one
+exception: it adds nothing.)  The squared distance of the sign lanes estimates the
+number of paragraphs in which documents differ, which gives their likeness.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,46 +22,59 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LANES = 128
-#: Documents that a part of the order holds, and sampled rows that the driver gets at most (on average).
-PART, SAMPLED = 4_000, 4_000_000
+from .tables import cut, drop
+
+SIGNS, WIDE = 128, 1024
+#: Documents that a part of the order holds.
+PART = 4_000
 
 
 def fingerprints(texts: list[str]) -> np.ndarray:
-    """One row of int16 lanes for each text."""
-    digests, counts = [], []
-    for t in texts:
-        lines = [x for x in t.split("\n") if x]
-        counts.append(len(lines))
-        digests += [hashlib.blake2b(x.encode(), digest_size=LANES // 8).digest() for x in lines]
-    out = np.zeros((len(texts), LANES), np.int16)
-    at = np.cumsum([0, *counts])
-    for lo in range(0, len(digests), 1 << 16):  # in blocks, so that one long text needs no more memory
-        hi = min(lo + (1 << 16), len(digests))
-        signs = np.unpackbits(np.frombuffer(b"".join(digests[lo:hi]), np.uint8).reshape(-1, LANES // 8), axis=1).astype(np.int16)
-        signs = signs * np.int16(2) - np.int16(1)
-        rows = np.arange(np.searchsorted(at, lo, "right") - 1, np.searchsorted(at, hi, "left"))
-        rows = rows[np.array(counts)[rows] > 0]
-        starts = np.maximum(at[rows], lo) - lo
-        out[rows] += np.add.reduceat(signs, starts, axis=0, dtype=np.int16)
+    """One row of int16 lanes for each text: the sign lanes, then the wide ones."""
+    size = SIGNS // 8 + 2 * WIDE
+    digests, rows = [], []
+    out = np.zeros((len(texts), SIGNS + WIDE), np.int16)
+
+    def add() -> None:
+        lanes = np.frombuffer(b"".join(digests), np.uint8).reshape(-1, size)
+        starts = np.flatnonzero(np.diff(rows, prepend=-1))
+        own = np.array(rows)[starts]
+        signs = np.unpackbits(lanes[:, : SIGNS // 8], axis=1).astype(np.int16) * np.int16(2) - np.int16(1)
+        wide = np.ascontiguousarray(lanes[:, SIGNS // 8 :]).view(">i2").astype(np.int16)
+        out[own, :SIGNS] += np.add.reduceat(signs, starts, axis=0, dtype=np.int16)
+        out[own, SIGNS:] += np.add.reduceat(wide, starts, axis=0, dtype=np.int16)
+        digests.clear()
+        rows.clear()
+
+    for i, t in enumerate(texts):
+        for x in t.split("\n"):
+            if x:
+                digests.append(hashlib.shake_128(x.encode()).digest(size))
+                rows.append(i)
+                if len(rows) == 1 << 12:  # in blocks, so that one long text needs no more memory
+                    add()
+    if rows:
+        add()
     return out
 
 
 def inserted(fingerprint: str, paragraphs: Iterable[str], sign: int = 1) -> str:
     """A fingerprint with paragraphs added (or with ``sign`` -1, deleted)."""
-    return to_hex(from_hex(fingerprint) + np.int16(sign) * fingerprints(["\n".join(paragraphs)])[0])
+    return to_text(from_text(fingerprint) + np.int16(sign) * fingerprints(["\n".join(paragraphs)])[0])
 
 
-def to_hex(lanes: np.ndarray) -> str:
-    return lanes.astype(">i2").tobytes().hex()
+def to_text(lanes: np.ndarray) -> str:
+    """Base64 of the lanes, high byte first."""
+    return base64.b64encode(lanes.astype(">i2").tobytes()).decode()
 
 
-def from_hex(text: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(text), ">i2").astype(np.int16)
+def from_text(text: str) -> np.ndarray:
+    return np.frombuffer(base64.b64decode(text), ">i2").astype(np.int16)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """1 - |a - b|^2 / (|a|^2 + |b|^2) of rows, not under 0; 1 for two empty documents."""
+    """1 - |a - b|^2 / (|a|^2 + |b|^2) of the rows' sign lanes, not under 0; 1 for two empty documents."""
+    a, b = a[:, :SIGNS], b[:, :SIGNS]
     d = (a - b).astype(np.float64)
     both = (a.astype(np.float64) ** 2).sum(axis=1) + (b.astype(np.float64) ** 2).sum(axis=1)
     return np.clip(1 - (d**2).sum(axis=1) / np.where(both > 0, both, 1), 0, 1)
@@ -120,8 +136,8 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([ids[i] for i in own], pa.int64()),
                     pa.array([len(texts[i]) for i in own], pa.int64()),
                     pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
-                    pa.array([to_hex(prints[i]) for i in own], pa.string()),
-                    pa.array([to_hex(x) for x in after], pa.string()),
+                    pa.array([to_text(prints[i]) for i in own], pa.string()),
+                    pa.array([to_text(x) for x in after], pa.string()),
                     pa.array(likeness(prints[own], after)),
                     pa.array(likeness(prints[own], prints[own + 1])),
                 ],
@@ -137,21 +153,21 @@ def fingerprint_edits(docs: DataFrame, part: int = PART) -> DataFrame:
     descending hash of the text, rows without id last; after the last row comes the
     first.  Null text is empty.
 
-    The order is dealt into parts of about ``part`` rows at every 8th of some sampled rows,
-    of which id and hash come to the driver.  A part's first row goes also to the part
-    before it, so each part is whole by itself and the texts move once.  With the table
-    the number of parts and tasks grows, not their size (up to ``SAMPLED`` * part / 8
-    rows; beyond that the sample is as large as it gets).  Rows of one id, and rows without,
-    are spread by the hash.  Only rows that agree in id and text share a part.
+    Ids and hashes, without the texts, are sorted into ranges of about ``part`` rows; a
+    range's last id and hash come to the driver (16 bytes a part: ``part`` bounds them) and
+    deal the texts to parts, which then move once.  A part's first row goes also to the
+    part before it, so each part is whole by itself.  With the table the number of parts
+    and tasks grows, not their size.  Rows of one id, and rows without, are spread by
+    the hash.  Only rows that agree in id and text share a part.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), text.alias("text"))
-    every = max(1, part // 8, math.ceil(rows.count() / SAMPLED))
-    largest = rows.agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "tkey")).alias("top")).select("top.doc_id", "top.tkey").where("tkey IS NOT NULL")
-    sample = rows.where(F.pmod(F.xxhash64("tkey", "doc_id"), F.lit(every)) == 0).select("doc_id", "tkey").distinct()
-    place = lambda s: (s[0] is not None, s[0] or 0, s[1])
-    splits = sorted(map(tuple, sample.collect()), key=place)[:: max(1, part // every)]
-    splits = sorted({*splits, *map(tuple, largest.collect())}, key=place)
+    keys = cut(rows.select("doc_id", "tkey"))
+    ranges = keys.repartitionByRange(keys.count() // part + 1, F.asc_nulls_first("doc_id"), F.asc("tkey"))
+    top = F.max(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "tkey")).alias("top")
+    ends = ranges.groupBy(F.spark_partition_id().alias("range")).agg(top).select("top.doc_id", "top.tkey").collect()
+    drop(keys)
+    splits = sorted(map(tuple, ends), key=lambda s: (s[0] is not None, s[0] or 0, s[1]))
     dealt = rows.mapInArrow(_dealt(splits), "part long, halo boolean, doc_id long, tkey long, text string")
     order = "part", "halo", F.desc_nulls_last("doc_id"), F.desc("tkey")
     # so many tasks that few get several parts

@@ -1,5 +1,6 @@
 """The operators of rillflow.llm against brute force on small tables with nulls, ties, repeats and odd columns."""
 
+import base64
 import hashlib
 import random
 import re
@@ -12,7 +13,7 @@ from conftest import DATA
 
 from rillflow.llm import neardup, queries
 from rillflow.llm.arrays import BLOCK, text_slices, word_bounds, word_hashes
-from rillflow.llm.fingerprints import fingerprint_edits, fingerprints, inserted, to_hex
+from rillflow.llm.fingerprints import fingerprint_edits, fingerprints, inserted, to_text
 from rillflow.llm.licenses import Scanner, align, longest_rise, scan_licenses
 from rillflow.llm.lines import line_dedup, quality_rules
 from rillflow.llm.mixing import mix
@@ -318,17 +319,21 @@ def test_quality_rules_count_documents(spark):
 
 
 def plain_print(text):
-    """Sums of +1 and -1 of each bit of the paragraphs' hashes, each modulo 2**16."""
-    lanes = [0] * 128
+    """Sums of +1 and -1 of the first 128 bits of the paragraphs' hashes, then of each of the 1024 numbers of 16 bits that follow."""
+    lanes = [0] * (128 + 1024)
     for line in text.split("\n"):
         if line:
-            bits = int.from_bytes(hashlib.blake2b(line.encode(), digest_size=16).digest(), "big")
+            digest = hashlib.shake_128(line.encode()).digest(16 + 2 * 1024)
+            bits = int.from_bytes(digest[:16], "big")
             for i in range(128):
                 lanes[i] += 1 if bits >> (127 - i) & 1 else -1
+            for i in range(1024):
+                lanes[128 + i] += digest[16 + 2 * i] * 256 + digest[17 + 2 * i]
     return lanes
 
 
 def plain_likeness(a, b):
+    a, b = a[:128], b[:128]
     both = sum(x * x for x in a) + sum(x * x for x in b)
     return max(0.0, 1 - sum((x - y) ** 2 for x, y in zip(a, b, strict=True)) / both) if both else 1.0
 
@@ -336,7 +341,7 @@ def plain_likeness(a, b):
 @pytest.mark.parametrize("part", [1, 4, 4000])
 def test_fingerprints(spark, docs, empty, part):
     """Against sums made bit by bit; the order is cut into many parts, one with repeated ids and rows without."""
-    hexed = lambda lanes: "".join(f"{x % 65536:04x}" for x in lanes)
+    written = lambda lanes: base64.b64encode(b"".join((x % 65536).to_bytes(2, "big") for x in lanes)).decode()
     many = [(7, f"seven {i}\nline {i % 5}", "s") for i in range(60)] + [(None, f"none {i}", "s") for i in range(40)] + [(7, "seven 3\nline 3", "s")] * 5
     rows = ROWS + many
     order = sorted(((i, t or "") for i, t, _ in rows), key=lambda x: (x[0] is None, -(x[0] or 0), -row_key(x[1])))
@@ -344,15 +349,15 @@ def test_fingerprints(spark, docs, empty, part):
     for (i, t), (_, n) in zip(order, order[1:] + order[:1], strict=True):
         edited = t[: len(t) - len(t) // 2] + n[: len(t) // 2]
         a, b, c = plain_print(t), plain_print(edited), plain_print(n)
-        want[i, len(t), hashlib.sha256(edited.encode()).hexdigest(), hexed(a), hexed(b), round(plain_likeness(a, b), 9), round(plain_likeness(a, c), 9)] += 1
+        want[i, len(t), hashlib.sha256(edited.encode()).hexdigest(), written(a), written(b), round(plain_likeness(a, b), 9), round(plain_likeness(a, c), 9)] += 1
     got = Counter((*tuple(r)[:5], round(r.near_edited, 9), round(r.near_next, 9)) for r in fingerprint_edits(table(spark, rows).repartition(3), part).collect())
     assert got == want
 
 
 def test_fingerprints_are_multisets(spark, empty):
     a, b = fingerprints(["x\ny\nz", "z\nx\ny"])
-    assert (a == b).all() and to_hex(a) != to_hex(fingerprints(["x\ny"])[0])
-    assert inserted(inserted(to_hex(a), ["new"]), ["new"], -1) == to_hex(a) == inserted(to_hex(fingerprints(["x\ny"])[0]), ["z"])
+    assert (a == b).all() and to_text(a) != to_text(fingerprints(["x\ny"])[0])
+    assert inserted(inserted(to_text(a), ["new"]), ["new"], -1) == to_text(a) == inserted(to_text(fingerprints(["x\ny"])[0]), ["z"])
     long = "\n".join(["p", "q", "r"] * 40_000)
     assert list(fingerprints([long])[0]) == [((40_000 * x + 32768) % 65536) - 32768 for x in plain_print("p\nq\nr")]
     assert fingerprint_edits(empty).count() == 0
