@@ -24,9 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import text_slices
+
 SPACE = "▁"
-#: Encoded words a worker remembers before it starts anew.
-REMEMBERED = 300_000
+#: Characters of encoded words (and 24 more a word) that a worker remembers before it starts anew.
+REMEMBERED = 8_000_000
+#: Longer words are forgotten once their rows are done: sentences of scripts without spaces don't come back.
+LONG = 64
+#: Bytes of text whose words are encoded together; a longer text is taken alone.
+SLICE = 2 << 20
 
 
 class Vocabulary:
@@ -218,13 +224,18 @@ class _Known(dict):
     """Encoded words: count of ids, ids as text, decoded text."""
 
     def __init__(self, vocab: Vocabulary):
-        self.vocab = vocab
+        self.vocab, self.size, self.long = vocab, 0, []
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > REMEMBERED:
+        """Encode the words of some rows; long words of the rows before are forgotten, and all once they are too many."""
+        for w in self.long:
+            self.pop(w, None)
+        if self.size > REMEMBERED:
             self.clear()
-            new = list(words)
+            self.size = 0
+        new = [w for w in words if w not in self]
+        self.long = [w for w in new if len(w) > LONG]
+        self.size += sum(len(w) + 24 for w in new if len(w) <= LONG)
         vocab = self.vocab
         for lo in range(0, len(new), 20_000):
             part = new[lo : lo + 20_000]
@@ -250,8 +261,8 @@ def _digests(model: str):
         vocab = vocabulary(model)
         known = _Known(vocab)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo, _, offsets in text_slices(batch.column(1), SLICE):
+                part = batch.slice(lo, len(offsets) - 1)
                 split = [vocab.words(t or "") for t in part.column(1).to_pylist()]
                 known.learn({w for words in split for w in words})
                 n, ids, back = [], [], []

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from conftest import DATA
 
-from rillflow.llm import neardup, queries
+from rillflow.llm import neardup, pieces, queries
 from rillflow.llm.arrays import BLOCK, text_slices, word_bounds, word_hashes
 from rillflow.llm.fingerprints import fingerprint_edits, fingerprints, inserted, to_text
 from rillflow.llm.licenses import Scanner, align, longest_rise, scan_licenses
@@ -476,3 +476,19 @@ def test_long_bands_miss_as_little_as_short_ones():
             rows, bands = neardup.deep_bands(members, percent)
             assert (1 - (percent / 100) ** rows) ** bands < 1.1e-9 and rows % 2 == 0
     assert neardup.deep_bands(10**6, 80)[1] < 20_000
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    """Texts without spaces leave nothing behind, and short words are forgotten once they are too many."""
+    monkeypatch.setattr(pieces, "REMEMBERED", 2_000)
+    vocab = vocabulary(queries.model_path())
+    known, r = pieces._Known(vocab), random.Random(2)
+    for _ in range(30):
+        words = {"".join(r.choices("ab漢字かな", k=k)) for k in (3, 4, 5, 9, 200, 3000)}
+        known.learn(words)
+        for w in words:
+            ids = vocab.encode_words([w])[0]
+            assert known[w][:2] == (len(ids), ",".join(map(str, ids)))
+        assert sum(map(len, known)) <= 2_000 + 30 * 24 + 3_300
+    known.learn(set())
+    assert all(len(w) <= pieces.LONG for w in known)
