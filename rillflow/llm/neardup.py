@@ -16,9 +16,10 @@ the start, so only class representatives are compared:
 2. in buckets whose members are then still in different components, pairs across
    components are compared too, unless counts rule the link out (see ``_across``).
    Pairs within a component, the bulk of a large group of near copies, are never made;
-3. buckets with many members outside their largest component (texts with a common
-   frame) would give all pairs.  Their members are banded again by longer bands, as many
-   as keep the miss at 1e-9 (``deep_bands``), and pairs are made in those buckets only.
+3. buckets with many members outside their largest component, of whose pairs counts rule
+   out too few (texts with a common frame), would give all pairs.  Their members are banded
+   again by longer bands, as many as keep the miss at 1e-9 (``deep_bands``), and pairs are
+   made in those buckets only.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import grams, mixed, text_slices, word_bounds, word_hashes
@@ -39,6 +40,10 @@ ROWS, BANDS, SHINGLE = 6, 68, 5
 NARROW = 3
 #: Members of a bucket that one task joins with the others' side.
 SHARE = 512
+#: Odd members and members of a bucket, about, whose pairs tell how many of all its pairs the counts leave.
+TRIED = 16, 64
+#: Part of the least similarity below which texts share less than one long band: 20.73 * 0.8**14 = 0.9.
+UNLIKE = 0.8
 
 
 def deep_bands(members: int, percent: int) -> tuple[int, int]:
@@ -194,23 +199,48 @@ def _met(odd: DataFrame, all_: DataFrame) -> DataFrame:
 
 
 def _by_long_bands(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of ``nodes`` (node, n, root) in different components that share a long band."""
+    """a, b: pairs of ``nodes`` (node, n, root, u, odd) in different components that share a long band.
+
+    One of the two is odd, and neither has too many shingles of its own (u): other pairs can't be linked.
+    """
     rows, bands = deep_bands(nodes.count(), percent)
     keys = sets.join(nodes.select("node"), "node", "left_semi").mapInArrow(_deep_keys(rows, bands), f"node {NODE}, bands array<long>")
-    each = cut(keys.join(nodes, "node")).select("node", "n", "root", F.explode("bands").alias("bucket"))
+    each = cut(keys.join(nodes, "node")).select("node", "n", "root", "u", "odd", F.explode("bands").alias("bucket"))
     met = cut(each.groupBy("bucket").agg(F.count("*").alias("n"), (F.min("root") < F.max("root")).alias("several")).where("several").drop("several"))
     total = met.agg(F.sum("n")).first()[0] or 0
     shared = cut(spread_join(each, met, "bucket", total))
     drop(met)
     sides = shared.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.sum("k").alias("size"))
     split = spread_join(shared, sides.withColumn("n", F.col("size")), "bucket", total)
-    odd = split.where("root <> main").select("bucket", "size", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    fits = (F.col("rx") != F.col("root")) & (100 * F.least("nx", "n") >= percent * F.greatest("nx", "n"))
+    odd = split.where("root <> main").select("bucket", "size", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("u").alias("ux"), F.col("odd").alias("ox"))
+    most = F.least(F.col("nx") - F.col("ux"), F.col("n") - F.col("u"))
+    fits = (F.col("rx") != F.col("root")) & (F.col("ox") | F.col("odd")) & (100 * most >= percent * (F.col("nx") + F.col("n") - most))
     pairs = cut(_met(odd, split).where(fits).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
     drop(shared)
     return pairs
 
 
+def _crowded(split: DataFrame, fits: Column, percent: int) -> DataFrame:
+    """bucket, n, wide of the buckets with an odd member; ``split`` has all members.
+
+    Wide ones have more than ``SHARE`` odd members; or more than ``NARROW``, if these are unlike the head (near
+    copies that just aren't linked share long bands too) and counts would leave over ``NARROW`` pairs a member.
+    That is told by the pairs of about ``TRIED`` members; either way the links are found.
+    """
+    like = F.col("c") / (2 * F.col("n") - F.col("c"))
+    odds = cut(split.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("odd").alias("odds"), F.avg(F.when(F.col("odd"), like)).alias("like")).where("odds > 0"))
+    several = odds.where((F.col("odds") > NARROW) & (F.col("odds") <= SHARE) & (F.col("like") < UNLIKE * percent / 100)).select("bucket", "odds")
+    place = F.xxhash64("node", "bucket")
+    one, other = F.col("odd") & (F.pmod(place, F.col("odds")) < TRIED[0]), F.pmod(place, F.col("size")) < TRIED[1]
+    few = cut(split.join(several, "bucket").withColumn("one", one).withColumn("other", other).where("one OR other"))
+    x = {"node": "x", "n": "nx", "c": "cx", "e": "ex", "root": "rx"}
+    share = F.greatest(F.col("odds") / TRIED[0], F.lit(1.0)) * F.greatest(F.col("size") / TRIED[1], F.lit(1.0))
+    left = few.where("one").select("bucket", *[F.col(c).alias(v) for c, v in x.items()]).join(few.where("other"), "bucket").where(fits)
+    left = left.groupBy("bucket").agg(F.sum(share).alias("left"))
+    wide = (F.col("odds") > SHARE) | (F.coalesce("left", F.lit(0.0)) > NARROW * F.col("n"))
+    return odds.join(left, "bucket", "left").select("bucket", "n", wide.alias("wide"))
+
+
 def _across(shared: DataFrame, compared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of one bucket or more in different components that could still be linked.
 
@@ -220,8 +250,8 @@ def _across(shared: DataFrame, compared: DataFrame, roots: DataFrame, sets: Data
     min(c) + min(n - c - u) shingles, and x at most n - u with anything.  Members, and
     then pairs, that these bounds rule out are left; the rest is compared.  In a group
     of near copies each copy's own edits are its unique shingles, so nearly all pairs
-    across are ruled out by counts alone.  Where more than ``NARROW`` members outside the
-    largest component of a bucket are left, its members meet by long bands instead.
+    across are ruled out by counts alone.  Where counts leave too many pairs of a bucket
+    (``_crowded``), its members meet by long bands instead.
     """
     rooted = cut(shared.join(roots, "node", "left").select("bucket", "node", "n", F.col("head.node").alias("h"), F.coalesce("root", "node").alias("root")))
     several = rooted.groupBy("bucket").agg(F.count("*").alias("n"), (F.min("root") < F.max("root")).alias("several")).where("several").drop("several")
@@ -241,21 +271,21 @@ def _across(shared: DataFrame, compared: DataFrame, roots: DataFrame, sets: Data
     bound = F.col("c") + F.least("e", "most")
     split = split.withColumn("odd", (F.col("root") != F.col("main")) & (100 * bound >= percent * (F.col("n") + F.col("low") - bound)))
     # buckets without an odd member give no pair; a pair is made in the least narrow bucket that it shares
-    odds = split.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("odd").alias("odds")).where("odds > 0").withColumn("wide", F.col("odds") > NARROW).drop("odds")
-    split = cut(spread_join(split.drop("main", "low", "most"), odds, "bucket", total))
+    most = F.least("cx", "c") + F.least("ex", "e")
+    fits = (F.col("rx") != F.col("root")) & (100 * most >= percent * (F.col("nx") + F.col("n") - most))
+    met = cut(split.drop("main", "low", "most"))
+    split = cut(spread_join(met, _crowded(met, fits, percent), "bucket", total))
     narrow = split.where("NOT wide")
     narrow = cut(narrow.join(narrow.groupBy("node").agg(F.collect_set("bucket").alias("mine")), "node"))
     x = {"node": "x", "n": "nx", "c": "cx", "e": "ex", "root": "rx", "mine": "mx"}
     odd = narrow.where("odd").select("bucket", "size", *[F.col(c).alias(v) for c, v in x.items()])
-    most = F.least("cx", "c") + F.least("ex", "e")
-    fits = (F.col("rx") != F.col("root")) & (100 * most >= percent * (F.col("nx") + F.col("n") - most))
     pairs = _met(odd, narrow).where(fits & (F.array_min(F.array_intersect("mx", "mine")) == F.col("bucket")))
     pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-    nodes = cut(split.where("wide").select("node", "n", "root").distinct())
+    nodes = cut(split.where("wide").groupBy("node", "n", "root", "u").agg(F.max("odd").alias("odd")))
     if not nodes.isEmpty():
         pairs = pairs.unionByName(_by_long_bands(nodes, sets, percent))
     pairs = cut(pairs.distinct().join(compared, ["a", "b"], "left_anti"))
-    drop(rooted, members, placed, split, narrow, nodes)
+    drop(rooted, members, placed, met, split, narrow, nodes)
     return pairs
 
 
