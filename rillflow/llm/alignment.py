@@ -1,8 +1,8 @@
 """Alignment of two tokenizers' tokens by a cogroup of postings.
 
 Both tokenizers cut a text's bytes; where both cut, a group of tokens ends, and the two tokens
-that end there are linked.  Segments between words are encoded once and remembered, since
-neither tokenizer joins what stands on the two sides of such a cut.
+that end there are linked.  Segments between words are encoded once, many of them as one text, and
+remembered, since neither tokenizer joins what stands on the two sides of such a cut.
 
 A document's postings are its linked id pairs with their multiplicities.  They are
 shuffled by the id of side B; an id with many postings is spread over several parts by its count.
@@ -20,7 +20,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -30,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import ranges
 from .tables import cut, drop
 
 SPACE = "▁"
@@ -37,6 +37,8 @@ SPACE = "▁"
 WIDTH = 1 << 21
 #: Characters of a segment that is remembered, and of all that are before memory starts anew.
 LONGEST, REMEMBERED = 64, 4_000_000
+#: Segments that are encoded as one text.
+RUN = 50
 
 
 def _byte_of() -> dict[str, int]:
@@ -64,80 +66,135 @@ class Aligner:
         for i, t in self.a_bytes.items():
             self.a_sizes[i] = len(t)
         self.b_sizes = np.array([len(t) for t in self.b_bytes])
-        self.a_text, self.b_text = (np.array([[f"{i}{end}" for i in range(len(sizes))] for end in ends], object) for sizes, ends in ((self.a_sizes, ",|"), (self.b_sizes, ",;")))
+        # a token as text with what may stand after it, inside a group or at the end of its side
+        self.a_text, self.b_text = (np.array([[f"{i}{end}" for i in range(len(sizes))] for end in ends], "S") for sizes, ends in ((self.a_sizes, ",|"), (self.b_sizes, ",;")))
         if any(SPACE in self.b.id_to_piece(i).lstrip(SPACE) for i in kinds):
             raise ValueError("pieces that join words are not supported")
         # both sides cut before a single space that a visible character follows
         self.cut = re.compile(r"(?<! )(?= \S)")
-        self.known: dict[str, tuple | None] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """``known`` gives a segment's place in ``words`` (its groups as text, a ; after each) and ``numbers`` (n_a, n_b, n_groups, 1 if a side doesn't give its bytes back); ``pairs`` are the linked ones, place after place."""
+        self.known: dict[str, int] = {}
+        self.words: list[str] = []
+        self.numbers, self.pairs = np.zeros((0, 4), np.int64), np.zeros(0, np.int64)
         self.size = 0
 
     def segments(self, text: str) -> list[str]:
         """``text`` with the leading space of both sides, in pieces that start with a space each."""
         return [s for s in self.cut.split(" " + text) if s]
 
-    def learn(self, segments: set[str]) -> dict[str, tuple | None]:
-        """For each segment n_a, n_b, n_groups, the groups as text (a ; after each) and the linked pairs; None if either side's bytes differ from it."""
+    def learn(self, segments: set[str]) -> list[str]:
+        """Make all of ``segments`` known; returns the long ones, which stand last and are to be dropped (``drop``) once their texts are done."""
         new = [s for s in segments if s not in self.known]
-        if self.size + sum(len(s) for s in new if len(s) <= LONGEST) > REMEMBERED:
-            self.known, self.size = {}, 0
+        size = sum(len(s) for s in new if len(s) <= LONGEST)
+        if self.size + size > REMEMBERED:
+            self.forget()
             new = list(segments)
-        long = {}
-        for lo in range(0, len(new), 5000):
-            part = new[lo : lo + 5000]
-            for s, found in zip(part, self.groups(part), strict=True):
-                if len(s) <= LONGEST:
-                    self.known[s] = found
-                    self.size += len(s)
-                else:
-                    long[s] = found
+            size = sum(len(s) for s in new if len(s) <= LONGEST)
+        self.size += size
+        short, long = [s for s in new if len(s) <= LONGEST], [s for s in new if len(s) > LONGEST]
+        # a text of segments that start with a visible character and end with one is cut where they meet, as they were
+        plain = [s for s in short if s[-1] != " " and not s[1].isspace()]
+        odd = [s for s in short if s[-1] == " " or s[1].isspace()]
+        runs = [plain[lo : lo + RUN] for lo in range(0, len(plain), RUN)] + [[s] for s in odd + long]
+        numbers, pairs = [self.numbers], [self.pairs]
+        for lo in range(0, len(runs), 5000 // RUN):
+            for n, words, linked in self.groups(runs[lo : lo + 5000 // RUN]):
+                numbers.append(n)
+                self.words += words
+                pairs.append(linked)
+        self.numbers, self.pairs = np.concatenate(numbers), np.concatenate(pairs)
+        self.known.update(zip(chain(plain, odd, long), range(len(self.known), len(self.words)), strict=True))
         return long
 
-    def groups(self, segments: list[str]) -> list[tuple | None]:
-        """What ``learn`` tells of each segment; all are cut at once, on the byte ends of their tokens one after the other."""
-        sides = [e.ids for e in self.a.encode_batch(segments, add_special_tokens=False)], self.b.encode([s[1:] for s in segments], num_threads=1)
-        raw = [s.encode("utf-8", "replace") for s in segments]
+    def drop(self, long: list[str]) -> None:
+        """Forget segments that stand last."""
+        for s in long:
+            del self.known[s]
+        n = len(self.known)
+        self.pairs = self.pairs[: self.numbers[:n, 2].sum()]
+        self.words, self.numbers = self.words[:n], self.numbers[:n]
+
+    def groups(self, runs: list[list[str]]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray]]:
+        """numbers, words and pairs of the segments of each of ``runs``, in parts one after the other.
+
+        A run is encoded as one text, and all runs are cut at once, on the byte ends of their tokens one after the other.
+        """
+        texts = ["".join(run) for run in runs]
+        sides = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)], self.b.encode([t[1:] for t in texts], num_threads=1)
+        raw = [t.encode("utf-8", "replace") for t in texts]
         size = np.array(list(map(len, raw)))
-        bad = np.zeros(len(segments), bool)
-        flat, last = [], []
+        bad = np.zeros(len(runs), bool)
+        flat, ends = [], []
         for ids, known, sizes in zip(sides, (self.a_bytes, self.b_bytes), (self.a_sizes, self.b_sizes), strict=True):
             one = np.fromiter(chain.from_iterable(ids), np.int64)
             first = np.cumsum([0, *map(len, ids)])
-            total = np.append(0, np.cumsum(sizes[one]))[first]
-            if b"".join([known[i] for i in one.tolist()]) != b"".join(raw) or (np.diff(total) != size).any():
+            end = np.cumsum(sizes[one])
+            if b"".join([known[i] for i in one.tolist()]) != b"".join(raw) or (np.diff(np.append(0, end)[first]) != size).any():
                 bad |= [b"".join([known[i] for i in x]) != r for x, r in zip(ids, raw, strict=True)]
             flat.append(one)
-            last.append(first)
-        if bad.any():  # segments that don't come back are left out, the others cut again
-            good = np.flatnonzero(~bad).tolist()
-            found: list[tuple | None] = [None] * len(segments)
-            for i, x in zip(good, self.groups([segments[i] for i in good]) if good else [], strict=True):
-                found[i] = x
-            return found
-        (a, b), (at_a, at_b) = flat, last
-        _, i, j = np.intersect1d(np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]), assume_unique=True, return_indices=True)
-        pairs = (b[j] * WIDTH + a[i]).tolist()
-        # a token's text ends with what stands after it; the tokens of both sides in the order of their groups
-        inside = np.append(np.arange(len(a)), np.arange(len(b)))
-        inside[: len(a)], inside[len(a) :] = 2 * np.searchsorted(i, inside[: len(a)]), 2 * np.searchsorted(j, inside[len(a) :]) + 1
-        ends = np.zeros(len(a) + len(b), np.int64)
-        ends[i], ends[len(a) + j] = 1, 1
-        words = np.append(self.a_text[ends[: len(a)], a], self.b_text[ends[len(a) :], b])[np.argsort(inside, kind="stable")].tolist()
-        groups, first = np.searchsorted(i, at_a).tolist(), (at_a + at_b).tolist()  # groups and tokens before each segment
-        n_a, n_b = np.diff(at_a).tolist(), np.diff(at_b).tolist()
-        return [(x, y, t - f, "".join(words[p:q]), tuple(pairs[f:t])) for x, y, f, t, p, q in zip(n_a, n_b, groups, groups[1:], first, first[1:], strict=False)]
-
-    def aligned(self, texts: list[str]) -> Iterator[tuple]:
-        """n_a, n_b, n_groups, the groups as text, and the multiplicity of each linked pair of each text; zeros where a text has no tokens."""
+            ends.append(end)
+        if not bad.any():
+            (a, b), stops = flat, np.cumsum([len(s) if s.isascii() else len(s.encode("utf-8", "replace")) for s in chain.from_iterable(runs)])
+            both, i, j = np.intersect1d(*ends, assume_unique=True, return_indices=True)
+            last = np.searchsorted(both, stops)
+            apart = both[last] != stops
+            if not apart.any():
+                yield self.described(a, b, i, j, last)
+                return
+            bad[np.searchsorted(np.cumsum(list(map(len, runs))), np.flatnonzero(apart), "right")] = True
+        # runs that don't come back, or not cut as they were, are encoded by segments, and segments that don't come back have no tokens
+        lo = 0
+        for at in [*np.flatnonzero(bad).tolist(), len(runs)]:
+            if lo < at:
+                yield from self.groups(runs[lo:at])
+            if at < len(runs) and len(runs[at]) > 1:
+                yield from self.groups([[s] for s in runs[at]])
+            elif at < len(runs):
+                yield np.array([[0, 0, 0, 1]]), [""], np.zeros(0, np.int64)
+            lo = at + 1
+
+    def described(self, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """numbers, words and pairs of segments: their tokens, the places of those that end together, and the last of these in each segment."""
+        end_a, end_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        end_a[i], end_b[j] = 1, 1
+        # a token stands after those of its side and those of the other side in the groups before (B: and in its own)
+        at_a = np.arange(len(a)) + np.append(0, j + 1)[np.cumsum(end_a) - end_a]
+        at_b = np.arange(len(b)) + (i + 1)[np.cumsum(end_b) - end_b]
+        text = np.empty(len(a) + len(b), max(self.a_text.dtype, self.b_text.dtype, key=lambda t: t.itemsize))
+        text[at_a], text[at_b] = self.a_text[end_a, a], self.b_text[end_b, b]
+        shown = text.view(np.uint8).reshape(len(text), -1)
+        visible = shown != 0
+        after = np.cumsum(visible.sum(axis=1))[i[last] + j[last] + 1].tolist()
+        whole = shown[visible].tobytes().decode()
+        words = [whole[p:q] for p, q in zip([0, *after], after, strict=False)]
+        n = np.diff(np.stack([i[last], j[last], last], axis=1) + 1, axis=0, prepend=0)
+        return np.append(n, np.zeros((len(n), 1), np.int64), axis=1), words, b[j] * WIDTH + a[i]
+
+    def aligned(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Of the texts: n_a, n_b, n_groups (a row each), the groups as text, where each text's linked pairs end, and the pairs with their multiplicities; zeros where a text has no tokens."""
         split = [self.segments(t) if t else [] for t in texts]
         long = self.learn({s for segments in split for s in segments})
-        for segments in split:
-            found = [self.known[s] if len(s) <= LONGEST else long[s] for s in segments]
-            if not found or None in found:
-                yield 0, 0, 0, "", {}
-            else:
-                n_a, n_b, n, text, pairs = zip(*found, strict=True)
-                yield sum(n_a), sum(n_b), sum(n), "".join(text)[:-1], Counter(chain.from_iterable(pairs))
+        places = [list(map(self.known.__getitem__, segments)) for segments in split]
+        flat = np.fromiter(chain.from_iterable(places), np.int64)
+        row = np.repeat(np.arange(len(texts)), list(map(len, places)))
+        whole = np.bincount(row[self.numbers[flat, 3] > 0], minlength=len(texts)) == 0
+        flat, row = flat[whole[row]], row[whole[row]]
+        sums = np.zeros((len(texts), 3), np.int64)
+        if len(flat):
+            first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+            sums[row[first]] = np.add.reduceat(self.numbers[flat, :3], first)
+        words = ["".join(map(self.words.__getitem__, p))[:-1] if w else "" for p, w in zip(places, whole.tolist(), strict=True)]
+        n = self.numbers[:, 2]
+        pairs = self.pairs[ranges((np.cumsum(n) - n)[flat], n[flat])]
+        # pairs have 42 bits
+        links = np.sort((np.repeat(np.arange(len(texts)), sums[:, 2]) << 42) + pairs)
+        first = np.flatnonzero(np.append(True, links[1:] != links[:-1])) if len(links) else links
+        times = np.diff(np.append(first, len(links)))
+        self.drop(long)
+        return sums, words, np.searchsorted(links[first], np.arange(1, len(texts) + 1) << 42), links[first] & ((1 << 42) - 1), times
 
 
 @lru_cache(maxsize=1)
@@ -159,16 +216,17 @@ def token_groups(docs: DataFrame, byte_level: str, pieces: str, texts: bool = Tr
             texts_here = [t or "" for t in batch.column(2).to_pylist()]
             sizes = np.cumsum([0, *map(len, texts_here)])
             lo = 0
-            while lo < batch.num_rows:  # about two million characters at a time
+            while lo < batch.num_rows:  # about two million characters at a time, in a million rows at most
                 hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + 2_000_000, "right")) - 1)
+                hi = min(hi, lo + 1_000_000)
                 part = batch.slice(lo, hi - lo)
-                found = list(sides.aligned(texts_here[lo:hi]))
-                sums = [hashlib.sha256(f[3].encode()).hexdigest() if f[2] else "" for f in found]
+                numbers, words, ends, pairs, times = sides.aligned(texts_here[lo:hi])
+                sums = [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in words]
+                lists = [pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(x)) for x in (pairs, times)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *(pa.array([f[i] for f in found], pa.int64()) for i in range(3)), pa.array([f[3] if texts else None for f in found], pa.string()), pa.array(sums, pa.string()),
-                     pa.array([list(f[4]) for f in found], pa.list_(pa.int64())), pa.array([list(f[4].values()) for f in found], pa.list_(pa.int64()))],
+                    [part.column(0), part.column(1), *(pa.array(x) for x in numbers.T.copy()), pa.array(words if texts else [None] * len(words), pa.string()), pa.array(sums, pa.string()), *lists],
                     ["row", "doc_id", "n_a", "n_b", "n_groups", "groups", "groups_sha256", "pairs", "times"],
-                )
+                )
                 lo = hi
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -12,7 +12,7 @@ import pytest
 from conftest import DATA
 
 from rillflow.llm import queries
-from rillflow.llm.alignment import align_tokenizers, token_groups
+from rillflow.llm.alignment import Aligner, align_tokenizers, token_groups
 from rillflow.llm.impacts import Block, integers, top_k
 from rillflow.llm.middles import UNIT, cut_ends, fill_in_middle, restored
 
@@ -177,6 +177,30 @@ def test_streams_of_small_batches(spark):
     assert got == sorted(map(repr, plain_alignment(rows)))
 
 
+def test_new_words_are_encoded_in_runs():
+    """A library call a word costs more than the word; a run with words that don't come back gives what single words give."""
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choices("abcdeéx", k=r.randrange(2, 9))) for _ in range(200)) for _ in range(20)]
+    sides = Aligner(BYTES, PIECES)
+    encode, asked = sides.a, []
+
+    class Counting:
+        def encode_batch(self, texts, **more):
+            asked.extend(texts)
+            return encode.encode_batch(texts, **more)
+
+    sides.a = Counting()
+    sides.aligned(texts)
+    assert len(sides.known) > 3000 and len(asked) < 200
+    odd = ["one ① two", "x\u00a0y ﬁn", "  ab  cd ", "\ufeff ab", "long" * 30 + " ① ab", "", "ab \n cd\n\n", "\n ab \u3000 x "]
+    mixed = odd + [" ".join(r.choices([*odd, *texts[0].split()], k=40)) for _ in range(30)]
+    numbers, words = sides.aligned(mixed)[:2]
+    for text, n, w in zip(mixed, numbers.tolist(), words, strict=True):
+        _, n_a, n_b, n_groups, *_, digest = plain_alignment([(0, text)])[0]
+        assert (n, hashlib.sha256(w.encode()).hexdigest() if w else "") == ([n_a, n_b, n_groups], digest), text
+    assert 0 in numbers[:, 0] and max(map(len, sides.known)) <= 64
+
+
 # ---- fill in the middle
 
 
