@@ -14,15 +14,20 @@ from rillflow.llm.mixing import mixed_rows
 from rillflow.llm.neardup import near_duplicates
 from rillflow.llm.pieces import piece_digests
 from rillflow.llm.queries import model_path
-from rillflow.llm.tables import cut, drop, read
+from rillflow.llm.tables import cut, drop, maybe_in, read
 
 
 def _without(docs: DataFrame, gone: DataFrame, key: list[str]) -> DataFrame:
-    """``docs`` without the rows whose id and hash of the columns ``key`` are in ``gone`` (doc_id, tkey)."""
+    """``docs`` without the rows whose id and hash of the columns ``key`` are in ``gone`` (doc_id, tkey).
+
+    Rows that can't be in ``gone`` stay where they are; only the others are joined, with their texts.
+    """
     gone = cut(gone.select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_t")).distinct())
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, F.col("doc_id").cast("long").alias("_i"), F.xxhash64(*[F.col(c).cast("string") for c in key]).alias("_k"))
-    return rows.join(gone, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_t")), "left_anti").select("row.*")
+    rows = maybe_in(rows, gone.select(F.xxhash64("_id", "_t").alias("slot")), F.col("_i"), F.col("_k"))
+    asked = rows.where("_maybe").join(gone, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_t")), "left_anti")
+    return rows.where("NOT _maybe").select("row.*").unionByName(asked.select("row.*"))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import grams, mixed, text_slices, word_bounds, word_hashes
-from .tables import components, cut, drop, keyed, spread_join
+from .tables import components, cut, drop, keyed, maybe_in, spread_join
 
 ROWS, BANDS, SHINGLE = 6, 68, 5
 #: Members outside the largest component of a bucket up to which its pairs are made as they are.
@@ -312,9 +312,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = ROWS, bands:
     """
     spec = "doc_id long, tkey long, n_shingles long, set1 long, set2 long, bands array<long>"
     sketch = cut(keyed(docs).mapInArrow(_sketches(rows, bands), spec))
-    known = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
     node = F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("t"))
-    classes = known.groupBy("set1", "set2").agg(F.min(node).alias("node"), F.count("*").alias("n"))
+
+    def sorted_out(sketch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows with a set, and the classes of equal sets."""
+        known = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
+        return known, known.groupBy("set1", "set2").agg(F.min(node).alias("node"), F.count("*").alias("n"))
+
+    known, classes = sorted_out(sketch)
     heads = known.join(classes.select(F.col("node.id").alias("doc_id"), F.col("node.t").alias("tkey")), ["doc_id", "tkey"], "left_semi").dropDuplicates(["doc_id", "tkey"])
     buckets = heads.select(node.alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     # most rows are alone in their bucket: counts of bare buckets tell which ones travel on
@@ -323,8 +328,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = ROWS, bands:
     least = rows.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("n"))
     shared = cut(spread_join(rows, least, "bucket", rows.count()))  # a head for each row
     drop(met, rows)
+    columns = "doc_id", "tkey", "n_shingles", "set1", "set2"
+    banded, sketch = sketch, cut(sketch.select(*columns))
+    drop(banded)  # bands take 8 bytes each a row, and aren't read any more
+    known, classes = sorted_out(sketch)
     texts = keyed(docs).select(F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("t")).alias("node"), "text")
-    some = texts.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    nodes = shared.select("node").distinct()
+    some = maybe_in(texts, nodes.select(F.xxhash64("node").alias("slot")), F.col("node")).where("_maybe").drop("_maybe")
+    some = some.join(nodes, "node", "left_semi").dropDuplicates(["node"])
     sets = cut(some.mapInArrow(_set_bytes, f"node {NODE}, shingles binary"))
     size = sets.select("node", (F.length("shingles") / 8).cast("long").alias("n"))
 
@@ -344,7 +355,6 @@ def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = ROWS, bands:
     drop(shared, sets, compared, across)
     member = classes.join(found, "node", "left").select("set1", "set2", "n", F.coalesce("root.id", "node.id").alias("least"))
     # copies of one set are spread; rows that are linked with nothing don't travel
-    columns = "doc_id", "tkey", "n_shingles", "set1", "set2"
     linked = spread_join(known.select(*columns), member, ["set1", "set2"], known.count())
     alone = sketch.where("NOT (doc_id IS NOT NULL AND n_shingles > 0)").select(*columns, F.col("doc_id").alias("least"))
     out = linked.unionByName(alone)

@@ -74,6 +74,25 @@ def spread_join(rows: DataFrame, table: DataFrame, key: str | list[str], total:
     return both.select(*rows.columns, *[F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c) for c in more])
 
 
+#: ``maybe_in`` broadcasts 2**CELLS longs of 64 slots each at most.
+CELLS = 18
+
+
+def maybe_in(rows: DataFrame, keys: DataFrame, *key: Column) -> DataFrame:
+    """``rows`` with a boolean _maybe: false where the hash ``key`` of the row isn't in the long column ``slot`` of ``keys``.
+
+    True where it is, and for a few others: keys share 2**24 slots, so a million keys make
+    true about one in 17 rows without a key.  What is broadcast is bounded, whatever ``keys`` holds; with
+    very many of them all rows are true, and a join has to tell them as it would have.
+    """
+    cell, bit = (lambda h: F.pmod(F.shiftrightunsigned(h, 6), F.lit(1 << CELLS))), (lambda h: F.pmod(h, F.lit(64)).cast("int"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col("slot")))
+    taken = keys.groupBy(cell(F.col("slot")).alias("_cell")).agg(F.bit_or(one).alias("_bits"))
+    both = rows.withColumn("_slot", F.xxhash64(*key)).withColumn("_cell", cell(F.col("_slot"))).join(F.broadcast(taken), "_cell", "left")
+    maybe = F.col("_bits").isNotNull() & (F.getbit("_bits", bit(F.col("_slot"))) == 1)
+    return both.select(*[F.col(f"`{c}`") for c in rows.columns], maybe.alias("_maybe"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node of ``links`` (a, b): root is the least node reachable.
 
