@@ -26,7 +26,8 @@ def _without(docs: DataFrame, gone: DataFrame, key: list[str]) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, F.col("doc_id").cast("long").alias("_i"), F.xxhash64(*[F.col(c).cast("string") for c in key]).alias("_k"))
     rows = maybe_in(rows, gone.select(F.xxhash64("_id", "_t").alias("slot")), F.col("_i"), F.col("_k"))
-    asked = rows.where("_maybe").join(gone, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_t")), "left_anti")
+    # not an anti join: Spark would do that before the filter, with all rows
+    asked = rows.where("_maybe").join(gone, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_t")), "left").where("_t IS NULL")
     return rows.where("NOT _maybe").select("row.*").unionByName(asked.select("row.*"))
 
 

@@ -335,7 +335,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = ROWS, bands:
     texts = keyed(docs).select(F.struct(F.col("doc_id").alias("id"), F.col("tkey").alias("t")).alias("node"), "text")
     nodes = shared.select("node").distinct()
     some = maybe_in(texts, nodes.select(F.xxhash64("node").alias("slot")), F.col("node")).where("_maybe").drop("_maybe")
-    some = some.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    some = some.join(nodes, "node").dropDuplicates(["node"])  # not a semi join: Spark would do that before the filter
     sets = cut(some.mapInArrow(_set_bytes, f"node {NODE}, shingles binary"))
     size = sets.select("node", (F.length("shingles") / 8).cast("long").alias("n"))
 

@@ -193,6 +193,8 @@ def test_rows_that_stay_do_not_travel(spark):
     want = sorted(repr((r.doc_id, r.tkey)) for r in keyed.collect() if (r.doc_id, r.tkey) not in lost)
     left = _without(docs, gone, ["text"])
     assert left.columns == docs.columns
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "getbit" in plan[plan.index("Join LeftOuter", plan.index("Union")) :]
     assert sorted(repr((r.doc_id, r.tkey)) for r in left.select("doc_id", F.xxhash64("text").alias("tkey")).collect()) == want
     assert _without(docs, gone.limit(0), ["text"]).count() == len(rows) + 40
     keys = spark.range(0, 500).select(F.xxhash64("id").alias("slot"))
