@@ -212,10 +212,8 @@ def usable_shards(spark, sf_dir):
 
 def upload_group(path: Column) -> Column:
     """The part of a dataset that a file is uploaded with: videos and images by camera, others by top folder."""
-    parts = F.split(path, "/")
-    deep = F.size(parts) > 2
-    top = F.when(F.get(parts, 0).isin("videos", "images") & deep, F.concat_ws("/", F.get(parts, 0), F.get(parts, 1)))
-    return top.when(F.size(parts) > 1, F.get(parts, 0)).otherwise(".")
+    one, two = F.substring_index(path, "/", 1), F.substring_index(path, "/", 2)
+    return F.when(one.isin("videos", "images") & (two != path), two).when(path.contains("/"), one).otherwise(".")
 
 
 #: Files and bytes of an upload batch at most.
@@ -223,9 +221,12 @@ BATCH_FILES, BATCH_BYTES = 50, 2_000_000
 
 
 def upload_batches(listing: DataFrame) -> DataFrame:
-    """path, key, batch, last: next fit of each group's files by path; ``last`` marks metadata, which makes a dataset look complete."""
+    """path, key, batch, last: next fit of each group's files by path; ``last`` marks metadata, which makes a dataset look complete.
+
+    A path that is listed more than once is one file, of the most bytes.
+    """
     rows = listing.select("path", "bytes", upload_group(F.col("path")).alias("grp"))
-    out = next_fit(rows, ["grp"], "path", "bytes", float(BATCH_BYTES), BATCH_FILES)
+    out = next_fit(rows, ["grp"], "path", "bytes", float(BATCH_BYTES), BATCH_FILES, repeats=True, offsets=False)
     return out.select("path", F.col("grp").alias("key"), F.col("bin").alias("batch"), (F.col("grp") == "meta").alias("last"))
 
 
@@ -238,7 +239,7 @@ w AS (SELECT key, path, i, 0 AS batch, 1 AS n, CAST(bytes AS BIGINT) AS size FRO
 SELECT path, key, batch, key = 'meta' AS last FROM w""")
 def pack_batches(spark, sf_dir):
     """Upload batches of a file listing."""
-    return upload_batches(files(spark, sf_dir))
+    return upload_batches(derived(spark, sf_dir, "lineitem", FILE))
 
 
 #: Seconds of a video file, with a frame's tolerance.

@@ -7,6 +7,7 @@ import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
+from rillflow.operators import packing
 from rillflow.operators.packing import next_fit
 from rillflow.plans import catalogs, registry
 
@@ -36,6 +37,43 @@ def test_next_fit(spark, most):
     assert got == fold(rows, 10.0, most)
 
 
+def test_written_tables_do_not_grow_with_bins(spark, monkeypatch):
+    """Two, whether a key has one bin or 600."""
+    written, cut = [], packing.cut
+    monkeypatch.setattr(packing, "cut", lambda df: written.append(df) or cut(df))
+    df = spark.range(600).select(F.lit("k").alias("k"), F.col("id").alias("o"), F.lit(1).alias("x"))
+    counts = []
+    for most in (600, 1):
+        assert next_fit(df, ["k"], "o", "x", 1e6, most).agg(F.max("bin")).first()[0] == 600 // most - 1
+        counts.append(len(written))
+        written.clear()
+    assert counts == [2, 2]
+
+
+@pytest.mark.parametrize("sizes", [[0], [7], [0, 0, 0, 3, 11], [1, 2, 10, 12], [0, 0, 25]])
+@pytest.mark.parametrize("most", [None, 5])
+def test_next_fit_in_many_shards(spark, monkeypatch, most, sizes):
+    """Shards of a few rows: bins that never meet (equal sizes), longer than shards (no sizes), or shut by an over-long row."""
+    monkeypatch.setattr(packing, "ROWS", 9)
+    r = random.Random(5)
+    rows = [("hot" if i % 4 else r.choice([None, "null", "a"]), i, r.choice(sizes)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, o long, x long").repartition(5)
+    assert {(g.k, g.o): (g.bin, g.offset) for g in next_fit(df, ["k"], "o", "x", 10.0, most).collect()} == fold(rows, 10.0, most)
+    once = {(k, o // 3): max(y for a, b, y in rows if (a, b // 3) == (k, o // 3)) for k, o, _ in rows}
+    got = next_fit(df.withColumn("o", F.floor(F.col("o") / 3)), ["k"], "o", "x", 10.0, most, repeats=True, offsets=False)
+    assert got.columns == ["k", "o", "bin"]
+    assert sorted((str(g.k), g.o, g.bin) for g in got.collect()) == sorted((str(k), o, b) for (k, o), (b, _) in fold([(k, o, x) for (k, o), x in once.items()], 10.0, most).items())
+
+
+def test_next_fit_of_no_rows_and_of_large_capacities(spark):
+    empty = spark.createDataFrame([], "k string, o long, x double")
+    assert next_fit(empty, ["k"], "o", "x", 10.0).collect() == []
+    df = spark.createDataFrame([("a", i, x) for i, x in enumerate([None, 6e18, 2e18, 1e18, 9e18, 0.0])], "k string, o long, x double")
+    rows = [("a", i, x) for i, x in enumerate([0.0, 6e18, 2e18, 1e18, 9e18, 0.0])]
+    for cap, df in ((8e18, df), (8e18, df.withColumn("x", F.col("x").cast("long")))):
+        assert {g.o: g.bin for g in next_fit(df, ["k"], "o", "x", cap).collect()} == {o: b for (_, o), (b, _) in fold(rows, cap).items()}
+
+
 def test_queries_fold_whole_groups(spark, duck):
     def group(path):
         parts = path.split("/")
